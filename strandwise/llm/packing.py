@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -36,6 +37,27 @@ PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """The byte-level alphabet of the tokenizer's model: printable Latin-1 stands for itself, the other bytes follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(own)))}
+
+
+class Words(dict):
+    """Word of plain characters -> its ids (bytes), by the library's model; the word is what its own splitting would give."""
+
+    alphabet = _byte_alphabet()
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        ids = [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.alphabet))]
+        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
 class RunTokenizer:
     """Ids of whole texts (bytes of little-endian unsigned 32-bit ids). The tokenizer drops white space, so runs between it are independent."""
 
@@ -45,23 +67,22 @@ class RunTokenizer:
 
         store = worker_store(model)
         if "tokenizer" not in store:
-            store.update(tokenizer=Tokenizer.from_file(model), runs={}, words={})
+            tokenizer = Tokenizer.from_file(model)
+            store.update(tokenizer=tokenizer, runs={}, words=Words(tokenizer.model))
         self.tokenizer, self.runs, self.words = store["tokenizer"], store["runs"], store["words"]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.runs) + len(new) > CACHED:
-            self.runs.clear()
-        parts = {run: PARTS.findall(run.lower()) for run in new if PLAIN.fullmatch(run) and "<|" not in run}
-        unknown = list({w for p in parts.values() for w in p}.difference(self.words))
-        if len(self.words) + len(unknown) > CACHED:
+        if len(self.words) > CACHED:
             self.words.clear()
-            unknown = list({w for p in parts.values() for w in p})
-        self.words.update(zip(unknown, self._encode(unknown), strict=True))
-        self.runs.update((run, b"".join([self.words[w] for w in p])) for run, p in parts.items())
-        odd = [run for run in new if run not in parts]
+        odd = []
+        for run in new:
+            if PLAIN.fullmatch(run) and "<|" not in run:
+                self.runs[run] = b"".join(map(self.words.__getitem__, PARTS.findall(run.lower())))
+            else:
+                odd.append(run)
         self.runs.update(zip(odd, self._encode(odd), strict=True))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
@@ -70,6 +91,8 @@ class RunTokenizer:
                 yield self._encode([text])[0]
                 continue
             runs = text.split()
+            if len(self.runs) > CACHED:
+                self.runs.clear()
             if new := set(runs).difference(self.runs):
                 self._learn(new)
             yield b"".join(map(self.runs.__getitem__, runs))
