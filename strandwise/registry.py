@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from strandwise.plans import gene_queries, read_queries
+
 
 def queries() -> dict:
-    return {}
+    return read_queries.QUERIES | gene_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return read_queries.SQL | gene_queries.SQL
