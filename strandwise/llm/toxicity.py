@@ -1,14 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary windows, and one on the parts of toxic documents that set them
-apart (words far more common in toxic than in ordinary documents of the sample). Every window of a text is compressed
-twice, on the ordinary dictionary alone and on it followed by the toxic one, so that both know ordinary language
-equally well and the bytes saved measure toxic language. How often windows save how many bytes, counted and as a share
-of all windows, gives the score through a logistic calibration.
+Two zstandard dictionaries are trained: one on ordinary windows, and one on the words of toxic documents that set them
+apart (a word, or a beginning of it, is far more common in toxic than in ordinary documents of the sample). A window is
+one word of the text, repeated up to a least size, so that what matches it does not depend on its neighbours. Every
+window is compressed twice, on the ordinary dictionary alone and on it followed by the toxic one, so that both know
+ordinary language equally well and the bytes saved measure toxic language. How often windows save how many bytes,
+counted and as a share of all windows, gives the score through a logistic calibration.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -19,16 +21,19 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwise.llm.common import held_out, labelled_sample, table
+from strandwise.llm.common import held_out, labelled_sample, table, worker_store
 
 #: Labelled documents of each class that training takes at most, and ordinary windows for the dictionary.
 TRAIN_ROWS, TRAIN_WINDOWS = 2_000, 60_000
-#: Least bytes of a window (it ends with a word); sizes of the dictionaries' contents.
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 24, 14_000, 1_200
-#: A word sets toxic texts apart from this ratio of document shares, and this share of the toxic documents, on.
-LIFT, LEAST_SHARE, LEAST_DOCS = 8.0, 0.018, 4
+#: Least bytes of a window; sizes of the dictionaries' contents; bytes of the ordinary dictionary's training windows.
+WINDOW, ORDINARY_BYTES, TOXIC_BYTES, PASSAGE = 32, 14_000, 1_200, 24
+#: A word sets toxic texts apart from this ratio of document shares, and this share of the toxic documents, on. So does
+#: a beginning of it, from this many bytes on; longer words than MEASURED have only themselves and their first bytes.
+LIFT, LEAST_SHARE, LEAST_DOCS, STEM, MEASURED = 8.0, 0.018, 4, 4, 64
+#: Windows whose saved bytes a worker remembers (words of at most MEASURED bytes); it then starts afresh.
+REMEMBERED = 200_000
 #: Bytes saved from which a window counts, and steps and rate of the calibration.
-SAVED, STEPS, RATE = (2, 4, 6, 8, 10), 3_000, 0.5
+SAVED, STEPS, RATE = (1, 2, 3, 4, 5, 6), 3_000, 0.5
 #: Short matches are what tells words apart; small tables suit windows of a few dozen bytes.
 PARAMETERS = {"window_log": 15, "hash_log": 12, "chain_log": 12, "search_log": 4, "min_match": 4, "target_length": 32, "strategy": zstandard.STRATEGY_GREEDY, "write_content_size": False, "write_checksum": False, "write_dict_id": False, "format": zstandard.FORMAT_ZSTD1_MAGICLESS}
 
@@ -37,15 +42,15 @@ def runs(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").split()
 
 
-def windows(words: Sequence[bytes]) -> list[bytes]:
-    """Consecutive windows of whole words, each of WINDOW bytes or a little more; the last may be short."""
+def passages(words: Sequence[bytes]) -> list[bytes]:
+    """Consecutive passages of whole words, each of PASSAGE bytes or a little more; the last may be short."""
     out: list[bytes] = []
     part: list[bytes] = []
     size = 0
     for word in words:
         part.append(word)
         size += len(word) + 1
-        if size >= WINDOW:
+        if size >= PASSAGE:
             out.append(b" %b " % b" ".join(part))
             part, size = [], 0
     if part:
@@ -53,6 +58,15 @@ def windows(words: Sequence[bytes]) -> list[bytes]:
     return out
 
 
+def window(word: bytes) -> bytes:
+    """The word between spaces, once, and again until WINDOW bytes are reached."""
+    return b" " + (word + b" ") * max(1, -(-(WINDOW - 1) // (len(word) + 1)))
+
+
+def stems(word: bytes) -> set[bytes]:
+    return {word, *(word[:k] for k in range(STEM, min(len(word), MEASURED)))}
+
+
 class Distance:
     """Bytes that the toxic dictionary saves on each window of a text."""
 
@@ -62,10 +76,21 @@ class Distance:
         for d in both:
             d.precompute_compress(compression_params=parameters)
         self.plain, self.toxic = (zstandard.ZstdCompressor(dict_data=d, compression_params=parameters).compress for d in both)
+        self.known: dict[bytes, int] = {}
+
+    def saved(self, word: bytes) -> int:
+        found = self.known.get(word)
+        if found is None:
+            w = window(word)
+            found = len(self.plain(w)) - len(self.toxic(w))
+            if len(word) <= MEASURED:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[word] = found
+        return found
 
     def features(self, text: str) -> list[float]:
-        parts = windows(runs(text))
-        saved = np.array([len(self.plain(w)) - len(self.toxic(w)) for w in parts] or [0])
+        saved = np.array([self.saved(w) for w in runs(text)] or [0])
         counts = [int((saved >= k).sum()) for k in SAVED]
         share = len(saved) + 3
         return [*(math.log1p(c) for c in counts), *(c / share for c in counts), saved.max() / 10, float(np.maximum(saved - 2, 0).sum()) / share, math.log(len(saved) + 1)]
@@ -85,14 +110,14 @@ def train(rows: Sequence[tuple[str, int]], seed: int = 7) -> tuple[bytes, bytes,
     words = [(runs(text), y) for text, y in rows]
     seen = (Counter(), Counter())
     for found, y in words:
-        seen[y].update(set(found))
+        seen[y].update({s for w in set(found) for s in stems(w)})
     n = [sum(y == k for _, y in rows) for k in (0, 1)]
     least = max(LEAST_DOCS, LEAST_SHARE * n[1])
     apart = {w for w, c in seen[1].items() if c >= least and (c + 0.5) / (n[1] + 1) > LIFT * (seen[0][w] + 0.5) / (n[0] + 1)}
     rng = np.random.default_rng(seed)
-    plain = [w for found, y in words if not y for w in windows(found)]
+    plain = [w for found, y in words if not y for w in passages(found)]
     plain = [plain[i] for i in rng.permutation(len(plain))[:TRAIN_WINDOWS]]
-    marked = [b" %b " % b" ".join(kept) for found, y in words if y and (kept := [w for w in found if w in apart])]
+    marked = [b" %b " % w for found, y in words if y for w in sorted(set(found)) if not apart.isdisjoint(stems(w))]
     ordinary = _content(plain, ORDINARY_BYTES)
     toxic = _content(marked * (1 + 4_000 // len(marked)), TOXIC_BYTES) if marked else b""
     distance = Distance(ordinary, toxic)
@@ -123,7 +148,11 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model.value is not None:
             ordinary, toxic, mean, deviation, weights = model.value
-            distance = Distance(ordinary, toxic)
+            kept, key = worker_store("toxicity"), hashlib.sha256(b"%d %b%b" % (len(ordinary), ordinary, toxic)).digest()
+            if key not in kept:
+                kept.clear()
+                kept[key] = Distance(ordinary, toxic)
+            distance = kept[key]
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             if model.value is not None and batch.num_rows:

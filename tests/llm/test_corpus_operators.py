@@ -207,7 +207,7 @@ def auc(y, s):
     return (order[one].sum() - one.sum() * (one.sum() + 1) / 2) / (one.sum() * (~one).sum())
 
 
-@pytest.mark.parametrize(("op", "label", "least"), [(quality.op2_quality, "quality", 0.95), (toxicity.op5_toxicity, "toxic", 0.75)])
+@pytest.mark.parametrize(("op", "label", "least"), [(quality.op2_quality, "quality", 0.95), (toxicity.op5_toxicity, "toxic", 0.85)])
 def test_classifiers_on_held_out_labels(spark, op, label, least):
     sf = "/root/testdata/sf0.01"
     got = op(spark, sf).toPandas().set_index("doc_id").join(pd.read_parquet(f"{sf}/labels.parquet").set_index("doc_id"), how="inner")
