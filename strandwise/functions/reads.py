@@ -57,5 +57,6 @@ def translate_codons(seq: Column) -> Column:
     """Amino acids of the reading frame at 0: stops dropped, unknown codons X, a partial last codon ignored."""
     table = {a + b + c: AMINO[16 * i + 4 * j + k] for i, a in enumerate(BASES) for j, b in enumerate(BASES) for k, c in enumerate(BASES)}
     code = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    starts = F.when(F.length(seq) >= 3, F.sequence(F.lit(1), F.length(seq) - 2, F.lit(3))).otherwise(F.array().cast("array<int>"))
-    return F.translate(F.array_join(F.transform(starts, lambda i: F.coalesce(F.try_element_at(code, F.substring(seq, i, F.lit(3))), F.lit("X"))), ""), "*", "")
+    # One scan cuts the frame into codons; a substring for each would count from the start every time.
+    frame = F.regexp_extract_all(seq, F.lit("(?s)..."), 0)
+    return F.translate(F.array_join(F.transform(frame, lambda c: F.coalesce(F.try_element_at(code, c), F.lit("X"))), ""), "*", "")

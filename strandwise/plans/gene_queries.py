@@ -280,11 +280,12 @@ def superpathway_heatmap(spark, d):
     return _rpkm(spark, d).join(view(spark, d, "v_gene_ec"), "gene_id").join(e, "ec").groupBy("superpathway").agg(F.round(F.sum("rpkm"), 4).alias("rpkm"))
 
 
-@query("""WITH e AS (SELECT DISTINCT superpathway, ec FROM v_path), m AS (SELECT DISTINCT ec FROM v_gene_ec WHERE gene_id % 3 = 0)
+@query("""WITH e AS (SELECT DISTINCT superpathway, ec FROM v_path), m AS (SELECT DISTINCT ec FROM v_gene_ec WHERE gene_id IN (SELECT gene_id FROM v_gene_reads WHERE tool = 'A' AND context = 'F'))
 SELECT superpathway, count(m.ec) AS matched, count(*) AS total, round(100.0 * count(m.ec) / count(*), 2) AS coverage FROM e LEFT JOIN m USING (ec) GROUP BY superpathway""")
 def superpathway_coverage(spark, d):
     e = view(spark, d, "v_path").select("superpathway", "ec").distinct()
-    m = view(spark, d, "v_gene_ec").filter("gene_id % 3 = 0").select("ec", F.lit(1).alias("hit")).distinct()
+    mapped = view(spark, d, "v_gene_reads").filter("tool = 'A' AND context = 'F'").select("gene_id")
+    m = view(spark, d, "v_gene_ec").join(mapped, "gene_id", "left_semi").select("ec", F.lit(1).alias("hit")).distinct()
     return e.join(m, "ec", "left").groupBy("superpathway").agg(F.count("hit").alias("matched"), F.count(F.lit(1)).alias("total"), F.round(100.0 * F.count("hit") / F.count(F.lit(1)), 2).alias("coverage"))
 
 

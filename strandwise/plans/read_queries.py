@@ -52,7 +52,7 @@ def trim_adapter(spark, d):
     return view(spark, d, "v_reads").select("read_id", R.adapter_start(F.col("seq"), "GATC").alias("cut"))
 
 
-@query("""WITH c AS (SELECT read_id, seq, [seq[i : i + 2] FOR i IN range(1, length(seq) - 1, 3)] AS codons FROM v_reads)
+@query("""WITH c AS (SELECT read_id, seq, regexp_extract_all(seq, '...') AS codons FROM v_reads)
 SELECT read_id, reverse(translate(seq, 'ACGT', 'TGCA')) AS reverse_complement, replace(coalesce(array_to_string([
   substr('FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG', 16 * (instr('TCAG', x[1]) - 1) + 4 * (instr('TCAG', x[2]) - 1) + instr('TCAG', x[3]), 1) FOR x IN codons], ''), ''), '*', '') AS protein FROM c""")
 def codons(spark, d):
@@ -154,16 +154,17 @@ def kmer_hits(spark, d):
     return P.kmer_counts(*_texts(spark, d), 4, " ")
 
 
-@query("SELECT read_id, CASE WHEN read_id IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey % 4 = 0) THEN 'yes' ELSE 'no' END AS in_contig FROM (SELECT DISTINCT o_orderkey AS read_id FROM orders)")
+@query("SELECT read_id, CASE WHEN read_id IN (SELECT read_id FROM v_contig) THEN 'yes' ELSE 'no' END AS in_contig FROM (SELECT DISTINCT o_orderkey AS read_id FROM orders)")
 def read_in_contig(spark, d):
-    return P.contig_flag(view(spark, d, "orders").select(F.col("o_orderkey").alias("read_id")), view(spark, d, "v_contig").filter(F.col("contig_id") % 4 == 0))
+    return P.contig_flag(view(spark, d, "orders").select(F.col("o_orderkey").alias("read_id")), view(spark, d, "v_contig"))
 
 
-UNIQUE = "c AS (SELECT DISTINCT contig_id % 5000 + read_id // 40 * 5000 AS contig_id, read_id FROM v_contig WHERE read_id % 40 IN (1, 5)), n AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM c)"
+UNIQUE = "c AS (SELECT DISTINCT l_orderkey // 4 + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS contig_id, l_orderkey AS read_id FROM lineitem), n AS (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM c)"
 
 
 def _contigs(spark, d):
-    return view(spark, d, "v_contig").filter((F.col("read_id") % 40).isin(1, 5)).select((F.col("contig_id") % 5000 + F.floor(F.col("read_id") / 40) * 5000).alias("contig_id"), "read_id")
+    contig = F.floor(F.col("l_orderkey") / 4) + F.when(F.col("l_linenumber") == 7, 1).otherwise(0)
+    return view(spark, d, "lineitem").select(contig.alias("contig_id"), F.col("l_orderkey").alias("read_id"))
 
 
 @query("WITH " + UNIQUE + " SELECT contig_id FROM n GROUP BY contig_id HAVING max(k) = 1")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 ACGT = "translate(regexp_replace(lower(text), '[^a-z]', ''{g}), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
 
 VIEWS = {
-    "v_reads": f"SELECT concat('d', CAST(doc_id AS STRING)) AS read_id, substr({ACGT}, 1, 150) AS seq, substr(regexp_replace(text, '[^!-~]', ''{{g}}), 1, 150) AS qual, doc_id FROM {{documents}}",
+    "v_reads": f"SELECT concat('d', CAST(doc_id AS STRING)) AS read_id, {ACGT} AS seq, regexp_replace(text, '[^!-~]', ''{{g}}) AS qual, doc_id FROM {{documents}}",
     "v_pair1": "SELECT read_id, seq, qual FROM {v_reads} WHERE doc_id % 3 <> 0",
     "v_pair2": "SELECT read_id, seq, qual FROM {v_reads} WHERE doc_id % 5 <> 0",
     "v_aln": "SELECT l_orderkey AS query, l_partkey AS target, CASE WHEN l_returnflag = 'N' THEN 4 ELSE 0 END AS flag, concat(CAST(CAST(floor(l_quantity) AS INT) AS STRING), 'M', CAST(l_linenumber AS STRING), 'S') AS cigar, CAST(floor(l_extendedprice) AS INT) AS as_score, CAST(l_linenumber AS BIGINT) * 1000000 + l_suppkey AS file_order FROM {lineitem}",

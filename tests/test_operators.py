@@ -52,3 +52,54 @@ def test_ec_consensus_without_pairs(spark):
 def test_n50_of_nothing_and_of_equal_lengths(spark):
     df = spark.createDataFrame([(4,), (4,), (4,), (4,)], "n int")
     assert tuple(hits.n50_l50(df, "n").collect()[0]) == (4, 3)
+
+
+def test_read_formats_on_edge_rows(spark, tmp_path):
+    from strandwise.sources import formats as S
+
+    def put(name, text):
+        (tmp_path / name).write_text(text)
+        return str(tmp_path / name)
+
+    fastq = put("a.fastq", "@r1 lane/x\nACGT\n+\n@III\n@r2\n\n+\n\n")
+    assert sorted(map(tuple, S.read_fastq(spark, fastq).collect())) == [("r1", "ACGT", "@III"), ("r2", "", "")]
+    fasta = put("a.fasta", ">s1 one >NODE\nAC GT\n\nAC\n>s2\n>s3\nTT")
+    assert sorted(map(tuple, S.read_fasta(spark, fasta).collect())) == [("s1", "one >NODE", "ACGTAC", 6), ("s2", "", "", 0), ("s3", "", "TT", 2)]
+    sam = put("a.sam", "@SQ\tx\n\nq\t4\tt\t1\t0\t10S80M\t*\t0\t0\tA\tI\tNM:i:0\tAS:i:7\nq2\t0\tt\t1\t0\t9M\t*\t0\t0\tA\tI\n")
+    assert sorted(map(tuple, S.read_sam(spark, sam).collect())) == [("q", 4, "t", "10S80M", 7), ("q2", 0, "t", "9M", None)]
+    assert S.trim_sam(spark, sam).count() == 1
+    tab = put("a.tab", "q\tt\t85\t26\t0\t0\t1\t9\t1\t9\t1e-5\t60\nq\tt\t85\t26\t0\t0\t1\t9\t1\t9\t1e-5\n")
+    assert S.read_blast_tab(spark, tab).count() == 1 and S.read_blast_tab(spark, tab, rejected=True).count() == 1
+    clstr = put("a.clstr", ">Cluster 0\n0\t8nt, >r1... *\n1\t8nt, >r7... at 100.00%\n>Cluster 1\n0\t9nt, >r2... *\n")
+    assert sorted(map(tuple, S.read_clstr(spark, clstr).collect())) == [("r1", "r1"), ("r1", "r7"), ("r2", "r2")]
+    names = put("names.dmp", "2\t|\tBacteria\t|\tBacteria <x>\t|\tscientific name\t|\n2\t|\teubacteria\t|\t\t|\tsynonym\t|\n")
+    assert sorted(map(tuple, S.read_dmp_names(spark, names).collect())) == [(0, "unclassified"), (2, "Bacteria")]
+    priam = put("p.txt", ">g1 x\n1.1.1.1\t0.9\t1e-9\n# 2.2.2.2\t0.3\t1e-2\n\n>g2\n")
+    assert [tuple(r) for r in S.read_priam_blocks(spark, priam).collect()] == [("g1", "1.1.1.1", 0.9, 1e-9)]
+    assert S.read_priam_blocks(spark, priam, best_only=False).count() == 2
+    pairs = put("pairs.txt", "EC1_EC2\tNum_of_prots\n1.1.1.1_2.2.2.2\t5\n")
+    assert [tuple(r) for r in S.read_ec_pairs(spark, pairs).collect()] == [("1.1.1.1", "2.2.2.2", 5)]
+    dat = put("e.dat", "ID   1.1.1.1\nDE   Alcohol dehydrogenase.\nDR   P07327, ADH1A_HUMAN ;  P28469, ADH1A_MACMU ;\n//\n")
+    assert sorted(map(tuple, S.read_enzyme_dat(spark, dat).collect())) == [("1.1.1.1", "Alcohol dehydrogenase", "P07327"), ("1.1.1.1", "Alcohol dehydrogenase", "P28469")]
+
+
+def test_incremental_counts_read_each_file_once(spark, tmp_path):
+    from strandwise.streaming import funnel
+
+    landed, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for values in ([("a", 1), ("b", 2)], [("a", 5)], []):
+        spark.createDataFrame(values, "k string, v int").write.mode("append").parquet(landed)
+        got = funnel.incremental_counts(spark, landed, "k string, v int", ["k"], {"n": F.lit(1), "v": F.col("v")}, out, state)
+    assert sorted(map(tuple, got.collect())) == [("a", 2, 6), ("b", 1, 2)]
+
+
+def test_stage_table_is_made_once(spark, tmp_path):
+    from strandwise.streaming import funnel
+
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    assert [funnel.stage_table(spark, str(tmp_path / "s"), make).count() for _ in range(2)] == [3, 3] and len(made) == 1
