@@ -90,6 +90,11 @@ def explode_ec_rows(rows: DataFrame, column: str = "ecs", separator: str = r"\|"
     return rows.withColumn("ec", F.explode(F.split(column, separator))).drop(column)
 
 
+def annotated_only(seqs: DataFrame, ec_accessions: DataFrame, ec_prefix: str = "") -> DataFrame:
+    """Sequences (id, ...) whose accession has an enzyme number, or one that begins with ec_prefix."""
+    return seqs.join(ec_accessions.filter(F.col("ec").startswith(ec_prefix)).select(F.col("accession").alias("id")), "id", "left_semi")
+
+
 def taxa_table_weighted(queries: DataFrame, contig_counts: DataFrame, inside: DataFrame, is_contig: Column) -> DataFrame:
     """lineage, reads from (query, lineage): contigs weigh their reads (unknown ones 0), reads within contigs 0, others 1."""
     met = queries.withColumn("contig", is_contig).join(contig_counts.select(F.col("contig_id").alias("query"), "reads"), "query", "left")

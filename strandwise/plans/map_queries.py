@@ -177,6 +177,12 @@ def kmer_lca_classify(spark, d):
     return M.kmer_lca_classify(*_texts(spark, d), taxa, view(spark, d, "v_nodes"), 4, " ")
 
 
+@query("SELECT p_partkey AS id, p_name AS seq FROM part WHERE p_partkey IN (SELECT gene_id FROM v_gene_ec WHERE ec LIKE '2.%')")
+def annotated_only(spark, d):
+    seqs = view(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("seq"))
+    return M.annotated_only(seqs, view(spark, d, "v_gene_ec").withColumnRenamed("gene_id", "accession"), "2.")
+
+
 @query("SELECT DISTINCT gene_id, ec FROM v_gene_ec")
 def explode_ec_rows(spark, d):
     from strandwise.operators.enzyme import ec_report

@@ -183,7 +183,7 @@ def per_base_quality(spark, d):
     return chars.groupBy("pos").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("q"), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp("q"), F.lit(0.0)), 6).alias("sd"), F.median("q").alias("median"), F.max("q").alias("highest"), F.min("q").alias("lowest"))
 
 
-@query("SELECT CAST(floor(mean / 10) * 10 AS INT) AS bin, count(*) AS n, sum(len) AS bases FROM (SELECT length(qual) AS len, list_avg(list_transform(string_split(qual, ''), lambda c: ascii(c))) AS mean FROM v_reads WHERE qual <> '') GROUP BY 1")
+@query("SELECT CAST(floor(mean / 10) * 10 AS INT) AS bin, count(*) AS n, CAST(sum(len) AS BIGINT) AS bases FROM (SELECT length(qual) AS len, list_avg(list_transform(string_split(qual, ''), lambda c: ascii(c))) AS mean FROM v_reads WHERE qual <> '') GROUP BY 1")
 def read_quality(spark, d):
     codes = F.transform(F.filter(F.split("qual", ""), lambda c: c != ""), lambda c: F.ascii(c))
     r = view(spark, d, "v_reads").filter("qual <> ''").select(F.length("qual").alias("len"), (F.aggregate(codes, F.lit(0), lambda a, x: a + x) / F.length("qual")).alias("mean"))
