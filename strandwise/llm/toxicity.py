@@ -1,17 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary windows, and one on the words of toxic documents that set them
+Two zstandard dictionaries are trained: one on ordinary passages, and one on the parts of words that set toxic documents
 apart (a word, or a beginning of it, is far more common in toxic than in ordinary documents of the sample). A window is
-one word of the text, repeated up to a least size, so that what matches it does not depend on its neighbours. Every
-window is compressed twice, on the ordinary dictionary alone and on it followed by the toxic one, so that both know
-ordinary language equally well and the bytes saved measure toxic language. How often windows save how many bytes,
-counted and as a share of all windows, gives the score through a logistic calibration.
+one word of the text or one beginning of it, repeated up to a least size, so that what matches it does not depend on its
+neighbours. The toxic dictionary holds its commonest parts as whole windows: a window that is one of them becomes a
+single match, any other saves a few bytes at most. Every window is compressed twice, on the ordinary dictionary alone
+and on it followed by the toxic one, so that both know ordinary language equally well and the bytes saved measure toxic
+language. How many different words save how many bytes, counted and as a share of all, gives the score through a
+logistic calibration.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -26,20 +29,24 @@ from strandwise.llm.common import held_out, labelled_sample, table, worker_store
 #: Labelled documents of each class that training takes at most, and ordinary windows for the dictionary.
 TRAIN_ROWS, TRAIN_WINDOWS = 2_000, 60_000
 #: Least bytes of a window; sizes of the dictionaries' contents; bytes of the ordinary dictionary's training windows.
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES, PASSAGE = 32, 14_000, 1_200, 24
+WINDOW, ORDINARY_BYTES, TOXIC_BYTES, PASSAGE = 32, 14_000, 400, 24
 #: A word sets toxic texts apart from this ratio of document shares, and this share of the toxic documents, on. So does
 #: a beginning of it, from this many bytes on; longer words than MEASURED have only themselves and their first bytes.
-LIFT, LEAST_SHARE, LEAST_DOCS, STEM, MEASURED = 8.0, 0.018, 4, 4, 64
+LIFT, LEAST_SHARE, LEAST_DOCS, STEM, MEASURED = 8.0, 0.03, 4, 3, 64
+#: Telling parts of words whose windows the toxic dictionary holds whole.
+WHOLE = 60
+WORDS = re.compile(r"\w+")
 #: Windows whose saved bytes a worker remembers (words of at most MEASURED bytes); it then starts afresh.
 REMEMBERED = 200_000
 #: Bytes saved from which a window counts, and steps and rate of the calibration.
-SAVED, STEPS, RATE = (1, 2, 3, 4, 5, 6), 3_000, 0.5
+SAVED, STEPS, RATE = (2, 3, 4, 5, 6, 8, 10, 12), 3_000, 0.5
 #: Short matches are what tells words apart; small tables suit windows of a few dozen bytes.
 PARAMETERS = {"window_log": 15, "hash_log": 12, "chain_log": 12, "search_log": 4, "min_match": 4, "target_length": 32, "strategy": zstandard.STRATEGY_GREEDY, "write_content_size": False, "write_checksum": False, "write_dict_id": False, "format": zstandard.FORMAT_ZSTD1_MAGICLESS}
 
 
 def runs(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").split()
+    """The words of a text: runs of letters, digits and underscores, lower-cased."""
+    return [w.encode("utf-8", "surrogatepass") for w in WORDS.findall(text.lower())]
 
 
 def passages(words: Sequence[bytes]) -> list[bytes]:
@@ -63,8 +70,9 @@ def window(word: bytes) -> bytes:
     return b" " + (word + b" ") * max(1, -(-(WINDOW - 1) // (len(word) + 1)))
 
 
-def stems(word: bytes) -> set[bytes]:
-    return {word, *(word[:k] for k in range(STEM, min(len(word), MEASURED)))}
+def stems(word: bytes) -> list[bytes]:
+    """The word's beginnings, itself last."""
+    return [*(word[:k] for k in range(STEM, min(len(word), MEASURED))), word]
 
 
 class Distance:
@@ -77,20 +85,32 @@ class Distance:
             d.precompute_compress(compression_params=parameters)
         self.plain, self.toxic = (zstandard.ZstdCompressor(dict_data=d, compression_params=parameters).compress for d in both)
         self.known: dict[bytes, int] = {}
+        self.words: dict[bytes, int] = {}
 
-    def saved(self, word: bytes) -> int:
-        found = self.known.get(word)
+    def _measured(self, part: bytes) -> int:
+        found = self.known.get(part)
         if found is None:
-            w = window(word)
+            w = window(part)
             found = len(self.plain(w)) - len(self.toxic(w))
-            if len(word) <= MEASURED:
+            if len(part) <= MEASURED:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
-                self.known[word] = found
+                self.known[part] = found
+        return found
+
+    def saved(self, word: bytes) -> int:
+        """The most that the windows of the word and its beginnings save."""
+        found = self.words.get(word)
+        if found is None:
+            found = max(map(self._measured, stems(word)))
+            if len(word) <= MEASURED:
+                if len(self.words) >= REMEMBERED:
+                    self.words.clear()
+                self.words[word] = found
         return found
 
     def features(self, text: str) -> list[float]:
-        saved = np.array([self.saved(w) for w in runs(text)] or [0])
+        saved = np.array([self.saved(w) for w in set(runs(text))] or [0])
         counts = [int((saved >= k).sum()) for k in SAVED]
         share = len(saved) + 3
         return [*(math.log1p(c) for c in counts), *(c / share for c in counts), saved.max() / 10, float(np.maximum(saved - 2, 0).sum()) / share, math.log(len(saved) + 1)]
@@ -117,9 +137,13 @@ def train(rows: Sequence[tuple[str, int]], seed: int = 7) -> tuple[bytes, bytes,
     rng = np.random.default_rng(seed)
     plain = [w for found, y in words if not y for w in passages(found)]
     plain = [plain[i] for i in rng.permutation(len(plain))[:TRAIN_WINDOWS]]
-    marked = [b" %b " % w for found, y in words if y for w in sorted(set(found)) if not apart.isdisjoint(stems(w))]
+    # Of a word's telling parts the one that covers the most bytes of toxic documents stands for it.
+    parts = [max(telling, key=lambda s: seen[1][s] * len(s)) for found, y in words if y for w in sorted(set(found)) if (telling := [s for s in stems(w) if s in apart])]
+    marked = [window(s) for s in parts]
     ordinary = _content(plain, ORDINARY_BYTES)
     toxic = _content(marked * (1 + 4_000 // len(marked)), TOXIC_BYTES) if marked else b""
+    # Trained segments cut windows short; those of the most common parts follow whole, the most common last.
+    toxic += b"".join(window(s) for s, _ in reversed(sorted(Counter(parts).items(), key=lambda c: (-c[1], c[0]))[:WHOLE]))
     distance = Distance(ordinary, toxic)
     x = np.array([distance.features(text) for text, _ in rows])
     y = np.array([label for _, label in rows], float)
