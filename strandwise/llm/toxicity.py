@@ -36,12 +36,14 @@ LIFT, LEAST_SHARE, LEAST_DOCS, STEM, MEASURED = 8.0, 0.03, 4, 3, 64
 #: Telling parts of words whose windows the toxic dictionary holds whole.
 WHOLE = 60
 WORDS = re.compile(r"\w+")
-#: Windows whose saved bytes a worker remembers (words of at most MEASURED bytes); it then starts afresh.
+#: Words whose saved bytes a worker remembers (those of at most MEASURED bytes); it then starts afresh.
 REMEMBERED = 200_000
 #: Bytes saved from which a window counts, and steps and rate of the calibration.
 SAVED, STEPS, RATE = (2, 3, 4, 5, 6, 8, 10, 12), 3_000, 0.5
+#: Least bytes of a match.
+MATCH = 4
 #: Short matches are what tells words apart; small tables suit windows of a few dozen bytes.
-PARAMETERS = {"window_log": 15, "hash_log": 12, "chain_log": 12, "search_log": 4, "min_match": 4, "target_length": 32, "strategy": zstandard.STRATEGY_GREEDY, "write_content_size": False, "write_checksum": False, "write_dict_id": False, "format": zstandard.FORMAT_ZSTD1_MAGICLESS}
+PARAMETERS = {"window_log": 15, "hash_log": 12, "chain_log": 12, "search_log": 4, "min_match": MATCH, "target_length": 32, "strategy": zstandard.STRATEGY_GREEDY, "write_content_size": False, "write_checksum": False, "write_dict_id": False, "format": zstandard.FORMAT_ZSTD1_MAGICLESS}
 
 
 def runs(text: str) -> list[bytes]:
@@ -84,33 +86,30 @@ class Distance:
         for d in both:
             d.precompute_compress(compression_params=parameters)
         self.plain, self.toxic = (zstandard.ZstdCompressor(dict_data=d, compression_params=parameters).compress for d in both)
-        self.known: dict[bytes, int] = {}
-        self.words: dict[bytes, int] = {}
+        self.grams = {toxic[i : i + MATCH] for i in range(len(toxic) - MATCH + 1)}
+        self.known: dict[str, int] = {}
 
     def _measured(self, part: bytes) -> int:
-        found = self.known.get(part)
+        w = window(part)
+        # A window that shares no least match with the toxic content is the same for both dictionaries.
+        if not any(w[i : i + MATCH] in self.grams for i in range(len(part) + 1)):
+            return 0
+        return len(self.plain(w)) - len(self.toxic(w))
+
+    def saved(self, word: str) -> int:
+        """The most that the windows of the word, and of its beginnings if the toxic content has one like them, save."""
+        found = self.known.get(word)
         if found is None:
-            w = window(part)
-            found = len(self.plain(w)) - len(self.toxic(w))
-            if len(part) <= MEASURED:
+            own = word.encode("utf-8", "surrogatepass")
+            found = max(map(self._measured, stems(own) if b" " + own[: MATCH - 1] in self.grams else [own]))
+            if len(own) <= MEASURED:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
-                self.known[part] = found
-        return found
-
-    def saved(self, word: bytes) -> int:
-        """The most that the windows of the word and its beginnings save."""
-        found = self.words.get(word)
-        if found is None:
-            found = max(map(self._measured, stems(word)))
-            if len(word) <= MEASURED:
-                if len(self.words) >= REMEMBERED:
-                    self.words.clear()
-                self.words[word] = found
+                self.known[word] = found
         return found
 
     def features(self, text: str) -> list[float]:
-        saved = np.array([self.saved(w) for w in set(runs(text))] or [0])
+        saved = np.array([self.saved(w) for w in set(WORDS.findall(text.lower()))] or [0])
         counts = [int((saved >= k).sum()) for k in SAVED]
         share = len(saved) + 3
         return [*(math.log1p(c) for c in counts), *(c / share for c in counts), saved.max() / 10, float(np.maximum(saved - 2, 0).sum()) / share, math.log(len(saved) + 1)]
