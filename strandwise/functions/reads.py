@@ -49,6 +49,26 @@ def adapter_start(seq: Column, adapter: str, min_overlap: int = 3) -> Column:
     return F.coalesce(whole, *ends, F.length(seq))
 
 
+def adapter_start_fuzzy(seq: Column, adapter: str, min_overlap: int = 3, rate: float = 1 / 3) -> Column:
+    """0-based place where the adapter, or at the end a beginning of at least min_overlap of it, first stands with few mismatches.
+
+    Of n bases laid over each other at most floor(rate * n) may differ; an N in the read always fits. Without such a place
+    it is the length of seq. Ties do not arise, as the leftmost place counts.
+    """
+    codes = [F.lit(b) for b in adapter]
+
+    def fits(at: Column) -> Column:
+        """Bases laid over each other that differ stay within the rate; a place outside seq counts as no overlap."""
+        bases = [F.substring(seq, at + k + 1, F.lit(1)) for k in range(len(adapter))]
+        differ = sum((F.when((b != "") & (b != "N") & (b != c), 1).otherwise(0) for b, c in zip(bases, codes, strict=True)), F.lit(0))
+        overlap = F.least(F.lit(len(adapter)), F.length(seq) - at)
+        return differ <= F.floor(F.lit(rate) * overlap + 1e-9)
+
+    last = F.length(seq) - min_overlap
+    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(F.get(F.filter(places, fits), 0), F.length(seq))
+
+
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 

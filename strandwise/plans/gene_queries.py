@@ -44,6 +44,14 @@ def aln_passes(spark, d):
     return view(spark, d, "v_aln").select("cigar", "flag", F.round(X.cigar_match_pct(cigar), 6).alias("match_pct"), X.is_unmapped(flag).alias("unmapped"), X.aln_passes(flag, cigar).alias("passes")).distinct()
 
 
+@query("""WITH c AS (SELECT cigar, list_transform(regexp_extract_all(cigar, '([0-9]+)M', 1), lambda n: CAST(n AS INT)) AS m, list_transform(regexp_extract_all(cigar, '([0-9]+)[MISX=]', 1), lambda n: CAST(n AS INT)) AS q FROM v_aln)
+SELECT cigar, round(coalesce(100.0 * list_sum(m) / list_sum(q), 0), 6) AS query_match_pct, coalesce(100.0 * list_sum(m) / list_sum(q), 0) >= 90 AS kept, count(*) AS n FROM c GROUP BY ALL""")
+def cigar_query_match(spark, d):
+    counted = view(spark, d, "v_aln").groupBy("cigar").agg(F.count(F.lit(1)).alias("n"))
+    pct = X.cigar_query_match_pct(F.col("cigar"))
+    return counted.select("cigar", F.round(pct, 6).alias("query_match_pct"), (pct >= 90).alias("kept"), "n")
+
+
 @query(f"SELECT query, count(*) FILTER {'(WHERE ' + PASS + ')'} AS nucleotide, count(*) FILTER (WHERE identity > 85 AND aln_len * 3 > 0.65 * qlen AND bitscore > 60) AS protein FROM v_hits GROUP BY query")
 def hit_passes(spark, d):
     return view(spark, d, "v_hits").groupBy("query").agg(F.count_if(_hit_passes()).alias("nucleotide"), F.count_if(_hit_passes(True)).alias("protein"))

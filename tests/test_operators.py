@@ -83,6 +83,51 @@ def test_read_formats_on_edge_rows(spark, tmp_path):
     assert sorted(map(tuple, S.read_enzyme_dat(spark, dat).collect())) == [("1.1.1.1", "Alcohol dehydrogenase", "P07327"), ("1.1.1.1", "Alcohol dehydrogenase", "P28469")]
 
 
+def test_pathways_reports_and_line_rules(spark, tmp_path):
+    from strandwise.sources import formats as S
+
+    def put(name, text):
+        (tmp_path / name).write_text(text)
+        return str(tmp_path / name)
+
+    assert sorted(map(tuple, S.read_pathway(spark, put("p.tsv", "path:ec1\tec:1.1.1.1\nec2\t2.2.2.2\n")).collect())) == [("ec1", "1.1.1.1"), ("ec2", "2.2.2.2")]
+    csv = put("s.csv", 'Superpathway,Pathway ID,Pathway\n"Lipids, all",ec00061,"Fatty ""acid"" steps"\n')
+    got = S.read_superpathway(spark, csv).select("superpathway", "pathway_id").collect()
+    assert [tuple(r) for r in got] == [("Lipids, all", "ec00061")]
+    report = spark.createDataFrame([("a", 1), (None, 2)], "gene string, n int")
+    for kind, sep in (("tsv", "\t"), ("csv", ",")):
+        S.write_table(report.coalesce(1), str(tmp_path / kind), kind)
+        assert spark.read.option("sep", sep).option("header", True).csv(str(tmp_path / kind)).count() == 2
+    S.write_table(report, str(tmp_path / "parquet"), "parquet")
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "parquet")).collect()), key=str) == [("a", 1), (None, 2)]
+    both = S.concat_reports(spark, [put("one.txt", "x\ny\n"), put("two.txt", "x\n"), put("none.txt", "")])
+    assert sorted((r.report, r.value) for r in both.collect()) == [("one.txt", "x"), ("one.txt", "y"), ("two.txt", "x")]
+    heads = spark.createDataFrame([(">NODE_1>NODE_2",), (">s1",), ("",)], "h string")
+    swapped = heads.select(S.swap_header_marker(F.col("h")).alias("h"))
+    assert [r.h for r in swapped.collect()] == [">NODE_1_NODE_2", ">s1", ""]
+    lines = spark.createDataFrame([(">a\tb",), ("",), (" \t",), ("AC GT",), (None,)], "value string")
+    assert [r.value for r in S.strip_fasta_whitespace(lines).collect()] == [">ab", "ACGT"]
+
+
+def test_adapter_with_mismatches_against_brute_force(spark):
+    import random
+
+    def brute(seq, adapter, least, rate):
+        for at in range(len(seq) - least + 1):
+            n = min(len(adapter), len(seq) - at)
+            if sum(a != b and a != "N" for a, b in zip(seq[at:], adapter)) <= int(rate * n + 1e-9):
+                return at
+        return len(seq)
+
+    rng = random.Random(3)
+    seqs = ["", "AG", "NNNN", "AGATCGGA", *("".join(rng.choices("ACGTN", [9, 9, 9, 9, 1], k=rng.randrange(60))) for _ in range(150))]
+    seqs += [s + "AGATCGGAAG"[: k % 11] for k, s in enumerate(seqs)]
+    df = spark.createDataFrame([(s,) for s in seqs] + [(None,)], "seq string")
+    for rate in (0.0, 0.2):
+        got = df.select("seq", R.adapter_start_fuzzy(F.col("seq"), "AGATCGGAAG", 3, rate).alias("cut")).collect()
+        assert all(r.cut == (None if r.seq is None else brute(r.seq, "AGATCGGAAG", 3, rate)) for r in got)
+
+
 def test_incremental_counts_read_each_file_once(spark, tmp_path):
     from strandwise.streaming import funnel
 
