@@ -66,7 +66,9 @@ def density_lookup(probes: DataFrame, points: DataFrame) -> DataFrame:
     # Strictly before and after: rows of the same score are merged into one, which holds the point apart from the probe.
     one = both.groupBy("ec", "score").agg(F.max("density").alias("point"), F.bool_or(F.col("density").isNull()).alias("probe"))
     lo = F.last("point", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    hi = F.first("point", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    # From the other end, as a frame that reaches to the end is read anew for every row.
+    back = Window.partitionBy("ec").orderBy(F.desc("score"))
+    hi = F.last("point", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
     return one.withColumn("lo", lo).withColumn("hi", hi).filter("probe").select("ec", "score", F.when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), (F.col("lo") + F.col("hi")) / 2).otherwise(0.0).alias("density"))
 
 

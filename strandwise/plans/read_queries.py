@@ -179,8 +179,14 @@ def fractional_contig_counts(spark, d):
 
 @query("SELECT pos, count(*) AS n, round(avg(q), 6) AS mean, round(coalesce(stddev_samp(q), 0), 6) AS sd, median(q) AS median, max(q) AS highest, min(q) AS lowest FROM (SELECT generate_subscripts(string_split(qual, ''), 1) - 1 AS pos, ascii(unnest(string_split(qual, ''))) AS q FROM v_reads WHERE qual <> '') GROUP BY pos")
 def per_base_quality(spark, d):
-    chars = view(spark, d, "v_reads").select(F.posexplode(F.filter(F.split("qual", ""), lambda c: c != "")).alias("pos", "c")).select("pos", F.ascii("c").alias("q"))
-    return chars.groupBy("pos").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("q"), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp("q"), F.lit(0.0)), 6).alias("sd"), F.median("q").alias("median"), F.max("q").alias("highest"), F.min("q").alias("lowest"))
+    chars = view(spark, d, "v_reads").select(F.posexplode(F.filter(F.split("qual", ""), lambda c: c != "")).alias("pos", "c"))
+    # One row for each place and code, counted map-side, holds all that the measures need.
+    per = chars.groupBy("pos", F.ascii("c").alias("q")).agg(F.count(F.lit(1)).alias("k"))
+    q, k = F.col("q"), F.col("k")
+    sums = per.groupBy("pos").agg(F.sum("k").alias("n"), F.sum(q * k).alias("s"), F.sum((q * q * k).cast("double")).alias("s2"), F.percentile("q", F.lit(0.5), k).alias("median"), F.max("q").alias("highest"), F.min("q").alias("lowest"))
+    variance = (F.col("s2") - F.col("s").cast("double") * F.col("s") / F.col("n")) / (F.col("n") - 1)
+    sd = F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0))
+    return sums.select("pos", "n", F.round(F.col("s") / F.col("n"), 6).alias("mean"), F.round(sd, 6).alias("sd"), "median", "highest", "lowest")
 
 
 @query("SELECT CAST(floor(mean / 10) * 10 AS INT) AS bin, count(*) AS n, CAST(sum(len) AS BIGINT) AS bases FROM (SELECT length(qual) AS len, list_avg(list_transform(string_split(qual, ''), lambda c: ascii(c))) AS mean FROM v_reads WHERE qual <> '') GROUP BY 1")
