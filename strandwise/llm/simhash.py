@@ -44,15 +44,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row; null text has no words."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and the columns carry of each row; null text has no words."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *carry])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp long" + (f", {kinds}" if kinds else ""))
 
 
 def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64) -> np.ndarray:
@@ -211,6 +213,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay: of each group the one with the smallest doc_id."""
-    stay = near_groups(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)
+    """The rows of docs that stay: exactly one of each group.
+
+    It is the first by doc_id (null last), then by the text's digest, then by a hash of the whole row; of rows that are
+    equal in all three any one. A row is known by these three and not by its doc_id, which may be null or repeat.
+    """
+    spare = lambda k: f"__stay_{k}"
+    key = {"none": F.col("doc_id").isNull(), "id": F.col("doc_id").cast("long"), "digest": F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("")), "row": F.xxhash64(*docs.columns)}
+    keyed = docs.select("*", *[c.alias(spare(k)) for k, c in key.items()])
+    fps = written(fingerprints(keyed, carry=tuple(map(spare, key))), "fingerprints")
+    distinct = written(fps.groupBy("fp").agg(F.min(F.struct(*map(spare, key))).alias("first")), "distinct-fingerprints")
+    of = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    stay = distinct.join(of, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("s")).select("s.*").drop(spare("none"))
+    # Equal rows are reduced to one before they are dealt by their key, so that a row that repeats often is no single task.
+    names = [spare(k) for k in key if k != "none"]
+    one = keyed.groupBy(*names).agg(F.first(F.struct(*docs.columns)).alias("kept")).alias("one")
+    same = [F.col(f"one.{k}").eqNullSafe(F.col(f"stay.{k}")) for k in names]
+    return one.join(stay.alias("stay"), same, "left_semi").select("kept.*")

@@ -82,6 +82,18 @@ def test_simhash_components(spark, docs, hot):
     assert dict(zip(got.doc_id, got.component_id, strict=True)) == root
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    long = " ".join(f"w{i}" for i in range(400))
+    near = long + " end"
+    assert (brute_fingerprint(long) ^ brute_fingerprint(near)).bit_count() <= 3
+    rows = [(None, "a null id on a text unlike all others"), (None, long), (4, near), (6, "one id two texts"), (6, "of which neither is like the other at all"), (8, "equal rows"), (8, "equal rows"), (None, "equal rows"), (None, None), (None, "")]
+    got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    ids = sorted((r.doc_id or 0, (r.text or "")[:12]) for r in got)
+    assert ids == sorted([(0, "a null id on"), (4, near[:12]), (6, "one id two t"), (6, "of which nei"), (8, "equal rows"), (0, "")])
+    apart = [(1, long), (2, "another text of its own"), (2, near)]  # id 2 leads a group and follows in another
+    assert sorted((r.doc_id, len(r.text)) for r in simhash.one_of_each_group(spark.createDataFrame(apart, "doc_id long, text string")).collect()) == [(1, len(long)), (2, 23)]
+
+
 @pytest.mark.parametrize("hot", [simhash.HOT, 4])
 def test_trie_join_finds_every_link(spark, hot):
     rng = np.random.default_rng(1)
