@@ -4,7 +4,8 @@ Each source's rows are cut into blocks. With weight w, block j of a source is re
 by slot ceil((j + 1) / w); in each slot the released block with the earliest deadline goes next. Then after any number
 of slots every source is less than one block away from its target. Weights are whole shares of a period, so the
 schedule repeats: it is worked out once for one period (a table whose size the weights fix, not the data), and every
-row's slot follows from its block number by arithmetic.
+row's slot follows from its block number by arithmetic. Where there are more sources than slots of a period, groups of
+sources share a tree of such periods.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwise.llm.common import salted_rank, table
+from strandwise.llm.common import salted_rank, table, written
 
 #: Slots of a period (weights are rounded to whole slots, at least one each), rows of a block, rank buckets of a source.
 PERIOD, BLOCK, RANK_BUCKETS = 512, 16, 256
@@ -28,46 +29,88 @@ def _source() -> Column:
     return F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE))
 
 
+def weighed(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
+    """source, n (its rows), w (its weight). A source that given ``weights`` do not name, or name with no weight above 0, is an error."""
+    counted = docs.select(_source().alias("source")).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    if weights is None:
+        return counted.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(TEMPER)))
+    pairs = [x for s, w in weights.items() for x in (F.lit(s), F.lit(float(w)))]
+    given = F.try_element_at(F.create_map(*pairs), F.col("source")) if pairs else F.lit(None).cast("double")
+    return counted.withColumn("w", F.when(given > 0, given).otherwise(F.raise_error(F.concat(F.lit("no weight above 0 for source "), F.col("source"))).cast("double")))
+
+
+def _shared(items: DataFrame, period: int) -> DataFrame:
+    """items (parent, source, n, w) with share, its slots of its parent's period: one at least, the shares of a parent add up to the period."""
+    own = Window.partitionBy("parent")
+    each = items.withColumn("free", F.lit(period) - F.count(F.lit(1)).over(own)).withColumn("exact", F.col("w") / F.sum("w").over(own.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) * F.col("free"))
+    by_rest = own.orderBy((F.col("exact") - F.floor("exact")).desc(), "source")
+    spare = F.col("free") - F.sum(F.floor("exact")).over(own)
+    share = F.lit(1) + F.floor("exact") + F.when(F.row_number().over(by_rest) <= spare, 1).otherwise(0)
+    return each.select("parent", "source", "n", share.cast("int").alias("share"))
+
+
 def shares(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int = PERIOD) -> DataFrame:
     """source, n (its rows), share (its slots of a period). One row per source; shares add up to the period.
 
-    Largest remainders get the slots that rounding leaves; every source has one slot at least. Sources that ``weights``
-    does not name get no share. More sources than slots is an error.
+    Largest remainders get the slots that rounding leaves; every source has one slot at least. This is the table of a
+    single period: more sources than slots is an error here, ``mix`` divides them over a tree of periods instead.
     """
-    counted = docs.select(_source().alias("source")).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    if weights is None:
-        weighed = counted.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(TEMPER)))
-    else:
-        pairs = [x for s, w in weights.items() for x in (F.lit(s), F.lit(float(w)))]
-        weighed = counted.withColumn("w", F.try_element_at(F.create_map(*pairs), F.col("source"))).filter("w > 0")
-    # One row holds all sources here: their number is bounded by the period.
-    one = weighed.agg(F.array_sort(F.collect_list(F.struct("source", "n", "w"))).alias("s")).filter("size(s) > 0")
-    one = one.withColumn("s", F.when(F.size("s") <= period, F.col("s")).otherwise(F.raise_error(F.lit("more sources than slots of a period"))))
-    one = one.withColumn("total", F.aggregate("s", F.lit(0.0), lambda a, x: a + x["w"])).withColumn("free", F.lit(period) - F.size("s"))
-    each = one.select("total", "free", F.explode("s").alias("s")).withColumn("exact", F.col("s.w") / F.col("total") * F.col("free"))
-    by_rest = Window.partitionBy("free").orderBy((F.col("exact") - F.floor("exact")).desc(), "s.source")
-    spare = F.col("free") - F.sum(F.floor("exact")).over(Window.partitionBy("free"))
-    share = F.lit(1) + F.floor("exact") + F.when(F.row_number().over(by_rest) <= spare, 1).otherwise(0)
-    return each.select("s.source", "s.n", share.cast("int").alias("share"))
+    found = weighed(docs, weights)
+    ok = found.withColumn("w", F.when(F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) <= period, F.col("w")).otherwise(F.raise_error(F.lit("more sources than slots of a period")).cast("double")))
+    return _shared(ok.withColumn("parent", F.lit(0).cast("long")), period).drop("parent")
+
+
+def tree(found: DataFrame, period: int = PERIOD) -> list[DataFrame]:
+    """The levels of a tree of periods over the sources of found (source, n, w), leaves first: parent, source, n, share.
+
+    Up to ``period`` sources share one period. More are dealt over groups of half as many at most, which are the items of
+    the next level with the sums of their weights, until one period holds all: no period and no row holds more than
+    ``period`` items, however many sources there are. The item of a level above the leaves is its group's number.
+    """
+    levels, items = [], found.select(F.col("source"), "n", "w")
+    count = items.count()
+    while count > period:
+        groups = -(-count // (period // 2))
+        if not levels:
+            items = written(salted_rank(items.withColumn("all", F.lit(0)), ["all"], ["source"], "place", RANK_BUCKETS).drop("all"), "mixing-sources")
+        else:
+            items = items.withColumn("place", F.col("source").cast("long"))
+        items = items.withColumn("parent", F.col("place") % groups).drop("place")
+        levels.append(items)
+        items, count = items.groupBy(F.col("parent").cast("string").alias("source")).agg(F.lit(0).cast("long").alias("n"), F.sum("w").alias("w")), groups
+    levels.append(items.withColumn("parent", F.lit(0).cast("long")))
+    out = [_shared(x, period) for x in levels]
+    return [written(x, "mixing-shares") for x in out] if len(out) > 1 else out
 
 
 def pattern(shared: DataFrame, period: int = PERIOD) -> DataFrame:
     """One period's schedule: source, nth (its block within the period), slot, release, deadline, share. ``period`` rows."""
-    one = shared.agg(F.array_sort(F.collect_list(F.struct("source", "share"))).alias("s")).filter("size(s) > 0")
-    release = lambda done, share: F.floor(done * F.lit(period) / share)
-    deadline = lambda done, share: F.ceil((done + 1) * F.lit(period) / share)
+    return patterns(shared.withColumn("parent", F.lit(0).cast("long")), period).drop("parent")
+
+
+def _release(done: Column, share: Column, period: int) -> Column:
+    return F.floor(done * F.lit(period) / share)
+
+
+def _deadline(done: Column, share: Column, period: int) -> Column:
+    return F.ceil((done + 1) * F.lit(period) / share)
+
+
+def patterns(shared: DataFrame, period: int = PERIOD) -> DataFrame:
+    """The schedule of each parent's period: parent and the columns of ``pattern``. At most ``period`` items are held in a row."""
+    one = shared.groupBy("parent").agg(F.array_sort(F.collect_list(F.struct("source", "share"))).alias("s"))
 
     def step(state: Column, slot: Column) -> Column:
-        ready = F.filter(F.transform(F.col("s"), lambda x, i: F.struct(deadline(F.get(state["done"], i), x["share"]).alias("due"), i.alias("i"), (release(F.get(state["done"], i), x["share"]) <= slot).alias("ok"))), lambda r: r["ok"])
+        ready = F.filter(F.transform(F.col("s"), lambda x, i: F.struct(_deadline(F.get(state["done"], i), x["share"], period).alias("due"), i.alias("i"), (_release(F.get(state["done"], i), x["share"], period) <= slot).alias("ok"))), lambda r: r["ok"])
         first = F.array_min(ready)["i"]
         done = F.transform(state["done"], lambda n, i: n + F.when(i == first, F.lit(1)).otherwise(F.lit(0)))
         return F.struct(done.alias("done"), F.concat(state["picks"], F.array(F.struct(first.alias("i"), F.get(state["done"], first).alias("nth"), slot.alias("slot")))).alias("picks"))
 
     start = F.struct(F.transform("s", lambda x: F.lit(0)).alias("done"), F.array().cast("array<struct<i:int,nth:int,slot:int>>").alias("picks"))
-    run = one.select("s", F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, step)["picks"].alias("picks"))
-    picked = run.select("s", F.explode("picks").alias("p")).select(F.get("s", F.col("p.i")).alias("x"), "p")
+    run = one.select("parent", "s", F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, step)["picks"].alias("picks"))
+    picked = run.select("parent", "s", F.explode("picks").alias("p")).select("parent", F.get("s", F.col("p.i")).alias("x"), "p")
     share, nth = F.col("x.share"), F.col("p.nth")
-    return picked.select(F.col("x.source").alias("source"), nth.cast("long").alias("nth"), F.col("p.slot").cast("long").alias("slot"), release(nth, share).cast("long").alias("release"), deadline(nth, share).cast("long").alias("deadline"), share.cast("long").alias("share"))
+    return picked.select("parent", F.col("x.source").alias("source"), nth.cast("long").alias("nth"), F.col("p.slot").cast("long").alias("slot"), _release(nth, share, period).cast("long").alias("release"), _deadline(nth, share, period).cast("long").alias("deadline"), share.cast("long").alias("share"))
 
 
 def horizon(shared: DataFrame, plan: DataFrame, period: int = PERIOD, block: int = BLOCK) -> DataFrame:
@@ -77,33 +120,62 @@ def horizon(shared: DataFrame, plan: DataFrame, period: int = PERIOD, block: int
     return met.agg(F.max(F.floor(F.col("last") / F.col("share")).cast("long") * period + F.col("slot") + 1).alias("slots"))
 
 
+def _climbed(rows: DataFrame, plan: DataFrame, period: int, small: bool) -> DataFrame:
+    """rows (item, at: the item's block, rel, due: its bounds in the item's own blocks, ...) in the slots of the item's parent."""
+    own = plan.select(F.col("source").alias("item"), "nth", F.col("slot").alias("p_slot"), F.col("share").alias("p_share"), F.col("parent").cast("string").alias("p_item"))
+    least = plan.select(F.col("source").alias("item"), "share").distinct()
+    turned = rows.join(F.broadcast(least) if small else least, "item").withColumn("nth", F.pmod("at", "share")).withColumn("turn", F.floor(F.col("at") / F.col("share")).cast("long")).drop("share")
+    up = turned.join(F.broadcast(own) if small else own, ["item", "nth"])
+    rel = _release(F.col("rel"), F.col("p_share"), period).cast("long")
+    due = _deadline(F.col("due") - 1, F.col("p_share"), period).cast("long")
+    return up.withColumns({"at": F.col("turn") * period + F.col("p_slot"), "rel": rel, "due": due, "item": F.col("p_item")}).drop("nth", "turn", "p_slot", "p_share", "p_item")
+
+
+def _budgets(levels: list[DataFrame], plans: list[DataFrame], period: int, block: int) -> DataFrame:
+    """source, n, share, rows: how many rows of each source the mixture holds when every source has been shown in full."""
+    if len(levels) == 1:
+        end = horizon(levels[0], plans[0], period, block)
+    else:
+        last = (F.ceil(F.col("n") / block) - 1).cast("long")
+        up = levels[0].select(F.col("source").alias("item"), last.alias("at"), last.alias("rel"), (last + 1).alias("due"))
+        for plan in plans:
+            up = _climbed(up, plan, period, False)
+        end = up.agg(F.max(F.col("at") + 1).alias("slots"))
+    # Whole blocks in whole periods, and those of the last one; from the root down, a group's blocks are its period's slots.
+    slots = end.select(F.lit("0").alias("item"), "slots")
+    for shared, plan in zip(reversed(levels), reversed(plans), strict=True):
+        ends = plan.withColumn("item", F.col("parent").cast("string")).join(F.broadcast(slots) if shared is levels[-1] else slots, "item")
+        ends = ends.groupBy("source", "share", "slots").agg(F.count_if(F.col("slot") < F.col("slots") % period).alias("part"))
+        slots = ends.select(F.col("source").alias("item"), (F.floor(F.col("slots") / period) * F.col("share") + F.col("part")).cast("long").alias("slots"))
+    return levels[0].join(slots.withColumnRenamed("item", "source"), "source").select("source", "n", "share", (F.col("slots") * block).alias("rows"))
+
+
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int = PERIOD, block: int = BLOCK, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The mixture: each row of docs once or, where its source runs out early, in several epochs.
 
     Returns ``columns`` of docs with source, epoch (from 0), block (number within its source), slot, release, deadline
     and place (row within the block); slot and place give the order of the mixture. It ends when every source has been
-    shown in full, so no row is left out. A null source is a source of its own (source null); repeated rows count
-    separately; an empty table gives no rows.
+    shown in full, so no row is left out; given ``weights`` must name every source. A null source is a source of its own
+    (source null); repeated rows count separately; an empty table gives no rows. More sources than ``period`` share a
+    tree of periods: then a source stays within one block a level of its target.
     """
-    shared = shares(docs, weights, period)
-    plan = pattern(shared, period)
+    levels = tree(weighed(docs, weights), period)
+    plans = [patterns(x, period) for x in levels]
+    small = len(levels) == 1
+    if not small:
+        plans = [written(x, "mixing-plan") for x in plans]
     keyed = docs.select(*[F.col(c).alias(f"c_{c}") for c in columns], _source().alias("m_source"), F.col("doc_id").alias("m_id"))
     slim = docs.select(_source().alias("m_source"), F.col("doc_id").alias("m_id"))
     ranked = salted_rank(keyed, ["m_source"], ["m_id"], "m_rank", RANK_BUCKETS, slim)
-    # How many rows of each source the mixture holds: whole blocks in whole periods, and those of the last one.
-    end = horizon(shared, plan, period, block)
-    ends = plan.join(F.broadcast(end), F.lit(True)).groupBy("source", "share", "slots").agg(F.count_if(F.col("slot") < F.col("slots") % period).alias("part"))
-    budget = ends.select("source", ((F.floor(F.col("slots") / period) * F.col("share") + F.col("part")) * block).cast("long").alias("rows"))
-    sized = shared.join(budget, "source").select(F.col("source").alias("m_source"), "n", "share", "rows")
-    # One row per source, at most ``period`` of them; the plan has ``period`` rows: both are bounded by that parameter.
-    epochs = ranked.join(F.broadcast(sized), "m_source").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil((F.col("rows") - F.col("m_rank")) / F.col("n")).cast("long") - 1, F.lit(0).cast("long")))))
-    seen = epochs.withColumn("at", F.col("epoch") * F.col("n") + F.col("m_rank")).filter(F.col("at") < F.col("rows"))
-    block_no = F.floor(F.col("at") / block).cast("long")
-    placed = seen.withColumn("block", block_no).withColumn("place", (F.col("at") % block).cast("int")).withColumn("nth", (F.col("block") % F.col("share")).cast("long")).withColumn("turn", F.floor(F.col("block") / F.col("share")).cast("long"))
-    slots = plan.select(F.col("source").alias("m_source"), "nth", F.col("slot").alias("s"), F.col("release").alias("r"), F.col("deadline").alias("d"))
-    joined = placed.join(F.broadcast(slots), ["m_source", "nth"])
-    base = F.col("turn") * period
-    return joined.select(*[F.col(f"c_{c}").alias(c) for c in columns], F.nullif(F.col("m_source"), F.lit(NO_SOURCE)).alias("source"), "epoch", "block", (base + F.col("s")).alias("slot"), (base + F.col("r")).alias("release"), (base + F.col("d")).alias("deadline"), "place")
+    sized = _budgets(levels, plans, period, block).select(F.col("source").alias("m_source"), "n", "rows")
+    # Only the tables of a single period are bounded, by ``period`` rows, and so are broadcast.
+    epochs = ranked.join(F.broadcast(sized) if small else sized, "m_source").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil((F.col("rows") - F.col("m_rank")) / F.col("n")).cast("long") - 1, F.lit(0).cast("long")))))
+    seen = epochs.withColumn("seen", F.col("epoch") * F.col("n") + F.col("m_rank")).filter(F.col("seen") < F.col("rows"))
+    placed = seen.withColumn("block", F.floor(F.col("seen") / block).cast("long")).withColumn("place", (F.col("seen") % block).cast("int"))
+    placed = placed.withColumns({"item": F.col("m_source"), "at": F.col("block"), "rel": F.col("block"), "due": F.col("block") + 1})
+    for plan in plans:
+        placed = _climbed(placed, plan, period, small)
+    return placed.select(*[F.col(f"c_{c}").alias(c) for c in columns], F.nullif(F.col("m_source"), F.lit(NO_SOURCE)).alias("source"), "epoch", "block", F.col("at").alias("slot"), F.col("rel").alias("release"), F.col("due").alias("deadline"), "place")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

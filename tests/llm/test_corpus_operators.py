@@ -155,6 +155,22 @@ def test_mixing_keeps_every_source_within_a_block(spark, edges, docs):
     assert mixing.mixed_documents(edges).columns == edges.columns
 
 
+def test_mixing_of_more_sources_than_slots(spark):
+    rows = [(i, f"s{i % 37}" if i >= 60 else "hot") for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(frame, period=8, block=2).toPandas()
+    assert Counter(got[got.epoch == 0].doc_id) == Counter(range(200)) and not got.duplicated(["doc_id", "epoch"]).any()
+    assert ((got.release <= got.slot) & (got.slot < got.deadline)).all()
+    slots = got.groupby("slot")
+    assert slots.source.nunique().max() == 1 and slots.block.nunique().max() == 1 and sorted(slots.groups) == list(range(len(slots)))
+    for _, own in got.drop_duplicates(["source", "block"]).sort_values("slot").groupby("source"):
+        assert own.block.tolist() == list(range(len(own)))
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("h"), F.col("id") % 600).alias("source"))
+    assert mixing.mix(many).select("doc_id").distinct().count() == 3000
+    with pytest.raises(Exception, match="no weight above 0 for source s"):
+        mixing.mix(frame, {"hot": 1.0}, block=2).count()
+
+
 def test_sharding_moves_rows_only_into_a_new_shard(spark, edges):
     got = sharding.op8_sharding(spark, SF).toPandas()
     assert ((got.grown_shard == got.shard) | (got.grown_shard == 16)).all()
