@@ -7,6 +7,11 @@ bits in which their paths differ, and drops a pair whose sum exceeds the budget.
 comparison of their leaves. A trie of more than ``hot`` leaves is first descended eight levels by Spark itself, so that
 its node pairs are dealt over many tasks. A task reports its links as a forest (each fingerprint with the smallest one it
 reaches there): no link between different texts is lost, and a group of copies never becomes all of its pairs.
+
+Near copies with many small changes lie further apart than three bits. The pipeline's stage therefore adds links between
+texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8: texts with an equal band of MinHashes
+are candidates (a pair at 0.8 misses all bands once in 14,000), each meets two texts of its band, and both texts are
+compared in full. A group of near copies so costs a few comparisons a text instead of all of its pairs.
 """
 
 from __future__ import annotations
@@ -28,6 +33,8 @@ WIDE = BITS // BLOCKS
 HOT, STEP = 50_000, 8
 #: Node pairs with at most this many leaf pairs are compared directly; node pairs that a task expands at once.
 SMALL, CHUNK = 64, 1 << 15
+#: Near copies: words of a shingle, least Jaccard similarity, bands of MinHashes, MinHashes of a band, orders by which a band chooses whom to compare with.
+WORDS, ALIKE, BANDS, ROWS, ORDERS = 5, 0.8, 24, 5, 3
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -44,17 +51,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) and the columns carry of each row; null text has no words."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = (), keys: bool = False) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and the columns carry of each row, with its band keys if asked for; null text has no words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *carry])
+            texts = batch.column(1).to_pylist()
+            fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
+            bands = [pa.array([band_keys(t) for t in texts], pa.list_(pa.int64()))] if keys else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:], *bands], ["doc_id", "fp", *carry, *(["keys"] if keys else [])])
 
-    return rows.mapInArrow(run, "doc_id long, fp long" + (f", {kinds}" if kinds else ""))
+    return rows.mapInArrow(run, "doc_id long, fp long" + (f", {kinds}" if kinds else "") + (", keys array<long>" if keys else ""))
 
 
 def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64) -> np.ndarray:
@@ -212,18 +221,70 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _shingles(text: str | None, size: int) -> set[bytes]:
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return {b" ".join(r) for r in zip(*[words[k:] for k in range(size)], strict=False)} if len(words) >= size else {b" ".join(words)} if words else set()
+
+
+def band_keys(text: str | None) -> list[int]:
+    """A key for each band of MinHashes over the text's shingles; none without words."""
+    found = _shingles(text, WORDS)
+    if not found:
+        return []
+    hashes = np.fromiter((xxhash.xxh64_intdigest(x, 43) for x in found), np.uint64, len(found))
+    rng = np.random.default_rng(7)
+    times, plus = rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 1 << 10):
+        mixed = hashes[at : at + (1 << 10), None] * times + plus
+        # The low bits of a product depend on the low bits of its factors only.
+        np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0), out=least)
+    return [xxhash.xxh64_intdigest(x.tobytes(), k) - (1 << 63) for k, x in enumerate(least.reshape(BANDS, ROWS))]
+
+
+def alike_links(held: DataFrame, texts: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """Links (u, v) between the fp of held (id, fp, keys) whose texts (id, text) have a Jaccard similarity of at least ``alike``.
+
+    Every text meets two others of each of its bands, so near copies are linked over chains rather than pair by pair.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, a, b = (c.to_pylist() for c in batch.columns)
+            out = []
+            for i in range(len(u)):
+                x, y = _shingles(a[i], WORDS), _shingles(b[i], WORDS)
+                both = len(x & y) if alike * max(len(x), len(y)) <= min(len(x), len(y)) else 0
+                if both and both >= alike * (len(x) + len(y) - both):
+                    out.append((u[i], v[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    member = held.select("id", "fp", F.posexplode("keys").alias("band", "key"))
+    ordered = F.struct(F.xxhash64("id", F.col("band") % ORDERS).alias("h"), "id", "fp")
+    ends = member.groupBy("band", "key").agg(F.min(ordered).alias("lo"), F.max(ordered).alias("hi")).filter("lo.id <> hi.id")
+    met = member.join(ends, ["band", "key"]).select("id", "fp", F.explode(F.array("lo", "hi")).alias("o"))
+    pairs = met.filter("fp <> o.fp").select(F.col("id").alias("a"), F.col("fp").alias("u"), F.col("o.id").alias("b"), F.col("o.fp").alias("v"))
+    pairs = written(pairs.select(F.when(F.col("a") < F.col("b"), F.struct("a", "u", "b", "v")).otherwise(F.struct(F.col("b").alias("a"), F.col("v").alias("u"), F.col("a").alias("b"), F.col("u").alias("v"))).alias("p")).select("p.*").distinct(), "near-pairs")
+    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    known = written(texts.join(needed, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text")), "near-texts")
+    one = pairs.join(known.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    two = one.join(known.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    return two.select("u", "v", "ta", "tb").mapInArrow(compare, "u long, v long")
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay: exactly one of each group.
+    """The rows of docs that stay: exactly one of each group of rows linked by fingerprints (3 bits) or by Jaccard similarity.
 
     It is the first by doc_id (null last), then by the text's digest, then by a hash of the whole row; of rows that are
     equal in all three any one. A row is known by these three and not by its doc_id, which may be null or repeat.
     """
     spare = lambda k: f"__stay_{k}"
     key = {"none": F.col("doc_id").isNull(), "id": F.col("doc_id").cast("long"), "digest": F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("")), "row": F.xxhash64(*docs.columns)}
-    keyed = docs.select("*", *[c.alias(spare(k)) for k, c in key.items()])
-    fps = written(fingerprints(keyed, carry=tuple(map(spare, key))), "fingerprints")
+    keyed = docs.select("*", *[c.alias(spare(k)) for k, c in key.items()], F.xxhash64("text").alias(spare("text")))
+    fps = written(fingerprints(keyed, carry=(*map(spare, key), spare("text")), keys=True), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min(F.struct(*map(spare, key))).alias("first")), "distinct-fingerprints")
-    of = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    near = alike_links(fps.select(F.col(spare("text")).alias("id"), "fp", "keys"), docs.select(F.xxhash64("text").alias("id"), "text"))
+    of = components(links(distinct.select("fp")).unionByName(near)).withColumnRenamed("node", "fp")
     stay = distinct.join(of, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("s")).select("s.*").drop(spare("none"))
     # Equal rows are reduced to one before they are dealt by their key, so that a row that repeats often is no single task.
     names = [spare(k) for k in key if k != "none"]

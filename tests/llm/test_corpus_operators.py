@@ -94,6 +94,28 @@ def test_near_dedup_keeps_one_row_of_each_group(spark):
     assert sorted((r.doc_id, len(r.text)) for r in simhash.one_of_each_group(spark.createDataFrame(apart, "doc_id long, text string")).collect()) == [(1, len(long)), (2, 23)]
 
 
+def test_near_dedup_finds_copies_beyond_three_bits(spark):
+    rng = np.random.default_rng(3)
+    texts, want = [], 0
+    for g in range(40):
+        words = [f"g{g}w{k}" for k in rng.integers(0, 500, 120)]
+        texts.append(" ".join(words))
+        for changes in (2, 1, 12):  # 12 changed words of 120 leave a similarity far below 0.8
+            other = list(words)
+            for k in rng.choice(np.arange(5, 115), changes, replace=False):
+                other[k] = f"new{rng.integers(1 << 30)}"
+            texts.append(" ".join(other))
+        want += 2
+    alike = lambda a, b: len(a & b) / len(a | b)
+    sets = [simhash._shingles(t, 5) for t in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if alike(sets[i], sets[j]) >= 0.8]
+    fps = [simhash.fingerprint(t) for t in texts]
+    assert sum((fps[i] ^ fps[j]).bit_count() > 3 for i, j in near) > 20
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = [r.doc_id for r in simhash.one_of_each_group(frame).collect()]
+    assert sorted(got) == [i for i in range(len(texts)) if i % 4 in (0, 3)] and len(texts) - len(got) == want
+
+
 @pytest.mark.parametrize("hot", [simhash.HOT, 4])
 def test_trie_join_finds_every_link(spark, hot):
     rng = np.random.default_rng(1)
