@@ -103,6 +103,32 @@ def claim_read_once(spark, d):
     return H.claim_once(_expanded(spark, d))
 
 
+# The three queries above read a fiftieth of the contig membership, as their SQL does; those named _whole read all of it.
+WHOLE = f"b AS ({BEST}), x AS (SELECT target AS gene_id, coalesce(c.read_id, b.query) AS read_id, score FROM b LEFT JOIN (SELECT DISTINCT contig_id AS contig_id, read_id FROM v_contig) c ON b.query = c.contig_id)"
+
+
+def _expanded_whole(spark, d):
+    return H.expand_contigs(_aln_best(spark, d), view(spark, d, "v_contig").distinct())
+
+
+@query(f"WITH {WHOLE} SELECT gene_id, read_id, score FROM x")
+def expand_contigs_whole(spark, d):
+    return _expanded_whole(spark, d)
+
+
+@query(f"WITH {WHOLE} SELECT gene_id, read_id, score FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, gene_id) = 1")
+def claim_read_once_whole(spark, d):
+    return H.claim_once(_expanded_whole(spark, d))
+
+
+@query(f"""WITH {WHOLE}, c AS (SELECT gene_id, read_id FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, gene_id) = 1),
+g AS (SELECT gene_id, length, count(DISTINCT read_id) AS reads FROM c JOIN v_genes USING (gene_id) GROUP BY ALL)
+SELECT gene_id, length, reads, round(reads / ((length / 1000.0) * (sum(reads) OVER () / 1e6)), 6) AS rpkm FROM g""")
+def rpkm_table_whole(spark, d):
+    claimed = H.claim_once(_expanded_whole(spark, d))
+    return H.rpkm(H.attach_gene_length(claimed, view(spark, d, "v_genes"))).withColumn("rpkm", F.round("rpkm", 6))
+
+
 @query("""SELECT gene_id, count(DISTINCT read_id) AS reads FROM (SELECT * FROM v_gene_reads QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, tool, context, gene_id) = 1) GROUP BY gene_id""")
 def merge_gene_maps(spark, d):
     return H.gene_counts(H.merge_gene_maps(view(spark, d, "v_gene_reads")))
@@ -252,6 +278,20 @@ def density_lookup(spark, d):
     return E.density_lookup(probes, points).withColumn("density", F.round("density", 6))
 
 
+# As density_lookup, whose points are a tenth of the table, with all of it.
+PROBES_WHOLE = PROBES.replace(" WHERE l_partkey % 10 = 0", "")
+
+
+@query(f"WITH {PROBES_WHOLE}, b AS (SELECT ec, score, density, lag(density) OVER w AS lo, lead(density) OVER w AS hi FROM point WINDOW w AS (PARTITION BY ec ORDER BY score))" + """
+SELECT p.ec, p.score, CASE WHEN x.ec IS NOT NULL THEN coalesce(round((x.lo + x.hi) / 2, 6), 0.0) WHEN y.density IS NOT NULL AND z.density IS NOT NULL THEN round((y.density + z.density) / 2, 6) ELSE 0.0 END AS density
+FROM probe p LEFT JOIN b x ON x.ec = p.ec AND x.score = p.score ASOF LEFT JOIN point y ON y.ec = p.ec AND y.score < p.score ASOF LEFT JOIN point z ON z.ec = p.ec AND z.score > p.score""")
+def density_lookup_whole(spark, d):
+    line = view(spark, d, "lineitem")
+    probes = line.select(F.col("l_linenumber").alias("ec"), (F.col("l_quantity") * 2).alias("score"))
+    points = line.select(F.col("l_linenumber").alias("ec"), (F.col("l_extendedprice") / 1000).alias("score"), (F.col("l_discount") + F.col("l_tax")).alias("density"))
+    return E.density_lookup(probes, points).withColumn("density", F.round("density", 6))
+
+
 BAYES = "b AS (SELECT l_orderkey AS query, concat('1.1.1.', CAST(l_linenumber AS STRING)) AS ec, CASE WHEN l_tax = 0 AND l_discount = 0 THEN 1e-10 ELSE 0.3 * l_tax / (0.3 * l_tax + 0.7 * l_discount) END AS p FROM lineitem), c AS (SELECT query, ec, 1 - product(1 - p) AS prob, count(*) AS positive_hits FROM b GROUP BY ALL), n AS (SELECT *, sum(positive_hits) OVER (PARTITION BY query) - positive_hits AS negative_hits FROM c)"
 
 

@@ -148,3 +148,18 @@ def test_stage_table_is_made_once(spark, tmp_path):
         return spark.range(3)
 
     assert [funnel.stage_table(spark, str(tmp_path / "s"), make).count() for _ in range(2)] == [3, 3] and len(made) == 1
+
+
+def test_whole_tables_reach_the_rpkm_table(spark):
+    from strandwise.plans import gene_queries as Q
+    from strandwise.plans.views import view
+
+    sf = "/root/testdata/sf0.001"
+    members = view(spark, sf, "v_contig").distinct()
+    best = Q._aln_best(spark, sf)
+    reached = members.join(best, best.query == members.contig_id).select("target", "read_id", "score")
+    assert reached.filter("read_id % 50 <> 0").count() > 0
+    got = Q.QUERIES["expand_contigs_whole"](spark, sf).select("gene_id", "read_id", "score")
+    assert reached.exceptAll(got).count() == 0
+    reads = got.select("read_id").distinct().count()
+    assert Q.QUERIES["claim_read_once_whole"](spark, sf).count() == reads
