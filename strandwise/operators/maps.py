@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,18 +15,34 @@ from strandwise.operators.route import first_by, kmer_counts
 from strandwise.operators.taxonomy import ancestor_closure
 
 
-def merge_pairs(mate1: DataFrame, mate2: DataFrame, min_overlap: int = 10, max_overlap: int = 150) -> DataFrame:
+def merge_pairs(mate1: DataFrame, mate2: DataFrame, min_overlap: int = 10, max_overlap: int | None = None) -> DataFrame:
     """read_id, merged, overlap: mates whose ends overlap exactly (mate 1 with mate 2's reverse complement) become one read.
 
-    The longest overlap of min_overlap to max_overlap bases counts. Unmerged pairs have a null merged and overlap 0.
+    The longest overlap of min_overlap bases to the whole shorter mate counts, or to max_overlap bases if that is given.
+    Unmerged pairs have a null merged and overlap 0.
     """
     both = mate1.select("read_id", "seq").join(mate2.select("read_id", reverse_complement(F.col("seq")).alias("other")), "read_id")
-    ends = both.withColumn("tail", F.right("seq", F.lit(max_overlap))).withColumn("head", F.left("other", F.lit(max_overlap)))
-    longest = F.least(F.length("tail"), F.length("head"))
-    sizes = F.when(longest >= min_overlap, F.sequence(longest, F.lit(min_overlap), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    found = ends.withColumn("overlap", F.coalesce(F.get(F.filter(sizes, lambda n: F.right("tail", n) == F.left("head", n)), 0), F.lit(0)))
-    merged = F.when(F.col("overlap") > 0, F.concat("seq", F.expr("substr(other, overlap + 1)")))
-    return found.select("read_id", merged.alias("merged"), "overlap")
+    kind = both.schema["read_id"].dataType.simpleString()
+
+    def longest(one: str | None, other: str | None) -> int:
+        if one is None or other is None:
+            return 0
+        most = min(len(one), len(other), len(one) if max_overlap is None else max_overlap)
+        least = max(min_overlap, 1)
+        # The leftmost place where the other mate's first bases stand is the longest overlap that can be.
+        at = one.find(other[:least], len(one) - most) if most >= least else -1
+        while at >= 0 and not other.startswith(one[at:]):
+            at = one.find(other[:least], at + 1)
+        return len(one) - at if at >= 0 else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ones, others = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            sizes = [longest(x, y) for x, y in zip(ones, others, strict=True)]
+            merged = [x + y[n:] if n else None for x, y, n in zip(ones, others, sizes, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(merged, pa.string()), pa.array(sizes, pa.int32())], ["read_id", "merged", "overlap"])
+
+    return both.select("read_id", F.col("seq").cast("string"), "other").mapInArrow(run, f"read_id {kind}, merged string, overlap int")
 
 
 def flush_unmapped_contigs(contigs: DataFrame, contig_map: DataFrame) -> DataFrame:

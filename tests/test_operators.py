@@ -163,3 +163,22 @@ def test_whole_tables_reach_the_rpkm_table(spark):
     assert reached.exceptAll(got).count() == 0
     reads = got.select("read_id").distinct().count()
     assert Q.QUERIES["claim_read_once_whole"](spark, sf).count() == reads
+
+
+def test_merge_pairs_with_long_overlaps_against_brute_force(spark):
+    import random
+
+    from strandwise.operators import maps
+
+    rng = random.Random(5)
+    whole = "".join(rng.choice("ACGT") for _ in range(3000))
+    pairs = [(whole[:2000], whole[1300:]), (whole[:800], whole[500:700]), (whole[:800], whole[600:]), ("A" * 400, "A" * 300), (whole[:50], whole[41:90]), ("ACGT", "ACGT"), (None, "A" * 20)]
+    pairs += [("".join(rng.choice("AC") for _ in range(300)) + whole[:n], whole[:n] + "".join(rng.choice("AC") for _ in range(300))) for n in (10, 149, 150, 151, 400)]
+    best = lambda a, b: max((n for n in range(10, min(len(a), len(b)) + 1) if a[-n:] == b[:n]), default=0) if a else 0
+    mate1 = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "read_id long, seq string")
+    mate2 = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(pairs)], "read_id long, seq string").select("read_id", R.reverse_complement(F.col("seq")).alias("seq"))
+    got = {r.read_id: (r.overlap, r.merged) for r in maps.merge_pairs(mate1, mate2).collect()}
+    for i, (a, b) in enumerate(pairs):
+        n = best(a, b)
+        assert got[i] == (n, a + b[n:] if n else None)
+    assert got[0] == (700, whole) and got[3][0] == 300
