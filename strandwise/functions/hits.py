@@ -41,16 +41,23 @@ def evalue_tier(evalue: Column) -> Column:
     return F.when(evalue <= 1e-10, "HQ").when(evalue <= 1e-5, "LQ").otherwise("none")
 
 
+def priam_tier(prob: Column, evalue: Column, best: Column) -> Column:
+    """HQ for best rows (none behind a #) of probability 0.5 and more; else LQ below an e-value of 1e-5."""
+    return F.when(best & (prob >= 0.5), "HQ").when(evalue < 1e-5, "LQ").otherwise("none")
+
+
 def ec_hit_rule(aln_len: Column, identity: Column, qlen: Column, score: Column) -> Column:
     """Long hits (100 and more) need a score of 60; short ones identity 85 and 65 % of the query in bases."""
     return F.when(aln_len >= 100, score >= 60).otherwise((identity >= 85) & (100 * 3 * aln_len / qlen >= 65))
 
 
 def detect_cutoff(prob: Column, positive_hits: Column) -> Column:
+    """Predictions of probability 0.2 and more with over five positive hits."""
     return (prob >= 0.2) & (positive_hits > 5)
 
 
 def complete_ec(ec: Column) -> Column:
+    """Enzyme numbers of four parts."""
     return F.size(F.split(ec, r"\.")) == 4
 
 
@@ -58,3 +65,16 @@ def gene_key(gene_id: Column) -> Column:
     """What names a gene's taxon: the taxid of five-part ids, the accession of nine-part ones, the middle of a||b||c, else the part before a dot."""
     parts = F.split(gene_id, r"\|")
     return F.when(F.size(parts) == 9, F.get(parts, F.lit(3))).when(F.size(parts) == 5, F.when(gene_id.contains("||"), F.split_part(gene_id, F.lit("||"), F.lit(2))).otherwise(F.get(parts, F.lit(0)))).otherwise(F.split_part(gene_id, F.lit("."), F.lit(1)))
+
+
+def gene_source(gene_id: Column) -> Column:
+    """Struct (accession, taxid) that names a gene's taxon: exactly one of the two is not null.
+
+    Five-part ids with a kingdom (|k__) begin with their taxid, up to an underscore; nine-part ids hold the accession in the
+    fourth part, a||b||c in the middle, all others before their first dot. It is decided for each gene by itself.
+    """
+    parts = F.split(gene_id, r"\|")
+    named = gene_id.contains("|k__") & (F.size(parts) == 5)
+    dotless = lambda c: F.split_part(c, F.lit("."), F.lit(1))
+    accession = F.when(F.size(parts) == 9, dotless(F.get(parts, F.lit(3)))).when(gene_id.contains("||"), F.split_part(gene_id, F.lit("||"), F.lit(2))).otherwise(dotless(gene_id))
+    return F.struct(F.when(~named, accession).alias("accession"), F.when(named, F.split_part(F.get(parts, F.lit(0)), F.lit("_"), F.lit(1)).try_cast("int")).alias("taxid"))

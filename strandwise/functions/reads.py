@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The standard genetic code, first base slowest, bases in the order T, C, A, G; * stops.
@@ -69,6 +73,35 @@ def adapter_start_fuzzy(seq: Column, adapter: str, min_overlap: int = 3, rate: f
     return F.coalesce(F.get(F.filter(places, fits), 0), F.length(seq))
 
 
+#: Bytes of qualities that a task counts at once.
+CHUNK = 1 << 20
+
+
+def _code_counts(texts: list[bytes]) -> pa.RecordBatch:
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    codes = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
+    places = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    cells, n = np.unique(places * 256 + codes, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(cells // 256, pa.int32()), pa.array(cells % 256, pa.int32()), pa.array(n, pa.int64())], ["pos", "q", "k"])
+
+
+def per_base_codes(reads: DataFrame, qual: str = "qual") -> DataFrame:
+    """pos, q, k: how many reads have the code q at the 0-based position pos. Counted in chunks of CHUNK bytes, then added up."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
+        for batch in batches:
+            for text in batch.column(0):
+                held.append((text.as_py() or "").encode("latin-1", "replace"))
+                size += len(held[-1])
+                if size >= CHUNK:
+                    yield _code_counts(held)
+                    held, size = [], 0
+        yield _code_counts(held)
+
+    return reads.select(F.col(qual).cast("string")).mapInArrow(run, "pos int, q int, k long").groupBy("pos", "q").agg(F.sum("k").alias("k"))
+
+
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandwise.functions.hits import complete_ec
+from strandwise.scratch import ranged
+
 #: Enzyme numbers that no prediction reports (fixed values).
 EXCLUDED = ("2.7.11.1", "2.7.7.6", "2.7.13.3")
 
@@ -23,7 +26,7 @@ def tool_intersection(a: DataFrame, b: DataFrame) -> DataFrame:
 def ec_union(priam: DataFrame, diamond: DataFrame, detect: DataFrame) -> DataFrame:
     """(priam and diamond) or detect; complete numbers only, each once."""
     every = tool_intersection(priam, diamond).union(detect.select("gene_id", "ec"))
-    return every.filter(F.size(F.split("ec", r"\.")) == 4).distinct()
+    return every.filter(complete_ec(F.col("ec"))).distinct()
 
 
 def _top_two(preds: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -58,18 +61,26 @@ def ec_report(gene_ec: DataFrame) -> DataFrame:
 def density_lookup(probes: DataFrame, points: DataFrame) -> DataFrame:
     """probes (ec, score) with density: the mean of the nearest points strictly below and above, 0 unless both exist.
 
-    Points are averaged per (ec, score) first. One sort per ec over the union answers all probes; probes are distinct.
+    Points are averaged per (ec, score), probes are distinct, and both are dealt by ranges of (ec, score); a range is
+    searched by itself, and what the ranges before and after it end in (one row an ec and range) goes over to it.
     """
     probe = probes.select("ec", "score").distinct().withColumn("density", F.lit(None).cast("double"))
     both = points.groupBy("ec", "score").agg(F.avg("density").alias("density")).unionByName(probe)
-    w = Window.partitionBy("ec").orderBy("score")
     # Strictly before and after: rows of the same score are merged into one, which holds the point apart from the probe.
     one = both.groupBy("ec", "score").agg(F.max("density").alias("point"), F.bool_or(F.col("density").isNull()).alias("probe"))
-    lo = F.last("point", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    dealt = ranged(one, ["ec", "score"], "densities")
+    ends = dealt.filter("point IS NOT NULL").groupBy("ec", "part").agg(F.max_by("point", "score").alias("top"), F.min_by("point", "score").alias("bottom"))
+    ends = dealt.select("ec", "part").distinct().join(ends, ["ec", "part"], "left")
+    across = Window.partitionBy("ec").orderBy("part")
+    back_across = Window.partitionBy("ec").orderBy(F.desc("part"))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("ec", "part", F.last("top", ignorenulls=True).over(earlier(across)).alias("lo_in"), F.last("bottom", ignorenulls=True).over(earlier(back_across)).alias("hi_in"))
+    own = Window.partitionBy("ec", "part").orderBy("score")
     # From the other end, as a frame that reaches to the end is read anew for every row.
-    back = Window.partitionBy("ec").orderBy(F.desc("score"))
-    hi = F.last("point", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
-    return one.withColumn("lo", lo).withColumn("hi", hi).filter("probe").select("ec", "score", F.when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), (F.col("lo") + F.col("hi")) / 2).otherwise(0.0).alias("density"))
+    back = Window.partitionBy("ec", "part").orderBy(F.desc("score"))
+    near = dealt.withColumn("lo", F.last("point", ignorenulls=True).over(earlier(own))).withColumn("hi", F.last("point", ignorenulls=True).over(earlier(back))).filter("probe").join(ends, ["ec", "part"])
+    lo, hi = F.coalesce("lo", "lo_in"), F.coalesce("hi", "hi_in")
+    return near.select("ec", "score", F.when(lo.isNotNull() & hi.isNotNull(), (lo + hi) / 2).otherwise(0.0).alias("density"))
 
 
 def bayes_score(prior: Column, positive: Column, negative: Column) -> Column:
@@ -88,3 +99,9 @@ def cumulative_probability(scored: DataFrame) -> DataFrame:
 def top_predictions(preds: DataFrame, n: int = 5, least: float = 0.2) -> DataFrame:
     w = Window.partitionBy("query").orderBy(F.col("prob").desc(), F.col("ec"))
     return preds.filter(F.col("prob") > least).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+
+
+def fbeta_predictions(preds: DataFrame, cutoffs: DataFrame, beta: float) -> DataFrame:
+    """Predictions (query, ec, prob, ...) above their enzyme's own cutoff for beta; cutoffs is (ec, beta, cutoff). Enzymes without one are left out."""
+    own = cutoffs.filter(F.col("beta") == beta).select("ec", "cutoff")
+    return preds.join(own, "ec").filter(F.col("prob") > F.col("cutoff"))

@@ -46,9 +46,20 @@ def attach_gene_length(gene_reads: DataFrame, genes: DataFrame) -> DataFrame:
     return gene_reads.join(genes, "gene_id")
 
 
-def merge_gene_maps(gene_reads: DataFrame) -> DataFrame:
-    """Per read the gene of the highest score; ties: tool, context, smaller gene. Columns gene_id, read_id, score, tool, context."""
-    return first_by(gene_reads, ["read_id"], [F.col("score").desc(), F.col("tool"), F.col("context"), F.col("gene_id")])
+#: The order in which tools and contexts win ties (fixed values of the pipeline); labels not named here follow by name.
+TOOLS, CONTEXTS = ("bwa", "blat", "dmd"), ("pair_1", "pair_2", "singletons", "contigs")
+
+
+def merge_gene_maps(gene_reads: DataFrame, tools: tuple[str, ...] = TOOLS, contexts: tuple[str, ...] = CONTEXTS) -> DataFrame:
+    """Per read the gene of the highest score; ties: tool and context in the given order, then the smaller gene.
+
+    Columns gene_id, read_id, score, tool, context.
+    """
+    def rank(column: str, order: tuple[str, ...]) -> list[Column]:
+        place = F.array_position(F.array(*map(F.lit, order)), F.col(column)) if order else F.lit(0)
+        return [F.when(place > 0, place).otherwise(len(order) + 1), F.col(column)]
+
+    return first_by(gene_reads, ["read_id"], [F.col("score").desc(), *rank("tool", tools), *rank("context", contexts), F.col("gene_id")])
 
 
 def gene_counts(merged: DataFrame) -> DataFrame:
@@ -65,6 +76,29 @@ def rpkm(gene_reads: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(total)).select("gene_id", "length", "reads", (F.col("reads") / ((F.col("length") / 1000) * (F.col("mapped") / 1e6))).alias("rpkm"))
 
 
+def rpkm_by_taxon(gene_reads: DataFrame, genes: DataFrame, read_taxa: DataFrame) -> DataFrame:
+    """gene_id, length, reads, rpkm, taxid, taxon_reads, taxon_rpkm: each gene's RPKM and that of each reported taxon's reads.
+
+    read_taxa is (read_id, taxid), one row a read, as a roll-up has re-pointed them (the root stands for unclassified). A
+    read without a row counts in the gene's own measures only; a gene without any has one row with a null taxid.
+    """
+    own = gene_reads.select("gene_id", "read_id").distinct()
+    per = own.join(read_taxa.select("read_id", "taxid"), "read_id", "left").groupBy("gene_id", "taxid").agg(F.count(F.lit(1)).alias("taxon_reads"))
+    sized = per.groupBy("gene_id").agg(F.sum("taxon_reads").alias("reads"), F.array_compact(F.collect_list(F.when(F.col("taxid").isNotNull(), F.struct("taxid", "taxon_reads")))).alias("taxa")).join(genes.select("gene_id", "length"), "gene_id")
+    total = sized.agg(F.sum("reads").alias("mapped"))
+    div = (F.col("length") / 1000) * (F.col("mapped") / 1e6)
+    rows = sized.join(F.broadcast(total)).select("gene_id", "length", "reads", div.alias("div"), F.explode_outer("taxa").alias("t"))
+    return rows.select("gene_id", "length", "reads", (F.col("reads") / F.col("div")).alias("rpkm"), F.col("t.taxid").alias("taxid"), F.coalesce("t.taxon_reads", F.lit(0)).alias("taxon_reads"), (F.coalesce("t.taxon_reads", F.lit(0)) / F.col("div")).alias("taxon_rpkm"))
+
+
+def rpkm_of_groups(by_taxon: DataFrame, members: DataFrame, group: str) -> DataFrame:
+    """group, genes, rpkm, taxid, taxon_rpkm: the sums over the genes of each group (members: gene_id, group), total and by taxon."""
+    met = by_taxon.join(members.select("gene_id", group).distinct(), "gene_id")
+    total = met.select("gene_id", group, "rpkm").distinct().groupBy(group).agg(F.count(F.lit(1)).alias("genes"), F.sum("rpkm").alias("rpkm"))
+    per = met.filter("taxid IS NOT NULL").groupBy(group, "taxid").agg(F.sum("taxon_rpkm").alias("taxon_rpkm"))
+    return total.join(per, group, "left")
+
+
 def drop_multi_target(hits: DataFrame, passes: Column) -> DataFrame:
     """Queries whose passing hits all name one target, with it."""
     return hits.filter(passes).groupBy("query").agg(F.count_distinct("target").alias("n"), F.min("target").alias("target")).filter("n = 1").select("query", "target")

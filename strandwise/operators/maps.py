@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandwise.functions.reads import reverse_complement
+from strandwise.operators.enzyme import ec_report
 from strandwise.operators.hits import best_hit
 from strandwise.operators.route import first_by, kmer_counts
 from strandwise.operators.taxonomy import ancestor_closure
@@ -69,13 +69,52 @@ def reconcile_pair_maps(map1: DataFrame, map2: DataFrame) -> DataFrame:
     return first_by(both, ["read_id"], [F.col("score").desc(), F.col("mate"), F.col("gene_id")])
 
 
-def concat_gene_maps(maps: list[DataFrame]) -> DataFrame:
-    """gene_id, length, read_id of several maps, each pair once; where lengths disagree the largest is the gene's."""
+def concat_gene_maps(maps: list[DataFrame], distinct: bool = True) -> DataFrame:
+    """gene_id, length, read_id of several maps; where lengths disagree the largest is the gene's.
+
+    Each pair stands once, or as often as the maps hold it if ``distinct`` is off (plain appending).
+    """
     every = maps[0].select("gene_id", "length", "read_id")
     for m in maps[1:]:
         every = every.unionByName(m.select("gene_id", "length", "read_id"))
     length = every.groupBy("gene_id").agg(F.max("length").alias("length"))
-    return every.select("gene_id", "read_id").distinct().join(length, "gene_id")
+    pairs = every.select("gene_id", "read_id")
+    return (pairs.distinct() if distinct else pairs).join(length, "gene_id")
+
+
+def segment_reads(segments: DataFrame, contig_counts: DataFrame) -> DataFrame:
+    """contig_id, gene_id, share, reads: a segment's part of its contig's segment lengths, and that part of the contig's reads, rounded.
+
+    segments is (contig_id, gene_id, length); a contig without reads counts 0.
+    """
+    total = segments.groupBy("contig_id").agg(F.sum("length").alias("total"))
+    met = segments.join(total, "contig_id").join(contig_counts.select("contig_id", "reads"), "contig_id", "left")
+    share = F.col("length") / F.col("total")
+    return met.select("contig_id", "gene_id", share.alias("share"), F.bround(F.coalesce("reads", F.lit(0)) * share).cast("long").alias("reads"))
+
+
+def gene_taxon_counts(gene_reads: DataFrame, read_taxa: DataFrame, genes: DataFrame, gene_ec: DataFrame) -> DataFrame:
+    """gene_id, taxon, length, reads, ecs: distinct reads of each gene and taxon; ecs joined by |, 0.0.0.0 without one.
+
+    read_taxa is (read_id, taxon); reads without a taxon are left out, genes that the database lacks too.
+    """
+    per = gene_reads.select("gene_id", "read_id").distinct().join(read_taxa.select("read_id", "taxon"), "read_id").groupBy("gene_id", "taxon").agg(F.count(F.lit(1)).alias("reads"))
+    return per.join(genes.select("gene_id", "length"), "gene_id").join(ec_report(gene_ec).select("gene_id", "ecs"), "gene_id", "left").select("gene_id", "taxon", "length", "reads", F.coalesce("ecs", F.lit("0.0.0.0")).alias("ecs"))
+
+
+def read_funnel(counts: DataFrame, gene_reads: DataFrame, ecs_hq: DataFrame, ecs_lq: DataFrame) -> DataFrame:
+    """One row: reads of each stage, annotated reads, genes and enzymes, with the percentages of the report as text.
+
+    counts is one row with raw, hq, host, vector, rrna and mrna. Annotated reads are the distinct reads of the gene map;
+    enzymes are the distinct numbers of ecs_hq and ecs_lq (ec) but 0.0.0.0. Percentages are of the raw reads, of the mRNA
+    reads for the annotated ones.
+    """
+    genes = gene_reads.agg(F.count_distinct("read_id").alias("annotated"), F.count_distinct("gene_id").alias("genes"))
+    known = lambda df, name: df.filter(F.col("ec") != "0.0.0.0").agg(F.count_distinct("ec").alias(name))
+    # Four one-row frames side by side.
+    one = counts.join(F.broadcast(genes)).join(F.broadcast(known(ecs_hq, "ecs_hq"))).join(F.broadcast(known(ecs_lq, "ecs_lq")))
+    percent = lambda part, whole: F.format_string("%.2f", F.coalesce(100.0 * F.col(part) / F.nullif(F.col(whole), F.lit(0)), F.lit(0.0))).alias(f"{part}_percent")
+    return one.select("raw", "hq", "host", "vector", "rrna", "mrna", "annotated", "genes", "ecs_hq", "ecs_lq", *[percent(p, "raw") for p in ("hq", "host", "vector", "rrna", "mrna")], percent("annotated", "mrna"))
 
 
 def contig_assign(aln: DataFrame, passes: Column) -> DataFrame:
@@ -97,7 +136,7 @@ def kmer_lca_classify(reads: DataFrame, reference: DataFrame, taxa: DataFrame, n
     """
     hits = kmer_counts(reads, reference, k, unit).join(taxa.select(F.col("id").alias("target"), "taxid"), "target")
     votes = hits.groupBy(F.col("query").alias("read_id"), "taxid").agg(F.sum("shared").alias("w"))
-    up = ancestor_closure(nodes).select("taxid", "ancestor")
+    up = ancestor_closure(nodes, votes).select("taxid", "ancestor")
     along = votes.select("read_id", "taxid").join(up, "taxid").join(votes.select("read_id", F.col("taxid").alias("ancestor"), "w"), ["read_id", "ancestor"])
     path = along.groupBy("read_id", "taxid").agg(F.sum("w").alias("w"))
     best = path.groupBy("read_id").agg(F.max_by("taxid", F.struct("w", -F.col("taxid"))).alias("taxid"))
@@ -138,10 +177,3 @@ def dedup_by_id(seqs: DataFrame, source_order: str, keep: str = "first") -> Data
     """One row an id: the first or the last by source order; equal orders go by the smaller sequence."""
     order = F.col(source_order) if keep == "first" else F.col(source_order).desc()
     return first_by(seqs, ["id"], [order, F.col("seq")])
-
-
-def lineage_order(nodes: DataFrame) -> DataFrame:
-    """taxid, place: preorder of the tree, parents before children, siblings by taxid. The tree is a dimension of bounded size."""
-    path = ancestor_closure(nodes).groupBy("taxid").agg(F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), "ancestor"))).alias("p"))
-    key = F.transform("p", lambda x: x["ancestor"])
-    return path.select("taxid", F.row_number().over(Window.orderBy(key)).alias("place"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandwise.scratch import numbered
+
 
 def pair_sync(mate1: DataFrame, mate2: DataFrame) -> DataFrame:
     """All reads with ``part``: pair_1 and pair_2 for ids in both mates, singletons for the others."""
@@ -29,10 +31,71 @@ def screen_filter(reads: DataFrame, hits1: DataFrame, hits2: DataFrame, stringen
     return reads.join(ids.withColumn("bad", F.lit(True)), "read_id", "left").withColumn("accepted", F.col("bad").isNull()).drop("bad")
 
 
+def unbalanced_ids(mate1: DataFrame, mate2: DataFrame) -> DataFrame:
+    """read_id, n1, n2 of ids that the two mates do not hold equally often."""
+    both = mate1.select("read_id", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(mate2.select("read_id", F.lit(0).alias("a"), F.lit(1).alias("b")))
+    return both.groupBy("read_id").agg(F.sum("a").alias("n1"), F.sum("b").alias("n2")).filter("n1 <> n2")
+
+
+def assert_same_ids(mate1: DataFrame, mate2: DataFrame, what: str) -> None:
+    """Raise if the mates' ids differ; at most one row comes back."""
+    odd = unbalanced_ids(mate1, mate2).take(1)
+    if odd:
+        raise ValueError(f"{what}: read {odd[0].read_id} stands {odd[0].n1} and {odd[0].n2} times in the mates")
+
+
+def assert_disjoint(one: DataFrame, other: DataFrame, what: str) -> None:
+    """Raise if the two read sets share an id (singletons and pairs must not)."""
+    shared = one.select("read_id").join(other.select("read_id"), "read_id", "left_semi").take(1)
+    if shared:
+        raise ValueError(f"{what}: read {shared[0].read_id} is in both sets")
+
+
+def pair_balance(sets: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """reads (the set's name), n1, n2: rows of either mate of each set."""
+    rows = [m.select(F.lit(name).alias("reads"), F.lit(1 - i).alias("a"), F.lit(i).alias("b")) for name, mates in sets.items() for i, m in enumerate(mates)]
+    every = rows[0]
+    for r in rows[1:]:
+        every = every.unionByName(r)
+    return every.groupBy("reads").agg(F.sum("a").alias("n1"), F.sum("b").alias("n2"))
+
+
+def assert_pairs_balanced(sets: dict[str, tuple[DataFrame, DataFrame]]) -> None:
+    """Raise if the mates of any set differ in number."""
+    for r in pair_balance(sets).collect():  # one row a set
+        if r.n1 != r.n2:
+            raise ValueError(f"bad data in {r.reads}: {r.n1} and {r.n2} reads")
+
+
+def rrna_split(reads: DataFrame, hits1: list[DataFrame], hits2: list[DataFrame] | None = None, stringency: str = "high") -> DataFrame:
+    """reads with ``accepted``: not rRNA. The hits of a mate are those of all tools; hits2 None: single reads.
+
+    Pairs are rRNA where either mate has a hit (high) or both have (low).
+    """
+    def every(hits: list[DataFrame]) -> DataFrame:
+        ids = hits[0].select("read_id")
+        for h in hits[1:]:
+            ids = ids.unionByName(h.select("read_id"))
+        return ids
+
+    one = every(hits1)
+    return screen_filter(reads, one, one if hits2 is None else every(hits2), stringency)
+
+
+def sort_reads(reads: DataFrame) -> DataFrame:
+    """Reads with their place (from 0) in the order of their ids, which must differ; ranges of ids are sorted each by itself."""
+    return numbered(reads, ["read_id"], "place")
+
+
 def exact_dedup(reads: DataFrame, keys: list[str]) -> DataFrame:
-    """Clusters (rep_id, member_id) of reads with equal keys; the smallest id represents. Aggregated first, so one key is never one task's window."""
-    reps = reads.groupBy(*keys).agg(F.min("read_id").alias("rep_id"))
-    return reads.join(reps, keys).select("rep_id", F.col("read_id").alias("member_id"))
+    """Clusters (rep_id, member_id) of reads with equal keys; the smallest id represents. Aggregated first, so one key is never one task's window.
+
+    Keys meet by their SHA-256, so that no text is shuffled; a null key equals a null key.
+    """
+    digest = F.sha2(F.concat_ws("/", *[F.coalesce(F.sha2(F.col(k).cast("binary"), 256), F.lit("null")) for k in keys]), 256)
+    slim = reads.select("read_id", digest.alias("digest"))
+    reps = slim.groupBy("digest").agg(F.min("read_id").alias("rep_id"))
+    return slim.join(reps, "digest").select("rep_id", F.col("read_id").alias("member_id"))
 
 
 def repopulate(survivors: DataFrame, clusters: DataFrame, full: DataFrame) -> DataFrame:
@@ -57,20 +120,36 @@ def mapped_split(aln: DataFrame) -> DataFrame:
     return aln.groupBy("query").agg(F.bool_or(F.col("flag").bitwiseAND(4) == 0).alias("mapped"))
 
 
-def leftover_reads(mate1: DataFrame, mate2: DataFrame, annotated: DataFrame) -> DataFrame:
-    """Ids without annotation, with ``part``: pairs where both mates are left, else singletons."""
-    left = mate1.select("read_id", F.lit(1).alias("m")).unionByName(mate2.select("read_id", F.lit(2).alias("m"))).join(annotated, ["read_id", "m"], "left_anti")
-    return left.groupBy("read_id").agg(F.when(F.count_distinct("m") == 2, "pair").otherwise("singletons").alias("part"))
+def leftover_reads(mate1: DataFrame, mate2: DataFrame, annotated: DataFrame, singletons: DataFrame | None = None, contigs: DataFrame | None = None) -> DataFrame:
+    """Ids without annotation, with ``part``: pairs where both mates are left, singletons where one is; prior singletons and
+    contigs that are left keep their part. annotated is (read_id, m) with m 1 and 2 for the mates, 0 for singletons and 3 for contigs.
+    """
+    every = mate1.select("read_id", F.lit(1).alias("m")).unionByName(mate2.select("read_id", F.lit(2).alias("m")))
+    for frame, m in ((singletons, 0), (contigs, 3)):
+        if frame is not None:
+            every = every.unionByName(frame.select("read_id", F.lit(m).alias("m")))
+    left = every.join(annotated, ["read_id", "m"], "left_anti")
+    group = F.when(F.col("m") == 3, "contigs").otherwise("reads")
+    return left.groupBy("read_id", group.alias("kind")).agg(F.when(F.max("m") == 3, "contigs").when(F.count_distinct(F.nullif(F.col("m"), F.lit(0))) == 2, "pair").otherwise("singletons").alias("part")).drop("kind")
 
 
-def _kmers(seq: Column, k: int, unit: str) -> Column:
-    """The distinct runs of k units (characters for '', else what a pattern separates), joined; linear in the text."""
+def _kmers(seq: Column, k: int, unit: str, distinct: bool = True) -> Column:
+    """The runs of k units (characters for '', else what a pattern separates) as two 64-bit hashes; linear in the text.
+
+    A run is known by XXH64 under two seeds, 128 bits in all, so that the joins move no strings.
+    """
     def runs(parts: Column) -> Column:
         starts = F.when(F.size(parts) >= k, F.sequence(F.lit(1), F.size(parts) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(parts, i, k), unit)))
+        window = lambda i, name: [F.get(parts, i - 1 + j)[name] for j in range(k)]
+        found = F.transform(starts, lambda i: F.struct(F.xxhash64(*window(i, "a")).alias("a"), F.xxhash64(*window(i, "b")).alias("b")))
+        if not distinct:
+            return found
+        # Distinct by neighbours, as array_distinct compares structs pair by pair.
+        return F.element_at(F.transform(F.array(F.sort_array(found)), lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1)))), 1)
 
     # The parts are bound once, so that no window splits the text again.
-    return F.element_at(F.transform(F.array(F.filter(F.split(seq, unit), lambda c: c != "")), runs), 1)
+    hashed = F.transform(F.filter(F.split(seq, unit), lambda c: c != ""), lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b")))
+    return F.element_at(F.transform(F.array(hashed), runs), 1)
 
 
 def kmer_counts(reads: DataFrame, reference: DataFrame, k: int, unit: str = "") -> DataFrame:
@@ -86,8 +165,10 @@ def kmer_counts(reads: DataFrame, reference: DataFrame, k: int, unit: str = "")
 
 def kmer_screen(reads: DataFrame, reference: DataFrame, k: int, min_hits: int, unit: str = "") -> DataFrame:
     """Ids of reads with at least min_hits distinct k-mers anywhere in the reference."""
-    kmers = F.explode(_kmers(F.col("seq"), k, unit)).alias("kmer")
-    return reads.select("id", kmers).join(reference.select(kmers).distinct(), "kmer", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("hits")).filter(F.col("hits") >= min_hits)
+    kmers = F.explode(_kmers(F.col("seq"), k, unit, False)).alias("kmer")
+    # Only the few hits are made distinct.
+    hits = reads.select("id", kmers).join(reference.select(kmers).distinct(), "kmer", "left_semi")
+    return hits.groupBy("id").agg(F.count_distinct("kmer").alias("hits")).filter(F.col("hits") >= min_hits)
 
 
 def contig_flag(reads: DataFrame, contig_reads: DataFrame) -> DataFrame:
@@ -104,6 +185,11 @@ def unique_contigs(contig_reads: DataFrame) -> DataFrame:
     return pairs.select("contig_id").distinct().join(bad, "contig_id", "left_anti")
 
 
+def aligned_contig_reads(aln: DataFrame, passes: Column) -> DataFrame:
+    """(contig_id, read_id) of the alignments that pass, each pair once: what ``fractional_counts`` and contig maps are made from."""
+    return aln.filter(passes).select(F.col("target").alias("contig_id"), F.col("query").alias("read_id")).distinct()
+
+
 def fractional_counts(contig_reads: DataFrame) -> DataFrame:
     """contig_id and its reads, each counting 1 / (contigs that hold it)."""
     pairs = contig_reads.select("contig_id", "read_id").distinct()
@@ -112,5 +198,8 @@ def fractional_counts(contig_reads: DataFrame) -> DataFrame:
 
 
 def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key in the given order."""
+    """The first row of each key in the given order.
+
+    Spark reduces such a numbering map-side (WindowGroupLimit), so every task sends at most one row of a key, hot or not.
+    """
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("rn = 1").drop("rn")

@@ -1,62 +1,129 @@
-"""The taxonomy tree: ancestors, lineages, votes and roll-up."""
+"""The taxonomy tree: ancestors, lineages, votes and roll-up.
+
+Trees may have any depth and any number of nodes: ancestors are found by tables of jumps of 1, 2, 4, ... levels, so a
+tree of depth d takes log2(d) joins over its nodes, and only the taxa in use are then expanded to all their ancestors.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from strandwise.functions.hits import gene_source
 from strandwise.operators.route import first_by
+from strandwise.scratch import numbered, written, written_counted
 
 #: Ranks of a lineage in order, with the prefixes of their names (fixed values of the format).
 RANKS = ("superkingdom", "phylum", "class", "order", "family", "genus", "species")
 PREFIXES = ("k_", "p_", "c_", "o_", "f_", "g_", "s_")
 ROOT = 1
+#: Nodes below the root beyond which a lineage is cut and marked as one without root (fixed value of the format).
+LONGEST = 20
+#: Levels that the roll-up merges before it writes its table anew, so that no plan grows with the depth of the tree.
+STEP = 8
 
 
-def ancestor_closure(nodes: DataFrame, max_depth: int = 40) -> DataFrame:
-    """(taxid, ancestor, distance) from every node up to the root, itself at distance 0. A missing parent means the root.
-
-    The tree is a dimension (its depth is bounded), so the recursion is a bounded number of joins within one plan.
-    """
+def jumps(nodes: DataFrame) -> list[DataFrame]:
+    """Tables (c, p), where p stands 1, 2, 4, ... levels above c. A missing parent means the root; a cycle is an error."""
     known = nodes.select(F.col("taxid").alias("k"))
-    parent = nodes.join(known, nodes["parent"] == known["k"], "left").select(F.col("taxid").alias("c"), F.coalesce("k", F.lit(ROOT)).alias("p"))
-    spark = nodes.sparkSession
-    return spark.sql(
-        f"""WITH RECURSIVE up(taxid, ancestor, distance) MAX RECURSION LEVEL {max_depth} AS (
-            SELECT c, c, 0 FROM {{edges}}
-            UNION ALL
-            SELECT u.taxid, e.p, u.distance + 1 FROM up u JOIN {{edges}} e ON u.ancestor = e.c WHERE u.ancestor <> {ROOT})
-            SELECT taxid, ancestor, distance FROM up""",
-        edges=parent,
-    )
-
-
-def lineages(nodes: DataFrame, names: DataFrame) -> DataFrame:
-    """(taxid, lineage): root and the seven ranks down to the most specific one; skipped ranks keep their bare prefix."""
+    step = nodes.filter(F.col("taxid") != ROOT).join(known, F.col("parent") == F.col("k"), "left").select(F.col("taxid").alias("c"), F.coalesce("k", F.lit(ROOT)).alias("p"))
+    out: list[DataFrame] = []
+    first = 0
+    while True:
+        step, n = written_counted(step, "jumps")
+        if not n:
+            return out
+        first = first or n
+        if 1 << len(out) > first:
+            raise ValueError("the tree has a cycle")
+        out.append(step)
+        step = step.alias("a").join(step.alias("b"), F.col("a.p") == F.col("b.c")).select("a.c", "b.p")
+
+
+def ancestor_closure(nodes: DataFrame, taxa: DataFrame | None = None) -> DataFrame:
+    """(taxid, ancestor, distance) from every node, or those of ``taxa`` (taxid) that the tree has, up to the root; itself at 0.
+
+    A missing parent means the root. The table is written once, so that what uses it twice computes it once.
+    """
+    own = nodes.select("taxid")
+    if taxa is not None:
+        own = taxa.select("taxid").distinct().join(own, "taxid", "left_semi")
+    up = own.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("distance"))
+    for k, jump in enumerate(jumps(nodes)):
+        # Every ancestor found so far stays and is joined by the one 2^k levels above it.
+        both = F.array(F.struct("ancestor", "distance"), F.struct(F.col("p").alias("ancestor"), (F.col("distance") + (1 << k)).alias("distance")))
+        up = up.join(jump, F.col("ancestor") == F.col("c"), "left").select("taxid", F.inline(both)).filter(F.col("ancestor").isNotNull())
+    return written(up, "ancestors")
+
+
+def _with_depth(up: DataFrame) -> DataFrame:
+    """up with the depth of each ancestor below the root."""
+    deepest = up.groupBy("taxid").agg(F.max("distance").alias("deepest"))
+    return up.join(deepest, "taxid").withColumn("depth", F.col("deepest") - F.col("distance")).drop("deepest")
+
+
+def _rank_of(column: str) -> Column:
     ranks = F.create_map(*[x for i, r in enumerate(RANKS) for x in (F.lit(r), F.lit(i))])
-    ranked = ancestor_closure(nodes).join(nodes.select(F.col("taxid").alias("ancestor"), "rank"), "ancestor").join(names.select(F.col("taxid").alias("ancestor"), "name"), "ancestor", "left")
-    ranked = ranked.withColumn("i", F.try_element_at(ranks, F.col("rank")))
-    wide = ranked.groupBy("taxid").agg(F.max("i").alias("deepest"), *[F.max(F.when(F.col("i") == i, F.coalesce("name", F.lit("")))).alias(r) for i, r in enumerate(RANKS)])
+    return F.try_element_at(ranks, F.col(column))
+
+
+def lineages(nodes: DataFrame, names: DataFrame, taxa: DataFrame | None = None) -> DataFrame:
+    """(taxid, lineage): root and the seven ranks down to the most specific one; skipped ranks keep their bare prefix.
+
+    A taxon with more than LONGEST nodes below the root gets ``no root`` in its place and the ranks of the nearest LONGEST.
+    """
+    up = _with_depth(ancestor_closure(nodes, taxa)).withColumn("far", F.col("depth") + F.col("distance") > LONGEST)
+    named = up.filter(~F.col("far") | (F.col("distance") < LONGEST)).join(nodes.select(F.col("taxid").alias("ancestor"), "rank"), "ancestor").join(names.select(F.col("taxid").alias("ancestor"), "name"), "ancestor", "left")
+    ranked = named.withColumn("i", _rank_of("rank"))
+    wide = ranked.groupBy("taxid").agg(F.bool_or("far").alias("far"), F.max("i").alias("deepest"), *[F.max(F.when(F.col("i") == i, F.coalesce("name", F.lit("")))).alias(r) for i, r in enumerate(RANKS)])
     parts = [F.when(F.col("deepest") >= i, F.concat(F.lit(p), F.coalesce(F.col(r), F.lit("")))) for i, (p, r) in enumerate(zip(PREFIXES, RANKS, strict=True))]
-    return wide.select("taxid", F.concat_ws(";", F.lit("root"), *parts).alias("lineage"))
+    return wide.select("taxid", F.concat_ws(";", F.when(F.col("far"), "no root").otherwise("root"), *parts).alias("lineage"))
+
+
+def classified_reads(read_taxa: DataFrame, nodes: DataFrame, names: DataFrame) -> DataFrame:
+    """(flag, read_id, lineage): C and the lineage of the read's taxon; U and unclassified for taxid 0 and taxa that the tree lacks."""
+    of = lineages(nodes, names, read_taxa.filter("taxid <> 0"))
+    met = read_taxa.select("read_id", "taxid").join(of, "taxid", "left")
+    return met.select(F.when(F.col("lineage").isNull(), "U").otherwise("C").alias("flag"), "read_id", F.coalesce("lineage", F.lit("unclassified")).alias("lineage"))
+
+
+def taxa_summary(classified: DataFrame) -> DataFrame:
+    """(lineage, reads): reads of each lineage string."""
+    return classified.groupBy("lineage").agg(F.count(F.lit(1)).alias("reads"))
 
 
 def constrain_to_rank(nodes: DataFrame, target: str) -> DataFrame:
     """(taxid, constrained): the nearest node upwards, itself included, whose rank is the target's or above; the root where none is."""
-    ranks = F.create_map(*[x for i, r in enumerate(RANKS) for x in (F.lit(r), F.lit(i))])
-    fit = nodes.filter((F.try_element_at(ranks, F.col("rank")) <= RANKS.index(target)) | (F.col("taxid") == ROOT)).select(F.col("taxid").alias("ancestor"))
+    fit = nodes.filter((_rank_of("rank") <= RANKS.index(target)) | (F.col("taxid") == ROOT)).select(F.col("taxid").alias("ancestor"))
     return ancestor_closure(nodes).join(fit, "ancestor").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("constrained"))
 
 
 def lca(read_taxa: DataFrame, nodes: DataFrame) -> DataFrame:
     """(read_id, lca): the deepest common ancestor of a read's distinct taxa; reads with no known taxon are left out."""
-    up = ancestor_closure(nodes)
-    depth = up.groupBy("taxid").agg(F.max("distance").alias("depth"))
-    taxa = read_taxa.filter("taxid <> 0").select("read_id", "taxid").distinct().join(nodes.select("taxid"), "taxid", "left_semi")
-    n = taxa.groupBy("read_id").agg(F.count(F.lit(1)).alias("n"))
-    common = taxa.join(up, "taxid").groupBy("read_id", "ancestor").agg(F.count(F.lit(1)).alias("k")).join(n, "read_id").filter("k = n")
-    deep = common.join(depth.withColumnRenamed("taxid", "ancestor"), "ancestor")
-    return deep.groupBy("read_id").agg(F.max_by("ancestor", "depth").alias("lca"))
+    taxa = read_taxa.filter("taxid <> 0").select("read_id", "taxid").distinct()
+    up = _with_depth(ancestor_closure(nodes, taxa))
+    known = taxa.join(nodes.select("taxid"), "taxid", "left_semi")
+    n = known.groupBy("read_id").agg(F.count(F.lit(1)).alias("n"))
+    common = known.join(up, "taxid").groupBy("read_id", "ancestor").agg(F.count(F.lit(1)).alias("k"), F.max("depth").alias("depth")).join(n, "read_id").filter("k = n")
+    return common.groupBy("read_id").agg(F.max_by("ancestor", "depth").alias("lca"))
+
+
+def spread_contigs(read_taxa: DataFrame, contig_reads: DataFrame, own_wins: bool = True) -> DataFrame:
+    """(read_id, taxid) of one classifier whose rows (query, taxid) name reads or contigs: a contig's taxid goes to its reads.
+
+    own_wins: a read's own row overwrites what its contigs say. Otherwise the last row of the report counts, by its column
+    ``place``. Of several contigs the first by place fills the gap; ties go to the smaller taxid.
+    """
+    member = contig_reads.select(F.col("contig_id").alias("query"), F.col("read_id").alias("member")).distinct()
+    met = read_taxa.join(member, "query", "left")
+    rows = met.select(F.coalesce("member", "query").alias("read_id"), "taxid", "place", F.col("member").isNull().alias("own"))
+    if own_wins:
+        # Own rows: the last one; contigs: the first one.
+        order = F.struct((~F.col("own")).cast("int"), F.when(F.col("own"), -F.col("place")).otherwise(F.col("place")), "taxid")
+    else:
+        order = F.struct(-F.col("place"), F.col("taxid"))
+    return rows.groupBy("read_id").agg(F.min_by("taxid", order).alias("taxid"))
 
 
 def combine_classifiers(read_taxa: DataFrame, tools: list[str]) -> DataFrame:
@@ -70,36 +137,76 @@ def vote_taxon(read_taxa: DataFrame, nodes: DataFrame, least: float = 2) -> Data
     A vote supports a taxon and all its ancestors; equal depths go by weight, then the smaller taxid; 0 without one.
     Votes are added up per read and taxon before they meet the tree.
     """
-    up = ancestor_closure(nodes)
-    depth = up.groupBy(F.col("taxid").alias("ancestor")).agg(F.max("distance").alias("depth"))
     votes = read_taxa.filter("taxid <> 0").groupBy("read_id", "taxid").agg(F.sum("weight").alias("w"))
-    support = votes.join(up, "taxid").groupBy("read_id", "ancestor").agg(F.sum("w").alias("w")).filter(F.col("w") >= least)
-    won = support.join(depth, "ancestor").groupBy("read_id").agg(F.max_by("ancestor", F.struct("depth", "w", -F.col("ancestor"))).alias("taxid"))
+    up = _with_depth(ancestor_closure(nodes, read_taxa))
+    support = votes.join(up, "taxid").groupBy("read_id", "ancestor").agg(F.sum("w").alias("w"), F.max("depth").alias("depth")).filter(F.col("w") >= least)
+    won = support.groupBy("read_id").agg(F.max_by("ancestor", F.struct("depth", "w", -F.col("ancestor"))).alias("taxid"))
     return read_taxa.select("read_id").distinct().join(won, "read_id", "left").select("read_id", F.coalesce("taxid", F.lit(0)).alias("taxid"))
 
 
 def assign_to_list(read_taxa: DataFrame, nodes: DataFrame, chosen: DataFrame) -> DataFrame:
     """(read_id, reported): the nearest ancestor within ``chosen`` (taxid); 0 (other) where none is."""
-    near = ancestor_closure(nodes).join(chosen.select(F.col("taxid").alias("ancestor")), "ancestor").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("reported"))
+    near = ancestor_closure(nodes, read_taxa).join(chosen.select(F.col("taxid").alias("ancestor")), "ancestor").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("reported"))
     return read_taxa.join(near, "taxid", "left").select("read_id", F.coalesce("reported", F.lit(0)).alias("reported"))
 
 
-def rollup(counts: DataFrame, nodes: DataFrame, least: float, depths: int = 12) -> DataFrame:
-    """(taxid, reads) after merging, bottom-up, every taxon with fewer than ``least`` reads into its parent; the root stays.
+def rollup(counts: DataFrame, nodes: DataFrame, share: float = 0.01, least: float | None = None) -> DataFrame:
+    """(taxid, reported, reads) of every taxon in counts (taxid, reads): where its reads are reported after merging.
 
-    One step per depth of the tree over per-taxon counts, never over reads. Counts equal to ``least`` stay. A count for
-    a taxid that the tree lacks goes to the root.
+    Bottom-up, a taxon with fewer reads than the cutoff (those merged into it included) gives them to its nearest ancestor
+    that has reads itself; a count equal to the cutoff stays, and so does the root, which takes what has no other. The
+    cutoff is ``least`` reads, or the given share of all reads below the root. Taxid 0 counts as the root, and a taxon that
+    the tree lacks stands right below it. Any depth: levels are merged over per-taxon counts, never over reads.
     """
-    up = ancestor_closure(nodes)
-    depth = up.groupBy("taxid").agg(F.max("distance").alias("depth"))
-    tree = nodes.join(depth, "taxid").join(nodes.select(F.col("taxid").alias("parent"), F.lit(1).alias("has")), "parent", "left").select("taxid", F.when(F.col("has").isNotNull(), F.col("parent")).otherwise(ROOT).alias("parent"), "depth")
-    now = counts.join(tree.select("taxid", F.lit(1).alias("known")), "taxid", "left").select(F.when(F.col("known").isNotNull(), F.col("taxid")).otherwise(ROOT).alias("taxid"), "reads")
-    for level in range(depths, 0, -1):
-        small = (F.col("depth") == level) & (F.col("reads") < least)
-        now = now.groupBy("taxid").agg(F.sum("reads").alias("reads")).join(tree, "taxid").select(F.when(small, F.col("parent")).otherwise(F.col("taxid")).alias("taxid"), "reads")
-    return now.groupBy("taxid").agg(F.sum("reads").alias("reads"))
+    taxa = counts.select(F.when(F.col("taxid") == 0, ROOT).otherwise(F.col("taxid")).alias("taxid"), "reads").groupBy("taxid").agg(F.sum("reads").alias("reads"))
+    present = taxa.select("taxid").unionByName(nodes.filter(F.col("taxid") == ROOT).select("taxid")).distinct()
+    up = _with_depth(ancestor_closure(nodes, taxa))
+    above = up.filter("distance > 0").join(present.select(F.col("taxid").alias("ancestor")), "ancestor", "left_semi").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("above"))
+    depth = up.filter("distance = 0").select("taxid", "depth")
+    tree = written(taxa.select("taxid").join(depth, "taxid", "left").join(above, "taxid", "left").select("taxid", F.when(F.col("taxid") == ROOT, 0).otherwise(F.coalesce("depth", F.lit(1))).alias("depth"), F.coalesce("above", F.lit(ROOT)).alias("above")), "present-taxa")
+    now = taxa.select("taxid", F.col("taxid").alias("reported"), "reads")
+    if least is None:
+        least = share * (now.filter(F.col("taxid") != ROOT).agg(F.sum("reads")).first()[0] or 0)
+    deepest = tree.agg(F.max("depth")).first()[0] or 0
+    for level in range(deepest, 0, -1):
+        # A window and not a second use of the table, so that a plan of STEP levels stays a chain.
+        total = F.sum("reads").over(Window.partitionBy("reported"))
+        at = tree.filter(F.col("depth") == level).select(F.col("taxid").alias("reported"), "above")
+        now = now.withColumn("total", total).join(at, "reported", "left").select("taxid", F.when(F.col("total") < least, F.coalesce("above", "reported")).otherwise(F.col("reported")).alias("reported"), "reads")
+        if (deepest - level) % STEP == STEP - 1:
+            now = written(now, "rolled-up")
+    return now
+
+
+def rolled_counts(rolled: DataFrame) -> DataFrame:
+    """(taxid, reads) of the taxa that a roll-up reports."""
+    return rolled.groupBy(F.col("reported").alias("taxid")).agg(F.sum("reads").alias("reads"))
+
+
+def repointed(read_taxa: DataFrame, rolled: DataFrame) -> DataFrame:
+    """(read_id, taxid): every read at the taxon that reports it; taxid 0 is the root's."""
+    own = read_taxa.select("read_id", F.when(F.col("taxid") == 0, ROOT).otherwise(F.col("taxid")).alias("own"))
+    return own.join(rolled.select(F.col("taxid").alias("own"), "reported"), "own", "left").select("read_id", F.coalesce("reported", "own").alias("taxid"))
 
 
 def best_accession(gene_taxa: DataFrame) -> DataFrame:
     """(read_id, taxid) by priority (accession first), then gene."""
     return first_by(gene_taxa, ["read_id"], [F.col("priority"), F.col("gene_id")]).select("read_id", "taxid")
+
+
+def accession_to_taxid(gene_reads: DataFrame, acc_taxid: DataFrame) -> DataFrame:
+    """(read_id, taxid) of gene reads (gene_id, read_id): the taxid of the gene's accession, else the one in the gene's name.
+
+    acc_taxid is (accession, taxid); its accessions meet the distinct genes, not the reads. A read with several genes takes
+    an accession's taxid before one from a name, then the smaller gene id; reads without either are left out.
+    """
+    genes = gene_reads.select("gene_id").distinct().withColumn("source", gene_source(F.col("gene_id"))).select("gene_id", "source.*").withColumnRenamed("taxid", "named")
+    known = genes.join(acc_taxid.select("accession", F.col("taxid").alias("found")), "accession", "left")
+    taxa = known.select("gene_id", F.coalesce("found", "named").alias("taxid"), F.when(F.col("found").isNotNull(), 0).otherwise(1).alias("priority")).filter("taxid IS NOT NULL")
+    return best_accession(gene_reads.select("gene_id", "read_id").join(taxa, "gene_id"))
+
+
+def lineage_order(nodes: DataFrame) -> DataFrame:
+    """taxid, place (from 1): preorder of the tree, parents before children, siblings by taxid."""
+    path = ancestor_closure(nodes).groupBy("taxid").agg(F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), "ancestor"))).alias("p"))
+    return numbered(path.select("taxid", F.transform("p", lambda x: x["ancestor"]).alias("path")), ["path"], "place").select("taxid", (F.col("place") + 1).cast("int").alias("place"))

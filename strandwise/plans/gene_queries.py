@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strandwise.functions import hits as X
 from strandwise.operators import enzyme as E
 from strandwise.operators import hits as H
+from strandwise.operators import maps
 from strandwise.operators import taxonomy as T
 from strandwise.plans.views import view, with_views
 
@@ -85,12 +86,11 @@ def drop_multi_target(spark, d):
     return H.drop_multi_target(view(spark, d, "v_hits"), _hit_passes())
 
 
-EXPANDED = f"b AS ({BEST}), x AS (SELECT target AS gene_id, coalesce(c.read_id, b.query) AS read_id, score FROM b LEFT JOIN (SELECT DISTINCT contig_id AS contig_id, read_id FROM v_contig WHERE read_id % 50 = 0) c ON b.query = c.contig_id)"
+EXPANDED = f"b AS ({BEST}), x AS (SELECT target AS gene_id, coalesce(c.read_id, b.query) AS read_id, score FROM b LEFT JOIN (SELECT DISTINCT contig_id AS contig_id, read_id FROM v_contig) c ON b.query = c.contig_id)"
 
 
 def _expanded(spark, d):
-    contigs = view(spark, d, "v_contig").filter(F.col("read_id") % 50 == 0).distinct()
-    return H.expand_contigs(_aln_best(spark, d), contigs)
+    return H.expand_contigs(_aln_best(spark, d), view(spark, d, "v_contig").distinct())
 
 
 @query(f"WITH {EXPANDED} SELECT gene_id, read_id, score FROM x")
@@ -103,35 +103,18 @@ def claim_read_once(spark, d):
     return H.claim_once(_expanded(spark, d))
 
 
-# The three queries above read a fiftieth of the contig membership, as their SQL does; those named _whole read all of it.
-WHOLE = f"b AS ({BEST}), x AS (SELECT target AS gene_id, coalesce(c.read_id, b.query) AS read_id, score FROM b LEFT JOIN (SELECT DISTINCT contig_id AS contig_id, read_id FROM v_contig) c ON b.query = c.contig_id)"
-
-
-def _expanded_whole(spark, d):
-    return H.expand_contigs(_aln_best(spark, d), view(spark, d, "v_contig").distinct())
-
-
-@query(f"WITH {WHOLE} SELECT gene_id, read_id, score FROM x")
-def expand_contigs_whole(spark, d):
-    return _expanded_whole(spark, d)
+TOOL_RANK = "CASE tool WHEN 'bwa' THEN 1 WHEN 'blat' THEN 2 ELSE 3 END, CASE context WHEN 'pair_1' THEN 1 WHEN 'singletons' THEN 3 ELSE 4 END"
+MERGED = f"m AS (SELECT gene_id, read_id, score, tool, context FROM v_gene_maps QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, {TOOL_RANK}, gene_id) = 1)"
 
 
-@query(f"WITH {WHOLE} SELECT gene_id, read_id, score FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, gene_id) = 1")
-def claim_read_once_whole(spark, d):
-    return H.claim_once(_expanded_whole(spark, d))
-
+@query(f"WITH {MERGED} SELECT read_id, gene_id, score, tool, context FROM m")
+def merge_gene_maps(spark, d):
+    return H.merge_gene_maps(view(spark, d, "v_gene_maps"))
 
-@query(f"""WITH {WHOLE}, c AS (SELECT gene_id, read_id FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, gene_id) = 1),
-g AS (SELECT gene_id, length, count(DISTINCT read_id) AS reads FROM c JOIN v_genes USING (gene_id) GROUP BY ALL)
-SELECT gene_id, length, reads, round(reads / ((length / 1000.0) * (sum(reads) OVER () / 1e6)), 6) AS rpkm FROM g""")
-def rpkm_table_whole(spark, d):
-    claimed = H.claim_once(_expanded_whole(spark, d))
-    return H.rpkm(H.attach_gene_length(claimed, view(spark, d, "v_genes"))).withColumn("rpkm", F.round("rpkm", 6))
 
-
-@query("""SELECT gene_id, count(DISTINCT read_id) AS reads FROM (SELECT * FROM v_gene_reads QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, tool, context, gene_id) = 1) GROUP BY gene_id""")
-def merge_gene_maps(spark, d):
-    return H.gene_counts(H.merge_gene_maps(view(spark, d, "v_gene_reads")))
+@query(f"WITH {MERGED} SELECT gene_id, count(DISTINCT read_id) AS reads FROM m GROUP BY gene_id")
+def merged_gene_counts(spark, d):
+    return H.gene_counts(H.merge_gene_maps(view(spark, d, "v_gene_maps")))
 
 
 @query(f"""WITH {EXPANDED}, c AS (SELECT gene_id, read_id FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, gene_id) = 1),
@@ -142,14 +125,21 @@ def rpkm_table(spark, d):
     return H.rpkm(H.attach_gene_length(claimed, view(spark, d, "v_genes"))).withColumn("rpkm", F.round("rpkm", 6))
 
 
-@query("""WITH m AS (SELECT gene_id, read_id FROM v_gene_reads QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, tool, context, gene_id) = 1),
-t AS (SELECT o_orderkey AS read_id, o_orderpriority AS taxon FROM orders)
-SELECT gene_id, count(*) FILTER (taxon = '1-URGENT') AS urgent, count(*) FILTER (taxon = '5-LOW') AS low, count(*) FILTER (taxon IS NULL) AS unclassified FROM m LEFT JOIN t USING (read_id) GROUP BY gene_id""")
+PRIORITIES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "not_specified", "5-LOW": "low"}
+# Dear orders stand for reads without a taxon.
+TAXON = "t AS (SELECT o_orderkey AS read_id, CASE WHEN o_totalprice < 200000 THEN o_orderpriority END AS taxon FROM orders)"
+
+
+@query(f"""WITH {MERGED}, {TAXON}, g AS (SELECT gene_id, length, count(*) AS reads FROM m JOIN v_genes USING (gene_id) GROUP BY ALL), d AS (SELECT gene_id, length, reads, (length / 1000.0) * (sum(reads) OVER () / 1e6) AS div FROM g)
+SELECT gene_id, length, reads, round(reads / div, 6) AS rpkm, {', '.join(f"round(count(*) FILTER (taxon = '{p}') / div, 6) AS {n}" for p, n in PRIORITIES.items())}, round(count(*) FILTER (taxon IS NULL) / div, 6) AS unclassified
+FROM m JOIN d USING (gene_id) LEFT JOIN t USING (read_id) GROUP BY gene_id, length, reads, div""")
 def gene_by_taxon(spark, d):
-    m = H.merge_gene_maps(view(spark, d, "v_gene_reads")).select("gene_id", "read_id")
-    t = view(spark, d, "orders").select(F.col("o_orderkey").alias("read_id"), F.col("o_orderpriority").alias("taxon"))
-    wide = m.join(t, "read_id", "left").groupBy("gene_id").pivot("taxon", ["1-URGENT", "5-LOW", None]).agg(F.count(F.lit(1))).fillna(0)
-    return wide.toDF("gene_id", "urgent", "low", "unclassified")
+    m = H.merge_gene_maps(view(spark, d, "v_gene_maps"))
+    t = view(spark, d, "orders").select(F.col("o_orderkey").alias("read_id"), F.when(F.col("o_totalprice") < 200000, F.col("o_orderpriority")).otherwise("none").alias("taxid"))
+    rows = H.rpkm_by_taxon(m, view(spark, d, "v_genes"), t)
+    wide = rows.groupBy("gene_id", "length", "reads", "rpkm").pivot("taxid", [*PRIORITIES, "none"]).agg(F.sum("taxon_rpkm")).fillna(0.0)
+    named = wide.toDF("gene_id", "length", "reads", "rpkm", *PRIORITIES.values(), "unclassified")
+    return named.select("gene_id", "length", "reads", *[F.round(c, 6).alias(c) for c in ("rpkm", *PRIORITIES.values(), "unclassified")])
 
 
 @query("SELECT tool, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM v_read_taxon GROUP BY tool")
@@ -207,15 +197,48 @@ def assign_to_list(spark, d):
     return out.groupBy("reported").agg(F.count(F.lit(1)).alias("reads"))
 
 
-@query("""WITH c AS (SELECT CASE WHEN taxid IN (SELECT taxid FROM v_nodes) THEN taxid ELSE 1 END AS taxid, count(*) AS reads FROM v_read_taxon WHERE taxid <> 0 GROUP BY 1),
-s4 AS (SELECT CASE WHEN n.rank = 'species' AND reads < 60 THEN n.parent ELSE c.taxid END AS taxid, reads FROM c JOIN v_nodes n USING (taxid)), g4 AS (SELECT taxid, sum(reads) AS reads FROM s4 GROUP BY taxid),
-s3 AS (SELECT CASE WHEN n.rank = 'genus' AND reads < 60 THEN n.parent ELSE c.taxid END AS taxid, reads FROM g4 c JOIN v_nodes n USING (taxid)), g3 AS (SELECT taxid, sum(reads) AS reads FROM s3 GROUP BY taxid),
-s2 AS (SELECT CASE WHEN n.rank = 'phylum' AND reads < 60 THEN n.parent ELSE c.taxid END AS taxid, reads FROM g3 c JOIN v_nodes n USING (taxid)), g2 AS (SELECT taxid, sum(reads) AS reads FROM s2 GROUP BY taxid),
-s1 AS (SELECT CASE WHEN n.rank = 'superkingdom' AND reads < 60 THEN 1 ELSE c.taxid END AS taxid, reads FROM g2 c JOIN v_nodes n USING (taxid))
-SELECT taxid, CAST(sum(reads) AS BIGINT) AS reads FROM s1 GROUP BY taxid""")
+def _level(before: str, level: int) -> str:
+    """One level of the roll-up in SQL: taxa at that depth below the cutoff go to their nearest present ancestor."""
+    return f"""l{level} AS (SELECT n.taxid, CASE WHEN p.depth = {level} AND t.total < c.least THEN p.above ELSE n.reported END AS reported, n.reads FROM {before} n
+JOIN (SELECT reported, sum(reads) AS total FROM {before} GROUP BY reported) t USING (reported) LEFT JOIN tree p ON p.taxid = n.reported CROSS JOIN cut c)"""
+
+
+SHARE = 0.004
+ROLLED = f"""c AS (SELECT CASE WHEN taxid = 0 THEN 1 ELSE taxid END AS taxid, count(*) AS reads FROM v_read_taxid GROUP BY 1), cut AS (SELECT {SHARE} * sum(reads) AS least FROM c WHERE taxid <> 1),
+own AS (SELECT * FROM up WHERE taxid IN (SELECT taxid FROM c)), far AS (SELECT taxid, max(distance) AS depth FROM own GROUP BY taxid),
+near AS (SELECT taxid, arg_min(ancestor, distance) AS above FROM own WHERE distance > 0 AND (ancestor = 1 OR ancestor IN (SELECT taxid FROM c)) GROUP BY taxid),
+tree AS (SELECT c.taxid, CASE WHEN c.taxid = 1 THEN 0 ELSE coalesce(depth, 1) END AS depth, coalesce(above, 1) AS above FROM c LEFT JOIN far USING (taxid) LEFT JOIN near USING (taxid)),
+l5 AS (SELECT taxid, taxid AS reported, reads FROM c), {_level('l5', 4)}, {_level('l4', 3)}, {_level('l3', 2)}, {_level('l2', 1)}"""
+
+
+def _rolled(spark, d):
+    counts = view(spark, d, "v_read_taxid").groupBy("taxid").agg(F.count(F.lit(1)).alias("reads"))
+    return T.rollup(counts, view(spark, d, "v_nodes").select("taxid", "parent"), SHARE)
+
+
+@query(f"WITH RECURSIVE {UP}, {ROLLED} SELECT reported AS taxid, CAST(sum(reads) AS BIGINT) AS reads FROM l1 GROUP BY reported")
 def taxon_rollup(spark, d):
-    counts = view(spark, d, "v_read_taxon").filter("taxid <> 0").groupBy("taxid").agg(F.count(F.lit(1)).alias("reads"))
-    return T.rollup(counts, view(spark, d, "v_nodes").select("taxid", "parent"), 60, 4)
+    return T.rolled_counts(_rolled(spark, d))
+
+
+@query(f"WITH RECURSIVE {UP}, {ROLLED} SELECT read_id, reported AS taxid FROM v_read_taxid v JOIN l1 ON l1.taxid = CASE WHEN v.taxid = 0 THEN 1 ELSE v.taxid END")
+def repointed_reads(spark, d):
+    return T.repointed(view(spark, d, "v_read_taxid"), _rolled(spark, d))
+
+
+BY_TAXON = f"""{ROLLED}, r AS (SELECT read_id, reported FROM v_read_taxid v JOIN l1 ON l1.taxid = CASE WHEN v.taxid = 0 THEN 1 ELSE v.taxid END), {MERGED},
+g AS (SELECT gene_id, length, count(*) AS reads FROM m JOIN v_genes USING (gene_id) GROUP BY ALL), d AS (SELECT gene_id, length, reads, (length / 1000.0) * (sum(reads) OVER () / 1e6) AS div FROM g),
+x AS (SELECT gene_id, d.length, d.reads, div, r.reported AS taxid, count(*) AS taxon_reads FROM m JOIN d USING (gene_id) JOIN r USING (read_id) GROUP BY ALL)"""
+
+
+def _by_taxon(spark, d):
+    merged = H.merge_gene_maps(view(spark, d, "v_gene_maps"))
+    return H.rpkm_by_taxon(merged, view(spark, d, "v_genes"), T.repointed(view(spark, d, "v_read_taxid"), _rolled(spark, d)))
+
+
+@query(f"WITH RECURSIVE {UP}, {BY_TAXON} SELECT gene_id, length, reads, round(reads / div, 6) AS rpkm, taxid, taxon_reads, round(taxon_reads / div, 6) AS taxon_rpkm FROM x")
+def rpkm_by_taxon(spark, d):
+    return _by_taxon(spark, d).withColumn("rpkm", F.round("rpkm", 6)).withColumn("taxon_rpkm", F.round("taxon_rpkm", 6))
 
 
 @query("SELECT taxid, CASE WHEN taxid = 0 THEN 'U' ELSE 'C' END AS flag, count(*) AS reads FROM v_read_taxon GROUP BY ALL")
@@ -266,26 +289,13 @@ def ec_report(spark, d):
     return E.ec_report(view(spark, d, "v_gene_ec"))
 
 
-PROBES = "probe AS (SELECT DISTINCT l_linenumber AS ec, l_quantity * 2 AS score FROM lineitem), point AS (SELECT l_linenumber AS ec, l_extendedprice / 1000 AS score, avg(l_discount + l_tax) AS density FROM lineitem WHERE l_partkey % 10 = 0 GROUP BY ALL)"
-
-
-@query(f"WITH {PROBES}" + """ SELECT p.ec, p.score, CASE WHEN count(*) FILTER (x.score < p.score) > 0 AND count(*) FILTER (x.score > p.score) > 0
-THEN round((arg_max(x.density, x.score) FILTER (x.score < p.score) + arg_min(x.density, x.score) FILTER (x.score > p.score)) / 2, 6) ELSE 0.0 END AS density FROM probe p LEFT JOIN point x USING (ec) GROUP BY ALL""")
-def density_lookup(spark, d):
-    line = view(spark, d, "lineitem")
-    probes = line.select(F.col("l_linenumber").alias("ec"), (F.col("l_quantity") * 2).alias("score"))
-    points = line.filter("l_partkey % 10 = 0").select(F.col("l_linenumber").alias("ec"), (F.col("l_extendedprice") / 1000).alias("score"), (F.col("l_discount") + F.col("l_tax")).alias("density"))
-    return E.density_lookup(probes, points).withColumn("density", F.round("density", 6))
+PROBES = "probe AS (SELECT DISTINCT l_linenumber AS ec, l_quantity * 2 AS score FROM lineitem), point AS (SELECT l_linenumber AS ec, l_extendedprice / 1000 AS score, avg(l_discount + l_tax) AS density FROM lineitem GROUP BY ALL)"
 
 
-# As density_lookup, whose points are a tenth of the table, with all of it.
-PROBES_WHOLE = PROBES.replace(" WHERE l_partkey % 10 = 0", "")
-
-
-@query(f"WITH {PROBES_WHOLE}, b AS (SELECT ec, score, density, lag(density) OVER w AS lo, lead(density) OVER w AS hi FROM point WINDOW w AS (PARTITION BY ec ORDER BY score))" + """
+@query(f"WITH {PROBES}, b AS (SELECT ec, score, density, lag(density) OVER w AS lo, lead(density) OVER w AS hi FROM point WINDOW w AS (PARTITION BY ec ORDER BY score))" + """
 SELECT p.ec, p.score, CASE WHEN x.ec IS NOT NULL THEN coalesce(round((x.lo + x.hi) / 2, 6), 0.0) WHEN y.density IS NOT NULL AND z.density IS NOT NULL THEN round((y.density + z.density) / 2, 6) ELSE 0.0 END AS density
 FROM probe p LEFT JOIN b x ON x.ec = p.ec AND x.score = p.score ASOF LEFT JOIN point y ON y.ec = p.ec AND y.score < p.score ASOF LEFT JOIN point z ON z.ec = p.ec AND z.score > p.score""")
-def density_lookup_whole(spark, d):
+def density_lookup(spark, d):
     line = view(spark, d, "lineitem")
     probes = line.select(F.col("l_linenumber").alias("ec"), (F.col("l_quantity") * 2).alias("score"))
     points = line.select(F.col("l_linenumber").alias("ec"), (F.col("l_extendedprice") / 1000).alias("score"), (F.col("l_discount") + F.col("l_tax")).alias("density"))
@@ -310,22 +320,33 @@ def top_predictions(spark, d):
     return E.top_predictions(_cumulative(spark, d).withColumn("prob", F.round("prob", 6)), 2).select("query", "ec", "positive_hits")
 
 
-NETWORK = "g AS (SELECT gene_id, length, count(DISTINCT read_id) AS reads FROM v_gene_reads JOIN v_genes USING (gene_id) GROUP BY ALL), r AS (SELECT gene_id, reads / ((length / 1000.0) * (sum(reads) OVER () / 1e6)) AS rpkm FROM g)"
+GROUPED = "n AS (SELECT {key}, count(*) AS genes, round(sum(reads / div), 4) AS rpkm FROM d JOIN e USING (gene_id) GROUP BY {key}), k AS (SELECT {key}, taxid, round(sum(taxon_reads / div), 4) AS taxon_rpkm FROM x JOIN e USING (gene_id) GROUP BY ALL) SELECT {key}, genes, rpkm, taxid, taxon_rpkm FROM n LEFT JOIN k USING ({key})"
 
 
-def _rpkm(spark, d):
-    return H.rpkm(view(spark, d, "v_gene_reads").join(view(spark, d, "v_genes"), "gene_id"))
+@query(f"WITH RECURSIVE {UP}, {BY_TAXON}, e AS (SELECT DISTINCT gene_id, ec FROM v_gene_ec), " + GROUPED.format(key="ec"))
+def ec_network(spark, d):
+    rows = H.rpkm_of_groups(_by_taxon(spark, d), view(spark, d, "v_gene_ec"), "ec")
+    return rows.withColumn("rpkm", F.round("rpkm", 4)).withColumn("taxon_rpkm", F.round("taxon_rpkm", 4))
 
 
-@query(f"WITH {NETWORK} SELECT ec, count(*) AS genes, round(sum(rpkm), 4) AS rpkm FROM r JOIN v_gene_ec USING (gene_id) GROUP BY ec")
-def ec_network(spark, d):
-    return _rpkm(spark, d).join(view(spark, d, "v_gene_ec"), "gene_id").groupBy("ec").agg(F.count(F.lit(1)).alias("genes"), F.round(F.sum("rpkm"), 4).alias("rpkm"))
+def _heatmap(spark, d):
+    e = view(spark, d, "v_path").select("superpathway", "ec").distinct()
+    members = view(spark, d, "v_gene_ec").join(e, "ec").select("gene_id", "superpathway")
+    rows = H.rpkm_of_groups(_by_taxon(spark, d), members, "superpathway")
+    return rows.withColumn("rpkm", F.round("rpkm", 4)).withColumn("taxon_rpkm", F.round("taxon_rpkm", 4))
 
 
-@query(f"WITH {NETWORK}, e AS (SELECT DISTINCT superpathway, ec FROM v_path) SELECT superpathway, round(sum(rpkm), 4) AS rpkm FROM r JOIN v_gene_ec USING (gene_id) JOIN e USING (ec) GROUP BY superpathway")
+HEATMAP = f"WITH RECURSIVE {UP}, {BY_TAXON}, e AS (SELECT DISTINCT gene_id, superpathway FROM v_gene_ec JOIN v_path USING (ec)), " + GROUPED.format(key="superpathway")
+
+
+@query(HEATMAP)
 def superpathway_heatmap(spark, d):
-    e = view(spark, d, "v_path").select("superpathway", "ec").distinct()
-    return _rpkm(spark, d).join(view(spark, d, "v_gene_ec"), "gene_id").join(e, "ec").groupBy("superpathway").agg(F.round(F.sum("rpkm"), 4).alias("rpkm"))
+    return _heatmap(spark, d)
+
+
+@query(f"SELECT * FROM ({HEATMAP}) WHERE taxid <> 1")
+def superpathway_heatmap_classified(spark, d):
+    return _heatmap(spark, d).filter(F.col("taxid") != T.ROOT)
 
 
 @query("""WITH e AS (SELECT DISTINCT superpathway, ec FROM v_path), m AS (SELECT DISTINCT ec FROM v_gene_ec WHERE gene_id IN (SELECT gene_id FROM v_gene_reads WHERE tool = 'A' AND context = 'F'))
@@ -350,10 +371,13 @@ def segment_share(spark, d):
     return seg.join(total, "contig_id").select("contig_id", "gene_id", F.round(F.col("length") / F.col("total"), 6).alias("share"))
 
 
-@query("SELECT gene_id, n.nation AS taxon, count(*) AS reads FROM v_gene_reads JOIN (SELECT o_orderkey AS read_id, n_name AS nation FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) n USING (read_id) GROUP BY ALL")
+@query("""WITH c AS (SELECT DISTINCT gene_id, read_id FROM v_gene_reads), n AS (SELECT o_orderkey AS read_id, n_name AS taxon FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+e AS (SELECT gene_id, string_agg(DISTINCT ec, '|' ORDER BY ec) AS ecs FROM v_gene_ec WHERE ec NOT LIKE '1.%' GROUP BY gene_id)
+SELECT gene_id, taxon, length, count(*) AS reads, coalesce(ecs, '0.0.0.0') AS ecs FROM c JOIN n USING (read_id) JOIN v_genes USING (gene_id) LEFT JOIN e USING (gene_id) GROUP BY ALL""")
 def gene_taxon_counts(spark, d):
     t = view(spark, d, "orders").join(view(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(view(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return view(spark, d, "v_gene_reads").join(t.select(F.col("o_orderkey").alias("read_id"), F.col("n_name").alias("taxon")), "read_id").groupBy("gene_id", "taxon").agg(F.count(F.lit(1)).alias("reads"))
+    taxa = t.select(F.col("o_orderkey").alias("read_id"), F.col("n_name").alias("taxon"))
+    return maps.gene_taxon_counts(view(spark, d, "v_gene_reads"), taxa, view(spark, d, "v_genes"), view(spark, d, "v_gene_ec").filter(~F.col("ec").startswith("1.")))
 
 
 @query("SELECT DISTINCT gene, CASE WHEN len(string_split(gene, '|')) = 9 THEN string_split(gene, '|')[4] WHEN len(string_split(gene, '|')) = 5 THEN CASE WHEN contains(gene, '||') THEN split_part(gene, '||', 2) ELSE string_split(gene, '|')[1] END ELSE split_part(gene, '.', 1) END AS key FROM (SELECT CASE gene_id % 4 WHEN 0 THEN concat('t', CAST(gene_id AS STRING), '|a|b|c|d') WHEN 1 THEN concat('a|b|c|', CAST(gene_id AS STRING), '|e|f|g|h|i') WHEN 2 THEN concat('x||', CAST(gene_id AS STRING), '||y') ELSE concat(CAST(gene_id AS STRING), '.1') END AS gene FROM v_genes)")

@@ -10,6 +10,7 @@ from strandwise.operators import maps as M
 from strandwise.operators import taxonomy as T
 from strandwise.plans.read_queries import KMER, _texts
 from strandwise.plans.views import view, with_views
+from strandwise.scratch import scratch
 from strandwise.sources import formats as S
 from strandwise.streaming import funnel
 
@@ -28,21 +29,21 @@ def query(sql: str):
 
 @query("SELECT read_id, seq, qual FROM v_reads")
 def fastq_files(spark, d):
-    path = S.scratch(spark, "fastq")
+    path = scratch(spark, "fastq")
     S.write_fastq(view(spark, d, "v_reads"), path, 1000)
     return S.read_fastq(spark, path)
 
 
 @query("SELECT read_id AS id, seq, length(seq) AS length FROM v_reads")
 def fasta_files(spark, d):
-    path = S.scratch(spark, "fasta")
+    path = scratch(spark, "fasta")
     S.write_fasta(view(spark, d, "v_reads").withColumnRenamed("read_id", "id"), path, 60)
     return S.read_fasta(spark, path).select("id", "seq", "length")
 
 
 @query("SELECT CAST(query AS VARCHAR) AS query, flag, CAST(target AS VARCHAR) AS target, cigar, as_score FROM v_aln")
 def sam_files(spark, d):
-    path = S.scratch(spark, "sam")
+    path = scratch(spark, "sam")
     line = F.concat_ws("\t", F.col("query").cast("string"), F.col("flag").cast("string"), F.col("target").cast("string"), F.lit("1\t60"), "cigar", F.lit("*\t0\t0\t*\t*"), F.concat(F.lit("AS:i:"), F.col("as_score").cast("string")))
     view(spark, d, "v_aln").select(line.alias("value")).write.text(path)
     return S.read_sam(spark, path)
@@ -50,7 +51,7 @@ def sam_files(spark, d):
 
 @query("SELECT CAST(query AS VARCHAR) AS query, CAST(target AS VARCHAR) AS target, round(identity, 4) AS identity, aln_len, CAST(bitscore AS DOUBLE) AS bitscore FROM v_hits")
 def blast_tab_files(spark, d):
-    path = S.scratch(spark, "hits")
+    path = scratch(spark, "hits")
     text = lambda c: F.col(c).cast("string")
     line = F.concat_ws("\t", text("query"), text("target"), text("identity"), text("aln_len"), F.lit("0\t0\t1\t9\t1\t9\t1e-5"), text("bitscore"))
     view(spark, d, "v_hits").select(line.alias("value")).write.text(path)
@@ -59,14 +60,14 @@ def blast_tab_files(spark, d):
 
 @query("SELECT CAST(gene_id AS VARCHAR) AS gene_id, length, CAST(read_id AS VARCHAR) AS read_id, round(score, 2) AS score FROM v_gene_reads JOIN v_genes USING (gene_id)")
 def gene_map_files(spark, d):
-    path = S.scratch(spark, "gene-map")
+    path = scratch(spark, "gene-map")
     S.write_gene_map(view(spark, d, "v_gene_reads").join(view(spark, d, "v_genes"), "gene_id"), path)
     return S.read_ragged_map(spark, path).withColumn("score", F.round("score", 2))
 
 
 @query("SELECT taxid, parent, rank FROM v_nodes UNION ALL SELECT 0, 1, 'no rank'")
 def dmp_files(spark, d):
-    path = S.scratch(spark, "nodes")
+    path = scratch(spark, "nodes")
     row = F.concat_ws("\t|\t", F.col("taxid").cast("string"), F.col("parent").cast("string"), "rank", F.lit("\t|"))
     view(spark, d, "v_nodes").select(row.alias("value")).write.text(path)
     return S.read_dmp_nodes(spark, path)
@@ -76,7 +77,7 @@ def dmp_files(spark, d):
 def incremental_funnel(spark, d):
     schema = view(spark, d, "events").schema
     # A pattern, as a stream refuses the plain path of a single file.
-    got = funnel.incremental_counts(spark, f"{d}/event[s].parquet", schema, ["event_type"], {"n": F.lit(1), "total": F.col("value").cast("decimal(28,6)")}, S.scratch(spark, "funnel"), S.scratch(spark, "funnel-state"))
+    got = funnel.incremental_counts(spark, f"{d}/event[s].parquet", schema, ["event_type"], {"n": F.lit(1), "total": F.col("value").cast("decimal(28,6)")}, scratch(spark, "funnel"), scratch(spark, "funnel-state"))
     return got.select("event_type", "n", F.round(F.col("total").cast("double"), 2).alias("total"))
 
 
@@ -103,13 +104,14 @@ def flush_unmapped_contigs(spark, d):
     return M.flush_unmapped_contigs(view(spark, d, "supplier").select(F.col("s_suppkey").alias("contig_id"), "s_name"), view(spark, d, "v_contig"))
 
 
-TAXA_OF = "SELECT g.read_id, g.gene_id, CASE WHEN g.tool = 'A' THEN 0 ELSE 1 END AS priority, 100 + g.gene_id % 25 AS taxid FROM v_gene_reads g"
-
-
-@query(f"SELECT read_id, taxid FROM ({TAXA_OF}) QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY priority, gene_id) = 1")
+@query("""WITH g AS (SELECT name, l_orderkey AS read_id FROM lineitem JOIN v_gene_names ON gene_id = l_partkey), n AS (SELECT DISTINCT name, string_split(name, '|') AS p FROM g),
+s AS (SELECT name, CASE WHEN len(p) = 5 AND contains(name, '|k__') THEN NULL WHEN len(p) = 9 THEN split_part(p[4], '.', 1) WHEN contains(name, '||') THEN split_part(name, '||', 2) ELSE split_part(name, '.', 1) END AS accession, CASE WHEN len(p) = 5 AND contains(name, '|k__') THEN CAST(split_part(p[1], '_', 1) AS INT) END AS named FROM n),
+t AS (SELECT name, coalesce(a.taxid, named) AS taxid, CASE WHEN a.taxid IS NOT NULL THEN 0 ELSE 1 END AS priority FROM s LEFT JOIN v_acc_taxid a USING (accession))
+SELECT read_id, taxid FROM g JOIN t USING (name) WHERE taxid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY priority, name) = 1""")
 def accession_to_taxid(spark, d):
-    g = view(spark, d, "v_gene_reads")
-    return T.best_accession(g.select("read_id", "gene_id", F.when(F.col("tool") == "A", 0).otherwise(1).alias("priority"), (100 + F.col("gene_id") % 25).alias("taxid")))
+    named = view(spark, d, "v_gene_names").select("gene_id", "name")
+    g = view(spark, d, "lineitem").select(F.col("l_partkey").alias("gene_id"), F.col("l_orderkey").alias("read_id")).join(named, "gene_id").select(F.col("name").alias("gene_id"), "read_id")
+    return T.accession_to_taxid(g, view(spark, d, "v_acc_taxid"))
 
 
 SEGMENTS = "s AS (SELECT DISTINCT l_suppkey AS contig_id FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)"
@@ -224,4 +226,4 @@ def dedup_seqs_by_id(spark, d):
 @query("""WITH RECURSIVE p AS (SELECT taxid, [taxid] AS k FROM v_nodes WHERE taxid = 1 UNION ALL SELECT n.taxid, list_append(k, n.taxid) FROM v_nodes n JOIN p ON n.parent = p.taxid WHERE n.taxid <> 1)
 SELECT taxid, CAST(row_number() OVER (ORDER BY k) AS INT) AS place FROM p""")
 def sort_taxa_by_lineage(spark, d):
-    return M.lineage_order(view(spark, d, "v_nodes"))
+    return T.lineage_order(view(spark, d, "v_nodes"))

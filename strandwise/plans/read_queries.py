@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import reads as R
 from strandwise.operators import hits as H
+from strandwise.operators import maps as M
 from strandwise.operators import route as P
 from strandwise.plans.views import view, with_views
 
@@ -177,16 +178,16 @@ def fractional_contig_counts(spark, d):
     return P.fractional_counts(_contigs(spark, d)).select("contig_id", F.round("reads", 6).alias("reads"))
 
 
-@query("SELECT pos, count(*) AS n, round(avg(q), 6) AS mean, round(coalesce(stddev_samp(q), 0), 6) AS sd, median(q) AS median, max(q) AS highest, min(q) AS lowest FROM (SELECT generate_subscripts(string_split(qual, ''), 1) - 1 AS pos, ascii(unnest(string_split(qual, ''))) AS q FROM v_reads WHERE qual <> '') GROUP BY pos")
+@query("SELECT pos, count(*) AS n, round(avg(q), 6) AS mean, round(coalesce(stddev_samp(q), 0), 6) AS sd, median(q) AS median, max(q) AS highest, min(q) AS lowest, quantile_cont(q, 0.25) AS q1, quantile_cont(q, 0.75) AS q3 FROM (SELECT generate_subscripts(string_split(qual, ''), 1) - 1 AS pos, ascii(unnest(string_split(qual, ''))) AS q FROM v_reads WHERE qual <> '') GROUP BY pos")
 def per_base_quality(spark, d):
-    chars = view(spark, d, "v_reads").select(F.posexplode(F.filter(F.split("qual", ""), lambda c: c != "")).alias("pos", "c"))
-    # One row for each place and code, counted map-side, holds all that the measures need.
-    per = chars.groupBy("pos", F.ascii("c").alias("q")).agg(F.count(F.lit(1)).alias("k"))
+    # One row for each place and code holds all that the measures need.
+    per = R.per_base_codes(view(spark, d, "v_reads"))
     q, k = F.col("q"), F.col("k")
-    sums = per.groupBy("pos").agg(F.sum("k").alias("n"), F.sum(q * k).alias("s"), F.sum((q * q * k).cast("double")).alias("s2"), F.percentile("q", F.lit(0.5), k).alias("median"), F.max("q").alias("highest"), F.min("q").alias("lowest"))
+    quarters = F.percentile("q", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), k)
+    sums = per.groupBy("pos").agg(F.sum("k").alias("n"), F.sum(q * k).alias("s"), F.sum((q * q * k).cast("double")).alias("s2"), quarters.alias("p"), F.max("q").alias("highest"), F.min("q").alias("lowest"))
     variance = (F.col("s2") - F.col("s").cast("double") * F.col("s") / F.col("n")) / (F.col("n") - 1)
     sd = F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0))
-    return sums.select("pos", "n", F.round(F.col("s") / F.col("n"), 6).alias("mean"), F.round(sd, 6).alias("sd"), "median", "highest", "lowest")
+    return sums.select("pos", "n", F.round(F.col("s") / F.col("n"), 6).alias("mean"), F.round(sd, 6).alias("sd"), F.get("p", 1).alias("median"), "highest", "lowest", F.get("p", 0).alias("q1"), F.get("p", 2).alias("q3"))
 
 
 @query("SELECT CAST(floor(mean / 10) * 10 AS INT) AS bin, count(*) AS n, CAST(sum(len) AS BIGINT) AS bases FROM (SELECT length(qual) AS len, list_avg(list_transform(string_split(qual, ''), lambda c: ascii(c))) AS mean FROM v_reads WHERE qual <> '') GROUP BY 1")
@@ -208,12 +209,23 @@ def change_metrics(spark, d):
     return both.select("before", "after", (F.col("after") - F.col("before")).alias("difference"), F.round(100.0 * (F.col("after") - F.col("before")) / F.col("before"), 2).alias("percent"))
 
 
-@query("""WITH s AS (SELECT doc_id, length(qual) >= 100 AS hq, seq LIKE '%GATTAC%' AS host, lang <> 'en' AS rrna FROM v_reads JOIN documents USING (doc_id))
-SELECT count(*) AS raw, count(*) FILTER (hq) AS hq, count(*) FILTER (hq AND host) AS host, count(*) FILTER (hq AND NOT host AND rrna) AS rrna, count(*) FILTER (hq AND NOT host AND NOT rrna) AS mrna,
-printf('%.2f', 100.0 * count(*) FILTER (hq) / count(*)) AS hq_percent FROM s""")
+STAGES = "s AS (SELECT read_id, length(qual) >= 100 AS hq, seq LIKE '%GATTAC%' AS host, seq LIKE '%CCAATT%' AS vector, lang <> 'en' AS rrna, source, n_chars FROM v_reads JOIN documents USING (doc_id))"
+PERCENT = "printf('%.2f', 100.0 * {part} / {whole}) AS {part}_percent"
+
+
+@query(f"""WITH {STAGES}, c AS (SELECT count(*) AS raw, count(*) FILTER (hq) AS hq, count(*) FILTER (hq AND host) AS host, count(*) FILTER (hq AND NOT host AND vector) AS vector, count(*) FILTER (hq AND NOT host AND NOT vector AND rrna) AS rrna, count(*) FILTER (hq AND NOT host AND NOT vector AND NOT rrna) AS mrna FROM s),
+g AS (SELECT read_id, source AS gene_id FROM s WHERE hq AND NOT host AND NOT vector AND NOT rrna AND n_chars > 500 UNION ALL SELECT read_id, concat(source, 'b') FROM s WHERE hq AND NOT host AND NOT vector AND NOT rrna AND n_chars > 1000),
+h AS (SELECT count(DISTINCT read_id) AS annotated, count(DISTINCT gene_id) AS genes FROM g),
+e AS (SELECT count(DISTINCT ec) FILTER (tier = 'HQ') AS ecs_hq, count(DISTINCT ec) AS ecs_lq FROM (SELECT ec, CASE WHEN prob >= 0.5 THEN 'HQ' ELSE 'LQ' END AS tier FROM v_ec_pred))
+SELECT raw, hq, host, vector, rrna, mrna, annotated, genes, ecs_hq, ecs_lq, {', '.join(PERCENT.format(part=p, whole='raw') for p in ('hq', 'host', 'vector', 'rrna', 'mrna'))}, {PERCENT.format(part='annotated', whole='mrna')} FROM c, h, e""")
 def read_funnel(spark, d):
-    v = view(spark, d, "v_reads").join(view(spark, d, "documents").select("doc_id", "lang"), "doc_id")
-    s = v.select((F.length("qual") >= 100).alias("hq"), F.col("seq").contains("GATTAC").alias("host"), (F.col("lang") != "en").alias("rrna"))
-    hq, host, rrna = F.col("hq"), F.col("host"), F.col("rrna")
-    one = s.agg(F.count(F.lit(1)).alias("raw"), F.count_if(hq).alias("hq"), F.count_if(hq & host).alias("host"), F.count_if(hq & ~host & rrna).alias("rrna"), F.count_if(hq & ~host & ~rrna).alias("mrna"))
-    return one.withColumn("hq_percent", F.format_string("%.2f", 100.0 * F.col("hq") / F.col("raw")))
+    v = view(spark, d, "v_reads").join(view(spark, d, "documents").select("doc_id", "lang", "source", "n_chars"), "doc_id")
+    s = v.select("read_id", "source", "n_chars", (F.length("qual") >= 100).alias("hq"), F.col("seq").contains("GATTAC").alias("host"), F.col("seq").contains("CCAATT").alias("vector"), (F.col("lang") != "en").alias("rrna"))
+    hq, host, vector, rrna = F.col("hq"), F.col("host"), F.col("vector"), F.col("rrna")
+    mrna = hq & ~host & ~vector & ~rrna
+    counts = s.agg(F.count(F.lit(1)).alias("raw"), F.count_if(hq).alias("hq"), F.count_if(hq & host).alias("host"), F.count_if(hq & ~host & vector).alias("vector"), F.count_if(hq & ~host & ~vector & rrna).alias("rrna"), F.count_if(mrna).alias("mrna"))
+    # A gene map that leaves short reads without a gene and gives long ones two.
+    long = s.filter(mrna)
+    genes = long.filter("n_chars > 500").select("read_id", F.col("source").alias("gene_id")).unionByName(long.filter("n_chars > 1000").select("read_id", F.concat("source", F.lit("b")).alias("gene_id")))
+    ecs = view(spark, d, "v_ec_pred")
+    return M.read_funnel(counts, genes, ecs.filter("prob >= 0.5"), ecs)

@@ -22,6 +22,10 @@ VIEWS = {
     "v_genes": "SELECT p_partkey AS gene_id, p_size * 100 AS length FROM {part}",
     "v_nodes": "SELECT 1 AS taxid, 1 AS parent, 'root' AS rank, 'root' AS name UNION ALL SELECT 10 + r_regionkey, 1, 'superkingdom', r_name FROM {region} UNION ALL SELECT 100 + n_nationkey, 10 + n_regionkey, 'phylum', n_name FROM {nation} UNION ALL SELECT DISTINCT 1000 + 26 * c_nationkey + ascii(c_mktsegment) - 65, 100 + c_nationkey, 'genus', concat(c_mktsegment, CAST(c_nationkey AS STRING)) FROM {customer} UNION ALL SELECT CAST(1000000 + c_custkey AS INT), 1000 + 26 * c_nationkey + ascii(c_mktsegment) - 65, 'species', c_name FROM {customer}",
     "v_read_taxon": "SELECT o_orderkey AS read_id, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(1000000 + o_custkey AS INT) END AS taxid, 'kmer' AS tool, 1 AS weight FROM {orders} UNION ALL SELECT l_orderkey, CAST(100 + s_nationkey AS INT), 'gene', 3 FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey WHERE l_linenumber = 1 UNION ALL SELECT o_orderkey, CAST(1000000 + (o_custkey + o_orderkey % 3) AS INT), 'marker', 1 FROM {orders} WHERE o_orderpriority = '5-LOW'",
+    "v_read_taxid": "SELECT o_orderkey AS read_id, CASE WHEN o_orderstatus = 'P' THEN 0 WHEN o_orderpriority = '1-URGENT' THEN CAST(1000000 + o_custkey AS INT) WHEN o_orderpriority = '2-HIGH' THEN CAST(1000 + 26 * c_nationkey + ascii(c_mktsegment) - 65 AS INT) WHEN o_orderpriority = '3-MEDIUM' THEN CAST(100 + c_nationkey AS INT) WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(10 + n_regionkey AS INT) ELSE 5000000 END AS taxid FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey",
+    "v_gene_maps": "SELECT l_partkey AS gene_id, l_orderkey AS read_id, CAST(floor(l_quantity / 10) AS INT) AS score, CASE l_returnflag WHEN 'A' THEN 'bwa' WHEN 'N' THEN 'blat' ELSE 'dmd' END AS tool, CASE WHEN l_linestatus = 'F' THEN 'contigs' WHEN l_linenumber < 3 THEN 'singletons' ELSE 'pair_1' END AS context FROM {lineitem}",
+    "v_gene_names": "SELECT p_partkey AS gene_id, CASE p_type WHEN 'ECONOMY' THEN concat(CAST(100 + p_size AS STRING), '__x|k__Bacteria|p__y|s__z|g', CAST(p_partkey AS STRING)) WHEN 'PROMO' THEN concat('gi|', CAST(p_partkey AS STRING), '|ref|A', CAST(p_partkey AS STRING), '.2|a|b|c|d|e') WHEN 'LARGE' THEN concat('x||A', CAST(p_partkey AS STRING), '||y') ELSE concat('A', CAST(p_partkey AS STRING), '.1') END AS name FROM {part}",
+    "v_acc_taxid": "SELECT concat('A', CAST(p_partkey AS STRING)) AS accession, CAST(200 + p_size AS INT) AS taxid FROM {part} WHERE p_size > 5",
     "v_ec_pred": "SELECT l_partkey AS gene_id, concat('1.', replace(p_brand, 'Brand#', ''), '.', CAST(length(p_type) AS STRING), '.', CAST(l_linenumber AS STRING)) AS ec, round(10 * l_discount, 2) + 0.0 AS prob, l_returnflag AS tool, l_tax * 0.001 AS evalue FROM {lineitem} JOIN {part} ON l_partkey = p_partkey",
     "v_gene_ec": "SELECT p_partkey AS gene_id, concat('1.', replace(p_brand, 'Brand#', ''), '.', CAST(length(p_type) AS STRING), '.', CAST(p_size % 5 AS STRING)) AS ec FROM {part} UNION ALL SELECT p_partkey, concat('2.', CAST(p_size AS STRING), '.', CAST(length(p_type) AS STRING), '.1') FROM {part} WHERE p_size % 3 = 0",
     "v_path": "SELECT DISTINCT p_type AS pathway_id, concat('1.', replace(p_brand, 'Brand#', ''), '.', CAST(length(p_type) AS STRING), '.', CAST(p_size % 5 AS STRING)) AS ec, concat('super', CAST(length(p_type) % 3 AS STRING)) AS superpathway FROM {part} WHERE p_size % 2 = 0",

@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandwise.scratch import numbered
+
 #: Reads that one line of a gene map names at most; a gene with more has several lines, which the reader unites.
 READS_PER_LINE = 10_000
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; a session without one (a local test) gets a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = tempfile.mkdtemp(prefix="strandwise-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
-
-
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, line (0-based within its file) and value of every line, blank ones included.
 
@@ -55,6 +45,13 @@ def split_files(lines: DataFrame, path: str, per_file: int = 0) -> None:
     lines.write.option("maxRecordsPerFile", per_file if per_file >= 2 else 0).text(path)
 
 
+def chunked(rows: DataFrame, keys: list[str], per_chunk: int) -> DataFrame:
+    """rows with chunk_id: numbered by keys (which must tell rows apart) from 0, per_chunk rows a chunk; below 2 all rows are chunk 0."""
+    if per_chunk < 2:
+        return rows.withColumn("chunk_id", F.lit(0).cast("long"))
+    return numbered(rows, keys, "chunk_id").withColumn("chunk_id", F.floor(F.col("chunk_id") / per_chunk).cast("long"))
+
+
 def _blocks(spark: SparkSession, path: str, separator: str, mark: str = "") -> DataFrame:
     """Non-blank records between separators, without the mark that the first one of a file begins with."""
     value = F.regexp_replace("value", f"^{mark}", "") if mark else F.col("value")
@@ -132,8 +129,22 @@ def write_gene_map(gene_reads: DataFrame, path: str) -> None:
     line.select(F.concat_ws("\t", F.col("gene_id").cast("string"), F.col("length").cast("string"), F.size("reads").cast("string"), F.array_join("reads", "\t")).alias("value")).write.text(path)
 
 
+def write_contig_map(contig_reads: DataFrame, path: str) -> None:
+    """Lines contig_id, reads in the line, read ids; no line names over about READS_PER_LINE reads."""
+    n = contig_reads.groupBy("contig_id").agg(F.ceil(F.count(F.lit(1)) / READS_PER_LINE).alias("lines"))
+    rows = contig_reads.join(n, "contig_id").withColumn("part", F.pmod(F.xxhash64("read_id"), F.col("lines")))
+    line = rows.groupBy("contig_id", "part").agg(F.collect_list(F.col("read_id").cast("string")).alias("reads"))
+    line.select(F.concat_ws("\t", F.col("contig_id").cast("string"), F.size("reads").cast("string"), F.array_join("reads", "\t")).alias("value")).write.text(path)
+
+
+def read_contig_map(spark: SparkSession, path: str) -> DataFrame:
+    """contig_id, read_id of a contig map, whose reads begin in the third field; lines of up to five characters are skipped."""
+    rows = _fields(spark, path).filter(F.length("value") > 5)
+    return rows.select(F.get("f", 0).alias("contig_id"), F.explode(F.expr("slice(f, 3, greatest(size(f) - 2, 0))")).alias("read_id"))
+
+
 def read_ragged_map(spark: SparkSession, path: str) -> DataFrame:
-    """gene_id, length, read_id, score of a gene map (contig maps have no score: null); lines of up to five characters are skipped."""
+    """gene_id, length, read_id, score of a gene map, whose reads begin in the fourth field; lines of up to five characters are skipped."""
     rows = _fields(spark, path).filter(F.length("value") > 5)
     one = rows.select(F.get("f", 0).alias("gene_id"), F.get("f", 1).cast("int").alias("length"), F.explode(F.expr("slice(f, 4, greatest(size(f) - 3, 0))")).alias("r"))
     return one.select("gene_id", "length", F.substring_index("r", "<", 1).alias("read_id"), F.regexp_extract("r", "<[^>]+>(.*)$", 1).try_cast("double").alias("score"))
@@ -153,13 +164,19 @@ def read_dmp_names(spark: SparkSession, path: str) -> DataFrame:
     return f.filter(F.get("f", 3) == "scientific name").select(F.get("f", 0).cast("int").alias("taxid"), F.get("f", 1).alias("name")).unionByName(zero)
 
 
+def read_vote_report(spark: SparkSession, path: str) -> DataFrame:
+    """read_id, assignment: the first and the last field of a vote report of nine or twelve fields; other rows go."""
+    return _fields(spark, path).filter(F.size("f").isin(9, 12)).select(F.get("f", 0).alias("read_id"), F.element_at("f", -1).try_cast("int").alias("assignment"))
+
+
 def read_priam_blocks(spark: SparkSession, path: str, best_only: bool = True) -> DataFrame:
-    """query, ec, prob, evalue of blocks that a >query line heads; rows behind a # are not the best ones."""
+    """query, ec, prob, evalue and best of blocks that a >query line heads; rows behind a # are not the best ones."""
     rows = _blocks(spark, path, "\n>", ">").select(F.split("value", "\n").alias("l"))
     one = rows.select(F.split_part(F.trim(F.get("l", 0)), F.lit(" "), F.lit(1)).alias("query"), F.explode(F.expr("slice(l, 2, greatest(size(l) - 1, 0))")).alias("r")).filter("trim(r) <> ''")
-    kept = one.filter(~F.ltrim("r").startswith("#")) if best_only else one
+    best = ~F.ltrim("r").startswith("#")
+    kept = one.filter(best) if best_only else one
     f = F.transform(F.split(F.ltrim(F.col("r"), F.lit("# ")), "\t"), lambda x: F.trim(x))
-    return kept.select("query", F.get(f, 0).alias("ec"), F.get(f, 1).try_cast("double").alias("prob"), F.get(f, 2).try_cast("double").alias("evalue"))
+    return kept.select("query", F.get(f, 0).alias("ec"), F.get(f, 1).try_cast("double").alias("prob"), F.get(f, 2).try_cast("double").alias("evalue"), best.alias("best"))
 
 
 def read_ec_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -183,7 +200,7 @@ def read_pathway(spark: SparkSession, path: str) -> DataFrame:
 
 def read_superpathway(spark: SparkSession, path: str) -> DataFrame:
     """superpathway, pathway_id, pathway of a quoted CSV with header."""
-    return spark.read.schema("superpathway string, pathway_id string, pathway string").option("header", True).option("enforceSchema", True).csv(path)
+    return spark.read.schema("superpathway string, pathway_id string, pathway string").option("header", True).option("enforceSchema", True).option("escape", '"').csv(path)
 
 
 def write_table(df: DataFrame, path: str, kind: str = "tsv") -> None:
@@ -195,5 +212,5 @@ def write_table(df: DataFrame, path: str, kind: str = "tsv") -> None:
 
 
 def concat_reports(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The lines of several reports, with the file of each."""
-    return spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("report"))
+    """The lines of several reports, with the name and the path of the file of each."""
+    return spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("report"), F.col("_metadata.file_path").alias("path"))

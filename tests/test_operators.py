@@ -34,11 +34,74 @@ def test_cigar_and_codons(spark):
     assert tuple(got[1]) == (0.0, "", "")
 
 
-def test_rollup_conserves_reads_and_missing_parent_is_root(spark):
-    nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 99)], "taxid int, parent int")
-    counts = spark.createDataFrame([(3, 5), (4, 2), (77, 1)], "taxid int, reads long")
-    got = {r.taxid: r.reads for r in taxonomy.rollup(counts, nodes, 4, 3).collect()}
-    assert got == {3: 5, 1: 3}
+def test_rollup_gives_small_taxa_to_the_nearest_present_ancestor(spark):
+    nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 99), (5, 3), (6, 5)], "taxid int, parent int")
+    counts = spark.createDataFrame([(6, 3), (3, 1), (4, 2), (77, 1), (0, 7)], "taxid int, reads long")
+    # 6 is small; 5 has no reads, so 3 takes them and reaches the cutoff; a taxon that the tree lacks stands below the root.
+    got = {r.taxid: (r.reported, r.reads) for r in taxonomy.rollup(counts, nodes, least=4).collect()}
+    assert got == {6: (3, 3), 3: (3, 1), 4: (1, 2), 77: (1, 1), 1: (1, 7)}
+    assert {r.taxid: r.reads for r in taxonomy.rolled_counts(taxonomy.rollup(counts, nodes, least=4)).collect()} == {3: 4, 1: 10}
+    # A share of the 7 reads below the root; a count equal to the cutoff stays.
+    assert {r.taxid: r.reported for r in taxonomy.rollup(counts, nodes, share=2 / 7).collect()} == {6: 6, 3: 1, 4: 4, 77: 1, 1: 1}
+    reads = spark.createDataFrame([("a", 6), ("b", 0), ("c", 4)], "read_id string, taxid int")
+    assert sorted(map(tuple, taxonomy.repointed(reads, taxonomy.rollup(counts, nodes, least=4)).collect())) == [("a", 3), ("b", 1), ("c", 1)]
+    assert taxonomy.rollup(counts.limit(0), nodes).count() == 0
+
+
+def test_deep_and_large_trees(spark):
+    import pytest
+
+    chain = spark.createDataFrame([(1, 1)] + [(k, k - 1) for k in range(2, 62)], "taxid int, parent int")
+    up = taxonomy.ancestor_closure(chain)
+    assert up.count() == 61 * 62 // 2 and up.filter("taxid = 61").agg(F.max("distance")).first()[0] == 60
+    leaf = spark.createDataFrame([(61, 1), (2, 100)], "taxid int, reads long")
+    assert {r.taxid: r.reads for r in taxonomy.rolled_counts(taxonomy.rollup(leaf, chain, least=10)).collect()} == {2: 101}
+    every = spark.range(2, 62).selectExpr("CAST(id AS INT) AS taxid", "1L AS reads")
+    got = {r.taxid: r.reads for r in taxonomy.rolled_counts(taxonomy.rollup(every, chain, least=7)).collect()}
+    assert got == {k: 7 for k in range(6, 62, 7)} | {1: 4}
+    ranked = chain.withColumn("rank", F.when(F.col("taxid") == 61, "species").when(F.col("taxid") == 2, "superkingdom").otherwise("no rank"))
+    names = chain.select("taxid", F.concat(F.lit("n"), "taxid").alias("name"))
+    reads = spark.createDataFrame([("a", 61), ("b", 3), ("c", 0), ("d", 99)], "read_id string, taxid int")
+    assert sorted(map(tuple, taxonomy.classified_reads(reads, ranked, names).collect())) == [("C", "a", "no root;k_;p_;c_;o_;f_;g_;s_n61"), ("C", "b", "root;k_n2"), ("U", "c", "unclassified"), ("U", "d", "unclassified")]
+    wide = spark.range(1, 500_001).selectExpr("CAST(id AS INT) AS taxid", "CAST(CASE WHEN id < 1000 THEN 1 ELSE id % 998 + 2 END AS INT) AS parent")
+    assert taxonomy.ancestor_closure(wide).count() == 1 + 2 * 998 + 3 * (500_000 - 999)
+    assert taxonomy.ancestor_closure(wide, spark.createDataFrame([(499_999,), (7,), (-5,)], "taxid int")).count() == 5
+    with pytest.raises(ValueError, match="cycle"):
+        taxonomy.ancestor_closure(spark.createDataFrame([(1, 1), (2, 3), (3, 2)], "taxid int, parent int"))
+
+
+def test_checks_of_mates(spark):
+    import pytest
+
+    a, b, c = (spark.createDataFrame([(x,) for x in ids], "read_id string") for ids in ("xy", "yx", "xz"))
+    route.assert_same_ids(a, b, "quality")
+    with pytest.raises(ValueError, match="quality"):
+        route.assert_same_ids(a, c, "quality")
+    route.assert_pairs_balanced({"host": (a, c)})
+    with pytest.raises(ValueError, match="bad data in vectors: 2 and 3 reads"):
+        route.assert_pairs_balanced({"host": (a, b), "vectors": (a, b.unionByName(c.filter("read_id = 'z'")))})
+    with pytest.raises(ValueError, match="x is in both"):
+        route.assert_disjoint(a, c, "contig map")
+    route.assert_disjoint(a, c.filter("read_id = 'z'"), "contig map")
+
+
+def test_kmers_do_not_mix_up_words(spark):
+    reads = spark.createDataFrame([(1, "a b c d e"), (2, "ab c d e"), (3, "a  b c"), (4, None), (5, "")], "id int, seq string")
+    ref = spark.createDataFrame([(9, "x b c d e b c d")], "id int, seq string")
+    assert sorted(map(tuple, route.kmer_counts(reads, ref, 3, " ").collect())) == [(1, 9, 2), (2, 9, 1)]
+    assert [tuple(r) for r in route.kmer_screen(reads, ref, 3, 2, " ").collect()] == [(1, 2)]
+
+
+def test_gene_sources(spark):
+    names = ["123__x|k__B|p__y|s__z|g", "gi|1|ref|ACC.2|a|b|c|d|e", "x||ACC||y", "ACC.1", "a|b|c|d|e", ""]
+    got = [tuple(r.s) for r in spark.createDataFrame([(n,) for n in names], "g string").select(X.gene_source(F.col("g")).alias("s")).collect()]
+    assert got == [(None, 123), ("ACC", None), ("ACC", None), ("ACC", None), ("a|b|c|d|e", None), ("", None)]
+
+
+def test_per_base_counts_of_uneven_reads(spark):
+    rows = [("II#",), ("",), (None,), ("I",), ("#" * 70_000,)] * 20
+    got = {(r.pos, r.q): r.k for r in R.per_base_codes(spark.createDataFrame(rows, "qual string")).collect()}
+    assert got[0, 73] == 40 and got[0, 35] == 20 and got[2, 35] == 40 and got[69_999, 35] == 20 and len(got) == 70_002
 
 
 def test_ec_consensus_without_pairs(spark):
@@ -75,7 +138,7 @@ def test_read_formats_on_edge_rows(spark, tmp_path):
     names = put("names.dmp", "2\t|\tBacteria\t|\tBacteria <x>\t|\tscientific name\t|\n2\t|\teubacteria\t|\t\t|\tsynonym\t|\n")
     assert sorted(map(tuple, S.read_dmp_names(spark, names).collect())) == [(0, "unclassified"), (2, "Bacteria")]
     priam = put("p.txt", ">g1 x\n1.1.1.1\t0.9\t1e-9\n# 2.2.2.2\t0.3\t1e-2\n\n>g2\n")
-    assert [tuple(r) for r in S.read_priam_blocks(spark, priam).collect()] == [("g1", "1.1.1.1", 0.9, 1e-9)]
+    assert [tuple(r) for r in S.read_priam_blocks(spark, priam).collect()] == [("g1", "1.1.1.1", 0.9, 1e-9, True)]
     assert S.read_priam_blocks(spark, priam, best_only=False).count() == 2
     pairs = put("pairs.txt", "EC1_EC2\tNum_of_prots\n1.1.1.1_2.2.2.2\t5\n")
     assert [tuple(r) for r in S.read_ec_pairs(spark, pairs).collect()] == [("1.1.1.1", "2.2.2.2", 5)]
@@ -159,10 +222,10 @@ def test_whole_tables_reach_the_rpkm_table(spark):
     best = Q._aln_best(spark, sf)
     reached = members.join(best, best.query == members.contig_id).select("target", "read_id", "score")
     assert reached.filter("read_id % 50 <> 0").count() > 0
-    got = Q.QUERIES["expand_contigs_whole"](spark, sf).select("gene_id", "read_id", "score")
+    got = Q.QUERIES["expand_contigs"](spark, sf).select("gene_id", "read_id", "score")
     assert reached.exceptAll(got).count() == 0
     reads = got.select("read_id").distinct().count()
-    assert Q.QUERIES["claim_read_once_whole"](spark, sf).count() == reads
+    assert Q.QUERIES["claim_read_once"](spark, sf).count() == reads
 
 
 def test_merge_pairs_with_long_overlaps_against_brute_force(spark):
