@@ -72,3 +72,11 @@ def numbered(df: DataFrame, keys: list[str], out: str) -> DataFrame:
     starts = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("start"))
     own = F.row_number().over(Window.partitionBy("part").orderBy(*keys)) - 1
     return dealt.withColumn(out, own).join(starts, "part").withColumn(out, (F.col("start") + F.col(out)).cast("long")).drop("start", "part")
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the files behind a frame that ``written`` gave, once no later frame reads them."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
