@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandwise.scratch import written  # noqa: F401
+
 #: Words are runs of anything but the six ASCII white-space characters.
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,22 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share. A session without one (a local test) gets a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="strandwise-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage, and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/strandwise/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the fifth of the rows that no model may learn from."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -49,9 +33,11 @@ def bind(value: Column, body) -> Column:
 def salted_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, buckets: int, sized: DataFrame | None = None) -> DataFrame:
     """Gapless 0-based rank of each row within its (non-null) keys, as a new long column ``out``.
 
-    A key may hold any share of the rows: every key is split into ``buckets`` hash buckets, each bucket is ranked
-    by itself, and a prefix sum over the bucket sizes (at most keys x buckets rows) turns that into one numbering.
-    ``sized`` may give a cheaper frame with the same rows (keys and order columns) from which to count.
+    A key may hold any share of the rows: every key is split into ``buckets`` hash buckets of the order columns, each
+    bucket is ranked by itself, and a prefix sum over the bucket sizes (at most keys x buckets rows) turns that into one
+    numbering. The order columns should tell all rows apart that differ in anything (add a hash of the content): rows equal
+    in all of them share a bucket, and a task that runs anew may swap them. ``sized`` may give a cheaper frame with the same
+    rows (keys and order columns) from which to count.
     """
     salt, first = f"{out}__salt", f"{out}__first"
     salted = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(buckets)).cast("int")
@@ -63,6 +49,11 @@ def salted_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: s
     return ranked.join(starts, [*keys, salt]).withColumn(out, F.col(out) + F.col(first)).drop(salt, first)
 
 
+def rank_buckets(rows: int) -> int:
+    """Hash buckets for ``salted_rank`` over that many rows: 256 at least, and no more than some 100,000 rows a bucket if one key holds all."""
+    return max(256, -(-rows // 100_000))
+
+
 def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker process, so that later tasks of the worker find what earlier ones cached."""
     import sys
@@ -71,14 +62,20 @@ def worker_store(name: str) -> dict:
     return sys.modules.setdefault("strandwise_worker_store", types.ModuleType("strandwise_worker_store")).__dict__.setdefault(name, {})
 
 
+#: Texts of more UTF-8 bytes are scored, but no model learns from them: with the number of rows it bounds what comes to the driver.
+LEARNED_BYTES = 100_000
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """text and y of at most ``rows`` labelled documents of each class, never of the held-out fifth; chosen by a hash of the id.
 
     The ids are chosen from the narrow label table, so only the chosen texts move; they are few enough to broadcast by
-    the bound on ``rows``.
+    the bound on ``rows``. An id that repeats in either table counts once (its smallest text by hash), and texts of more
+    than LEARNED_BYTES are left out: at most 2 * rows * LEARNED_BYTES bytes come back.
     """
     own = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).filter(F.col("__id").isNotNull() & F.col("y").isin(0, 1) & ~held_out("__id"))
-    picked = [own.filter(F.col("y") == y).dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id").limit(rows) for y in (0, 1)]
+    once = own.groupBy("__id").agg(F.max("y").alias("y"))
+    picked = [once.filter(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(rows) for y in (0, 1)]
     chosen = picked[0].unionByName(picked[1])
-    met = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-    return met.select("doc_id", "text", "y")
+    met = docs.select(F.col("doc_id").alias("__doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter(F.octet_length("text") <= LEARNED_BYTES).join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))
+    return met.groupBy(F.col("__doc").alias("doc_id"), "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")).select("doc_id", "text", "y")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.llm.common import written
+from strandwise.scratch import dropped
 
 
 def _star(links: DataFrame, both: DataFrame, larger: bool) -> DataFrame:
@@ -25,7 +26,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(edges, both, True)
-        edges = written(_star(large, large, False), "stars")
+        before, edges = edges, written(_star(large, large, False), "stars")
+        dropped(before)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
