@@ -5,7 +5,7 @@ apart (a word, or a beginning of it, is far more common in toxic than in ordinar
 one word of the text or one beginning of it, repeated up to a least size, so that what matches it does not depend on its
 neighbours. The toxic dictionary holds its commonest parts as whole windows: a window that is one of them becomes a
 single match, any other saves a few bytes at most. Every window is compressed twice, on the ordinary dictionary alone
-and on it followed by the toxic one, so that both know ordinary language equally well and the bytes saved measure toxic
+and on the toxic one followed by it, so that both know ordinary language equally well and the bytes saved measure toxic
 language. How many different words save how many bytes, counted and as a share of all, gives the score through a
 logistic calibration.
 """
@@ -42,8 +42,8 @@ REMEMBERED = 200_000
 SAVED, STEPS, RATE = (2, 3, 4, 5, 6, 8, 10, 12), 3_000, 0.5
 #: Least bytes of a match.
 MATCH = 4
-#: Short matches are what tells words apart; small tables suit windows of a few dozen bytes.
-PARAMETERS = {"window_log": 15, "hash_log": 12, "chain_log": 12, "search_log": 4, "min_match": MATCH, "target_length": 32, "strategy": zstandard.STRATEGY_GREEDY, "write_content_size": False, "write_checksum": False, "write_dict_id": False, "format": zstandard.FORMAT_ZSTD1_MAGICLESS}
+#: Short matches are what tells words apart; the chain table (2^15 places) holds every place of both contents.
+PARAMETERS = {"window_log": 15, "hash_log": 14, "chain_log": 15, "search_log": 4, "min_match": MATCH, "target_length": 32, "strategy": zstandard.STRATEGY_GREEDY, "write_content_size": False, "write_checksum": False, "write_dict_id": False, "format": zstandard.FORMAT_ZSTD1_MAGICLESS}
 
 
 def runs(text: str) -> list[bytes]:
@@ -82,16 +82,18 @@ class Distance:
 
     def __init__(self, ordinary: bytes, toxic: bytes):
         parameters = zstandard.ZstdCompressionParameters(**PARAMETERS)
-        both = [zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for d in (ordinary, ordinary + toxic)]
+        both = [zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for d in (ordinary, toxic + ordinary)]
         for d in both:
             d.precompute_compress(compression_params=parameters)
         self.plain, self.toxic = (zstandard.ZstdCompressor(dict_data=d, compression_params=parameters).compress for d in both)
-        self.grams = {toxic[i : i + MATCH] for i in range(len(toxic) - MATCH + 1)}
+        joined = toxic + ordinary[: MATCH - 1]
+        self.grams = {joined[i : i + MATCH] for i in range(len(toxic))}
         self.known: dict[str, int] = {}
 
     def _measured(self, part: bytes) -> int:
         w = window(part)
-        # A window that shares no least match with the toxic content is the same for both dictionaries.
+        # Without a least match in the toxic content, which stands before the ordinary one and so moves no distance to it,
+        # the compressor finds the same matches with both dictionaries and gives the same length.
         if not any(w[i : i + MATCH] in self.grams for i in range(len(part) + 1)):
             return 0
         return len(self.plain(w)) - len(self.toxic(w))
@@ -156,8 +158,12 @@ def train(rows: Sequence[tuple[str, int]], seed: int = 7) -> tuple[bytes, bytes,
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, held_out, score and predicted for every whole text; null counts as empty. Without labels of both kinds every score is 0."""
-    sample = [(r["text"], r["y"]) for r in labelled_sample(docs, labels, "toxic", rows).orderBy("doc_id").collect()]  # at most 2 * rows texts
+    """doc_id, held_out, score and predicted for every whole text, whatever its length; null counts as empty.
+
+    Every row has one row, repeats too; a null doc_id is not held out. Other columns of docs are ignored. Without labels of
+    both kinds every score is 0; an empty table gives no rows.
+    """
+    sample = [(r["text"], r["y"]) for r in labelled_sample(docs, labels, "toxic", rows).orderBy("doc_id").collect()]  # bounded, see there
     fitted = None
     if {y for _, y in sample} == {0, 1}:
         fitted = train(sample)
