@@ -10,16 +10,16 @@ Hits merge into the slot's group; nonmembers form groups of their own.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.llm.common import table
+from strandwise.scratch import written_counted
 
-#: Bits per remaining key in each level of the perfect hash.
-GAMMA = 2
+#: Bits per remaining key in each level of the perfect hash; digests of a shard of the index; repeats of a row that come back at once.
+GAMMA, DIGESTS, STEP = 2, 500_000, 10_000
 GROUP = "digest binary, keep_id long, group_size long"
 
 
@@ -134,8 +134,12 @@ def groups_of(rows: DataFrame) -> DataFrame:
 
 
 def digested(docs: DataFrame) -> DataFrame:
-    """doc_id and the SHA-256 of each whole text, nothing changed in it; null counts as empty."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)).alias("digest"))
+    """doc_id and the SHA-256 of each whole text, nothing changed in it; null counts as empty. Other columns of docs are ignored."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(_sha()).alias("digest"))
+
+
+def _sha() -> Column:
+    return F.sha2(F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8"), 256)
 
 
 def dedup(rows: DataFrame, history: DataFrame | None = None, shards: int | None = None) -> DataFrame:
@@ -143,21 +147,25 @@ def dedup(rows: DataFrame, history: DataFrame | None = None, shards: int | None
 
     Of equal texts the row with the largest doc_id stays (a null doc_id counts as smallest; among rows that repeat
     the same doc_id and text, one stays). Without a history the earlier half of the id range serves as history and
-    the later half as the batch. An empty table gives no rows.
+    the later half as the batch. An empty table gives no rows. The digests are worked out once and written, as several
+    steps read them; a shard of the index holds about DIGESTS of them.
     """
-    spark = rows.sparkSession
-    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every, n = written_counted(rows if history is None else rows.unionByName(history), "digests")
     if history is None:
-        low, high = rows.select(F.min("doc_id"), F.max("doc_id")).first()
+        low, high = every.select(F.min("doc_id"), F.max("doc_id")).first()
         cut = 0 if low is None else (low + high + 1) // 2
         old = F.coalesce(F.col("doc_id") < cut, F.lit(True))
-        history, batch, every = rows.filter(old), rows.filter(~old), rows
+        history, batch = every.filter(old), every.filter(~old)
     else:
-        batch, every = rows, rows.unionByName(history)
+        batch = rows
+    shards = shards or max(2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // DIGESTS))
     groups = resolve(groups_of(batch), build_index(groups_of(history), shards), shards)
     # Repeats of the very same row are counted first; the join's other side has one row per digest, and Spark splits a hot digest.
     repeats = every.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    one = repeats.join(groups, "digest").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    met = repeats.join(groups, "digest")
+    # A row that repeats often comes back in steps, so that no array grows with it.
+    steps = met.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / STEP).cast("long"))))
+    one = steps.withColumn("i", F.explode(F.sequence(F.col("step") * STEP + 1, F.least(F.col("n"), (F.col("step") + 1) * STEP))))
     return one.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("i") == 1)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
@@ -173,12 +181,11 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 
 
 def unique_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    kept = dedup(digested(docs)).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
-    # Repeated rows with the same doc_id and text: one of them.
-    keyed = docs.withColumn("__s", sha)
-    out = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__s"] == kept["__sha"]), "left_semi")
-    return out.dropDuplicates(["doc_id", "__s"]).drop("__s").select(*docs.columns)
-
+    """The rows of docs that stay, with all their columns: one of each text, that of the largest doc_id (null is smallest).
 
+    Rows equal in doc_id and text are reduced to one map-side, whatever their other columns (any one of them stays). The
+    rows are then dealt once, by doc_id and digest, which serves both this and the look-up of what stays.
+    """
+    kept = dedup(digested(docs)).filter("kept").select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("__dedup_id"), F.col("doc_id").isNull().alias("__dedup_none"), F.col("text_sha256").alias("__dedup_sha"))
+    own = {"__dedup_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), "__dedup_none": F.col("doc_id").isNull(), "__dedup_sha": _sha()}
+    return docs.withColumns(own).dropDuplicates(list(own)).join(kept, list(own), "left_semi").select(*docs.columns)
