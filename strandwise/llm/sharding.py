@@ -12,38 +12,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwise.llm.common import salted_rank, table
+from strandwise.llm.common import rank_buckets, salted_rank, table
+from strandwise.scratch import written_counted
 
-#: Buckets per shard within which slots are numbered; each bucket is ranked by itself.
-SLOT_BUCKETS = 1024
+def cost(key: Column, shard: int, weight: float) -> Column:
+    """-ln(u) / weight for the number u in (0, 1) that the key draws for the shard. A null key counts as ''."""
+    text = F.coalesce(key.cast("string"), F.lit(""))
+    draw = F.conv(F.substring(F.md5(F.encode(F.concat(text, F.lit(f":{shard}")), "UTF-8")), 1, 12), 16, 10).cast("double")
+    return -F.log((draw + 0.5) / float(16**12)) / F.lit(float(weight))
 
 
-def rendezvous(key: Column, weights: Sequence[float]) -> Column:
-    """The shard (int) of a key, among len(weights) shards. Ties go to the lower shard; a null key counts as ''."""
-    text = F.coalesce(key.cast("string"), F.lit(""))
+def winner(key: Column, weights: Sequence[float], first: int = 0) -> Column:
+    """Struct (cost, shard) of the cheapest shard; the shards' numbers begin at ``first``. Ties go to the lower shard."""
+    draws = [F.struct(cost(key, i, w).alias("cost"), F.lit(i).alias("shard")) for i, w in enumerate(weights, first) if w > 0]
+    return F.least(*draws) if len(draws) > 1 else draws[0]
 
-    def cost(shard: int, weight: float) -> Column:
-        draw = F.conv(F.substring(F.md5(F.encode(F.concat(text, F.lit(f":{shard}")), "UTF-8")), 1, 12), 16, 10).cast("double")
-        return -F.log((draw + 0.5) / float(16**12)) / F.lit(float(weight))
 
-    draws = [F.struct(cost(i, w).alias("cost"), F.lit(i).alias("shard")) for i, w in enumerate(weights) if w > 0]
-    return (F.least(*draws) if len(draws) > 1 else draws[0])["shard"]
+def rendezvous(key: Column, weights: Sequence[float]) -> Column:
+    """The shard (int) of a key, among len(weights) shards."""
+    return winner(key, weights)["shard"]
 
 
-def shard(docs: DataFrame, weights: Sequence[float], grown: Sequence[float] | None = None) -> DataFrame:
+def shard(docs: DataFrame, weights: Sequence[float], new: float | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard for every row.
 
-    size: UTF-8 bytes of the text plus one (null text: one). slot: gapless from 0 in each shard. grown_shard: the
-    shard under ``grown``, by default one more shard of the mean weight. doc_id and the shard weights alone decide,
-    so rows that repeat a doc_id go to the same shard; an empty table gives no rows.
+    size: UTF-8 bytes of the text plus one (null text: one). slot: gapless from 0 in each shard. grown_shard: the shard
+    after one more, of weight ``new`` (by default the mean), has come: its draw alone meets the cheapest of the others.
+    doc_id and the shard weights alone decide, so rows that repeat a doc_id go to the same shard, and equal texts of
+    different ids do not; null ids count as one key. Other columns are ignored; an empty table gives no rows.
     """
-    grown = grown or [*weights, sum(weights) / len(weights)]
-    text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     key = F.col("doc_id")
-    rows = docs.select(key.cast("long").alias("doc_id"), (F.length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32"), rendezvous(key, weights).alias("shard"), rendezvous(key, grown).alias("grown_shard"))
-    # The bucket sizes need the ids only, so this second scan reads one column.
-    counted = docs.select(key.cast("long").alias("doc_id"), rendezvous(key, weights).alias("shard"))
-    ranked = salted_rank(rows, ["shard"], ["doc_id"], "slot", SLOT_BUCKETS, counted)
+    rows = docs.select(key.cast("long").alias("doc_id"), (F.length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32"), winner(key, weights).alias("won"))
+    more = winner(key, [sum(weights) / len(weights) if new is None else new], len(weights))
+    # Written, as both the sizes of the buckets and the rows themselves come from it: the draws are made once.
+    drawn, n = written_counted(rows.select("doc_id", "size", "text_crc32", F.col("won.shard").alias("shard"), F.least("won", more)["shard"].alias("grown_shard")), "drawn-shards")
+    ranked = salted_rank(drawn, ["shard"], ["doc_id", "text_crc32", "size"], "slot", rank_buckets(n))
     return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
