@@ -15,7 +15,7 @@ from strandwise.llm.common import WHITE, bind, table
 #: The length of the word windows that count as a repetition.
 WINDOW = 5
 
-#: Rules in bit order; each holds for documents that FAIL it. All thresholds are here.
+#: Rules; each holds for documents that FAIL it. All thresholds are here.
 RULES: dict[str, str] = {
     "too_few_words": "n_words < 10",
     "repeated_windows": "100 * n_repeat_words > 20 * n_words",
@@ -25,6 +25,9 @@ RULES: dict[str, str] = {
     "short_words": "word_chars < 2 * n_words",
 }
 
+#: The bit of each rule in stored ledgers: a new rule takes the next number, none is ever given anew.
+BITS = {"too_few_words": 0, "repeated_windows": 1, "too_many_symbols": 2, "repeated_lines": 3, "long_words": 4, "short_words": 5}
+
 #: Versioned policies: the rules whose failure removes a document.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": ("too_few_words", "repeated_windows"),
@@ -33,7 +36,7 @@ POLICIES: dict[str, tuple[str, ...]] = {
 
 
 def mask(policy: str) -> int:
-    return sum(1 << i for i, name in enumerate(RULES) if name in POLICIES[policy])
+    return sum(1 << BITS[name] for name in POLICIES[policy])
 
 
 def _words(text: Column) -> Column:
@@ -43,14 +46,17 @@ def _words(text: Column) -> Column:
 
 def _covered(hashes: Column) -> Column:
     """Words within windows whose hash occurs twice or more: sort (hash, place), mark equal neighbours, add up gaps."""
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     hit = bind(pairs, lambda p: F.filter(F.transform(p, lambda x, k: F.when((F.get(p, k - 1)["h"] == x["h"]) | (F.get(p, k + 1)["h"] == x["h"]), x["i"])), lambda i: i.isNotNull()))
-    span = bind(F.array_sort(hit), lambda s: F.aggregate(F.transform(s, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(s, k + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x))
+    span = bind(F.sort_array(hit), lambda s: F.aggregate(F.transform(s, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(s, k + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x))
     return span.cast("long")
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words in windows of five words that occur twice or more in the text; only texts with such a window pay for the sort."""
+    """Words in windows of five words that occur twice or more in the text; only texts with such a window pay for the sort.
+
+    Windows are compared by a 64-bit hash of their words' hashes: a text of n words is miscounted with a chance of about n^2 / 2^65.
+    """
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     windows = bind(hashes, lambda h: F.transform(F.slice(h, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)])))
     return bind(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0).cast("long")).otherwise(_covered(w)))
@@ -69,8 +75,11 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """The measurements and failed_bits: bit i is set where rule i fails. Every row of docs has one row."""
-    bits = [F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(RULES.values())]
+    """The measurements and failed_bits: a rule's bit is set where it fails. Every row of docs has one row, repeats and nulls too.
+
+    A null text counts as empty, other columns are ignored, and an empty table gives no rows.
+    """
+    bits = [F.when(F.expr(rule), F.lit(1 << BITS[name])).otherwise(F.lit(0)) for name, rule in RULES.items()]
     total = bits[0]
     for b in bits[1:]:
         total = total.bitwiseOR(b)
@@ -85,8 +94,8 @@ def ablations(book: DataFrame, policy: str = "v1") -> DataFrame:
     """Per rule of the policy: documents that fail it, and those that only it removes. One aggregation over the bits."""
     m = mask(policy)
     of = F.col("failed_bits").bitwiseAND(F.lit(m))
-    row = book.agg(*[F.count_if(F.col("failed_bits").bitwiseAND(F.lit(1 << i)) != 0).alias(f"f{i}") for i in range(len(RULES))], *[F.count_if(of == (1 << i)).alias(f"o{i}") for i in range(len(RULES))])
-    parts = ", ".join(f"'{name}', {i}, f{i}, o{i}" for i, name in enumerate(RULES) if m >> i & 1)
+    row = book.agg(*[F.count_if(F.col("failed_bits").bitwiseAND(F.lit(1 << i)) != 0).alias(f"f{i}") for i in BITS.values()], *[F.count_if(of == (1 << i)).alias(f"o{i}") for i in BITS.values()])
+    parts = ", ".join(f"'{name}', {i}, f{i}, o{i}" for name, i in BITS.items() if m >> i & 1)
     return row.selectExpr(f"stack({bin(m).count('1')}, {parts}) as (rule, bit, failed, only_this_rule)")
 
 
@@ -96,12 +105,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """The rows of docs that pass the policy. Rows are judged in place: no join, so repeated and null ids are safe."""
-    measured = measure(docs.select(F.struct(*docs.columns).alias("doc_id"), "text"))
-    bad = F.lit(False)
-    for name in POLICIES[policy]:
-        bad = bad | F.expr(RULES[name])
-    return measured.filter(~bad).select("doc_id.*")
+    """The rows of docs whose failed bits the policy does not name. Rows carry their ledger: no join, so repeated and null ids are safe."""
+    book = ledger(docs.select(F.struct(*docs.columns).alias("doc_id"), "text"))
+    return book.filter(~fails(policy)).select("doc_id.*")
 
 
 OP9_SQL = r"""
