@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwise.llm.common import salted_rank, table, written
+from strandwise.llm.common import rank_buckets, salted_rank, table, written
 
-#: Slots of a period (weights are rounded to whole slots, at least one each), rows of a block, rank buckets of a source.
-PERIOD, BLOCK, RANK_BUCKETS = 512, 16, 256
+#: Slots of a period (weights are rounded to whole slots, at least one each), rows of a block.
+PERIOD, BLOCK = 512, 16
+#: Epochs of a row that one task deals out; a row of more is spread over tasks in such steps.
+EPOCHS = 1_000
 #: Without given weights a source weighs its row count to this power: below 1, small sources gain and large ones give way.
 TEMPER = 0.8
 NO_SOURCE = "\u0000none"
@@ -72,7 +74,7 @@ def tree(found: DataFrame, period: int = PERIOD) -> list[DataFrame]:
     while count > period:
         groups = -(-count // (period // 2))
         if not levels:
-            items = written(salted_rank(items.withColumn("all", F.lit(0)), ["all"], ["source"], "place", RANK_BUCKETS).drop("all"), "mixing-sources")
+            items = written(salted_rank(items.withColumn("all", F.lit(0)), ["all"], ["source"], "place", rank_buckets(count)).drop("all"), "mixing-sources")
         else:
             items = items.withColumn("place", F.col("source").cast("long"))
         items = items.withColumn("parent", F.col("place") % groups).drop("place")
@@ -150,6 +152,12 @@ def _budgets(levels: list[DataFrame], plans: list[DataFrame], period: int, block
     return levels[0].join(slots.withColumnRenamed("item", "source"), "source").select("source", "n", "share", (F.col("slots") * block).alias("rows"))
 
 
+def _own(docs: DataFrame) -> list[Column]:
+    """Source, id and a hash of the text of each row: what tells its rows apart (rows equal in all are interchangeable)."""
+    text = F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long")
+    return [_source().alias("m_source"), F.col("doc_id").alias("m_id"), text.alias("m_text")]
+
+
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int = PERIOD, block: int = BLOCK, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The mixture: each row of docs once or, where its source runs out early, in several epochs.
 
@@ -164,12 +172,20 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int
     small = len(levels) == 1
     if not small:
         plans = [written(x, "mixing-plan") for x in plans]
-    keyed = docs.select(*[F.col(c).alias(f"c_{c}") for c in columns], _source().alias("m_source"), F.col("doc_id").alias("m_id"))
-    slim = docs.select(_source().alias("m_source"), F.col("doc_id").alias("m_id"))
-    ranked = salted_rank(keyed, ["m_source"], ["m_id"], "m_rank", RANK_BUCKETS, slim)
+    keyed = docs.select(*[F.col(c).alias(f"c_{c}") for c in columns], *_own(docs))
+    rows = levels[0].agg(F.sum("n")).first()[0] or 0
+    ranked = salted_rank(keyed, ["m_source"], ["m_id", "m_text"], "m_rank", rank_buckets(rows), docs.select(*_own(docs)))
     sized = _budgets(levels, plans, period, block).select(F.col("source").alias("m_source"), "n", "rows")
+    sized = sized if small else written(sized, "mixing-budgets")
     # Only the tables of a single period are bounded, by ``period`` rows, and so are broadcast.
-    epochs = ranked.join(F.broadcast(sized) if small else sized, "m_source").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil((F.col("rows") - F.col("m_rank")) / F.col("n")).cast("long") - 1, F.lit(0).cast("long")))))
+    met = ranked.join(F.broadcast(sized) if small else sized, "m_source").withColumn("most", F.greatest(F.ceil((F.col("rows") - F.col("m_rank")) / F.col("n")).cast("long") - 1, F.lit(0).cast("long")))
+    from_step = lambda step: F.explode(F.sequence(step * EPOCHS, F.least(F.col("most"), (step + 1) * EPOCHS - 1)))
+    epochs = met.filter(F.col("most") < EPOCHS).withColumn("epoch", from_step(F.lit(0).cast("long")))
+    if not sized.filter(F.col("rows") > EPOCHS * F.col("n")).isEmpty():
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = met.filter(F.col("most") >= EPOCHS).withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("most") / EPOCHS).cast("long"))))
+        spread = spread.repartition(parts, "m_source", "m_rank", "step").withColumn("epoch", from_step(F.col("step"))).drop("step")
+        epochs = epochs.unionByName(spread)
     seen = epochs.withColumn("seen", F.col("epoch") * F.col("n") + F.col("m_rank")).filter(F.col("seen") < F.col("rows"))
     placed = seen.withColumn("block", F.floor(F.col("seen") / block).cast("long")).withColumn("place", (F.col("seen") % block).cast("int"))
     placed = placed.withColumns({"item": F.col("m_source"), "at": F.col("block"), "rel": F.col("block"), "due": F.col("block") + 1})
@@ -182,8 +198,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """The rows of the mixture with the columns of docs: a row of a source that runs out early occurs once per epoch."""
-    names = docs.columns
-    rows = docs.select("doc_id", "source", F.struct(*names).alias("row"))
-    return mix(rows, columns=("row",)).select("row.*")
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))
+    return mix(rows, weights, columns=("row",)).select("row.*")
