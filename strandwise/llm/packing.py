@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwise.llm.common import salted_rank, table, worker_store, written
+from strandwise.llm.common import rank_buckets, salted_rank, table, worker_store, written
 from strandwise.llm.cutting_stock import plan
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END = 2048, 1
-#: Lengths are planned in classes of this many tokens; the hash buckets in which the pieces of a class are ranked.
-WIDTH, RANK_BUCKETS = 8, 256
+#: Lengths are planned in classes of this many tokens.
+WIDTH = 8
 #: Entries of a worker's caches of white-space-delimited runs and of words; a full cache is emptied.
 CACHED = 600_000
 #: Runs of these characters split into words as below; all others go to the library as they are.
@@ -144,7 +144,7 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         sequence += uses
     places = spark.createDataFrame(entries, "cls int, first long, past long, copies int, sequence long, slot int")
     places = places.groupBy("cls").agg(F.collect_list(F.struct("first", "past", "copies", "sequence", "slot")).alias("places"))
-    ranked = salted_rank(classed, ["cls"], ["doc_id", "start"], "rank", RANK_BUCKETS, classed)
+    ranked = salted_rank(classed, ["cls"], ["doc_id", "start", "ids_crc32", "length", "doc_tokens"], "rank", rank_buckets(int(demand.sum())))
     # places has at most capacity / WIDTH rows; its entries are bounded by the patterns of the plan (a few per class).
     placed = ranked.join(F.broadcast(places), "cls").withColumn("place", F.element_at(F.filter("places", lambda p: (p["first"] <= F.col("rank")) & (F.col("rank") < p["past"])), 1))
     nth = F.col("rank") - F.col("place.first")
@@ -158,6 +158,7 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, capacity: int = CAPACITY, model: str = MODEL) -> DataFrame:
     """Pieces of all documents with their sequence_id and gapless offset there; every row of docs is packed, repeats too.
 
+    Other columns of docs are ignored. Rows that repeat an id are told apart by their tokens; equal ones are interchangeable.
     Null or empty texts give a piece of the end id alone; an empty table gives no rows.
     """
     return assign(written(cut(docs, capacity, model), "pieces"), capacity)
