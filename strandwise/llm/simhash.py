@@ -1,8 +1,9 @@
 """SimHash near-duplicates by a self-join of binary tries.
 
-Two fingerprints at no more than three differing bits agree in at least one of four 16-bit blocks. Each distinct
-fingerprint is rotated once per block, so that the block leads; the fingerprints with the same leading block are the
-leaves of a binary trie over the other 48 bits. The join descends pairs of nodes of that trie together, adds up the
+Cut into b blocks, two fingerprints at no more than three differing bits agree in at least b - 3 of them. Each distinct
+fingerprint is laid out once per choice of b - 3 blocks, so that they lead: four blocks give four layouts led by 16 bits,
+five blocks ten led by 25. The number of fingerprints sets b, so that tries stay small. Fingerprints with the same lead
+are the leaves of a binary trie over the other bits. The join descends pairs of nodes of that trie together, adds up the
 bits in which their paths differ, and drops a pair whose sum exceeds the budget. Pairs of small nodes end in a direct
 comparison of their leaves. A trie of more than ``hot`` leaves is first descended eight levels by Spark itself, so that
 its node pairs are dealt over many tasks. A task reports its links as a forest (each fingerprint with the smallest one it
@@ -17,6 +18,7 @@ compared in full. A group of near copies so costs a few comparisons a text inste
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +29,15 @@ from pyspark.sql import functions as F
 from strandwise.llm.common import table, written
 from strandwise.llm.components import components
 
-SHINGLE, BITS, BLOCKS, BUDGET = 3, 64, 4, 3
-WIDE = BITS // BLOCKS
+SHINGLE, BITS, BUDGET = 3, 64, 3
+#: Blocks beyond the budget at most, and the share of ``HOT`` leaves that a trie of evenly spread fingerprints may have.
+MORE, FULL = 4, 0.1
 #: Leaves of a trie beyond which Spark deals its node pairs over tasks; levels that it descends at once.
 HOT, STEP = 50_000, 8
 #: Node pairs with at most this many leaf pairs are compared directly; node pairs that a task expands at once.
 SMALL, CHUNK = 64, 1 << 15
+#: Links that a task holds, besides one for each of its keys, before it unites them; keys that a task gets about.
+UNITE, KEYS = 1 << 20, 1 << 20
 #: Near copies: words of a shingle, least Jaccard similarity, bands of MinHashes, MinHashes of a band, orders by which a band chooses whom to compare with.
 WORDS, ALIKE, BANDS, ROWS, ORDERS = 5, 0.8, 24, 5, 3
 
@@ -139,7 +144,38 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _link_tasks(depth: int, budget: int):
+def layouts(blocks: int, budget: int) -> list[list[tuple[int, int, int]]]:
+    """For each choice of the blocks - budget blocks that lead: (first bit, width, new first bit) of every block."""
+    edges = [BITS * k // blocks for k in range(blocks + 1)]
+    out = []
+    for lead in combinations(range(blocks), blocks - budget):
+        at, moves = BITS, []
+        for k in (*lead, *(x for x in range(blocks) if x not in lead)):
+            at -= edges[k + 1] - edges[k]
+            moves.append((edges[k], edges[k + 1] - edges[k], at))
+        out.append(moves)
+    return out
+
+
+def lead_bits(blocks: int, budget: int) -> int:
+    """Bits that lead every layout."""
+    return min(sum(width for _, width, _ in moves[: blocks - budget]) for moves in layouts(blocks, budget))
+
+
+def blocks_for(keys: int, budget: int, hot: int) -> int:
+    """The fewest blocks with which tries of that many evenly spread fingerprints stay far below ``hot`` leaves."""
+    return next((b for b in range(budget + 1, budget + MORE) if keys / 2.0 ** lead_bits(b, budget) <= FULL * hot), budget + MORE)
+
+
+def _united(root: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The forest root (each item's smallest reachable one so far) with more links."""
+    own = np.arange(len(root))
+    known = root != own
+    i, j = (np.concatenate([x, *(f[k] for f in found)]) for k, x in enumerate((own[known], root[known])))
+    return _roots(len(root), i, j)
+
+
+def _link_tasks(depth: int, budget: int, blocks: int):
     """A mapInArrow body over whole groups: columns block, head, p, q (the node pair), key. Emits each linked key and its root."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,28 +198,45 @@ def _link_tasks(depth: int, budget: int):
         selves = np.flatnonzero(own & (hi - lo > 1))
         pairs = np.stack([np.concatenate([lo[selves], lo[pair]]), np.concatenate([hi[selves], hi[pair]]), np.concatenate([lo[selves], lo[pair + 1]]), np.concatenate([hi[selves], hi[pair + 1]])])
         errors = np.bitwise_count(p[pairs[0]].astype(np.uint64) ^ q[pairs[0]].astype(np.uint64)).astype(np.int64)
-        root = np.arange(len(keys))
+        root, held, size = np.arange(len(keys)), [], 0
         for i, j in trie_links(keys, pairs, errors, depth, budget):
-            root = _roots(len(keys), np.concatenate([np.arange(len(keys)), i]), np.concatenate([root, j])) if len(i) else root
+            held.append((i, j))
+            size += len(i)
+            if size > len(keys) + UNITE:  # united now and then, so that neither the links nor the passes over all keys grow
+                root, held, size = _united(root, held), [], 0
+        root = _united(root, held)
         linked = np.flatnonzero(root != np.arange(len(keys)))
-        turn = (block[linked] * WIDE).astype(np.uint64)
-        back = lambda k: (k >> turn) | (k << ((np.uint64(BITS) - turn) % np.uint64(BITS)))
-        u, v = back(keys[linked]), back(keys[root[linked]])
+        own, u, v = block[linked], np.zeros(len(linked), np.uint64), np.zeros(len(linked), np.uint64)
+        for n, moves in enumerate(layouts(blocks, budget)):
+            of = own == n
+            for first, width, at in moves:
+                part = np.uint64((1 << width) - 1)
+                for out, at_leaf in ((u, linked), (v, root[linked])):
+                    out[of] |= ((keys[at_leaf[of]] >> np.uint64(at)) & part) << np.uint64(first)
         yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
     return run
 
 
-def links(fps: DataFrame, budget: int = BUDGET, hot: int = HOT) -> DataFrame:
-    """Links (u, v) between distinct fingerprints (column fp) that connect all that differ in at most budget bits."""
-    if not 0 <= budget < BLOCKS:
-        raise ValueError(f"the budget must be below the number of blocks, {BLOCKS}")
+def links(fps: DataFrame, budget: int = BUDGET, hot: int = HOT, blocks: int | None = None) -> DataFrame:
+    """Links (u, v) between distinct fingerprints (column fp; read several times) that connect all that differ in at most budget bits."""
+    if not 0 <= budget < BITS // 2:
+        raise ValueError(f"no budget of {budget} bits")
     spark = fps.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    turned = F.array(*[F.struct(F.lit(b).alias("block"), (F.shiftleft("fp", b * WIDE).bitwiseOR(F.shiftrightunsigned("fp", BITS - b * WIDE)) if b else F.col("fp")).alias("key")) for b in range(BLOCKS)])
+    fewest = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = fps.count()
+    blocks = blocks or blocks_for(n, budget, hot)
+    wide = lead_bits(blocks, budget)
+    laid = []
+    for b, moves in enumerate(layouts(blocks, budget)):
+        key = F.lit(0).cast("long")
+        for first, width, at in moves:
+            key = key.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)), at))
+        laid.append(F.struct(F.lit(b).alias("block"), key.alias("key")))
+    keys, turned = n * len(laid), F.array(*laid)
     none = F.lit(0).cast("long")
-    rows = fps.select(F.explode(turned).alias("r")).select("r.block", "r.key", F.shiftrightunsigned("r.key", BITS - WIDE).alias("head"), none.alias("p"), none.alias("q"), none.alias("mine"))
-    node, depth, out = ["block", "head", "p", "q"], WIDE, None
+    rows = fps.select(F.explode(turned).alias("r")).select("r.block", "r.key", F.shiftrightunsigned("r.key", BITS - wide).alias("head"), none.alias("p"), none.alias("q"), none.alias("mine"))
+    node, depth, out = ["block", "head", "p", "q"], wide, None
     while True:
         if depth < BITS:
             counts = written(rows.groupBy(*node).count().filter(F.col("count") > hot).select(*node), "hot-tries")
@@ -191,23 +244,29 @@ def links(fps: DataFrame, budget: int = BUDGET, hot: int = HOT) -> DataFrame:
         else:
             any_hot = False
         cold = rows.join(counts, node, "left_anti") if any_hot else rows
-        found = cold.select(*node, "mine", "key").repartition(parts, *node).mapInArrow(_link_tasks(depth, budget), "u long, v long")
+        parts = max(fewest, -(-keys // KEYS))
+        found = cold.select(*node, "mine", "key").repartition(parts, *node).mapInArrow(_link_tasks(depth, budget, blocks), "u long, v long")
         out = found if out is None else out.unionByName(found)
         if not any_hot:
             return out
         # Descend STEP levels: each leaf meets the nodes whose next bits differ from its own within what is left of the budget.
-        masks = F.array(*[F.lit(m).cast("long") for m in range(1 << STEP) if m.bit_count() <= budget])
-        bits = F.shiftrightunsigned("key", BITS - depth - STEP).bitwiseAND(F.lit((1 << STEP) - 1))
-        deep = F.shiftleft("mine", STEP).bitwiseOR(bits)
-        other = F.shiftleft(F.when(F.col("mine") == F.col("p"), F.col("q")).otherwise(F.col("p")), STEP).bitwiseOR(bits.bitwiseXOR(F.col("m")))
+        step = min(STEP, BITS - depth)
+        masks = F.array(*[F.lit(m).cast("long") for m in range(1 << step) if m.bit_count() <= budget])
+        bits = F.shiftrightunsigned("key", BITS - depth - step).bitwiseAND(F.lit((1 << step) - 1))
+        deep = F.shiftleft("mine", step).bitwiseOR(bits)
+        other = F.shiftleft(F.when(F.col("mine") == F.col("p"), F.col("q")).otherwise(F.col("p")), step).bitwiseOR(bits.bitwiseXOR(F.col("m")))
         down = rows.join(counts, node, "left_semi").withColumn("m", F.explode(masks)).withColumn("deep", deep).withColumn("other", other)
         down = down.filter(F.bit_count(F.col("deep").bitwiseXOR(F.col("other"))) <= budget)
         rows = down.select("block", "key", "head", F.least("deep", "other").alias("p"), F.greatest("deep", "other").alias("q"), F.col("deep").alias("mine"))
-        depth += STEP
+        depth += step
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET, hot: int = HOT) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id reachable over links) for every row of docs."""
+    """doc_id, fp and component_id (the smallest doc_id reachable over links) for every row of docs, repeats too.
+
+    A null or empty text has no words: its fingerprint is 0 and is linked like any other. Null ids count as no id: a group
+    of them alone has a null component_id. Other columns of docs are ignored; an empty table gives no rows.
+    """
     fps = written(fingerprints(docs, shingle), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     of = components(links(distinct.select("fp"), budget, hot)).withColumnRenamed("node", "fp")
