@@ -38,13 +38,14 @@ def test_rollup_gives_small_taxa_to_the_nearest_present_ancestor(spark):
     nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 99), (5, 3), (6, 5)], "taxid int, parent int")
     counts = spark.createDataFrame([(6, 3), (3, 1), (4, 2), (77, 1), (0, 7)], "taxid int, reads long")
     # 6 is small; 5 has no reads, so 3 takes them and reaches the cutoff; a taxon that the tree lacks stands below the root.
-    got = {r.taxid: (r.reported, r.reads) for r in taxonomy.rollup(counts, nodes, least=4).collect()}
+    rolled = taxonomy.rollup(counts, nodes, least=4)
+    got = {r.taxid: (r.reported, r.reads) for r in rolled.collect()}
     assert got == {6: (3, 3), 3: (3, 1), 4: (1, 2), 77: (1, 1), 1: (1, 7)}
-    assert {r.taxid: r.reads for r in taxonomy.rolled_counts(taxonomy.rollup(counts, nodes, least=4)).collect()} == {3: 4, 1: 10}
+    assert {r.taxid: r.reads for r in taxonomy.rolled_counts(rolled).collect()} == {3: 4, 1: 10}
     # A share of the 7 reads below the root; a count equal to the cutoff stays.
     assert {r.taxid: r.reported for r in taxonomy.rollup(counts, nodes, share=2 / 7).collect()} == {6: 6, 3: 1, 4: 4, 77: 1, 1: 1}
     reads = spark.createDataFrame([("a", 6), ("b", 0), ("c", 4)], "read_id string, taxid int")
-    assert sorted(map(tuple, taxonomy.repointed(reads, taxonomy.rollup(counts, nodes, least=4)).collect())) == [("a", 3), ("b", 1), ("c", 1)]
+    assert sorted(map(tuple, taxonomy.repointed(reads, rolled).collect())) == [("a", 3), ("b", 1), ("c", 1)]
     assert taxonomy.rollup(counts.limit(0), nodes).count() == 0
 
 
