@@ -1,4 +1,4 @@
-"""The queries of this package and the SQL of those that SQL can express."""
+"""The queries of this package and the SQL of those that SQL can express. The entry module adds the pipeline."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ from strandwise.llm import exact_dedup, mixing, packing, quality, rules, shardin
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
-
     return {
         "op1_packing": packing.op1_packing,
         "op2_quality": quality.op2_quality,
@@ -23,7 +21,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": sharding.op8_sharding,
         "op9_quality_rules": rules.op9_quality_rules,
         "op10_token_counts": token_counts.op10_token_counts,
-        "pipeline": corpus_pipeline.run,
     }
 
 
