@@ -30,17 +30,31 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def salted_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, buckets: int, sized: DataFrame | None = None) -> DataFrame:
+#: Hexadecimal digits of an MD5 that make up a draw.
+DRAW = 12
+
+
+def draw(key: Column) -> Column:
+    """A number (long) from 0 to 16^DRAW - 1 by the MD5 of a string."""
+    return F.conv(F.substring(F.md5(F.encode(key, "UTF-8")), 1, DRAW), 16, 10).cast("long")
+
+
+def draw_bucket(drawn: Column, buckets: int) -> Column:
+    """The bucket of a draw, rising with it: ranks that ``salted_rank`` gives in the order of draws then depend on no number of buckets."""
+    return F.floor(drawn / F.lit(float(16**DRAW)) * buckets).cast("int")
+
+
+def salted_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, buckets: int, sized: DataFrame | None = None, bucket: Column | None = None) -> DataFrame:
     """Gapless 0-based rank of each row within its (non-null) keys, as a new long column ``out``.
 
     A key may hold any share of the rows: every key is split into ``buckets`` hash buckets of the order columns, each
     bucket is ranked by itself, and a prefix sum over the bucket sizes (at most keys x buckets rows) turns that into one
     numbering. The order columns should tell all rows apart that differ in anything (add a hash of the content): rows equal
     in all of them share a bucket, and a task that runs anew may swap them. ``sized`` may give a cheaper frame with the same
-    rows (keys and order columns) from which to count.
+    rows (keys and order columns) from which to count. ``bucket`` may give the bucket otherwise (from the order columns).
     """
     salt, first = f"{out}__salt", f"{out}__first"
-    salted = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(buckets)).cast("int")
+    salted = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(buckets)).cast("int") if bucket is None else bucket
     count = (sized if sized is not None else df).select(*keys, salted.alias(salt)).groupBy(*keys, salt).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
     starts = count.select(*keys, salt, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(first))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwise.llm.common import rank_buckets, salted_rank, table, written
+from strandwise.llm.common import draw, draw_bucket, rank_buckets, salted_rank, table, written
 
 #: Slots of a period (weights are rounded to whole slots, at least one each), rows of a block.
 PERIOD, BLOCK = 512, 16
@@ -153,9 +153,10 @@ def _budgets(levels: list[DataFrame], plans: list[DataFrame], period: int, block
 
 
 def _own(docs: DataFrame) -> list[Column]:
-    """Source, id and a hash of the text of each row: what tells its rows apart (rows equal in all are interchangeable)."""
-    text = F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long")
-    return [_source().alias("m_source"), F.col("doc_id").alias("m_id"), text.alias("m_text")]
+    """Source, id and a hash of the text of each row, which tell its rows apart (rows equal in all are interchangeable), and a draw from id and text."""
+    text = F.col("text").cast("string") if "text" in docs.columns else F.lit("")
+    drawn = draw(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))))
+    return [_source().alias("m_source"), F.col("doc_id").alias("m_id"), F.xxhash64(text).alias("m_text"), drawn.alias("m_draw")]
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int = PERIOD, block: int = BLOCK, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -163,7 +164,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int
 
     Returns ``columns`` of docs with source, epoch (from 0), block (number within its source), slot, release, deadline
     and place (row within the block); slot and place give the order of the mixture. It ends when every source has been
-    shown in full, so no row is left out; given ``weights`` must name every source. A null source is a source of its own
+    shown in full, so no row is left out; a source shows its rows in the order of a draw from id and text. Given ``weights`` must name every source. A null source is a source of its own
     (source null); repeated rows count separately; an empty table gives no rows. More sources than ``period`` share a
     tree of periods: then a source stays within one block a level of its target.
     """
@@ -174,7 +175,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int
         plans = [written(x, "mixing-plan") for x in plans]
     keyed = docs.select(*[F.col(c).alias(f"c_{c}") for c in columns], *_own(docs))
     rows = levels[0].agg(F.sum("n")).first()[0] or 0
-    ranked = salted_rank(keyed, ["m_source"], ["m_id", "m_text"], "m_rank", rank_buckets(rows), docs.select(*_own(docs)))
+    buckets = rank_buckets(rows)
+    ranked = salted_rank(keyed, ["m_source"], ["m_draw", "m_id", "m_text"], "m_rank", buckets, docs.select(*_own(docs)), draw_bucket(F.col("m_draw"), buckets))
     sized = _budgets(levels, plans, period, block).select(F.col("source").alias("m_source"), "n", "rows")
     sized = sized if small else written(sized, "mixing-budgets")
     # Only the tables of a single period are bounded, by ``period`` rows, and so are broadcast.
@@ -198,6 +200,31 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+#: For up to PERIOD sources and ids that do not repeat. ``s`` steps through one period: the released block that is due first goes next.
+OP7_SQL = f"""
+WITH RECURSIVE r AS (SELECT doc_id, source, coalesce(source, '') AS k, row_number() OVER (PARTITION BY source ORDER BY
+       ('0x' || substr(md5(concat(doc_id, ':', md5(coalesce(text, '')))), 1, 12))::BIGINT, doc_id) - 1 AS rank FROM documents),
+c AS (SELECT k, count(*) AS n, pow(count(*), {TEMPER}) AS w FROM r GROUP BY k),
+e AS (SELECT k, n, w / sum(w) OVER () * ({PERIOD} - count(*) OVER ()) AS x, {PERIOD} - count(*) OVER () AS free FROM c),
+p AS (SELECT k, n, 1 + floor(x)::BIGINT + (row_number() OVER (ORDER BY x - floor(x) DESC, k) <= free - sum(floor(x)) OVER ())::BIGINT AS share FROM e),
+l AS (SELECT list(share ORDER BY k) AS shares, list(k ORDER BY k) AS names FROM p),
+s(slot, pick, nth, done) AS (
+    SELECT -1::BIGINT, 0::BIGINT, 0::BIGINT, list_transform(shares, lambda x: 0::BIGINT) FROM l
+    UNION ALL
+    SELECT slot, pick, done[pick], list_transform(done, lambda x, i: x + (i = pick)::BIGINT) FROM (
+        SELECT slot, done, list_position(due, list_min(due)) AS pick FROM (
+            SELECT slot + 1 AS slot, done, list_transform(shares, lambda w, i: CASE WHEN done[i] * {PERIOD} // w <= slot + 1
+                   THEN ((done[i] + 1) * {PERIOD} + w - 1) // w ELSE 1000000000000 END) AS due FROM s, l WHERE slot < {PERIOD} - 1))),
+plan AS (SELECT slot, names[pick] AS k, nth FROM s, l WHERE slot >= 0),
+h AS (SELECT max((((n + {BLOCK - 1}) // {BLOCK} - 1) // share) * {PERIOD} + slot + 1) AS slots FROM p JOIN plan ON plan.k = p.k AND nth = ((n + {BLOCK - 1}) // {BLOCK} - 1) % share),
+b AS (SELECT p.k, n, share, {BLOCK} * ((slots // {PERIOD}) * share + count(*) FILTER (slot < slots % {PERIOD})) AS rows FROM p JOIN plan ON plan.k = p.k, h GROUP BY p.k, n, share, slots),
+t AS (SELECT doc_id, source, k, share, epoch, (epoch * n + rank)::BIGINT AS seen FROM r JOIN b USING (k), unnest(range((rows - rank + n - 1) // n)) AS u(epoch))
+SELECT doc_id, source, epoch::BIGINT AS epoch, seen // {BLOCK} AS block, ((seen // {BLOCK}) // share) * {PERIOD} + slot AS slot,
+       (seen // {BLOCK}) * {PERIOD} // share AS release, ((seen // {BLOCK} + 1) * {PERIOD} + share - 1) // share AS deadline, (seen % {BLOCK})::INTEGER AS place
+FROM t JOIN plan ON plan.k = t.k AND nth = (seen // {BLOCK}) % share
+"""
+
+
 def mixed_documents(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """The rows of the mixture with the columns of docs: a row of a source that runs out early occurs once per epoch."""
     rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))

@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.OP6_SQL, "op9_quality_rules": rules.OP9_SQL}
+    return {"op6_exact_dedup": exact_dedup.OP6_SQL, "op7_mixing": mixing.OP7_SQL, "op8_sharding": sharding.OP8_SQL, "op9_quality_rules": rules.OP9_SQL}

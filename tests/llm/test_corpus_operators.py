@@ -35,7 +35,7 @@ def by_sql(sql):
     return con.execute(sql).df()
 
 
-@pytest.mark.parametrize(("f", "sql"), [(exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL), (rules.op9_quality_rules, rules.OP9_SQL)])
+@pytest.mark.parametrize(("f", "sql"), [(exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL), (mixing.op7_mixing, mixing.OP7_SQL), (sharding.op8_sharding, sharding.OP8_SQL), (rules.op9_quality_rules, rules.OP9_SQL)])
 def test_against_sql(spark, f, sql):
     a, b = f(spark, SF).toPandas(), by_sql(sql)
     cols = sorted(a.columns)
