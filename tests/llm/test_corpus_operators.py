@@ -214,6 +214,16 @@ def test_token_counts_match_the_library(spark, edges, docs):
     got = token_counts.count_tokens(frame).toPandas()
     assert dict(zip(got.doc_id, got.n_tokens, strict=True)) == want
     assert (got.over_limit == (got.n_tokens > 4096)).all() and token_counts.count_tokens(frame.limit(0)).count() == 0
+    other = token_counts.count_tokens(frame, sample=frame.limit(3)).toPandas()  # the sample changes no count
+    assert dict(zip(other.doc_id, other.n_tokens, strict=True)) == want
+
+
+def test_token_counts_sample_some_files(spark, tmp_path):
+    path = str(tmp_path / "a b")  # a path that is encoded where files are listed
+    spark.range(1000).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(6).write.parquet(f"{path}/documents.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    assert 0 < token_counts.some_files(docs, 2).count() < 1000 and token_counts.some_files(docs.limit(0)).count() in (0, 1000)
+    assert token_counts.op10_token_counts(spark, path).count() == 1000
 
 
 def test_rules_edges(spark, edges):
