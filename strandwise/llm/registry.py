@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandwise.llm import exact_dedup, mixing, packing, quality, rules, sharding, simhash, token_counts, toxicity, url_filter
+from strandwise.llm import exact_dedup, katz, mixing, packing, quality, rules, sharding, simhash, token_counts, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": sharding.op8_sharding,
         "op9_quality_rules": rules.op9_quality_rules,
         "op10_token_counts": token_counts.op10_token_counts,
+        "op11_lm_scoring": katz.op11_lm_scoring,
     }
 
 
