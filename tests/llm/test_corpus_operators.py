@@ -159,6 +159,36 @@ def test_cutting_stock_meets_the_demand():
         assert sum(k * n for k, n in parts) <= 6
         got.update({k: uses * n for k, n in parts})
     assert [got[k] for k in range(6)] == demand.tolist()
+    _, use, bound = cutting_stock.relaxed(np.array([2, 3]), np.array([30.0, 20.0]), 6)
+    assert use.sum() == pytest.approx(20, rel=1e-5) and bound == pytest.approx(20, rel=1e-4)
+    assert cutting_stock.plan(np.arange(6), np.zeros(6, int), 6) == []
+
+
+def test_cutting_stock_beats_its_classes_by_no_more_than_the_proved_gap():
+    docs = pd.read_parquet("/root/testdata/sf0.1/documents.parquet").text.fillna("").tolist()
+    lengths = []
+    for body in packing.RunTokenizer(packing.MODEL).ids(docs):
+        n = len(body) // 4 + 1
+        lengths += [packing.CAPACITY] * (n // packing.CAPACITY) + [n % packing.CAPACITY] * (n % packing.CAPACITY > 0)
+    classes = -(-np.array(lengths) // packing.WIDTH)
+    room = packing.CAPACITY // packing.WIDTH
+    demand = np.bincount(classes, minlength=room + 1)
+    some = np.flatnonzero(demand)
+    _, use, bound = cutting_stock.relaxed(some, demand[some].astype(float), room)
+    assert bound <= use.sum() <= bound * (1 + 2 * cutting_stock.GAP)
+    best_fit = []  # best-fit decreasing over the same classes
+    for k in sorted(classes.tolist(), reverse=True):
+        i = min((i for i, free in enumerate(best_fit) if free >= k), key=best_fit.__getitem__, default=None)
+        if i is None:
+            best_fit.append(room)
+            i = len(best_fit) - 1
+        best_fit[i] -= k
+        if best_fit[i] < some[0]:
+            best_fit.pop(i)
+            best_fit.insert(0, -1)
+    used = sum(uses for uses, _ in cutting_stock.plan(np.arange(room + 1), demand, room))
+    assert used <= len(best_fit) and used <= bound + 2
+    assert used <= 4_560
 
 
 def test_mixing_keeps_every_source_within_a_block(spark, edges, docs):
