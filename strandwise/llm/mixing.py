@@ -2,10 +2,10 @@
 
 Each source's rows are cut into blocks. With weight w, block j of a source is released at slot floor(j / w) and due
 by slot ceil((j + 1) / w); in each slot the released block with the earliest deadline goes next. Then after any number
-of slots every source is less than one block away from its target. Weights are whole shares of a period, so the
-schedule repeats: it is worked out once for one period (a table whose size the weights fix, not the data), and every
-row's slot follows from its block number by arithmetic. Where there are more sources than slots of a period, groups of
-sources share a tree of such periods.
+of slots every source is less than one block away from its target. Release and deadline follow from the given weights by
+whole-number arithmetic, for every block by itself, so that no error adds up along the schedule. Blocks grow with the
+mixture, so that the schedule has about MOST slots at most, however many rows there are; it is worked out once, and every
+row finds its slot by its source and block.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwise.llm.common import draw, draw_bucket, rank_buckets, salted_rank, table, written
+from strandwise.llm.common import bind, draw, draw_bucket, rank_buckets, salted_rank, table
+from strandwise.scratch import written, written_counted
 
-#: Slots of a period (weights are rounded to whole slots, at least one each), rows of a block.
-PERIOD, BLOCK = 512, 16
+#: Weights are whole numbers of units that add up to UNITS. Rows of a block at least; slots that the blocks of a mixture
+#: fill at most, by and large; slots that are scheduled in one inner loop.
+UNITS, BLOCK, MOST, SPAN = 2_000_000_000, 16, 1 << 17, 512
 #: Epochs of a row that one task deals out; a row of more is spread over tasks in such steps.
 EPOCHS = 1_000
 #: Without given weights a source weighs its row count to this power: below 1, small sources gain and large ones give way.
@@ -41,115 +43,68 @@ def weighed(docs: DataFrame, weights: Mapping[str, float] | None = None) -> Data
     return counted.withColumn("w", F.when(given > 0, given).otherwise(F.raise_error(F.concat(F.lit("no weight above 0 for source "), F.col("source"))).cast("double")))
 
 
-def _shared(items: DataFrame, period: int) -> DataFrame:
-    """items (parent, source, n, w) with share, its slots of its parent's period: one at least, the shares of a parent add up to the period."""
-    own = Window.partitionBy("parent")
-    each = items.withColumn("free", F.lit(period) - F.count(F.lit(1)).over(own)).withColumn("exact", F.col("w") / F.sum("w").over(own.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) * F.col("free"))
-    by_rest = own.orderBy((F.col("exact") - F.floor("exact")).desc(), "source")
-    spare = F.col("free") - F.sum(F.floor("exact")).over(own)
-    share = F.lit(1) + F.floor("exact") + F.when(F.row_number().over(by_rest) <= spare, 1).otherwise(0)
-    return each.select("parent", "source", "n", share.cast("int").alias("share"))
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
 
 
-def shares(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int = PERIOD) -> DataFrame:
-    """source, n (its rows), share (its slots of a period). One row per source; shares add up to the period.
+def release(block: Column, units: Column) -> Column:
+    """floor(block / weight), exactly: no product passes UNITS squared."""
+    return _div(block, units) * UNITS + _div(block % units * UNITS, units)
 
-    Largest remainders get the slots that rounding leaves; every source has one slot at least. This is the table of a
-    single period: more sources than slots is an error here, ``mix`` divides them over a tree of periods instead.
-    """
-    found = weighed(docs, weights)
-    ok = found.withColumn("w", F.when(F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) <= period, F.col("w")).otherwise(F.raise_error(F.lit("more sources than slots of a period")).cast("double")))
-    return _shared(ok.withColumn("parent", F.lit(0).cast("long")), period).drop("parent")
 
+def deadline(block: Column, units: Column) -> Column:
+    """ceil((block + 1) / weight), exactly."""
+    return _div(block + 1, units) * UNITS + _div((block + 1) % units * UNITS + units - 1, units)
 
-def tree(found: DataFrame, period: int = PERIOD) -> list[DataFrame]:
-    """The levels of a tree of periods over the sources of found (source, n, w), leaves first: parent, source, n, share.
 
-    Up to ``period`` sources share one period. More are dealt over groups of half as many at most, which are the items of
-    the next level with the sums of their weights, until one period holds all: no period and no row holds more than
-    ``period`` items, however many sources there are. The item of a level above the leaves is its group's number.
-    """
-    levels, items = [], found.select(F.col("source"), "n", "w")
-    count = items.count()
-    while count > period:
-        groups = -(-count // (period // 2))
-        if not levels:
-            items = written(salted_rank(items.withColumn("all", F.lit(0)), ["all"], ["source"], "place", rank_buckets(count)).drop("all"), "mixing-sources")
-        else:
-            items = items.withColumn("place", F.col("source").cast("long"))
-        items = items.withColumn("parent", F.col("place") % groups).drop("place")
-        levels.append(items)
-        items, count = items.groupBy(F.col("parent").cast("string").alias("source")).agg(F.lit(0).cast("long").alias("n"), F.sum("w").alias("w")), groups
-    levels.append(items.withColumn("parent", F.lit(0).cast("long")))
-    out = [_shared(x, period) for x in levels]
-    return [written(x, "mixing-shares") for x in out] if len(out) > 1 else out
+def shares(found: DataFrame) -> DataFrame:
+    """found (source, n, w) with units, its weight: one at least; they add up to UNITS. One row per source.
 
+    Weights are taken to one part in UNITS of the whole; largest remainders get the units that rounding leaves.
+    """
+    # All sources make up the one distribution: a row each.
+    every = Window.partitionBy(F.lit(0))
+    total = F.sum("w").over(every.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    each = found.withColumn("free", F.lit(UNITS) - F.count(F.lit(1)).over(every)).withColumn("exact", F.col("w") / total * F.col("free"))
+    by_rest = every.orderBy((F.col("exact") - F.floor("exact")).desc(), "source")
+    spare = F.col("free") - F.sum(F.floor("exact")).over(every)
+    units = F.lit(1) + F.floor("exact") + F.when(F.row_number().over(by_rest) <= spare, 1).otherwise(0)
+    return each.select("source", "n", units.cast("long").alias("units"))
 
-def pattern(shared: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One period's schedule: source, nth (its block within the period), slot, release, deadline, share. ``period`` rows."""
-    return patterns(shared.withColumn("parent", F.lit(0).cast("long")), period).drop("parent")
 
+def _block_rows(shared: DataFrame, block: int, most: int) -> int:
+    """Rows of a block: ``block``, or as many more as keep the schedule near ``most`` slots."""
+    rows = shared.agg(F.max(F.col("n") * (UNITS / F.col("units")))).first()[0] or 0
+    return max(block, int(-(-rows // most)))
 
-def _release(done: Column, share: Column, period: int) -> Column:
-    return F.floor(done * F.lit(period) / share)
 
+def schedule(shared: DataFrame, block: int) -> DataFrame:
+    """source, n, block, slot, release, deadline for all slots until every source has shown all its rows once. Empty without sources."""
+    blocks = F.ceil(F.col("n") / block).cast("long")
+    one = shared.agg(F.array_sort(F.collect_list(F.struct("source", "n", "units"))).alias("s"), F.max(deadline(blocks - 1, F.col("units"))).alias("slots")).filter("slots > 0")
+    next_of = lambda nth, units: F.struct(release(nth, units).alias("rel"), deadline(nth, units).alias("due"), nth.alias("nth"))
 
-def _deadline(done: Column, share: Column, period: int) -> Column:
-    return F.ceil((done + 1) * F.lit(period) / share)
+    def step(state: Column, slot: Column) -> Column:
+        ready = F.array_min(F.transform(state["next"], lambda x, i: F.when(x["rel"] <= slot, F.struct(x["due"].alias("due"), i.alias("i")))))
+        return bind(
+            ready["i"],
+            lambda first: F.struct(
+                F.transform(state["next"], lambda x, i: F.when(i == first, next_of(x["nth"] + 1, F.get("s", i)["units"])).otherwise(x)).alias("next"),
+                F.concat(state["picks"], F.array(F.struct(first.alias("i"), F.get(state["next"], first).alias("at"), slot.alias("slot")))).alias("picks"),
+            ),
+        )
 
+    none = F.array().cast("array<struct<i:int,at:struct<rel:bigint,due:bigint,nth:bigint>,slot:bigint>>")
 
-def patterns(shared: DataFrame, period: int = PERIOD) -> DataFrame:
-    """The schedule of each parent's period: parent and the columns of ``pattern``. At most ``period`` items are held in a row."""
-    one = shared.groupBy("parent").agg(F.array_sort(F.collect_list(F.struct("source", "share"))).alias("s"))
+    def span(state: Column, k: Column) -> Column:
+        slots = F.sequence(k * SPAN, F.least(F.col("slots"), (k + 1) * SPAN) - 1)
+        return bind(F.aggregate(slots, F.struct(state["next"].alias("next"), none.alias("picks")), step), lambda x: F.struct(x["next"].alias("next"), F.concat(state["spans"], F.array(x["picks"])).alias("spans")))
 
-    def step(state: Column, slot: Column) -> Column:
-        ready = F.filter(F.transform(F.col("s"), lambda x, i: F.struct(_deadline(F.get(state["done"], i), x["share"], period).alias("due"), i.alias("i"), (_release(F.get(state["done"], i), x["share"], period) <= slot).alias("ok"))), lambda r: r["ok"])
-        first = F.array_min(ready)["i"]
-        done = F.transform(state["done"], lambda n, i: n + F.when(i == first, F.lit(1)).otherwise(F.lit(0)))
-        return F.struct(done.alias("done"), F.concat(state["picks"], F.array(F.struct(first.alias("i"), F.get(state["done"], first).alias("nth"), slot.alias("slot")))).alias("picks"))
-
-    start = F.struct(F.transform("s", lambda x: F.lit(0)).alias("done"), F.array().cast("array<struct<i:int,nth:int,slot:int>>").alias("picks"))
-    run = one.select("parent", "s", F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, step)["picks"].alias("picks"))
-    picked = run.select("parent", "s", F.explode("picks").alias("p")).select("parent", F.get("s", F.col("p.i")).alias("x"), "p")
-    share, nth = F.col("x.share"), F.col("p.nth")
-    return picked.select("parent", F.col("x.source").alias("source"), nth.cast("long").alias("nth"), F.col("p.slot").cast("long").alias("slot"), _release(nth, share, period).cast("long").alias("release"), _deadline(nth, share, period).cast("long").alias("deadline"), share.cast("long").alias("share"))
-
-
-def horizon(shared: DataFrame, plan: DataFrame, period: int = PERIOD, block: int = BLOCK) -> DataFrame:
-    """One row: slots, the least number of slots after which every source has shown all of its rows once."""
-    last = shared.withColumn("last", F.ceil(F.col("n") / block) - 1).withColumn("nth", (F.col("last") % F.col("share")).cast("long"))
-    met = last.join(plan.select("source", "nth", "slot"), ["source", "nth"])
-    return met.agg(F.max(F.floor(F.col("last") / F.col("share")).cast("long") * period + F.col("slot") + 1).alias("slots"))
-
-
-def _climbed(rows: DataFrame, plan: DataFrame, period: int, small: bool) -> DataFrame:
-    """rows (item, at: the item's block, rel, due: its bounds in the item's own blocks, ...) in the slots of the item's parent."""
-    own = plan.select(F.col("source").alias("item"), "nth", F.col("slot").alias("p_slot"), F.col("share").alias("p_share"), F.col("parent").cast("string").alias("p_item"))
-    least = plan.select(F.col("source").alias("item"), "share").distinct()
-    turned = rows.join(F.broadcast(least) if small else least, "item").withColumn("nth", F.pmod("at", "share")).withColumn("turn", F.floor(F.col("at") / F.col("share")).cast("long")).drop("share")
-    up = turned.join(F.broadcast(own) if small else own, ["item", "nth"])
-    rel = _release(F.col("rel"), F.col("p_share"), period).cast("long")
-    due = _deadline(F.col("due") - 1, F.col("p_share"), period).cast("long")
-    return up.withColumns({"at": F.col("turn") * period + F.col("p_slot"), "rel": rel, "due": due, "item": F.col("p_item")}).drop("nth", "turn", "p_slot", "p_share", "p_item")
-
-
-def _budgets(levels: list[DataFrame], plans: list[DataFrame], period: int, block: int) -> DataFrame:
-    """source, n, share, rows: how many rows of each source the mixture holds when every source has been shown in full."""
-    if len(levels) == 1:
-        end = horizon(levels[0], plans[0], period, block)
-    else:
-        last = (F.ceil(F.col("n") / block) - 1).cast("long")
-        up = levels[0].select(F.col("source").alias("item"), last.alias("at"), last.alias("rel"), (last + 1).alias("due"))
-        for plan in plans:
-            up = _climbed(up, plan, period, False)
-        end = up.agg(F.max(F.col("at") + 1).alias("slots"))
-    # Whole blocks in whole periods, and those of the last one; from the root down, a group's blocks are its period's slots.
-    slots = end.select(F.lit("0").alias("item"), "slots")
-    for shared, plan in zip(reversed(levels), reversed(plans), strict=True):
-        ends = plan.withColumn("item", F.col("parent").cast("string")).join(F.broadcast(slots) if shared is levels[-1] else slots, "item")
-        ends = ends.groupBy("source", "share", "slots").agg(F.count_if(F.col("slot") < F.col("slots") % period).alias("part"))
-        slots = ends.select(F.col("source").alias("item"), (F.floor(F.col("slots") / period) * F.col("share") + F.col("part")).cast("long").alias("slots"))
-    return levels[0].join(slots.withColumnRenamed("item", "source"), "source").select("source", "n", "share", (F.col("slots") * block).alias("rows"))
+    start = F.struct(F.transform("s", lambda x: next_of(F.lit(0).cast("long"), x["units"])).alias("next"), F.array().cast("array<array<struct<i:int,at:struct<rel:bigint,due:bigint,nth:bigint>,slot:bigint>>>").alias("spans"))
+    spans = F.sequence(F.lit(0).cast("long"), _div(F.col("slots") - 1, F.lit(SPAN).cast("long")))
+    run = one.select("s", F.explode(F.aggregate(spans, start, span)["spans"]).alias("span"))
+    picked = run.select("s", F.explode("span").alias("p")).select(F.get("s", F.col("p.i")).alias("x"), "p")
+    return picked.select(F.col("x.source").alias("source"), F.col("x.n").alias("n"), F.col("p.at.nth").alias("block"), F.col("p.slot").alias("slot"), F.col("p.at.rel").alias("release"), F.col("p.at.due").alias("deadline"))
 
 
 def _own(docs: DataFrame) -> list[Column]:
@@ -159,69 +114,72 @@ def _own(docs: DataFrame) -> list[Column]:
     return [_source().alias("m_source"), F.col("doc_id").alias("m_id"), F.xxhash64(text).alias("m_text"), drawn.alias("m_draw")]
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, period: int = PERIOD, block: int = BLOCK, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, columns: tuple[str, ...] = ("doc_id",), most: int = MOST) -> DataFrame:
     """The mixture: each row of docs once or, where its source runs out early, in several epochs.
 
     Returns ``columns`` of docs with source, epoch (from 0), block (number within its source), slot, release, deadline
     and place (row within the block); slot and place give the order of the mixture. It ends when every source has been
-    shown in full, so no row is left out; a source shows its rows in the order of a draw from id and text. Given ``weights`` must name every source. A null source is a source of its own
-    (source null); repeated rows count separately; an empty table gives no rows. More sources than ``period`` share a
-    tree of periods: then a source stays within one block a level of its target.
+    shown in full, so no row is left out; a source shows its rows in the order of a draw from id and text. Given
+    ``weights`` must name every source. A null source is a source of its own (source null); repeated rows count
+    separately; an empty table gives no rows. A block has ``block`` rows, or more where that would make more than about
+    ``most`` slots.
     """
-    levels = tree(weighed(docs, weights), period)
-    plans = [patterns(x, period) for x in levels]
-    small = len(levels) == 1
-    if not small:
-        plans = [written(x, "mixing-plan") for x in plans]
+    shared = written(shares(weighed(docs, weights)), "mixing-shares")
+    size = _block_rows(shared, block, most)
+    plan, slots = written_counted(schedule(shared, size), "mixing-schedule")
     keyed = docs.select(*[F.col(c).alias(f"c_{c}") for c in columns], *_own(docs))
-    rows = levels[0].agg(F.sum("n")).first()[0] or 0
-    buckets = rank_buckets(rows)
+    buckets = rank_buckets(shared.agg(F.sum("n")).first()[0] or 0)
     ranked = salted_rank(keyed, ["m_source"], ["m_draw", "m_id", "m_text"], "m_rank", buckets, docs.select(*_own(docs)), draw_bucket(F.col("m_draw"), buckets))
-    sized = _budgets(levels, plans, period, block).select(F.col("source").alias("m_source"), "n", "rows")
-    sized = sized if small else written(sized, "mixing-budgets")
-    # Only the tables of a single period are bounded, by ``period`` rows, and so are broadcast.
-    met = ranked.join(F.broadcast(sized) if small else sized, "m_source").withColumn("most", F.greatest(F.ceil((F.col("rows") - F.col("m_rank")) / F.col("n")).cast("long") - 1, F.lit(0).cast("long")))
-    from_step = lambda step: F.explode(F.sequence(step * EPOCHS, F.least(F.col("most"), (step + 1) * EPOCHS - 1)))
-    epochs = met.filter(F.col("most") < EPOCHS).withColumn("epoch", from_step(F.lit(0).cast("long")))
+    sized = plan.groupBy(F.col("source").alias("m_source"), "n").agg((F.count(F.lit(1)) * size).alias("rows"))
+    plan = plan.select(F.col("source").alias("m_source"), "block", "slot", "release", "deadline")
+    # The schedule has no more slots than ``most`` asks for, unless a tiny weight alone asks for more; then Spark joins as it sees fit.
+    small = F.broadcast if slots <= 2 * most else lambda x: x
+    met = ranked.join(small(sized), "m_source").withColumn("last", F.greatest(F.ceil((F.col("rows") - F.col("m_rank")) / F.col("n")).cast("long") - 1, F.lit(0).cast("long")))
+    from_step = lambda step: F.explode(F.sequence(step * EPOCHS, F.least(F.col("last"), (step + 1) * EPOCHS - 1)))
+    epochs = met.filter(F.col("last") < EPOCHS).withColumn("epoch", from_step(F.lit(0).cast("long")))
     if not sized.filter(F.col("rows") > EPOCHS * F.col("n")).isEmpty():
         parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = met.filter(F.col("most") >= EPOCHS).withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("most") / EPOCHS).cast("long"))))
+        spread = met.filter(F.col("last") >= EPOCHS).withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / EPOCHS).cast("long"))))
         spread = spread.repartition(parts, "m_source", "m_rank", "step").withColumn("epoch", from_step(F.col("step"))).drop("step")
         epochs = epochs.unionByName(spread)
     seen = epochs.withColumn("seen", F.col("epoch") * F.col("n") + F.col("m_rank")).filter(F.col("seen") < F.col("rows"))
-    placed = seen.withColumn("block", F.floor(F.col("seen") / block).cast("long")).withColumn("place", (F.col("seen") % block).cast("int"))
-    placed = placed.withColumns({"item": F.col("m_source"), "at": F.col("block"), "rel": F.col("block"), "due": F.col("block") + 1})
-    for plan in plans:
-        placed = _climbed(placed, plan, period, small)
-    return placed.select(*[F.col(f"c_{c}").alias(c) for c in columns], F.nullif(F.col("m_source"), F.lit(NO_SOURCE)).alias("source"), "epoch", "block", F.col("at").alias("slot"), F.col("rel").alias("release"), F.col("due").alias("deadline"), "place")
+    rows = F.lit(size).cast("long")
+    placed = seen.withColumn("block", _div(F.col("seen"), rows)).withColumn("place", (F.col("seen") % rows).cast("int")).join(small(plan), ["m_source", "block"])
+    return placed.select(*[F.col(f"c_{c}").alias(c) for c in columns], F.nullif(F.col("m_source"), F.lit(NO_SOURCE)).alias("source"), "epoch", "block", "slot", "release", "deadline", "place")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
-#: For up to PERIOD sources and ids that do not repeat. ``s`` steps through one period: the released block that is due first goes next.
+def _sql_release(j: str) -> str:
+    return f"({j} // w * {UNITS} + {j} % w * {UNITS} // w)"
+
+
+def _sql_deadline(j: str) -> str:
+    return f"(({j} + 1) // w * {UNITS} + (({j} + 1) % w * {UNITS} + w - 1) // w)"
+
+
+#: For ids that do not repeat, and mixtures of no more than MOST slots. ``s`` steps through the slots: the released block that is due first goes next.
 OP7_SQL = f"""
 WITH RECURSIVE r AS (SELECT doc_id, source, coalesce(source, '') AS k, row_number() OVER (PARTITION BY source ORDER BY
        ('0x' || substr(md5(concat(doc_id, ':', md5(coalesce(text, '')))), 1, 12))::BIGINT, doc_id) - 1 AS rank FROM documents),
 c AS (SELECT k, count(*) AS n, pow(count(*), {TEMPER}) AS w FROM r GROUP BY k),
-e AS (SELECT k, n, w / sum(w) OVER () * ({PERIOD} - count(*) OVER ()) AS x, {PERIOD} - count(*) OVER () AS free FROM c),
-p AS (SELECT k, n, 1 + floor(x)::BIGINT + (row_number() OVER (ORDER BY x - floor(x) DESC, k) <= free - sum(floor(x)) OVER ())::BIGINT AS share FROM e),
-l AS (SELECT list(share ORDER BY k) AS shares, list(k ORDER BY k) AS names FROM p),
+e AS (SELECT k, n, w / sum(w) OVER () * ({UNITS} - count(*) OVER ()) AS x, {UNITS} - count(*) OVER () AS free FROM c),
+p AS (SELECT k, n, 1 + floor(x)::BIGINT + (row_number() OVER (ORDER BY x - floor(x) DESC, k) <= free - sum(floor(x)) OVER ())::BIGINT AS w FROM e),
+l AS (SELECT list(w ORDER BY k) AS shares, list(k ORDER BY k) AS names, max({_sql_deadline(f"((n + {BLOCK - 1}) // {BLOCK} - 1)")}) AS slots FROM p),
 s(slot, pick, nth, done) AS (
     SELECT -1::BIGINT, 0::BIGINT, 0::BIGINT, list_transform(shares, lambda x: 0::BIGINT) FROM l
     UNION ALL
     SELECT slot, pick, done[pick], list_transform(done, lambda x, i: x + (i = pick)::BIGINT) FROM (
         SELECT slot, done, list_position(due, list_min(due)) AS pick FROM (
-            SELECT slot + 1 AS slot, done, list_transform(shares, lambda w, i: CASE WHEN done[i] * {PERIOD} // w <= slot + 1
-                   THEN ((done[i] + 1) * {PERIOD} + w - 1) // w ELSE 1000000000000 END) AS due FROM s, l WHERE slot < {PERIOD} - 1))),
+            SELECT slot + 1 AS slot, done, list_transform(shares, lambda w, i: CASE WHEN {_sql_release("done[i]")} <= slot + 1
+                   THEN {_sql_deadline("done[i]")} ELSE 1000000000000000 END) AS due FROM s, l WHERE slot < slots - 1))),
 plan AS (SELECT slot, names[pick] AS k, nth FROM s, l WHERE slot >= 0),
-h AS (SELECT max((((n + {BLOCK - 1}) // {BLOCK} - 1) // share) * {PERIOD} + slot + 1) AS slots FROM p JOIN plan ON plan.k = p.k AND nth = ((n + {BLOCK - 1}) // {BLOCK} - 1) % share),
-b AS (SELECT p.k, n, share, {BLOCK} * ((slots // {PERIOD}) * share + count(*) FILTER (slot < slots % {PERIOD})) AS rows FROM p JOIN plan ON plan.k = p.k, h GROUP BY p.k, n, share, slots),
-t AS (SELECT doc_id, source, k, share, epoch, (epoch * n + rank)::BIGINT AS seen FROM r JOIN b USING (k), unnest(range((rows - rank + n - 1) // n)) AS u(epoch))
-SELECT doc_id, source, epoch::BIGINT AS epoch, seen // {BLOCK} AS block, ((seen // {BLOCK}) // share) * {PERIOD} + slot AS slot,
-       (seen // {BLOCK}) * {PERIOD} // share AS release, ((seen // {BLOCK} + 1) * {PERIOD} + share - 1) // share AS deadline, (seen % {BLOCK})::INTEGER AS place
-FROM t JOIN plan ON plan.k = t.k AND nth = (seen // {BLOCK}) % share
+b AS (SELECT k, n, w, {BLOCK} * count(*) AS rows FROM p JOIN plan USING (k) GROUP BY k, n, w),
+t AS (SELECT doc_id, source, k, w, epoch, (epoch * n + rank)::BIGINT AS seen FROM r JOIN b USING (k), unnest(range((rows - rank + n - 1) // n)) AS u(epoch))
+SELECT doc_id, source, epoch::BIGINT AS epoch, seen // {BLOCK} AS block, slot, {_sql_release(f"(seen // {BLOCK})")} AS release, {_sql_deadline(f"(seen // {BLOCK})")} AS deadline, (seen % {BLOCK})::INTEGER AS place
+FROM t JOIN plan ON plan.k = t.k AND nth = seen // {BLOCK}
 """
 
 

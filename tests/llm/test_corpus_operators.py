@@ -193,7 +193,7 @@ def test_cutting_stock_beats_its_classes_by_no_more_than_the_proved_gap():
 
 def test_mixing_keeps_every_source_within_a_block(spark, edges, docs):
     frame = spark.read.parquet(f"{SF}/documents.parquet")
-    share = {r.source: r.share / mixing.PERIOD for r in mixing.shares(frame).collect()}
+    share = {r.source: r.units / mixing.UNITS for r in mixing.shares(mixing.weighed(frame)).collect()}
     got = mixing.mix(frame, block=4).toPandas()
     assert set(got.doc_id) == set(docs.doc_id) and sum(share.values()) == 1
     assert ((got.release <= got.slot) & (got.slot < got.deadline)).all()
@@ -207,22 +207,46 @@ def test_mixing_keeps_every_source_within_a_block(spark, edges, docs):
     assert mixing.mixed_documents(edges).columns == edges.columns
 
 
-def test_mixing_of_more_sources_than_slots(spark):
-    rows = [(i, f"s{i % 37}" if i >= 60 else "hot") for i in range(200)]
-    frame = spark.createDataFrame(rows, "doc_id long, source string")
-    got = mixing.mix(frame, period=8, block=2).toPandas()
-    assert Counter(got[got.epoch == 0].doc_id) == Counter(range(200)) and not got.duplicated(["doc_id", "epoch"]).any()
+def within_a_block(got, share):
+    """Every prefix of the schedule against the given targets; returns the slots."""
     assert ((got.release <= got.slot) & (got.slot < got.deadline)).all()
-    slots = got.groupby("slot")
-    assert slots.source.nunique().max() == 1 and slots.block.nunique().max() == 1 and sorted(slots.groups) == list(range(len(slots)))
+    slots = got.drop_duplicates(["slot", "source", "block"]).sort_values("slot")
+    assert slots.slot.tolist() == list(range(len(slots)))
+    times = np.arange(1, len(slots) + 1)
+    for source, w in share.items():
+        seen = np.cumsum(slots.source.to_numpy() == source)
+        assert np.abs(seen - w * times).max() < 1 + len(slots) * len(share) / mixing.UNITS  # what rounding weights to units moves
+    return len(slots)
+
+
+def test_mixing_follows_very_small_weights(spark):
+    frame = spark.createDataFrame([(i, "big" if i else "small") for i in range(20_000)], "doc_id long, source string")
+    got = mixing.mix(frame, {"big": 0.9999, "small": 0.0001}, block=1).toPandas()
+    assert within_a_block(got, {"big": 0.9999, "small": 0.0001}) >= 20_000 and (got.source == "small").sum() == 2
+    third = mixing.mix(frame, {"big": 2.0, "small": 1.0}, block=16).toPandas()
+    assert within_a_block(third, {"big": 2 / 3, "small": 1 / 3}) > 1_800
+
+
+def test_mixing_of_many_sources(spark):
+    rows = [(i, f"s{i % 600}" if i >= 1_000 else "hot") for i in range(3_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {f"s{k}": 1.0 + k % 7 for k in range(600)} | {"hot": 900.0}
+    got = mixing.mix(frame, weights, block=2).toPandas()
+    assert Counter(got[got.epoch == 0].doc_id) == Counter(range(3_000)) and not got.duplicated(["doc_id", "epoch"]).any()
+    within_a_block(got, {k: w / sum(weights.values()) for k, w in weights.items()})
     for _, own in got.drop_duplicates(["source", "block"]).sort_values("slot").groupby("source"):
         assert own.block.tolist() == list(range(len(own)))
-    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("h"), F.col("id") % 600).alias("source"))
-    assert mixing.mix(many).select("doc_id").distinct().count() == 3000
     with pytest.raises(Exception, match="no weight above 0 for source s"):
         mixing.mix(frame, {"hot": 1.0}, block=2).count()
 
 
+def test_mixing_blocks_grow_with_the_mixture(spark):
+    frame = spark.range(6_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2_000, "a").otherwise("b").alias("source"))
+    got = mixing.mix(frame, {"a": 1.0, "b": 3.0}, block=1, most=500).toPandas()
+    assert Counter(got[got.epoch == 0].doc_id) == Counter(range(6_000))
+    assert 400 < within_a_block(got, {"a": 0.25, "b": 0.75}) <= 505 and got.place.max() > 10
+
+
 def test_sharding_moves_rows_only_into_a_new_shard(spark, edges):
     got = sharding.op8_sharding(spark, SF).toPandas()
     assert ((got.grown_shard == got.shard) | (got.grown_shard == 16)).all()
@@ -378,12 +402,13 @@ def test_kept_documents_against_the_ledger(spark, edges):
 def test_mixing_against_a_replay_of_the_schedule(spark):
     rows = [(i, s) for i, s in enumerate(["a"] * 40 + ["b"] * 9 + ["c"] * 3 + [None] * 2)]
     frame = spark.createDataFrame(rows, "doc_id long, source string")
-    share = {r.source: r.share for r in mixing.shares(frame, {"a": 4.0, "b": 2.0, "c": 1.0, mixing.NO_SOURCE: 1.0}, 64).collect()}
-    got = mixing.mix(frame, {"a": 4.0, "b": 2.0, "c": 1.0, mixing.NO_SOURCE: 1.0}, period=64, block=2).toPandas()
+    weights = {"a": 4.0, "b": 2.0, "c": 1.0, mixing.NO_SOURCE: 1.0}
+    share = {r.source: r.units for r in mixing.shares(mixing.weighed(frame, weights)).collect()}
+    got = mixing.mix(frame, weights, block=2).toPandas()
     got["source"] = got.source.fillna(mixing.NO_SOURCE)
     done, order = dict.fromkeys(share, 0), []
     for t in range(int(got.slot.max()) + 1):
-        ready = [(-(-(done[s] + 1) * 64 // w), s) for s, w in share.items() if done[s] * 64 // w <= t]
+        ready = [(-(-(done[s] + 1) * mixing.UNITS // w), s) for s, w in share.items() if done[s] * mixing.UNITS // w <= t]
         order.append(min(ready)[1])
         done[order[-1]] += 1
     slots = got.groupby("slot").source.unique()
@@ -396,9 +421,9 @@ def test_mixing_against_a_replay_of_the_schedule(spark):
 def test_mixing_spreads_the_epochs_of_a_small_source(spark, monkeypatch):
     rows = [(i, "big") for i in range(3_000)] + [(-1, "one")]
     frame = spark.createDataFrame(rows, "doc_id long, source string")
-    want = sorted(map(tuple, mixing.mix(frame, block=1, period=8).collect()))
+    want = sorted(map(tuple, mixing.mix(frame, block=1).collect()))
     monkeypatch.setattr(mixing, "EPOCHS", 7)
-    assert sorted(map(tuple, mixing.mix(frame, block=1, period=8).collect())) == want and sum(r[0] == -1 for r in want) > 100
+    assert sorted(map(tuple, mixing.mix(frame, block=1).collect())) == want and sum(r[0] == -1 for r in want) > 100
     ties = spark.createDataFrame([(1, "s", f"t{k}") for k in range(50)] + [(None, "s", "x")] * 3, "doc_id long, source string, text string")
     # One source has every slot; the last block is filled up from the next epoch.
     seen = Counter(r.text for r in mixing.mixed_documents(ties).collect())
