@@ -421,9 +421,9 @@ def test_mixing_against_a_replay_of_the_schedule(spark):
 def test_mixing_spreads_the_epochs_of_a_small_source(spark, monkeypatch):
     rows = [(i, "big") for i in range(3_000)] + [(-1, "one")]
     frame = spark.createDataFrame(rows, "doc_id long, source string")
-    want = sorted(map(tuple, mixing.mix(frame, block=1).collect()))
+    want = sorted(map(tuple, mixing.mix(frame, {"big": 9.0, "one": 1.0}, block=1).collect()))
     monkeypatch.setattr(mixing, "EPOCHS", 7)
-    assert sorted(map(tuple, mixing.mix(frame, block=1).collect())) == want and sum(r[0] == -1 for r in want) > 100
+    assert sorted(map(tuple, mixing.mix(frame, {"big": 9.0, "one": 1.0}, block=1).collect())) == want and sum(r[0] == -1 for r in want) > 100
     ties = spark.createDataFrame([(1, "s", f"t{k}") for k in range(50)] + [(None, "s", "x")] * 3, "doc_id long, source string, text string")
     # One source has every slot; the last block is filled up from the next epoch.
     seen = Counter(r.text for r in mixing.mixed_documents(ties).collect())
