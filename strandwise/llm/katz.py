@@ -29,9 +29,9 @@ from strandwise.llm.common import table
 from strandwise.scratch import scratch, written
 
 #: Counts up to this are discounted; UTF-8 bytes of text in a chunk (one text of more is a chunk of its own).
-K, CHUNK = 5, 12 << 20
+K, CHUNK = 5, 8 << 20
 #: Entries that a part holds at most, by and large; occurrences of a first word beyond which its pairs are dealt over parts.
-ENTRIES, SPLIT = 1_500_000, 400_000
+ENTRIES, SPLIT = 1_000_000, 400_000
 #: The token at the end of each text: no word is empty. Ids: the context at a text's beginning, a word unseen in training, words from FIRST on.
 END = ""
 BEGIN, UNKNOWN, FIRST = 0, 1, 2
