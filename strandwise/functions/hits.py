@@ -61,12 +61,6 @@ def complete_ec(ec: Column) -> Column:
     return F.size(F.split(ec, r"\.")) == 4
 
 
-def gene_key(gene_id: Column) -> Column:
-    """What names a gene's taxon: the taxid of five-part ids, the accession of nine-part ones, the middle of a||b||c, else the part before a dot."""
-    parts = F.split(gene_id, r"\|")
-    return F.when(F.size(parts) == 9, F.get(parts, F.lit(3))).when(F.size(parts) == 5, F.when(gene_id.contains("||"), F.split_part(gene_id, F.lit("||"), F.lit(2))).otherwise(F.get(parts, F.lit(0)))).otherwise(F.split_part(gene_id, F.lit("."), F.lit(1)))
-
-
 def gene_source(gene_id: Column) -> Column:
     """Struct (accession, taxid) that names a gene's taxon: exactly one of the two is not null.
 

@@ -32,13 +32,13 @@ def unmapped_in_all_chunks(left: DataFrame, chunks: int) -> DataFrame:
     return left.groupBy("query").agg(F.count_distinct("chunk").alias("n")).filter(F.col("n") == chunks).select("query")
 
 
-def expand_contigs(best: DataFrame, contig_reads: DataFrame | None) -> DataFrame:
-    """(gene_id, read_id, score): a query that is a contig stands for its reads, another one for itself."""
-    genes = best.select(F.col("target").alias("gene_id"), "query", "score")
+def expand_contigs(best: DataFrame, contig_reads: DataFrame | None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(gene_id, read_id, score): a query that is a contig stands for its reads, another one for itself. ``keep`` names columns of best that stay."""
+    genes = best.select(F.col("target").alias("gene_id"), "query", "score", *[c for c in keep if c != "query"])
     if contig_reads is None:
-        return genes.select("gene_id", F.col("query").alias("read_id"), "score")
+        return genes.select("gene_id", F.col("query").alias("read_id"), "score", *keep)
     met = genes.join(contig_reads.select(F.col("contig_id").alias("query"), F.col("read_id").alias("member")), "query", "left")
-    return met.select("gene_id", F.coalesce("member", "query").alias("read_id"), "score")
+    return met.select("gene_id", F.coalesce("member", "query").alias("read_id"), "score", *keep)
 
 
 def attach_gene_length(gene_reads: DataFrame, genes: DataFrame) -> DataFrame:
@@ -104,9 +104,13 @@ def drop_multi_target(hits: DataFrame, passes: Column) -> DataFrame:
     return hits.filter(passes).groupBy("query").agg(F.count_distinct("target").alias("n"), F.min("target").alias("target")).filter("n = 1").select("query", "target")
 
 
-def claim_once(gene_reads: DataFrame) -> DataFrame:
-    """A read reached through several contigs goes to one gene: highest score, then the smaller gene."""
-    return first_by(gene_reads, ["read_id"], [F.col("score").desc(), F.col("gene_id")])
+def claim_once(gene_reads: DataFrame, order: tuple[str, ...] = ("file_order", "query")) -> DataFrame:
+    """(gene_id, read_id, score): a read reached through several contigs goes to one contig's gene.
+
+    The highest score counts, then the first contig by ``order`` (where its hit stands in the file, then its id), then the
+    smaller gene.
+    """
+    return first_by(gene_reads, ["read_id"], [F.col("score").desc(), *map(F.col, order), F.col("gene_id")]).select("gene_id", "read_id", "score")
 
 
 def shares(df: DataFrame, key: str) -> DataFrame:

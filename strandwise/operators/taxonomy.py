@@ -1,22 +1,26 @@
 """The taxonomy tree: ancestors, lineages, votes and roll-up.
 
-Trees may have any depth and any number of nodes: ancestors are found by tables of jumps of 1, 2, 4, ... levels, so a
-tree of depth d takes log2(d) joins over its nodes, and only the taxa in use are then expanded to all their ancestors.
+Trees may have any depth and any number of nodes. Every node's way up to the root is put together by joining ways of 1, 4,
+16, ... nodes, so a tree of depth d takes log4(d) tables of one row a node; only the taxa in use are then expanded to all
+their ancestors. ``numbered_tree`` numbers the nodes in preorder: a node's descendants are the numbers from its ``enter`` to
+its ``leave``, and the lowest common ancestor of any set is that of its first and its last number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandwise.functions.hits import gene_source
 from strandwise.operators.route import first_by
-from strandwise.scratch import numbered, written, written_counted
+from strandwise.scratch import dropped, numbered, written
 
 #: Ranks of a lineage in order, with the prefixes of their names (fixed values of the format).
 RANKS = ("superkingdom", "phylum", "class", "order", "family", "genus", "species")
 PREFIXES = ("k_", "p_", "c_", "o_", "f_", "g_", "s_")
+#: All ranks that a taxon can be constrained to, from the top (fixed values of the format).
+ALL_RANKS = ("unclassified", "superkingdom", "phylum", "subphylum", "class", "subclass", "superorder", "order", "suborder", "superfamily", "family", "subfamily", "genus", "subgenus", "species", "subspecies")
 ROOT = 1
 #: Nodes below the root beyond which a lineage is cut and marked as one without root (fixed value of the format).
 LONGEST = 20
@@ -24,47 +28,69 @@ LONGEST = 20
 STEP = 8
 
 
-def jumps(nodes: DataFrame) -> list[DataFrame]:
-    """Tables (c, p), where p stands 1, 2, 4, ... levels above c. A missing parent means the root; a cycle is an error."""
+def paths(nodes: DataFrame) -> DataFrame:
+    """(taxid, path) of every node, written: the node, its parent and so on up to the root. A missing parent means the root; a cycle is an error."""
     known = nodes.select(F.col("taxid").alias("k"))
-    step = nodes.filter(F.col("taxid") != ROOT).join(known, F.col("parent") == F.col("k"), "left").select(F.col("taxid").alias("c"), F.coalesce("k", F.lit(ROOT)).alias("p"))
-    out: list[DataFrame] = []
-    first = 0
+    top = F.when(F.col("taxid") != ROOT, F.coalesce("k", F.lit(ROOT)))
+    ways = nodes.join(known, F.col("parent") == F.col("k"), "left").select("taxid", F.array("taxid").alias("path"), top.alias("top"), F.lit(True).alias("own"))
+    root = nodes.sparkSession.range(1).select(F.lit(ROOT).alias("taxid"), F.array(F.lit(ROOT)).alias("path"), F.lit(None).cast("int").alias("top"), F.lit(False).alias("own"))
+    ways = ways.unionByName(root.join(known, F.col("taxid") == F.col("k"), "left_anti"))
+    length, before = 1, None
     while True:
-        step, n = written_counted(step, "jumps")
-        if not n:
-            return out
-        first = first or n
-        if 1 << len(out) > first:
+        longer = ways
+        for _ in range(3):
+            step = ways.select(F.col("taxid").alias("t"), F.col("path").alias("more"), F.col("top").alias("next"))
+            longer = longer.join(step, F.col("top") == F.col("t"), "left").select("taxid", F.when(F.col("t").isNull(), F.col("path")).otherwise(F.concat("path", "more")).alias("path"), F.col("next").alias("top"), "own")
+        seen = Observation()
+        ways = written(longer.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("top").isNotNull()).alias("open")), "paths")
+        if before is not None:
+            dropped(before)
+        length, before = 4 * length, ways
+        if not seen.get["open"]:
+            return ways.filter("own").select("taxid", "path")
+        if length > seen.get["n"]:
             raise ValueError("the tree has a cycle")
-        out.append(step)
-        step = step.alias("a").join(step.alias("b"), F.col("a.p") == F.col("b.c")).select("a.c", "b.p")
+
+
+def ways_of(nodes: DataFrame, taxa: DataFrame | None = None) -> DataFrame:
+    """``paths``, or those of ``taxa`` (taxid; repeats count once) that the tree has."""
+    ways = paths(nodes)
+    return ways if taxa is None else ways.join(taxa.select("taxid"), "taxid", "left_semi")
+
+
+def _expanded(ways: DataFrame) -> DataFrame:
+    """All columns of ways with ancestor, distance and the ancestor's depth below the root, a row each."""
+    out = ways.select(*[c for c in ways.columns if c != "path"], F.size("path").alias("__n"), F.posexplode("path").alias("distance", "ancestor"))
+    return out.withColumn("depth", F.col("__n") - 1 - F.col("distance")).drop("__n")
 
 
 def ancestor_closure(nodes: DataFrame, taxa: DataFrame | None = None) -> DataFrame:
     """(taxid, ancestor, distance) from every node, or those of ``taxa`` (taxid) that the tree has, up to the root; itself at 0.
 
-    A missing parent means the root. The table is written once, so that what uses it twice computes it once.
+    A missing parent means the root.
     """
-    own = nodes.select("taxid")
-    if taxa is not None:
-        own = taxa.select("taxid").distinct().join(own, "taxid", "left_semi")
-    up = own.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("distance"))
-    for k, jump in enumerate(jumps(nodes)):
-        # Every ancestor found so far stays and is joined by the one 2^k levels above it.
-        both = F.array(F.struct("ancestor", "distance"), F.struct(F.col("p").alias("ancestor"), (F.col("distance") + (1 << k)).alias("distance")))
-        up = up.join(jump, F.col("ancestor") == F.col("c"), "left").select("taxid", F.inline(both)).filter(F.col("ancestor").isNotNull())
-    return written(up, "ancestors")
+    return _expanded(ways_of(nodes, taxa)).select("taxid", "ancestor", "distance")
+
+
+def numbered_tree(nodes: DataFrame) -> DataFrame:
+    """taxid, path, depth, enter, leave, written: numbers from 0 in preorder (siblings by taxid); enter to leave are a node's descendants and itself."""
+    ways = paths(nodes)
+    placed = numbered(ways.withColumn("down", F.reverse("path")), ["down"], "enter").drop("down")
+    below = ways.select(F.explode("path").alias("taxid")).groupBy("taxid").agg(F.count(F.lit(1)).alias("n"))
+    met = placed.join(below, "taxid").select("taxid", "path", (F.size("path") - 1).alias("depth"), "enter", (F.col("enter") + F.col("n") - 1).alias("leave"))
+    return written(met, "numbered-tree")
 
 
-def _with_depth(up: DataFrame) -> DataFrame:
-    """up with the depth of each ancestor below the root."""
-    deepest = up.groupBy("taxid").agg(F.max("distance").alias("deepest"))
-    return up.join(deepest, "taxid").withColumn("depth", F.col("deepest") - F.col("distance")).drop("deepest")
+def common_ancestor(ends: DataFrame, tree: DataFrame) -> DataFrame:
+    """ends (lo, hi: the first and the last number of a set) with ``lca``, the taxid of its lowest common ancestor. Distinct pairs meet the tree."""
+    way = lambda name: tree.select(F.col("enter").alias(name), F.col("path").alias(f"{name}_path"))
+    pairs = ends.select("lo", "hi").distinct().join(way("lo"), "lo").join(way("hi"), "hi")
+    found = pairs.select("lo", "hi", F.get(F.array_intersect("lo_path", "hi_path"), F.lit(0)).alias("lca"))
+    return ends.join(found, ["lo", "hi"])
 
 
-def _rank_of(column: str) -> Column:
-    ranks = F.create_map(*[x for i, r in enumerate(RANKS) for x in (F.lit(r), F.lit(i))])
+def _rank_of(column: str, order: tuple[str, ...] = RANKS) -> Column:
+    ranks = F.create_map(*[x for i, r in enumerate(order) for x in (F.lit(r), F.lit(i))])
     return F.try_element_at(ranks, F.col(column))
 
 
@@ -73,7 +99,7 @@ def lineages(nodes: DataFrame, names: DataFrame, taxa: DataFrame | None = None)
 
     A taxon with more than LONGEST nodes below the root gets ``no root`` in its place and the ranks of the nearest LONGEST.
     """
-    up = _with_depth(ancestor_closure(nodes, taxa)).withColumn("far", F.col("depth") + F.col("distance") > LONGEST)
+    up = _expanded(ways_of(nodes, taxa)).withColumn("far", F.col("depth") + F.col("distance") > LONGEST)
     named = up.filter(~F.col("far") | (F.col("distance") < LONGEST)).join(nodes.select(F.col("taxid").alias("ancestor"), "rank"), "ancestor").join(names.select(F.col("taxid").alias("ancestor"), "name"), "ancestor", "left")
     ranked = named.withColumn("i", _rank_of("rank"))
     wide = ranked.groupBy("taxid").agg(F.bool_or("far").alias("far"), F.max("i").alias("deepest"), *[F.max(F.when(F.col("i") == i, F.coalesce("name", F.lit("")))).alias(r) for i, r in enumerate(RANKS)])
@@ -93,20 +119,35 @@ def taxa_summary(classified: DataFrame) -> DataFrame:
     return classified.groupBy("lineage").agg(F.count(F.lit(1)).alias("reads"))
 
 
-def constrain_to_rank(nodes: DataFrame, target: str) -> DataFrame:
-    """(taxid, constrained): the nearest node upwards, itself included, whose rank is the target's or above; the root where none is."""
-    fit = nodes.filter((_rank_of("rank") <= RANKS.index(target)) | (F.col("taxid") == ROOT)).select(F.col("taxid").alias("ancestor"))
-    return ancestor_closure(nodes).join(fit, "ancestor").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("constrained"))
+def constrain_to_rank(nodes: DataFrame, target: str, taxa: DataFrame | None = None) -> DataFrame:
+    """(taxid, constrained) of every node, or of ``taxa`` (taxid): the nearest node upwards, itself included, whose rank is the target's or above.
+
+    Ranks are those of ALL_RANKS, nodes of any other rank are passed over; the root stays the root and takes what finds no
+    other. Of ``taxa``, 0, null and those that the tree lacks become 0.
+    """
+    fit = nodes.filter((_rank_of("rank", ALL_RANKS) <= ALL_RANKS.index(target)) | (F.col("taxid") == ROOT)).select(F.col("taxid").alias("ancestor"))
+    found = ancestor_closure(nodes, taxa).join(fit, "ancestor").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("constrained"))
+    if taxa is None:
+        return found
+    return taxa.select("taxid").distinct().join(found, "taxid", "left").select("taxid", F.coalesce("constrained", F.lit(0)).alias("constrained"))
+
+
+def constrain_reads(read_taxa: DataFrame, nodes: DataFrame, target: str) -> DataFrame:
+    """(flag, read_id, taxid) of reads (read_id, taxid): C and the constrained taxon, U and 0 for taxid 0 and taxa that the tree lacks."""
+    of = constrain_to_rank(nodes, target, read_taxa.filter("taxid <> 0"))
+    met = read_taxa.join(of, "taxid", "left").select("read_id", F.coalesce("constrained", F.lit(0)).alias("taxid"))
+    return met.select(F.when(F.col("taxid") == 0, "U").otherwise("C").alias("flag"), "read_id", "taxid")
 
 
 def lca(read_taxa: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(read_id, lca): the deepest common ancestor of a read's distinct taxa; reads with no known taxon are left out."""
-    taxa = read_taxa.filter("taxid <> 0").select("read_id", "taxid").distinct()
-    up = _with_depth(ancestor_closure(nodes, taxa))
-    known = taxa.join(nodes.select("taxid"), "taxid", "left_semi")
-    n = known.groupBy("read_id").agg(F.count(F.lit(1)).alias("n"))
-    common = known.join(up, "taxid").groupBy("read_id", "ancestor").agg(F.count(F.lit(1)).alias("k"), F.max("depth").alias("depth")).join(n, "read_id").filter("k = n")
-    return common.groupBy("read_id").agg(F.max_by("ancestor", "depth").alias("lca"))
+    """(read_id, lca): the deepest common ancestor of a read's taxa; reads with no known taxon are left out.
+
+    A read keeps the first and the last preorder number of its taxa, whatever their number.
+    """
+    tree = numbered_tree(nodes)
+    met = read_taxa.select("read_id", "taxid").join(tree.select("taxid", "enter"), "taxid")
+    ends = met.groupBy("read_id").agg(F.min("enter").alias("lo"), F.max("enter").alias("hi"))
+    return common_ancestor(ends, tree).select("read_id", "lca")
 
 
 def spread_contigs(read_taxa: DataFrame, contig_reads: DataFrame, own_wins: bool = True) -> DataFrame:
@@ -138,8 +179,7 @@ def vote_taxon(read_taxa: DataFrame, nodes: DataFrame, least: float = 2) -> Data
     Votes are added up per read and taxon before they meet the tree.
     """
     votes = read_taxa.filter("taxid <> 0").groupBy("read_id", "taxid").agg(F.sum("weight").alias("w"))
-    up = _with_depth(ancestor_closure(nodes, read_taxa))
-    support = votes.join(up, "taxid").groupBy("read_id", "ancestor").agg(F.sum("w").alias("w"), F.max("depth").alias("depth")).filter(F.col("w") >= least)
+    support = _expanded(votes.join(ways_of(nodes, read_taxa), "taxid")).groupBy("read_id", "ancestor").agg(F.sum("w").alias("w"), F.max("depth").alias("depth")).filter(F.col("w") >= least)
     won = support.groupBy("read_id").agg(F.max_by("ancestor", F.struct("depth", "w", -F.col("ancestor"))).alias("taxid"))
     return read_taxa.select("read_id").distinct().join(won, "read_id", "left").select("read_id", F.coalesce("taxid", F.lit(0)).alias("taxid"))
 
@@ -160,7 +200,7 @@ def rollup(counts: DataFrame, nodes: DataFrame, share: float = 0.01, least: floa
     """
     taxa = counts.select(F.when(F.col("taxid") == 0, ROOT).otherwise(F.col("taxid")).alias("taxid"), "reads").groupBy("taxid").agg(F.sum("reads").alias("reads"))
     present = taxa.select("taxid").unionByName(nodes.filter(F.col("taxid") == ROOT).select("taxid")).distinct()
-    up = _with_depth(ancestor_closure(nodes, taxa))
+    up = _expanded(ways_of(nodes, taxa))
     above = up.filter("distance > 0").join(present.select(F.col("taxid").alias("ancestor")), "ancestor", "left_semi").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("above"))
     depth = up.filter("distance = 0").select("taxid", "depth")
     tree = written(taxa.select("taxid").join(depth, "taxid", "left").join(above, "taxid", "left").select("taxid", F.when(F.col("taxid") == ROOT, 0).otherwise(F.coalesce("depth", F.lit(1))).alias("depth"), F.coalesce("above", F.lit(ROOT)).alias("above")), "present-taxa")
@@ -208,5 +248,5 @@ def accession_to_taxid(gene_reads: DataFrame, acc_taxid: DataFrame) -> DataFrame
 
 def lineage_order(nodes: DataFrame) -> DataFrame:
     """taxid, place (from 1): preorder of the tree, parents before children, siblings by taxid."""
-    path = ancestor_closure(nodes).groupBy("taxid").agg(F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), "ancestor"))).alias("p"))
-    return numbered(path.select("taxid", F.transform("p", lambda x: x["ancestor"]).alias("path")), ["path"], "place").select("taxid", (F.col("place") + 1).cast("int").alias("place"))
+    ways = paths(nodes).select("taxid", F.reverse("path").alias("path"))
+    return numbered(ways, ["path"], "place").select("taxid", (F.col("place") + 1).cast("int").alias("place"))

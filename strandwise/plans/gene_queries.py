@@ -27,12 +27,12 @@ def query(sql: str):
 M = "CAST(regexp_extract(cigar, '^([0-9]+)M', 1) AS INT)"
 PCT = f"(100.0 * {M} / ({M} + CAST(regexp_extract(cigar, 'M([0-9]+)S', 1) AS INT)))"
 PASS = "(identity > 85 AND aln_len > 0.65 * qlen AND bitscore > 60)"
-BEST = f"SELECT query, target, as_score AS score FROM v_aln WHERE flag = 0 AND {PCT} >= 90 QUALIFY row_number() OVER (PARTITION BY query ORDER BY as_score DESC, file_order, target) = 1"
+BEST = f"SELECT query, target, as_score AS score, file_order FROM v_aln WHERE flag = 0 AND {PCT} >= 90 QUALIFY row_number() OVER (PARTITION BY query ORDER BY as_score DESC, file_order, target) = 1"
 
 
 def _aln_best(spark, d):
     v = view(spark, d, "v_aln")
-    return H.best_hit(v, X.aln_passes(F.col("flag"), F.col("cigar")), "as_score").select("query", "target", F.col("as_score").alias("score"))
+    return H.best_hit(v, X.aln_passes(F.col("flag"), F.col("cigar")), "as_score").select("query", "target", F.col("as_score").alias("score"), "file_order")
 
 
 def _hit_passes(protein: bool = False):
@@ -86,23 +86,29 @@ def drop_multi_target(spark, d):
     return H.drop_multi_target(view(spark, d, "v_hits"), _hit_passes())
 
 
-EXPANDED = f"b AS ({BEST}), x AS (SELECT target AS gene_id, coalesce(c.read_id, b.query) AS read_id, score FROM b LEFT JOIN (SELECT DISTINCT contig_id AS contig_id, read_id FROM v_contig) c ON b.query = c.contig_id)"
+EXPANDED = f"b AS ({BEST}), x AS (SELECT target AS gene_id, coalesce(c.read_id, b.query) AS read_id, score, file_order, query FROM b LEFT JOIN (SELECT DISTINCT contig_id AS contig_id, read_id FROM v_contig) c ON b.query = c.contig_id)"
 
 
 def _expanded(spark, d):
-    return H.expand_contigs(_aln_best(spark, d), view(spark, d, "v_contig").distinct())
+    return H.expand_contigs(_aln_best(spark, d), view(spark, d, "v_contig").distinct(), ("file_order", "query"))
 
 
 @query(f"WITH {EXPANDED} SELECT gene_id, read_id, score FROM x")
 def expand_contigs(spark, d):
-    return _expanded(spark, d)
+    return _expanded(spark, d).drop("file_order", "query")
 
 
-@query(f"WITH {EXPANDED} SELECT gene_id, read_id, score FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, gene_id) = 1")
+@query(f"WITH {EXPANDED} SELECT gene_id, read_id, score FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, file_order, query, gene_id) = 1")
 def claim_read_once(spark, d):
     return H.claim_once(_expanded(spark, d))
 
 
+@query(f"WITH {EXPANDED} SELECT gene_id, read_id, score FROM (SELECT gene_id, read_id, score // 20000 AS score, file_order, query FROM x) QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, file_order, query, gene_id) = 1")
+def claim_read_once_of_equal_scores(spark, d):
+    coarse = F.floor(F.col("score") / 20000).cast("int")
+    return H.claim_once(_expanded(spark, d).withColumn("score", coarse))
+
+
 TOOL_RANK = "CASE tool WHEN 'bwa' THEN 1 WHEN 'blat' THEN 2 ELSE 3 END, CASE context WHEN 'pair_1' THEN 1 WHEN 'singletons' THEN 3 ELSE 4 END"
 MERGED = f"m AS (SELECT gene_id, read_id, score, tool, context FROM v_gene_maps QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, {TOOL_RANK}, gene_id) = 1)"
 
@@ -117,7 +123,7 @@ def merged_gene_counts(spark, d):
     return H.gene_counts(H.merge_gene_maps(view(spark, d, "v_gene_maps")))
 
 
-@query(f"""WITH {EXPANDED}, c AS (SELECT gene_id, read_id FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, gene_id) = 1),
+@query(f"""WITH {EXPANDED}, c AS (SELECT gene_id, read_id FROM x QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, file_order, query, gene_id) = 1),
 g AS (SELECT gene_id, length, count(DISTINCT read_id) AS reads FROM c JOIN v_genes USING (gene_id) GROUP BY ALL)
 SELECT gene_id, length, reads, round(reads / ((length / 1000.0) * (sum(reads) OVER () / 1e6)), 6) AS rpkm FROM g""")
 def rpkm_table(spark, d):
@@ -380,11 +386,34 @@ def gene_taxon_counts(spark, d):
     return maps.gene_taxon_counts(view(spark, d, "v_gene_reads"), taxa, view(spark, d, "v_genes"), view(spark, d, "v_gene_ec").filter(~F.col("ec").startswith("1.")))
 
 
-@query("SELECT DISTINCT gene, CASE WHEN len(string_split(gene, '|')) = 9 THEN string_split(gene, '|')[4] WHEN len(string_split(gene, '|')) = 5 THEN CASE WHEN contains(gene, '||') THEN split_part(gene, '||', 2) ELSE string_split(gene, '|')[1] END ELSE split_part(gene, '.', 1) END AS key FROM (SELECT CASE gene_id % 4 WHEN 0 THEN concat('t', CAST(gene_id AS STRING), '|a|b|c|d') WHEN 1 THEN concat('a|b|c|', CAST(gene_id AS STRING), '|e|f|g|h|i') WHEN 2 THEN concat('x||', CAST(gene_id AS STRING), '||y') ELSE concat(CAST(gene_id AS STRING), '.1') END AS gene FROM v_genes)")
+GENES = "SELECT CASE gene_id % 6 WHEN 0 THEN concat(CAST(gene_id AS STRING), '__t|k__B|p__c|s__d|g') WHEN 1 THEN concat('a|b|c|N', CAST(gene_id AS STRING), '.2|e|f|g|h|i') WHEN 2 THEN concat('x||', CAST(gene_id AS STRING), '||y') WHEN 3 THEN concat('t', CAST(gene_id AS STRING), '.3|a|b|c|d') WHEN 4 THEN concat('x|k__B|', CAST(gene_id AS STRING)) ELSE concat('P', CAST(gene_id AS STRING), '.1') END AS gene FROM v_genes"
+
+
+@query(f"""WITH g AS (SELECT DISTINCT gene, string_split(gene, '|') AS p FROM ({GENES}))
+SELECT gene, CASE WHEN len(p) = 5 AND contains(gene, '|k__') THEN '' WHEN len(p) = 9 THEN split_part(p[4], '.', 1) WHEN contains(gene, '||') THEN split_part(gene, '||', 2) ELSE split_part(gene, '.', 1) END AS accession,
+       CASE WHEN len(p) = 5 AND contains(gene, '|k__') THEN CAST(split_part(p[1], '_', 1) AS INT) ELSE 0 END AS taxid FROM g""")
 def parse_gene_key(spark, d):
-    g = F.col("gene_id").cast("string")
-    k = F.col("gene_id") % 4
-    gene = F.when(k == 0, F.concat(F.lit("t"), g, F.lit("|a|b|c|d"))).when(k == 1, F.concat(F.lit("a|b|c|"), g, F.lit("|e|f|g|h|i"))).when(k == 2, F.concat(F.lit("x||"), g, F.lit("||y"))).otherwise(F.concat(g, F.lit(".1")))
-    return view(spark, d, "v_genes").select(gene.alias("gene")).distinct().select("gene", X.gene_key(F.col("gene")).alias("key"))
+    genes = spark.sql(GENES.replace("v_genes", "{v_genes}"), v_genes=view(spark, d, "v_genes")).distinct()
+    return genes.select("gene", X.gene_source(F.col("gene")).alias("s")).select("gene", F.coalesce("s.accession", F.lit("")).alias("accession"), F.coalesce("s.taxid", F.lit(0)).alias("taxid"))
+
+
+FINE = """SELECT taxid, parent, CASE WHEN taxid BETWEEN 100 AND 199 THEN CASE taxid % 3 WHEN 0 THEN 'family' WHEN 1 THEN 'subfamily' ELSE 'clade' END WHEN taxid BETWEEN 1000 AND 999999 THEN CASE taxid % 3 WHEN 0 THEN 'genus' WHEN 1 THEN 'subgenus' ELSE 'no rank' END
+WHEN taxid >= 1000000 AND taxid % 4 = 0 THEN 'subspecies' ELSE rank END AS rank FROM v_nodes"""
+RANK_PLACE = "list_position(['unclassified', 'superkingdom', 'phylum', 'subphylum', 'class', 'subclass', 'superorder', 'order', 'suborder', 'superfamily', 'family', 'subfamily', 'genus', 'subgenus', 'species', 'subspecies'], n.rank)"
+CONSTRAINED = """WITH RECURSIVE {UP}, f AS ({FINE}), c AS (SELECT u.taxid, arg_min(u.ancestor, u.distance) AS constrained FROM up u JOIN f n ON n.taxid = u.ancestor WHERE {RANK_PLACE} <= {place} OR n.taxid = 1 GROUP BY u.taxid)
+SELECT CASE WHEN constrained IS NULL THEN 'U' ELSE 'C' END AS flag, read_id, coalesce(constrained, 0) AS taxid FROM v_read_taxid LEFT JOIN c USING (taxid)"""
+
+
+def _constrained(spark, d, target: str):
+    nodes = spark.sql(FINE.replace("v_nodes", "{v_nodes}"), v_nodes=view(spark, d, "v_nodes"))
+    return T.constrain_reads(view(spark, d, "v_read_taxid"), nodes, target)
+
+
+@query(CONSTRAINED.format(UP=UP, FINE=FINE, RANK_PLACE=RANK_PLACE, place=14))
+def constrain_reads_to_subgenus(spark, d):
+    return _constrained(spark, d, "subgenus")
 
 
+@query(CONSTRAINED.format(UP=UP, FINE=FINE, RANK_PLACE=RANK_PLACE, place=15))
+def constrain_reads_to_species(spark, d):
+    return _constrained(spark, d, "species")

@@ -71,6 +71,52 @@ def test_deep_and_large_trees(spark):
         taxonomy.ancestor_closure(spark.createDataFrame([(1, 1), (2, 3), (3, 2)], "taxid int, parent int"))
 
 
+def test_common_ancestors_and_ranks_of_deep_trees(spark):
+    # A chain of 60 with a twig of 3 at every fifth node; the root is not in the table.
+    rows = [(k, k - 1) for k in range(2, 62)] + [(1000 * k + j, 1000 * k + j - 1 if j else k) for k in range(5, 62, 5) for j in range(3)]
+    parent = dict(rows)
+    nodes = spark.createDataFrame(rows, "taxid int, parent int")
+
+    def way(t):
+        out = [t]
+        while out[-1] in parent:
+            out.append(parent[out[-1]])
+        return out
+
+    tree = {r.taxid: r for r in taxonomy.numbered_tree(nodes).collect()}
+    assert sorted(r.enter for r in tree.values()) == list(range(len(rows)))
+    for a in tree.values():
+        assert a.path == way(a.taxid) and a.depth == len(a.path) - 1
+        assert {b.taxid for b in tree.values() if a.enter <= b.enter <= a.leave} == {t for t in parent if a.taxid in way(t)}
+    sets = {"one": [61], "twigs": [5002, 40_001, 61], "up": [7, 30_000], "top": [2, 60_002], "same": [9, 9], "none": [0, 99_999], "part": [99_999, 33]}
+    reads = spark.createDataFrame([(k, t) for k, v in sets.items() for t in v], "read_id string, taxid int")
+    got = {r.read_id: r.lca for r in taxonomy.lca(reads, nodes).collect()}
+    assert got == {"one": 61, "twigs": 5, "up": 7, "top": 2, "same": 9, "part": 33}
+    ranks = {2: "superkingdom", 10: "family", 12: "subfamily", 20: "genus", 22: "subgenus", 30: "species", 31: "subspecies", 40: "clade"}
+    ranked = nodes.join(spark.createDataFrame(list(ranks.items()), "taxid int, rank string"), "taxid", "left")
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate([61, 31, 30, 29, 22, 21, 13, 11, 5002, 1, 0, 12_345, None])], "read_id int, taxid int")
+
+    def taxa(target):
+        rows = sorted(taxonomy.constrain_reads(asked, ranked, target).collect(), key=lambda r: r.read_id)
+        assert all((r.flag == "U") == (r.taxid == 0) for r in rows)
+        return [r.taxid for r in rows]
+
+    assert taxa("subspecies") == [31, 31, 30, 22, 22, 20, 12, 10, 2, 0, 0, 0, 0]
+    assert taxa("subgenus") == [22, 22, 22, 22, 22, 20, 12, 10, 2, 0, 0, 0, 0]
+    assert taxa("genus") == [20, 20, 20, 20, 20, 20, 12, 10, 2, 0, 0, 0, 0]
+    rooted = ranked.unionByName(spark.createDataFrame([(1, 1, "no rank")], "taxid int, parent int, rank string"))
+    rows = taxonomy.constrain_reads(asked.filter("taxid IN (1, 5002)"), rooted.filter("taxid <> 2").unionByName(spark.createDataFrame([(2, 1, "x")], "taxid int, parent int, rank string")), "class").collect()
+    assert {(r.flag, r.taxid) for r in rows} == {("C", 1)}
+    assert taxonomy.lca(reads.limit(0), nodes).count() == 0 and taxonomy.numbered_tree(nodes.limit(0)).count() == 0
+
+
+def test_contig_ties_go_to_the_first_contig(spark):
+    best = spark.createDataFrame([("c1", "gZ", 5, 1), ("c2", "gA", 5, 2), ("c3", "gB", 9, 3), ("r9", "gC", 1, 4)], "query string, target string, score int, file_order int")
+    members = spark.createDataFrame([("c1", "r1"), ("c2", "r1"), ("c3", "r2"), ("c1", "r2"), ("c2", "r3")], "contig_id string, read_id string")
+    got = hits.claim_once(hits.expand_contigs(best, members, ("file_order", "query")))
+    assert {r.read_id: r.gene_id for r in got.collect()} == {"r1": "gZ", "r2": "gB", "r3": "gA", "r9": "gC"}
+
+
 def test_checks_of_mates(spark):
     import pytest
 
