@@ -133,44 +133,6 @@ def leftover_reads(mate1: DataFrame, mate2: DataFrame, annotated: DataFrame, sin
     return left.groupBy("read_id", group.alias("kind")).agg(F.when(F.max("m") == 3, "contigs").when(F.count_distinct(F.nullif(F.col("m"), F.lit(0))) == 2, "pair").otherwise("singletons").alias("part")).drop("kind")
 
 
-def _kmers(seq: Column, k: int, unit: str, distinct: bool = True) -> Column:
-    """The runs of k units (characters for '', else what a pattern separates) as two 64-bit hashes; linear in the text.
-
-    A run is known by XXH64 under two seeds, 128 bits in all, so that the joins move no strings.
-    """
-    def runs(parts: Column) -> Column:
-        starts = F.when(F.size(parts) >= k, F.sequence(F.lit(1), F.size(parts) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        window = lambda i, name: [F.get(parts, i - 1 + j)[name] for j in range(k)]
-        found = F.transform(starts, lambda i: F.struct(F.xxhash64(*window(i, "a")).alias("a"), F.xxhash64(*window(i, "b")).alias("b")))
-        if not distinct:
-            return found
-        # Distinct by neighbours, as array_distinct compares structs pair by pair.
-        return F.element_at(F.transform(F.array(F.sort_array(found)), lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1)))), 1)
-
-    # The parts are bound once, so that no window splits the text again.
-    hashed = F.transform(F.filter(F.split(seq, unit), lambda c: c != ""), lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b")))
-    return F.element_at(F.transform(F.array(hashed), runs), 1)
-
-
-def kmer_counts(reads: DataFrame, reference: DataFrame, k: int, unit: str = "") -> DataFrame:
-    """query, target, shared (distinct k-mers in common): the candidate hits of every read with every reference text.
-
-    No k-mer is capped: a k-mer that very many rows hold is spread by the join's own splitting and counted map-side.
-    """
-    def exploded(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("id").alias(name), F.explode(_kmers(F.col("seq"), k, unit)).alias("kmer"))
-
-    return exploded(reads, "query").join(exploded(reference, "target"), "kmer").groupBy("query", "target").agg(F.count(F.lit(1)).alias("shared"))
-
-
-def kmer_screen(reads: DataFrame, reference: DataFrame, k: int, min_hits: int, unit: str = "") -> DataFrame:
-    """Ids of reads with at least min_hits distinct k-mers anywhere in the reference."""
-    kmers = F.explode(_kmers(F.col("seq"), k, unit, False)).alias("kmer")
-    # Only the few hits are made distinct.
-    hits = reads.select("id", kmers).join(reference.select(kmers).distinct(), "kmer", "left_semi")
-    return hits.groupBy("id").agg(F.count_distinct("kmer").alias("hits")).filter(F.col("hits") >= min_hits)
-
-
 def contig_flag(reads: DataFrame, contig_reads: DataFrame) -> DataFrame:
     """read_id and in_contig (yes or no)."""
     inside = contig_reads.select("read_id").distinct().withColumn("x", F.lit(True))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import hits as X
 from strandwise.functions import reads as R
+from strandwise.operators import kmers as K
 from strandwise.operators import maps as M
 from strandwise.operators import taxonomy as T
 from strandwise.plans.read_queries import KMER, _texts
@@ -169,14 +170,17 @@ def contig_segment_counts(spark, d):
 
 
 @query("WITH " + KMER + """, t AS (SELECT item_id, CASE WHEN item_id % 3 = 0 THEN 10 + item_id % 5 ELSE 100 + item_id % 25 END AS taxid FROM benchmark),
-q AS (SELECT item_id, unnest(ks) AS kmer FROM r), e AS (SELECT id, unnest(ks) AS kmer FROM k), v AS (SELECT id, taxid, count(*) AS w FROM e JOIN q USING (kmer) JOIN t USING (item_id) GROUP BY ALL),
-a AS (SELECT taxid AS t, taxid AS anc FROM v_nodes UNION SELECT taxid, parent FROM v_nodes UNION SELECT n.taxid, p.parent FROM v_nodes n JOIN v_nodes p ON p.taxid = n.parent),
+a AS (SELECT taxid AS t, taxid AS anc, 0 AS up FROM v_nodes UNION SELECT taxid, parent, 1 FROM v_nodes WHERE taxid <> 1 UNION SELECT n.taxid, p.parent, 2 FROM v_nodes n JOIN v_nodes p ON p.taxid = n.parent WHERE n.taxid <> 1 AND p.taxid <> 1),
+x AS (SELECT DISTINCT kmer, taxid FROM (SELECT item_id, unnest(ks) AS kmer FROM r) JOIN t USING (item_id) WHERE taxid IN (SELECT taxid FROM v_nodes)),
+m AS (SELECT kmer, count(*) AS n FROM x GROUP BY kmer), c AS (SELECT kmer, anc, count(*) AS n, min(up) AS up FROM x JOIN a ON t = x.taxid GROUP BY ALL),
+l AS (SELECT kmer, arg_min(anc, c.up) AS taxid FROM c JOIN m USING (kmer) WHERE c.n = m.n GROUP BY kmer),
+e AS (SELECT id, unnest(ks) AS kmer FROM k), v AS (SELECT id, taxid, count(*) AS w FROM e JOIN l USING (kmer) GROUP BY ALL),
 s AS (SELECT c.id, c.taxid, sum(u.w) AS w FROM v c JOIN a ON t = c.taxid JOIN v u ON u.id = c.id AND u.taxid = anc GROUP BY ALL),
 b AS (SELECT id, arg_max(taxid, (w, -taxid)) AS taxid FROM s GROUP BY id) SELECT DISTINCT doc_id AS read_id, coalesce(taxid, 0) AS taxid FROM documents LEFT JOIN b ON id = doc_id""")
 def kmer_lca_classify(spark, d):
     i = F.col("item_id")
     taxa = view(spark, d, "benchmark").select(i.alias("id"), F.when(i % 3 == 0, 10 + i % 5).otherwise(100 + i % 25).alias("taxid"))
-    return M.kmer_lca_classify(*_texts(spark, d), taxa, view(spark, d, "v_nodes"), 4, " ")
+    return K.kmer_lca_classify(*_texts(spark, d), taxa, view(spark, d, "v_nodes"), 4, " ")
 
 
 @query("SELECT p_partkey AS id, p_name AS seq FROM part WHERE p_partkey IN (SELECT gene_id FROM v_gene_ec WHERE ec LIKE '2.%')")

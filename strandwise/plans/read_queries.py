@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import reads as R
 from strandwise.operators import hits as H
+from strandwise.operators import kmers as K
 from strandwise.operators import maps as M
 from strandwise.operators import route as P
 from strandwise.plans.views import view, with_views
@@ -147,12 +148,45 @@ def _texts(spark, d):
 
 @query("WITH " + KMER + ", q AS (SELECT DISTINCT unnest(ks) AS kmer FROM r), e AS (SELECT id, unnest(ks) AS kmer FROM k) SELECT id, count(*) AS hits FROM e JOIN q USING (kmer) GROUP BY id HAVING count(*) >= 4")
 def kmer_screen(spark, d):
-    return P.kmer_screen(*_texts(spark, d), 4, 4, " ")
+    return K.kmer_screen(*_texts(spark, d), 4, 4, " ").select("id", "hits")
+
+
+@query("WITH " + KMER + ", q AS (SELECT DISTINCT unnest(ks) AS kmer FROM r), e AS (SELECT id, len(ks) AS n, unnest(ks) AS kmer FROM k) SELECT id, count(*) AS hits, round(count(*) / n, 9) AS frac FROM e JOIN q USING (kmer) GROUP BY id, n HAVING count(*) / n >= 0.1")
+def kmer_screen_by_fraction(spark, d):
+    return K.kmer_screen(*_texts(spark, d), 4, 1, " ", 0.1).withColumn("frac", F.round("frac", 9))
 
 
 @query("WITH " + KMER + ", q AS (SELECT item_id AS target, unnest(ks) AS kmer FROM r), e AS (SELECT id AS query, unnest(ks) AS kmer FROM k) SELECT query, target, count(*) AS shared FROM e JOIN q USING (kmer) GROUP BY ALL")
+def kmer_shared_counts(spark, d):
+    return K.kmer_counts(*_texts(spark, d), 4, " ")
+
+
+PLACES = "{n}k AS (SELECT {id} AS {n}_id, len(s) AS units, i - 1 AS pos, array_to_string(s[i : i + 3], ' ') AS kmer FROM (SELECT {id}, list_filter(string_split(text, ' '), lambda c: c <> '') AS s FROM {t}), unnest(range(1, len(s) - 2)) AS u(i)), {n} AS (SELECT *, count(*) OVER (PARTITION BY {n}_id, kmer) AS times, row_number() OVER (PARTITION BY {n}_id, kmer ORDER BY pos) AS nth FROM {n}k)"
+HITS = "WITH " + PLACES.format(n="q", id="item_id", t="benchmark") + ", " + PLACES.format(n="t", id="doc_id", t="documents") + """, n AS (SELECT q_id, count(DISTINCT kmer) AS n FROM q GROUP BY q_id),
+seed AS (SELECT q_id, t_id, q.kmer, q.pos AS q_pos, q.units, t.pos AS t_pos, CAST(floor((t.pos - q.pos) / 16.0) AS INTEGER) AS band FROM q JOIN t USING (kmer) WHERE q.times = 1 OR t.times = 1 OR q.nth = t.nth),
+held AS (SELECT q_id, t_id, n, count(DISTINCT kmer) AS shared FROM seed JOIN n USING (q_id) GROUP BY ALL HAVING count(DISTINCT kmer) >= 0.5 * n),
+place AS (SELECT q_id, t_id, band, units, q_pos, min(t_pos) AS t_min, max(t_pos) AS t_max, count(*) AS k FROM seed GROUP BY ALL),
+cover AS (SELECT *, least(4, coalesce(lead(q_pos) OVER (PARTITION BY q_id, t_id, band ORDER BY q_pos) - q_pos, 4)) AS c FROM place),
+chain AS (SELECT q_id, t_id, band, units, sum(k) AS seeds, min(q_pos) AS q_start, max(q_pos) + 4 AS q_end, min(t_min) AS t_start, max(t_max) + 4 AS t_end, sum(c) AS score FROM cover GROUP BY ALL),
+hit AS (SELECT q_id AS query, t_id AS target, shared, 100.0 * shared / n AS containment, band, CAST(seeds AS BIGINT) AS seeds, q_start, q_end, t_start, t_end, q_end - q_start AS aln_len, CAST(score AS INTEGER) AS score,
+        100.0 * score / (q_end - q_start) AS identity, units AS qlen, 100.0 * (q_end - q_start) / units AS coverage, row_number() OVER (PARTITION BY q_id ORDER BY t_id, band) AS file_order FROM chain JOIN held USING (q_id, t_id))
+"""
+
+
+def _hits(spark, d):
+    documents, passages = _texts(spark, d)
+    return K.kmer_hits(passages, documents, 4, " ")
+
+
+@query(HITS + "SELECT * REPLACE (round(containment, 6) AS containment, round(identity, 6) AS identity, round(coverage, 6) AS coverage) FROM hit")
 def kmer_hits(spark, d):
-    return P.kmer_counts(*_texts(spark, d), 4, " ")
+    return _hits(spark, d).withColumns({c: F.round(c, 6) for c in ("containment", "identity", "coverage")})
+
+
+@query(HITS + "SELECT query, target, score, aln_len, qlen, q_start, t_start FROM hit WHERE identity > 85 AND aln_len > 0.65 * qlen AND score > 30 QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, file_order) = 1")
+def kmer_best_hit(spark, d):
+    long = (F.col("identity") > 85) & (F.col("aln_len") > 0.65 * F.col("qlen")) & (F.col("score") > 30)
+    return H.best_hit(_hits(spark, d), long, "score").select("query", "target", "score", "aln_len", "qlen", "q_start", "t_start")
 
 
 @query("SELECT read_id, CASE WHEN read_id IN (SELECT read_id FROM v_contig) THEN 'yes' ELSE 'no' END AS in_contig FROM (SELECT DISTINCT o_orderkey AS read_id FROM orders)")
