@@ -54,8 +54,7 @@ def clstr_files(spark, d):
     clusters = P.exact_dedup(view(spark, d, "documents").select(C("doc_id").alias("read_id"), "text"), ["text"])
     line = F.concat(F.lit("8nt, >d"), C("member_id").cast("string"), F.lit("..."), F.when(C("member_id") == C("rep_id"), " *").otherwise(" at 100%"))
     path = scratch(spark, "clstr")
-    body = clusters.groupBy("rep_id").agg(F.collect_list(line).alias("l"))
-    body.select(F.concat(F.lit(">Cluster "), C("rep_id").cast("string"), F.lit("\n"), F.array_join("l", "\n")).alias("value")).write.text(path)
+    S.write_blocks(clusters.select(F.concat(F.lit(">Cluster "), C("rep_id").cast("string")).alias("header"), line.alias("line")), "header", "line", path)
     return S.read_clstr(spark, path)
 
 
@@ -84,8 +83,7 @@ def _priam(spark, d):
     p = view(spark, d, "v_ec_pred")
     row = F.concat_ws("\t", F.concat(F.when(C("tool") == "N", "# ").otherwise(""), C("ec")), C("prob").cast("string"), C("evalue").cast("string"))
     path = scratch(spark, "priam")
-    blocks = p.groupBy("gene_id").agg(F.collect_list(row).alias("l"))
-    blocks.select(F.concat(F.lit(">"), C("gene_id").cast("string"), F.lit(" x\n"), F.array_join("l", "\n"), F.lit("\n")).alias("value")).write.text(path)
+    S.write_blocks(p.select(F.concat(F.lit(">"), C("gene_id").cast("string"), F.lit(" x")).alias("header"), row.alias("line")), "header", "line", path)
     return path
 
 
@@ -119,9 +117,9 @@ def ec_pair_files(spark, d):
 @query("SELECT DISTINCT ec, concat('Enzyme ', ec) AS name, concat('A', CAST(gene_id AS VARCHAR)) AS accession FROM v_gene_ec")
 def enzyme_dat_files(spark, d):
     lines = F.concat(F.lit("DR   A"), C("gene_id").cast("string"), F.lit(", G_X ;"))
-    records = view(spark, d, "v_gene_ec").distinct().groupBy("ec").agg(F.collect_list(lines).alias("l"))
     path = scratch(spark, "enzyme-dat")
-    records.select(F.concat(F.lit("ID   "), "ec", F.lit("\nDE   Enzyme "), "ec", F.lit(".\n"), F.array_join("l", "\n"), F.lit("\n//")).alias("value")).write.text(path)
+    header = F.concat(F.lit("ID   "), "ec", F.lit("\nDE   Enzyme "), "ec", F.lit("."))
+    S.write_blocks(view(spark, d, "v_gene_ec").distinct().select(header.alias("header"), lines.alias("line")), "header", "line", path)
     return S.read_enzyme_dat(spark, path)
 
 

@@ -4,34 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandwise.scratch import numbered
+from strandwise.sources.splits import below_headers, records
 
 #: Reads that one line of a gene map names at most; a gene with more has several lines, which the reader unites.
 READS_PER_LINE = 10_000
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line (0-based within its file) and value of every line, blank ones included.
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """read_id, seq, qual: every four physical lines are a record, whatever they begin with; the id ends at the first space.
 
-    A split's lines follow one another in one task, so a line's place in its split is its running id less the split's
-    smallest; line counts of the splits before it in the file (one row a split) make that a line number.
+    Records are put together where their split is read; only those that a border cuts are exchanged.
     """
-    split = ["file", "start"]
-    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
-    sizes = rows.groupBy(*split).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.withColumn("before", F.coalesce(before, F.lit(0)))
-    return rows.join(sizes, split).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("line"), "value")
-
-
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """read_id, seq, qual: every four physical lines are a record, whatever they begin with; the id ends at the first space."""
-    lines = numbered_lines(spark, path)
-    part = lambda k: F.max(F.when(F.col("line") % 4 == k, F.col("value")))
-    records = lines.groupBy("file", F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("header"), part(1).alias("seq"), part(3).alias("qual"))
-    return records.select(F.split_part(F.expr("substr(header, 2)"), F.lit(" "), F.lit(1)).alias("read_id"), "seq", "qual")
+    return records(spark, path).select(F.split_part(F.expr("substr(l0, 2)"), F.lit(" "), F.lit(1)).alias("read_id"), F.col("l1").alias("seq"), F.col("l3").alias("qual"))
 
 
 def write_fastq(reads: DataFrame, path: str, per_file: int = 0) -> None:
@@ -112,12 +98,23 @@ def read_blast_tab(spark: SparkSession, path: str, rejected: bool = False) -> Da
 
 
 def read_clstr(spark: SparkSession, path: str) -> DataFrame:
-    """rep_id, member_id of a cluster listing; the line that ends in * names the representative."""
-    name = lambda x: F.regexp_extract(x, r">(.*?)\.\.\.", 1)
-    lines = F.filter(F.split("value", "\n"), lambda x: x.contains("..."))
-    found = _blocks(spark, path, ">Cluster ").select(lines.alias("l"))
-    rep = name(F.get(F.filter("l", lambda x: F.rtrim(x).endswith("*")), 0))
-    return found.select(rep.alias("rep_id"), F.explode(F.transform("l", name)).alias("member_id"))
+    """rep_id, member_id of a cluster listing; the line that ends in * names the representative (of several the smallest), null without one.
+
+    A cluster is what stands below equal header lines, so a large one may have its header several times. Each member is a row
+    from the start, however many there are.
+    """
+    lines = below_headers(spark, path, ">Cluster ").filter(F.col("value").contains("..."))
+    found = lines.select("header", F.regexp_extract("value", r">(.*?)\.\.\.", 1).alias("member_id"), F.rtrim("value").endswith("*").alias("first"))
+    reps = found.filter("first").groupBy("header").agg(F.min("member_id").alias("rep_id"))
+    return found.join(reps, "header", "left").select("rep_id", "member_id")
+
+
+def write_blocks(rows: DataFrame, header: str, line: str, path: str) -> None:
+    """Text files of blocks: the lines (column ``line``) of each header below it; one of more than READS_PER_LINE lines comes again and again, with some of them each time."""
+    n = rows.groupBy(header).agg(F.ceil(F.count(F.lit(1)) / READS_PER_LINE).alias("parts"))
+    dealt = rows.join(n, header).withColumn("part", F.pmod(F.xxhash64(line), F.col("parts")))
+    blocks = dealt.groupBy(header, "part").agg(F.collect_list(line).alias("lines"))
+    blocks.select(F.concat(F.col(header), F.lit("\n"), F.array_join("lines", "\n")).alias("value")).write.text(path)
 
 
 def write_gene_map(gene_reads: DataFrame, path: str) -> None:
@@ -171,8 +168,7 @@ def read_vote_report(spark: SparkSession, path: str) -> DataFrame:
 
 def read_priam_blocks(spark: SparkSession, path: str, best_only: bool = True) -> DataFrame:
     """query, ec, prob, evalue and best of blocks that a >query line heads; rows behind a # are not the best ones."""
-    rows = _blocks(spark, path, "\n>", ">").select(F.split("value", "\n").alias("l"))
-    one = rows.select(F.split_part(F.trim(F.get("l", 0)), F.lit(" "), F.lit(1)).alias("query"), F.explode(F.expr("slice(l, 2, greatest(size(l) - 1, 0))")).alias("r")).filter("trim(r) <> ''")
+    one = below_headers(spark, path, ">").select(F.split_part(F.trim(F.expr("substr(header, 2)")), F.lit(" "), F.lit(1)).alias("query"), F.col("value").alias("r"))
     best = ~F.ltrim("r").startswith("#")
     kept = one.filter(best) if best_only else one
     f = F.transform(F.split(F.ltrim(F.col("r"), F.lit("# ")), "\t"), lambda x: F.trim(x))
@@ -187,10 +183,11 @@ def read_ec_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_enzyme_dat(spark: SparkSession, path: str) -> DataFrame:
-    """ec, name, accession of a flat file of ID, DE and DR lines; one row for each accession."""
-    r = _blocks(spark, path, "//\n")
-    dr = F.array_join(F.regexp_extract_all("value", F.lit(r"(?m)^DR   (.*)$"), 1), " ")
-    return r.select(F.regexp_extract("value", r"(?m)^ID   (\S+)", 1).alias("ec"), F.regexp_extract("value", r"(?m)^DE   (.*?)\.?$", 1).alias("name"), F.explode(F.regexp_extract_all(dr, F.lit(r"(\w+), *\w+ *;"), 1)).alias("accession"))
+    """ec, name, accession of a flat file of ID, DE and DR lines; one row for each accession, the name is the first DE line."""
+    lines = below_headers(spark, path, "ID   ").select(F.regexp_extract("header", r"^ID   (\S+)", 1).alias("ec"), "value", "s", "at")
+    names = lines.filter(F.col("value").startswith("DE   ")).groupBy("ec").agg(F.min_by("value", F.struct("s", "at")).alias("l"))
+    found = lines.filter(F.col("value").startswith("DR   ")).select("ec", F.explode(F.regexp_extract_all("value", F.lit(r"(\w+), *\w+ *;"), 1)).alias("accession"))
+    return found.join(names, "ec", "left").select("ec", F.coalesce(F.regexp_extract("l", r"^DE   (.*?)\.?$", 1), F.lit("")).alias("name"), "accession")
 
 
 def read_pathway(spark: SparkSession, path: str) -> DataFrame:
