@@ -30,8 +30,8 @@ from strandwise.llm.common import held_out, labelled_sample, table, worker_store
 TRAIN_ROWS, TRAIN_WINDOWS = 2_000, 60_000
 #: Least bytes of a window; sizes of the dictionaries' contents; bytes of the ordinary dictionary's training windows.
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES, PASSAGE = 32, 14_000, 400, 24
-#: A word sets toxic texts apart from this ratio of document shares, and this share of the toxic documents, on. So does
-#: a beginning of it, from this many bytes on; longer words than MEASURED have only themselves and their first bytes.
+#: A word sets toxic texts apart from this ratio of document shares, and this share of the toxic documents, on. So does a
+#: beginning of it: its beginnings are those of STEM to MEASURED - 1 bytes.
 LIFT, LEAST_SHARE, LEAST_DOCS, STEM, MEASURED = 8.0, 0.03, 4, 3, 64
 #: Telling parts of words whose windows the toxic dictionary holds whole.
 WHOLE = 60
@@ -99,11 +99,11 @@ class Distance:
         return len(self.plain(w)) - len(self.toxic(w))
 
     def saved(self, word: str) -> int:
-        """The most that the windows of the word, and of its beginnings if the toxic content has one like them, save."""
+        """The most that a window of the word, or of one of its beginnings, saves."""
         found = self.known.get(word)
         if found is None:
             own = word.encode("utf-8", "surrogatepass")
-            found = max(map(self._measured, stems(own) if b" " + own[: MATCH - 1] in self.grams else [own]))
+            found = max(map(self._measured, stems(own)))
             if len(own) <= MEASURED:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()

@@ -20,17 +20,17 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
-#: Words that unwanted hosts are made of, by topic, and words of ordinary hosts: fixed example values.
+#: Words that unwanted hosts are made of, by topic, words of ordinary hosts, and words that stand in both: fixed example
+#: values, chosen without regard to any table that is judged.
 UNWANTED = {
-    "gambling": "casino poker bet bets slots jackpot lottery roulette blackjack bingo wager gamble",
-    "adult": "adult porn sex xxx cams escort erotic nude dating",
-    "pharmacy": "pills viagra cialis pharmacy meds drugs steroids",
-    "advertising": "ads adserver banner popup click track tracker affiliate promo",
-    "spam": "spam seo links farm traffic backlinks bulk",
-    "fraud": "win prize winner cash loan rich payday replica claim",
-    "piracy": "crack warez torrent keygen serial cracked",
+    "gambling": "poker jackpot lottery roulette blackjack bingo wager gambling sportsbook baccarat craps",
+    "adult": "porn sexcam escort erotic nude hookup stripper fetish camgirl",
+    "pharmacy": "viagra cialis steroids oxycodone xanax levitra painkiller slimming",
+    "advertising": "adserver popunder clickbait affiliate adclick adnetwork doubleclicks",
+    "spam": "backlinks clickfarm linkbuilder massmailer seoboost bulkmail",
+    "fraud": "payday replica phishing getrich cashloan freeprize sweepstakes",
+    "piracy": "warez torrent keygen cracked serialz nulled pirated",
 }
-QUALIFIERS = "free cheap best online hot fast big top my x"
 ORDINARY = """
 university library museum school college academy research science journal archive history geography weather climate news
 press radio city council parliament ministry court statistics census health hospital clinic sports football chess music
@@ -39,41 +39,35 @@ railway airport harbour bicycle kitchen carpenter weaving pottery software kerne
 community family village church festival market farmer animals birds insects plants minerals physics chemistry biology
 mathematics logic language dictionary translation grammar education lesson exam student teacher professor
 """
+NEUTRAL = "best online hot fast big top my world mega"
 SYLLABLES = "an ber cor del en fil gar hol in jun kal lor men nor op per quin ros sal tor ul ver wen yor zan"
 ENDINGS = "example.org example.net example.edu example.info"
-SUBDOMAINS = ("", "www.", "m.", "blog.")
-PATHS = "/en/{n} /de/{n} /fr/{n}/ /es/{n}.html /{n}?page=2 /index.html /a/{n}#top /"
+SUBDOMAINS = ("", "www.", "shop.", "static.")
+#: Paths of both labels, of unwanted and of ordinary URLs; {n} is a number.
+PATHS = {None: "/{n}.html /index.html / /{n}?page=2", 1: "/bonus/{n} /claim-now/{n} /signup/offer{n} /out.php?id={n}", 0: "/article/{n} /about/ /docs/{n}/ /events/{n}#top"}
 #: Share of unwanted URLs that is expected outside the table, in which they are overrepresented.
 PRIOR = 0.1
-#: Hash residue of the labelled URLs that only measure the model, one of so many.
+#: Hash residue of the host words whose URLs only measure the model, one of so many.
 HELD_OUT = 5
 
 
-def _joined(words: list[str], others: list[str]) -> list[str]:
-    """Host names: each word with two of the others, in both orders, with and without a hyphen."""
-    out = []
-    for k, w in enumerate(words):
-        for step in (1, 4):
-            o = others[(k + step) % len(others)]
-            if o != w:
-                out += [f"{w}-{o}", f"{o}{w}"] if step == 1 else [f"{o}-{w}", f"{w}{o}"]
-    return out
-
-
-def labelled_table() -> list[tuple[str, int]]:
-    """The small table of labelled URLs (1 to block), made from the word lists above: about 500 to block and 1,300 to allow.
+def labelled_table() -> list[tuple[str, int, str]]:
+    """The small table of labelled URLs (url, label, host word; 1 to block), made from the word lists above.
 
-    Subdomains, endings and paths are dealt to both labels alike, so that only the words tell them apart.
+    Each host holds one word of its label, alone or with a neutral word before or behind it. Subdomains, endings and half of
+    the paths are dealt to both labels alike; the other half are paths of the label's own.
     """
-    extra, plain, parts = QUALIFIERS.split(), ORDINARY.split(), SYLLABLES.split()
-    bad = [h for words in UNWANTED.values() for h in _joined(words.split(), extra) + _joined(words.split(), words.split()) + words.split()]
-    names = [a + parts[(k + j) % len(parts)] + rest for k, a in enumerate(parts) for j, rest in ((3, ""), (5, "a"), (7, parts[(k + 11) % len(parts)]), (10, ""), (13, "o"), (17, parts[(k + 2) % len(parts)] + "e"))]
-    good = plain + _joined(plain, plain) + names + _joined(names, plain)
-    ends, paths = ENDINGS.split(), PATHS.split()
+    neutral, parts, ends = NEUTRAL.split(), SYLLABLES.split(), ENDINGS.split()
+    bad = [w for words in UNWANTED.values() for w in words.split()]
+    names = [a + parts[(k + j) % len(parts)] + rest for k, a in enumerate(parts) for j, rest in ((3, ""), (5, "a"), (7, parts[(k + 11) % len(parts)]), (13, "o"))]
     out = []
-    for label, hosts in ((1, bad), (0, good)):
-        for k, h in enumerate(dict.fromkeys(hosts)):
-            out.append((f"https://{SUBDOMAINS[k % 4]}{h}.{ends[k // 4 % 4]}{paths[k % 8].format(n=17 * k % 997)}", label))
+    for label, words in ((1, bad), (0, ORDINARY.split() + names)):
+        paths = [PATHS[None].split(), PATHS[label].split()]
+        for k, w in enumerate(words):
+            forms = [w, w, *(f for j in (0, 3) for o in [neutral[(k + j) % len(neutral)]] for f in (f"{w}-{o}", f"{o}{w}", f"{o}-{w}", f"{w}{o}"))]
+            for j, host in enumerate(forms):
+                n = k * len(forms) + j
+                out.append((f"https://{SUBDOMAINS[n % 4]}{host}.{ends[n // 4 % 4]}{paths[j % 2][n // 2 % 4].format(n=17 * n % 997)}", label, w))
     return out
 
 
@@ -131,8 +125,8 @@ def train(rows: Sequence[tuple[str, str, int]]) -> tuple[np.ndarray, float]:
 
 
 def labelled_urls(spark: SparkSession, held_out: bool = False) -> DataFrame:
-    """The small table of labelled URLs (url, label): the rows to learn from, or those that only measure the model."""
-    return spark.createDataFrame([(u, y) for u, y in labelled_table() if (zlib.crc32(u.encode()) % HELD_OUT == 0) == held_out], "url string, label int")
+    """The small table of labelled URLs (url, label): the rows to learn from, or those, of other host words, that only measure the model."""
+    return spark.createDataFrame([(u, y) for u, y, w in labelled_table() if (zlib.crc32(w.encode()) % HELD_OUT == 0) == held_out], "url string, label int")
 
 
 #: Rows of a labelled table that training takes at most.
@@ -144,17 +138,18 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str]
 
     A rule's verdict stands (its rows have no score); without a fitting rule the model blocks from ``threshold`` on. A null url, or one without
     ://, has an empty host and path; no rule fits it, and the model judges the empty strings. Rules are a short list,
-    so their test is part of the scan. An empty table gives no rows.
+    so their test is part of the scan. An empty table gives no rows. Labelled rows without a label of 0 or 1 are left out;
+    if none of either label remains, there is no model: scores are 0, and what no rule fits is allowed.
     """
     url = F.col("url")
-    few = labelled.select(host_of(url).alias("h"), path_of(url).alias("p"), F.col("label").cast("int").alias("y")).orderBy("h", "p", "y").limit(TRAIN_ROWS).collect()
-    weights, bias = train([tuple(r) for r in few])
+    few = labelled.select(host_of(url).alias("h"), path_of(url).alias("p"), F.col("label").cast("int").alias("y")).filter(F.col("y").isin(0, 1)).orderBy("h", "p", "y").limit(TRAIN_ROWS).collect()
+    weights, bias = train([tuple(r) for r in few]) if {r.y for r in few} == {0, 1} else (np.zeros(BUCKETS), -np.inf)
 
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for hosts, paths in batches:
             # Rows that a rule decides come as nulls.
             margins = [np.nan if h is None else weights[f := features(h, p)].sum() / np.sqrt(max(1, len(f))) + bias for h, p in zip(hosts, paths, strict=True)]
-            yield pd.Series(1 / (1 + np.exp(-np.array(margins, float))))
+            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(margins, float), -500, 500))) * (bias > -np.inf))
 
     block = F.pandas_udf(score, "double")
     parts = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))

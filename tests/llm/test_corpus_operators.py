@@ -307,7 +307,7 @@ def test_url_rules(spark):
     by_id = dict(map(tuple, frame.collect()))
     got = url_filter.judge(frame, url_filter.labelled_urls(spark)).collect()
     split = lambda u: brute_verdict(u)[:2]
-    learned = sorted((*split(u), y) for u, y in url_filter.labelled_table() if zlib.crc32(u.encode()) % 5)
+    learned = sorted((*split(u), y) for u, y, w in url_filter.labelled_table() if zlib.crc32(w.encode()) % 5)
     weights, bias = url_filter.train(learned)
     score = lambda h, p: 1 / (1 + np.exp(-(weights[f := url_filter.features(h, p)].sum() / max(1, len(f)) ** 0.5 + bias)))
     for r in got:
@@ -327,8 +327,24 @@ def test_url_model_on_held_out_urls(spark):
     held = [tuple(r) for r in url_filter.labelled_urls(spark, held_out=True).collect()]
     pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(held)], "page_id long, url string")
     got = {r.page_id: r.score for r in url_filter.judge(pages, url_filter.labelled_urls(spark), rules=()).collect()}
-    assert auc([y for _, y in held], [got[k] for k in range(len(held))]) > 0.98
+    assert auc([y for _, y in held], [got[k] for k in range(len(held))]) > 0.85
     assert not {u for u, _ in held} & {r.url for r in url_filter.labelled_urls(spark).collect()}
+    sides = [{w for _, _, w in url_filter.labelled_table() if (zlib.crc32(w.encode()) % 5 == 0) == side} for side in (False, True)]
+    assert not sides[0] & sides[1] and len(sides[1]) > 20
+    hosts = {re.sub(r"^https?://([^/]*).*", r"\1", r.url) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").collect()}
+    met = {w for h in hosts for w in re.split(r"[.-]", h)} - set("example com net org www".split())
+    assert not met & {w for s in sides for w in s}
+
+
+def test_url_model_without_labels(spark):
+    pages = spark.createDataFrame([(1, "https://poker.x.y/"), (2, "https://a.net/es/"), (3, None)], "page_id long, url string")
+    good = [("https://poker.x.y/", 1), ("https://library.x.y/", 0)]
+    for rows in ([], good[:1], good[1:], [(u, None) for u, _ in good], [(None, 1)]):
+        got = {r.page_id: (r.verdict, r.score) for r in url_filter.judge(pages, spark.createDataFrame(rows, "url string, label int")).collect()}
+        assert got == {1: ("allow", 0.0), 2: ("block", None), 3: ("allow", 0.0)}
+    odd = [*good, ("https://library.x.y/", None), (None, None), ("https://z.y", 7)]
+    plain, same = ({r.page_id: r.score for r in url_filter.judge(pages, spark.createDataFrame(r, "url string, label int")).collect()} for r in (good, odd))
+    assert plain == same and plain[1] > plain[3]
 
 
 def auc(y, s):
@@ -359,8 +375,8 @@ def test_toxic_windows_that_are_skipped_have_equal_lengths():
     ordinary, toxic, *_ = toxicity.train(list(zip(met.text, met.toxic, strict=True)))
     distance = toxicity.Distance(ordinary, toxic)
     words = {w for t in docs.text for w in toxicity.runs(t)}
-    skipped = [w for w in map(toxicity.window, words) if not any(w[i : i + toxicity.MATCH] in distance.grams for i in range(len(w) - 3))]
-    assert len(skipped) > 5_000 and all(len(distance.plain(w)) == len(distance.toxic(w)) for w in skipped)
+    found = {w: max(len(distance.plain(x)) - len(distance.toxic(x)) for x in map(toxicity.window, toxicity.stems(w))) for w in sorted(words)[::9]}
+    assert len(found) > 2_000 and {w: distance.saved(w.decode()) for w in found} == {w: max(n, 0) for w, n in found.items()}
 
 
 @pytest.mark.parametrize("blocks", [4, 5, 6])
