@@ -14,25 +14,50 @@ from strandwise.operators.hits import best_hit
 from strandwise.operators.route import first_by
 
 
+#: Places that are looked at one by one before the search turns to the prefix function.
+PLACES = 16
+
+
+def longest_overlap(one: str, other: str, least: int, most: int) -> int:
+    """Length of the longest end of one, of least to most characters, that other begins with; 0 without one. Linear, whatever repeats."""
+    most = min(most, len(one), len(other))
+    if most < least:
+        return 0
+    # The leftmost place where the other's first characters stand is the longest overlap that can be.
+    at, tries = one.find(other[:least], len(one) - most), 0
+    while at >= 0 and tries < PLACES:
+        if other.startswith(one[at:]):
+            return len(one) - at
+        at, tries = one.find(other[:least], at + 1), tries + 1
+    if at < 0:
+        return 0
+    head, fall, k = other[:most], [0] * most, 0
+    for i in range(1, most):
+        while k and head[i] != head[k]:
+            k = fall[k - 1]
+        k += head[i] == head[k]
+        fall[i] = k
+    k = 0
+    for i, c in enumerate(end := one[len(one) - most :]):
+        while k and (k == most or c != head[k]):
+            k = fall[k - 1]
+        k += c == head[k]
+        if k == most and i < len(end) - 1:
+            k = fall[k - 1]
+    return k if k >= least else 0
+
+
 def merge_pairs(mate1: DataFrame, mate2: DataFrame, min_overlap: int = 10, max_overlap: int | None = None) -> DataFrame:
     """read_id, merged, overlap: mates whose ends overlap exactly (mate 1 with mate 2's reverse complement) become one read.
 
     The longest overlap of min_overlap bases to the whole shorter mate counts, or to max_overlap bases if that is given.
-    Unmerged pairs have a null merged and overlap 0.
+    Unmerged pairs have a null merged and overlap 0. ``mates.merge_mates`` tolerates mismatches and weighs qualities.
     """
     both = mate1.select("read_id", "seq").join(mate2.select("read_id", reverse_complement(F.col("seq")).alias("other")), "read_id")
     kind = both.schema["read_id"].dataType.simpleString()
 
     def longest(one: str | None, other: str | None) -> int:
-        if one is None or other is None:
-            return 0
-        most = min(len(one), len(other), len(one) if max_overlap is None else max_overlap)
-        least = max(min_overlap, 1)
-        # The leftmost place where the other mate's first bases stand is the longest overlap that can be.
-        at = one.find(other[:least], len(one) - most) if most >= least else -1
-        while at >= 0 and not other.startswith(one[at:]):
-            at = one.find(other[:least], at + 1)
-        return len(one) - at if at >= 0 else 0
+        return 0 if one is None or other is None else longest_overlap(one, other, max(min_overlap, 1), len(one) if max_overlap is None else max_overlap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,6 +8,7 @@ from strandwise.functions import reads as R
 from strandwise.operators import hits as H
 from strandwise.operators import kmers as K
 from strandwise.operators import maps as M
+from strandwise.operators import mates
 from strandwise.operators import route as P
 from strandwise.plans.views import view, with_views
 
@@ -263,3 +264,31 @@ def read_funnel(spark, d):
     genes = long.filter("n_chars > 500").select("read_id", F.col("source").alias("gene_id")).unionByName(long.filter("n_chars > 1000").select("read_id", F.concat("source", F.lit("b")).alias("gene_id")))
     ecs = view(spark, d, "v_ec_pred")
     return M.read_funnel(counts, genes, ecs.filter("prob >= 0.5"), ecs)
+
+
+ADAPTERS = "SELECT r_name AS adapter, left(repeat(translate(regexp_replace(lower(r_name), '[^a-z]', ''{g}), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), 3), 12) AS bases FROM region"
+
+
+@query("WITH a AS (" + ADAPTERS.replace("{g}", ", 'g'") + """), p AS (SELECT read_id, adapter, i AS place, least(length(bases), length(seq) - i) AS n, seq, bases FROM v_reads, a, unnest(range(0, length(seq) - 4)) AS u(i)),
+f AS (SELECT read_id, min({'place': place, 'adapter': adapter}) AS f FROM p WHERE hamming(substr(seq, place + 1, n), left(bases, n)) <= n // 5 GROUP BY read_id)
+SELECT read_id, coalesce(f.adapter, '') AS adapter, CASE WHEN f IS NULL THEN seq ELSE left(seq, f.place) END AS seq, CASE WHEN f IS NULL THEN qual ELSE left(qual, f.place) END AS qual FROM v_reads LEFT JOIN f USING (read_id)""")
+def trim_adapter_table(spark, d):
+    adapters = spark.sql(ADAPTERS.replace("{g}", "").replace("FROM region", "FROM {region}"), region=view(spark, d, "region"))
+    out = mates.trim_adapters(view(spark, d, "v_reads"), adapters, 5, 0.2)
+    return out.select("read_id", F.coalesce("adapter", F.lit("")).alias("adapter"), "seq", "qual")
+
+
+def merge_mates(spark, d):
+    """Whole reads and mates that begin with their last third, of which up to four bases differ. All overlaps of whole texts
+    are too slow in SQL; tests hold the operator against plain loops."""
+    v = view(spark, d, "v_reads")
+    begin = F.right("seq", F.floor(F.length("seq") / 3).cast("int"))
+    other = F.concat(begin, F.lit("GATTACA"), F.left("seq", F.lit(50)))
+    for k in range(4):
+        at = (1 + (F.col("doc_id") * (k + 3)) % F.greatest(F.length(begin), F.lit(1))).cast("int")
+        other = F.when(F.col("doc_id") % 5 > k, F.overlay(other, F.lit("T"), at)).otherwise(other)
+    mate2 = v.select("read_id", R.reverse_complement(other).alias("seq"), F.reverse(F.rpad(F.right("qual", F.length(begin)), F.length(other), "F")).alias("qual"))
+    return mates.merge_mates(v.select("read_id", "seq", "qual"), mate2)
+
+
+QUERIES["merge_mates"] = merge_mates
