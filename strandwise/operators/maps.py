@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strandwise.functions.reads import reverse_complement
 from strandwise.operators.enzyme import ec_report
 from strandwise.operators.hits import best_hit
-from strandwise.operators.route import first_by
+from strandwise.operators.route import assert_disjoint, first_by
 
 
 #: Places that are looked at one by one before the search turns to the prefix function.
@@ -79,12 +79,16 @@ def filter_taxa_by_segments(taxa: DataFrame, segments: DataFrame, is_contig: Col
     return taxa.filter(~is_contig).unionByName(known.select(*taxa.columns))
 
 
-def select_reference_groups(read_taxa: DataFrame, groups: DataFrame, manifest: DataFrame, cutoff: float) -> DataFrame:
-    """taxid, percent, group, exists: taxa with at least cutoff percent of the reads, their group (null: rejected) and whether the manifest has it."""
+def select_reference_groups(read_taxa: DataFrame, groups: DataFrame, manifest: DataFrame, cutoff: float, nodes: DataFrame | None = None) -> DataFrame:
+    """taxid, percent, group, exists: taxa with at least cutoff percent of the reads, their group (null: rejected) and whether the manifest has it.
+
+    With nodes (taxid, rank) the group's ``rank`` too, null for a group that the tree lacks.
+    """
     counts = read_taxa.groupBy("taxid").agg(F.count(F.lit(1)).alias("n"))
     share = counts.join(F.broadcast(counts.agg(F.sum("n").alias("total")))).select("taxid", (100 * F.col("n") / F.col("total")).alias("percent"))
     have = manifest.select("group").distinct().withColumn("hit", F.lit(True))
-    return share.filter(F.col("percent") >= cutoff).join(groups, "taxid", "left").join(have, "group", "left").select("taxid", "percent", "group", F.coalesce("hit", F.lit(False)).alias("exists"))
+    met = share.filter(F.col("percent") >= cutoff).join(groups, "taxid", "left").join(have, "group", "left").select("taxid", "percent", "group", F.coalesce("hit", F.lit(False)).alias("exists"))
+    return met if nodes is None else met.join(nodes.select(F.col("taxid").alias("group"), "rank"), "group", "left").select("taxid", "percent", "group", "rank", "exists")
 
 
 def reconcile_pair_maps(map1: DataFrame, map2: DataFrame) -> DataFrame:
@@ -141,8 +145,13 @@ def read_funnel(counts: DataFrame, gene_reads: DataFrame, ecs_hq: DataFrame, ecs
     return one.select("raw", "hq", "host", "vector", "rrna", "mrna", "annotated", "genes", "ecs_hq", "ecs_lq", *[percent(p, "raw") for p in ("hq", "host", "vector", "rrna", "mrna")], percent("annotated", "mrna"))
 
 
-def contig_assign(aln: DataFrame, passes: Column) -> DataFrame:
-    """query, contig_id: the contig of the highest passing score, null for reads that no alignment assigns."""
+def contig_assign(aln: DataFrame, passes: Column, singletons: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """query, contig_id: the contig of the highest passing score, null for reads that no alignment assigns.
+
+    If singletons and pairs (read_id) are given, a read that is in both is an error.
+    """
+    if singletons is not None and pairs is not None:
+        assert_disjoint(singletons, pairs, "contig assignment")
     best = best_hit(aln, passes, "as_score").select("query", F.col("target").alias("contig_id"))
     return aln.select("query").distinct().join(best, "query", "left")
 
@@ -183,6 +192,17 @@ def drop_all_zero(long: DataFrame, column: str, value: str) -> DataFrame:
     return long.join(alive, column, "left_semi").select(*long.columns)
 
 
+def with_totals(long: DataFrame, row: str, column: str, value: str, name: str = "All") -> DataFrame:
+    """row, column, value of a long table without the columns whose total is 0, and a row ``name`` with the total of each column left.
+
+    Values of a row and column that occur several times are added up; a null value counts 0.
+    """
+    cells = long.groupBy(F.col(row).cast("string").alias(row), column).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias(value))
+    totals = cells.groupBy(column).agg(F.sum(value).alias(value)).filter(F.col(value) != 0)
+    kept = cells.join(totals.select(column), column, "left_semi")
+    return kept.select(row, column, value).unionByName(totals.select(F.lit(name).alias(row), column, value))
+
+
 def dedup_by_id(seqs: DataFrame, source_order: str, keep: str = "first") -> DataFrame:
     """One row an id: the first or the last by source order; equal orders go by the smaller sequence."""
     order = F.col(source_order) if keep == "first" else F.col(source_order).desc()

@@ -127,12 +127,12 @@ def filter_taxa_by_contig_segments(spark, d):
 GROUPS = "c AS (SELECT taxid, 100.0 * count(*) / sum(count(*)) OVER () AS percent FROM v_read_taxon WHERE tool = 'gene' GROUP BY taxid)"
 
 
-@query(f"""WITH {GROUPS} SELECT taxid, round(percent, 6) AS percent, CAST(parent AS INT) AS "group", coalesce(parent IN (SELECT 10 + r_regionkey FROM region WHERE r_name < 'B'), false) AS "exists" FROM c LEFT JOIN v_nodes USING (taxid) WHERE percent >= 2""")
+@query(f"""WITH {GROUPS} SELECT c.taxid, round(percent, 6) AS percent, CAST(n.parent AS INT) AS "group", g.rank, coalesce(n.parent IN (SELECT 10 + r_regionkey FROM region WHERE r_name < 'B'), false) AS "exists" FROM c LEFT JOIN v_nodes n USING (taxid) LEFT JOIN v_nodes g ON g.taxid = n.parent WHERE percent >= 2""")
 def select_reference_groups(spark, d):
     nodes = view(spark, d, "v_nodes").select("taxid", F.col("parent").alias("group"))
     have = view(spark, d, "region").filter("r_name < 'B'").select((10 + F.col("r_regionkey")).alias("group"))
-    got = M.select_reference_groups(view(spark, d, "v_read_taxon").filter("tool = 'gene'"), nodes, have, 2.0)
-    return got.select("taxid", F.round("percent", 6).alias("percent"), F.col("group").cast("int").alias("group"), "exists")
+    got = M.select_reference_groups(view(spark, d, "v_read_taxon").filter("tool = 'gene'"), nodes, have, 2.0, view(spark, d, "v_nodes"))
+    return got.select("taxid", F.round("percent", 6).alias("percent"), F.col("group").cast("int").alias("group"), "rank", "exists")
 
 
 @query("SELECT read_id, gene_id, score, mate FROM (SELECT *, CASE context WHEN 'F' THEN 1 ELSE 2 END AS mate FROM v_gene_reads) QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, mate, gene_id) = 1")
@@ -153,7 +153,9 @@ PCT = "(100.0 * CAST(regexp_extract(cigar, '^([0-9]+)M', 1) AS INT) / (CAST(rege
 
 @query(f"SELECT DISTINCT v.query, coalesce(b.target, -1) AS contig_id FROM v_aln v LEFT JOIN (SELECT query, target FROM v_aln WHERE flag = 0 AND {PCT} >= 90 QUALIFY row_number() OVER (PARTITION BY query ORDER BY as_score DESC, file_order, target) = 1) b ON b.query = v.query")
 def contig_assign(spark, d):
-    got = M.contig_assign(view(spark, d, "v_aln"), X.aln_passes(F.col("flag"), F.col("cigar")))
+    reads = view(spark, d, "v_aln").select(F.col("query").alias("read_id"))
+    odd = F.col("read_id") % 2 == 1
+    got = M.contig_assign(view(spark, d, "v_aln"), X.aln_passes(F.col("flag"), F.col("cigar")), reads.filter(odd), reads.filter(~odd))
     return got.select("query", F.coalesce("contig_id", F.lit(-1)).alias("contig_id"))
 
 
@@ -231,3 +233,11 @@ def dedup_seqs_by_id(spark, d):
 SELECT taxid, CAST(row_number() OVER (ORDER BY k) AS INT) AS place FROM p""")
 def sort_taxa_by_lineage(spark, d):
     return T.lineage_order(view(spark, d, "v_nodes"))
+
+
+@query("""WITH c AS (SELECT CAST(p_partkey AS VARCHAR) AS gene_id, l_linenumber AS taxon, CAST(sum(CASE WHEN l_linenumber < 4 THEN 0 ELSE l_linenumber END) AS BIGINT) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),
+t AS (SELECT taxon, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY taxon HAVING sum(n) <> 0) SELECT gene_id, taxon, n FROM c WHERE taxon IN (SELECT taxon FROM t) UNION ALL SELECT 'All', taxon, n FROM t""")
+def taxa_with_totals(spark, d):
+    met = view(spark, d, "lineitem").join(view(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    n = F.when(F.col("l_linenumber") < 4, 0).otherwise(F.col("l_linenumber"))
+    return M.with_totals(met.select(F.col("p_partkey").alias("gene_id"), F.col("l_linenumber").alias("taxon"), n.cast("long").alias("n")), "gene_id", "taxon", "n")

@@ -105,6 +105,13 @@ def exact_clusters(spark, d):
     return P.exact_dedup(view(spark, d, "documents").select(F.col("doc_id").alias("read_id"), "text"), ["text"])
 
 
+@query("""SELECT min(a.doc_id) OVER (PARTITION BY a.text, b.text) AS rep_id, a.doc_id AS member_id FROM documents a JOIN (SELECT doc_id, left(text, 40) AS text FROM documents) b USING (doc_id)""")
+def exact_pair_clusters(spark, d):
+    docs = view(spark, d, "documents").select(F.col("doc_id").alias("read_id"), F.col("text").alias("seq1"))
+    mate2 = view(spark, d, "documents").select(F.col("doc_id").alias("read_id"), F.left("text", F.lit(40)).alias("seq2"))
+    return P.exact_dedup(docs.join(mate2, "read_id"), ["seq1", "seq2"])
+
+
 @query("SELECT doc_id AS read_id, source FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING min(doc_id) % 7 <> 0)")
 def repopulate(spark, d):
     docs = view(spark, d, "documents").select(F.col("doc_id").alias("read_id"), "text", "source")

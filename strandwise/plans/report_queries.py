@@ -359,3 +359,15 @@ def fbeta_predictions(spark, d):
     preds = E.cumulative_probability(line.select(C("l_orderkey").alias("query"), F.concat(F.lit("1.1.1."), C("l_linenumber").cast("string")).alias("ec"), p.alias("p"))).withColumn("prob", F.round("prob", 6))
     own = line.filter("l_linenumber < 7").select("l_linenumber").distinct().select(F.concat(F.lit("1.1.1."), C("l_linenumber").cast("string")).alias("ec"), C("l_linenumber").alias("n"), F.explode(F.array(F.lit(0.5), F.lit(1.0))).alias("beta"))
     return E.fbeta_predictions(preds, own.select("ec", "beta", (C("n") * C("beta") / 20).alias("cutoff")), 1.0).select("query", "ec")
+
+
+@query("""WITH m AS (SELECT max(l_shipdate) AS newest FROM lineitem WHERE l_linestatus = 'O'),
+r AS (SELECT CASE WHEN l_linestatus = 'F' AND l_shipdate < newest - INTERVAL 1500 DAY THEN 'late' ELSE l_returnflag END AS stage, l_orderkey, l_partkey FROM lineitem, m)
+SELECT stage, count(DISTINCT l_orderkey) AS reads, count(DISTINCT l_partkey) AS genes FROM r GROUP BY stage""")
+def landed_funnel(spark, d):
+    path, out, checkpoint = (scratch(spark, f"landed-{x}") for x in ("files", "counts", "checkpoint"))
+    rows = view(spark, d, "lineitem").select(C("l_returnflag").alias("stage"), C("l_orderkey").alias("read_id"), C("l_partkey").alias("gene_id"), C("l_shipdate").cast("timestamp").alias("ts"), "l_linestatus")
+    for status in ("O", "F"):  # two landings: the second call reads the second one's files only
+        rows.filter(C("l_linestatus") == status).drop("l_linestatus").write.mode("append").parquet(path)
+        found = funnel.landed_funnel(spark, path, out, checkpoint, "INTERVAL 1500 DAY")
+    return found

@@ -292,3 +292,38 @@ def test_merge_pairs_with_long_overlaps_against_brute_force(spark):
         n = best(a, b)
         assert got[i] == (n, a + b[n:] if n else None)
     assert got[0] == (700, whole) and got[3][0] == 300
+
+
+def test_landed_funnel_follows_files(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from strandwise.streaming import funnel
+
+    path, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    day = lambda n: datetime(2020, 1, 1) + timedelta(days=n)
+    land = lambda rows: spark.createDataFrame(rows, "stage string, read_id long, gene_id long, ts timestamp").write.mode("append").parquet(path)
+    run = lambda: {r.stage: (r.reads, r.genes) for r in funnel.landed_funnel(spark, path, out, state, "INTERVAL 10 DAY").collect()}
+    (tmp_path / "in").mkdir()
+    assert run() == {}
+    land([("a", 1, 7, day(0)), ("a", 1, 8, day(100)), ("a", 2, None, day(1)), (None, 3, 7, None), ("b", 1, 7, day(100))])
+    assert run() == {"a": (2, 2), "": (1, 1), "b": (1, 1)}
+    assert run() == {"a": (2, 2), "": (1, 1), "b": (1, 1)}  # nothing new
+    land([("a", 1, 9, day(95)), ("a", 4, 9, day(200)), ("b", 1, 7, day(99)), ("a", 50, 60, day(89)), ("b", 50, 61, day(2)), ("a", None, None, day(100))])
+    assert run() == {"a": (3, 3), "": (1, 1), "b": (1, 1), "late": (1, 2)}
+    land([("a", 4, 9, day(191)), ("a", 51, 60, day(189))])
+    assert run() == {"a": (3, 3), "": (1, 1), "b": (1, 1), "late": (2, 2)}
+
+
+def test_totals_groups_and_disjoint_reads(spark):
+    import pytest
+
+    from strandwise.operators import maps
+
+    cells = spark.createDataFrame([("g1", "x", 2), ("g1", "x", 1), ("g2", "x", None), ("g1", "y", 0), ("g2", "z", 5), ("g3", "z", -5), (None, "x", 1)], "gene string, taxon string, n int")
+    assert sorted(map(str, map(tuple, maps.with_totals(cells, "gene", "taxon", "n").collect()))) == sorted(map(str, [("g1", "x", 3), ("g2", "x", 0), (None, "x", 1), ("All", "x", 4)]))
+    assert maps.with_totals(cells.limit(0), "gene", "taxon", "n").count() == 0
+    aln = spark.createDataFrame([("r1", "c1", 5, 0), ("r1", "c2", 6, 1)], "query string, target string, as_score int, file_order int")
+    reads = lambda *ids: spark.createDataFrame([(i,) for i in ids], "read_id string")
+    assert [tuple(r) for r in maps.contig_assign(aln, F.lit(True), reads("r1"), reads("r2")).collect()] == [("r1", "c2")]
+    with pytest.raises(ValueError, match="r1 is in both"):
+        maps.contig_assign(aln, F.lit(True), reads("r1", "r3"), reads("r1"))
