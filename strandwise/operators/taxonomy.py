@@ -8,9 +8,9 @@ its ``leave``, and the lowest common ancestor of any set is that of its first an
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandwise.functions.hits import gene_source
 from strandwise.operators.route import first_by
@@ -24,8 +24,6 @@ ALL_RANKS = ("unclassified", "superkingdom", "phylum", "subphylum", "class", "su
 ROOT = 1
 #: Nodes below the root beyond which a lineage is cut and marked as one without root (fixed value of the format).
 LONGEST = 20
-#: Levels that the roll-up merges before it writes its table anew, so that no plan grows with the depth of the tree.
-STEP = 8
 
 
 def paths(nodes: DataFrame) -> DataFrame:
@@ -190,32 +188,70 @@ def assign_to_list(read_taxa: DataFrame, nodes: DataFrame, chosen: DataFrame) ->
     return read_taxa.join(near, "taxid", "left").select("read_id", F.coalesce("reported", F.lit(0)).alias("reported"))
 
 
+def _heavy_paths(taxa: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tree, up) of the taxa (taxid, reads) and the root, both written: up is (taxid, ancestor, distance) among them, itself at 0;
+    tree is taxid, reads, above (its nearest ancestor), head, light and place.
+
+    A taxon's heavy child is the one with the most taxa below it. Runs of heavy children are paths: head is the first taxon of
+    a taxon's path, light the paths above it (at most log2 of the number of taxa), place its distance from the root in taxa.
+    """
+    ways = taxa.select("taxid").join(paths(nodes), "taxid", "left")
+    short = F.when(F.col("taxid") == ROOT, F.array(F.lit(ROOT))).otherwise(F.array("taxid", F.lit(ROOT)))
+    root = taxa.sparkSession.range(1).select(F.lit(ROOT).alias("taxid"))
+    every = taxa.select("taxid").unionByName(root).distinct()
+    rows = ways.select("taxid", F.posexplode(F.coalesce("path", short)).alias("distance", "ancestor")).unionByName(root.select("taxid", F.lit(0).alias("distance"), F.col("taxid").alias("ancestor"))).distinct()
+    up = written(rows.join(every.select(F.col("taxid").alias("ancestor")), "ancestor", "left_semi").select("taxid", "ancestor", "distance"), "present-ancestors")
+    sizes = up.groupBy(F.col("ancestor").alias("taxid")).agg(F.count(F.lit(1)).alias("size"))
+    above = up.filter("distance > 0").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("above"))
+    known = written(every.join(sizes, "taxid").join(above, "taxid", "left"), "present-taxa")
+    heavy = known.filter("above IS NOT NULL").groupBy("above").agg(F.max_by("taxid", F.struct("size", -F.col("taxid"))).alias("taxid"))
+    heads = known.join(heavy.select("taxid"), "taxid", "left_anti").select(F.col("taxid").alias("ancestor"), F.lit(True).alias("is_head"))
+    of = up.join(heads, "ancestor", "left").groupBy("taxid").agg(F.min_by("ancestor", F.when(F.col("is_head"), F.col("distance"))).alias("head"), (F.count("is_head") - 1).alias("light"), F.count(F.lit(1)).alias("place"))
+    tree = known.join(of, "taxid").join(taxa, "taxid", "left").select("taxid", "reads", "above", "head", "light", "place")
+    return written(tree, "heavy-paths"), up
+
+
 def rollup(counts: DataFrame, nodes: DataFrame, share: float = 0.01, least: float | None = None) -> DataFrame:
     """(taxid, reported, reads) of every taxon in counts (taxid, reads): where its reads are reported after merging.
 
     Bottom-up, a taxon with fewer reads than the cutoff (those merged into it included) gives them to its nearest ancestor
     that has reads itself; a count equal to the cutoff stays, and so does the root, which takes what has no other. The
     cutoff is ``least`` reads, or the given share of all reads below the root. Taxid 0 counts as the root, and a taxon that
-    the tree lacks stands right below it. Any depth: levels are merged over per-taxon counts, never over reads.
+    the tree lacks stands right below it.
+
+    The taxa are cut into heavy paths, of which any way up meets log2 of the number of taxa at most: a round merges all
+    paths of one height, each from its end to its head in one task, so that a deep tree takes few rounds.
     """
     taxa = counts.select(F.when(F.col("taxid") == 0, ROOT).otherwise(F.col("taxid")).alias("taxid"), "reads").groupBy("taxid").agg(F.sum("reads").alias("reads"))
-    present = taxa.select("taxid").unionByName(nodes.filter(F.col("taxid") == ROOT).select("taxid")).distinct()
-    up = _expanded(ways_of(nodes, taxa))
-    above = up.filter("distance > 0").join(present.select(F.col("taxid").alias("ancestor")), "ancestor", "left_semi").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("above"))
-    depth = up.filter("distance = 0").select("taxid", "depth")
-    tree = written(taxa.select("taxid").join(depth, "taxid", "left").join(above, "taxid", "left").select("taxid", F.when(F.col("taxid") == ROOT, 0).otherwise(F.coalesce("depth", F.lit(1))).alias("depth"), F.coalesce("above", F.lit(ROOT)).alias("above")), "present-taxa")
-    now = taxa.select("taxid", F.col("taxid").alias("reported"), "reads")
+    taxa = written(taxa, "taxon-counts")
     if least is None:
-        least = share * (now.filter(F.col("taxid") != ROOT).agg(F.sum("reads")).first()[0] or 0)
-    deepest = tree.agg(F.max("depth")).first()[0] or 0
-    for level in range(deepest, 0, -1):
-        # A window and not a second use of the table, so that a plan of STEP levels stays a chain.
-        total = F.sum("reads").over(Window.partitionBy("reported"))
-        at = tree.filter(F.col("depth") == level).select(F.col("taxid").alias("reported"), "above")
-        now = now.withColumn("total", total).join(at, "reported", "left").select("taxid", F.when(F.col("total") < least, F.coalesce("above", "reported")).otherwise(F.col("reported")).alias("reported"), "reads")
-        if (deepest - level) % STEP == STEP - 1:
-            now = written(now, "rolled-up")
-    return now
+        least = share * (taxa.filter(F.col("taxid") != ROOT).agg(F.sum("reads")).first()[0] or 0)
+    tree, up = _heavy_paths(taxa, nodes)
+    kind = taxa.schema["reads"].dataType.simpleString()
+
+    def merge(path: pa.Table) -> pa.Table:
+        carry, out = 0, []
+        rows = sorted(path.to_pylist(), key=lambda r: -r["place"])
+        for r in rows:
+            total = (r["reads"] or 0) + (r["more"] or 0) + carry
+            kept = r["taxid"] == ROOT or total >= least
+            carry = 0 if kept else total
+            out.append((r["taxid"], kept, None, None))
+        if carry:
+            out.append((None, None, rows[-1]["above"], carry))
+        of = path.schema
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (of.field("taxid").type, pa.bool_(), of.field("taxid").type, of.field("more").type), strict=True)], names=["taxid", "kept", "above", "more"])
+
+    done, more = None, None
+    for light in range(tree.agg(F.max("light")).first()[0], -1, -1):
+        mine = tree.filter(F.col("light") == light)
+        mine = mine.withColumn("more", F.lit(None).cast(kind)) if more is None else mine.join(more, "taxid", "left")
+        merged = written(mine.groupBy("head").applyInArrow(merge, f"taxid int, kept boolean, above int, more {kind}"), "merged-paths")
+        more = merged.filter("above IS NOT NULL").groupBy(F.col("above").alias("taxid")).agg(F.sum("more").cast(kind).alias("more"))
+        kept = merged.filter("kept").select(F.col("taxid").alias("ancestor"))
+        done = kept if done is None else done.unionByName(kept)
+    found = up.join(done, "ancestor").groupBy("taxid").agg(F.min_by("ancestor", "distance").alias("reported"))
+    return taxa.join(found, "taxid").select("taxid", "reported", "reads")
 
 
 def rolled_counts(rolled: DataFrame) -> DataFrame:

@@ -110,6 +110,35 @@ def test_common_ancestors_and_ranks_of_deep_trees(spark):
     assert taxonomy.lca(reads.limit(0), nodes).count() == 0 and taxonomy.numbered_tree(nodes.limit(0)).count() == 0
 
 
+def test_rollup_equals_plain_loops(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(12)
+    for shape in ("random", "deep", "comb"):
+        parent = {k: (int(rng.integers(1, k)) if shape == "random" else k - 1 if shape == "deep" or k % 2 == 0 else max(k - 2, 1)) for k in range(2, 90)}
+        nodes = spark.createDataFrame([(1, 1), *parent.items()], "taxid int, parent int")
+        counts = {int(t): int(rng.integers(1, 9)) for t in rng.choice(np.arange(2, 90), 60, replace=False)} | {0: 2, 700: 1}
+        least = 10
+
+        def way(t):
+            return [t] if t == 1 else [t, *way(parent.get(t, 1))]
+
+        reads = {1: counts[0]} | {t: n for t, n in counts.items() if t}
+        above = {t: next(a for a in way(t)[1:] if a in reads) for t in reads if t != 1}
+        total, kept = dict(reads), {1}
+        for t in sorted(above, key=lambda t: -len(way(t))):
+            if total[t] < least:
+                total[above[t]] += total[t]
+            else:
+                kept.add(t)
+        want = {t: (next(a for a in way(t) if a in kept), reads[t]) for t in reads}
+        got = taxonomy.rollup(spark.createDataFrame(list(counts.items()), "taxid int, reads long"), nodes, least=least).collect()
+        assert {r.taxid: (r.reported, r.reads) for r in got} == want
+    tree, _ = taxonomy._heavy_paths(spark.createDataFrame([(k, 1) for k in range(2, 90)], "taxid int, reads long"), spark.createDataFrame([(1, 1), *((k, k - 1) for k in range(2, 90))], "taxid int, parent int"))
+    assert tree.agg(F.max("light"), F.count_distinct("head")).first()[:] == (0, 1)  # a chain is one path, and one round
+    assert taxonomy.rollup(spark.createDataFrame([], "taxid int, reads long"), nodes).count() == 0
+
+
 def test_contig_ties_go_to_the_first_contig(spark):
     best = spark.createDataFrame([("c1", "gZ", 5, 1), ("c2", "gA", 5, 2), ("c3", "gB", 9, 3), ("r9", "gC", 1, 4)], "query string, target string, score int, file_order int")
     members = spark.createDataFrame([("c1", "r1"), ("c2", "r1"), ("c3", "r2"), ("c1", "r2"), ("c2", "r3")], "contig_id string, read_id string")
