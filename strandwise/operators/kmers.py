@@ -25,8 +25,10 @@ def _units(seq: Column, unit: str) -> Column:
     return F.filter(F.split(seq, unit), lambda c: c != "")
 
 
-def positions(texts: DataFrame, k: int, unit: str, name: str) -> DataFrame:
-    """name (the id), units (of the text), pos (from 0), a and b of every k-mer of texts (id, seq). Texts of fewer units have none.
+def positions(texts: DataFrame, k: int, unit: str, name: str, places: bool = True) -> DataFrame:
+    """name (the id), units (of the text), pos (from 0), a and b of every k-mer of texts (id, seq); without ``places`` only name, a and b.
+
+    Texts of fewer units have none.
 
     The parts are hashed once, so that no k-mer splits the text again.
     """
@@ -35,7 +37,7 @@ def positions(texts: DataFrame, k: int, unit: str, name: str) -> DataFrame:
     def runs(parts: Column) -> Column:
         starts = F.when(F.size(parts) >= k, F.sequence(F.lit(0), F.size(parts) - k)).otherwise(F.array().cast("array<int>"))
         of = lambda i, half: F.xxhash64(*[F.get(parts, i + j)[half] for j in range(k)]).alias(half)
-        return F.transform(starts, lambda i: F.struct(F.size(parts).alias("units"), i.alias("pos"), of(i, "a"), of(i, "b")))
+        return F.transform(starts, lambda i: F.struct(*([F.size(parts).alias("units"), i.alias("pos")] if places else []), of(i, "a"), of(i, "b")))
 
     return texts.select(F.col("id").alias(name), F.inline(F.element_at(F.transform(F.array(hashed), runs), 1)))
 
@@ -105,14 +107,14 @@ def kmer_screen(reads: DataFrame, reference: DataFrame, k: int, min_hits: int =
     is read, so that only k-mers which may be on both sides are shuffled and compared in full. Ids that repeat are one read;
     texts that are null or shorter than a k-mer have none; an empty reference finds nothing.
     """
-    whole = written(positions(reference.select("id", "seq"), k, unit, "target").select("a", "b"), "screen-reference")
-    mine = positions(reads.select("id", "seq"), k, unit, "id").select("id", "a", "b")
+    whole = written(positions(reference.select("id", "seq"), k, unit, "target", False).select("a", "b"), "screen-reference")
+    mine = positions(reads.select("id", "seq"), k, unit, "id", False)
     near = written(Filter(whole, whole.count()).passing(mine), "screen-passed")
     both = Filter(near, near.count()).passing(whole)
     hits = near.join(both.distinct(), ["a", "b"], "left_semi").groupBy("id").agg(F.count_distinct("a", "b").alias("hits")).filter(F.col("hits") >= min_hits)
     # The reads' own k-mers are counted for those alone that the filter leaves a hit.
     found = written(hits, "screen-hits")
-    sizes = positions(reads.select("id", "seq").join(found.select("id"), "id", "left_semi"), k, unit, "id").groupBy("id").agg(F.count_distinct("a", "b").alias("n"))
+    sizes = positions(reads.select("id", "seq").join(found.select("id"), "id", "left_semi"), k, unit, "id", False).groupBy("id").agg(F.count_distinct("a", "b").alias("n"))
     out = found.join(sizes, "id").select("id", "hits", (F.col("hits") / F.col("n")).alias("frac"))
     return out.filter(F.col("frac") >= min_frac)
 
@@ -179,7 +181,7 @@ def kmer_hits(reads: DataFrame, reference: DataFrame, k: int, unit: str = "", mi
 
 def kmer_counts(reads: DataFrame, reference: DataFrame, k: int, unit: str = "") -> DataFrame:
     """query, target, shared: every pair that shares any k-mer. As many rows as there are such pairs: ``kmer_hits`` asks for more in common."""
-    one = lambda texts, name: positions(texts.select("id", "seq"), k, unit, name).select(name, "a", "b").distinct()
+    one = lambda texts, name: positions(texts.select("id", "seq"), k, unit, name, False).distinct()
     return one(reads, "query").join(one(reference, "target"), ["a", "b"]).groupBy("query", "target").agg(F.count(F.lit(1)).alias("shared"))
 
 
@@ -190,7 +192,7 @@ def kmer_taxa(reference: DataFrame, taxa: DataFrame, tree: DataFrame, k: int, un
     the tree are left out. ``tree`` is what ``numbered_tree`` gives.
     """
     placed = taxa.select("id", "taxid").join(tree.select("taxid", "enter"), "taxid").select(F.col("id").alias("target"), "enter")
-    met = positions(reference.select("id", "seq"), k, unit, "target").select("target", "a", "b").join(placed, "target")
+    met = positions(reference.select("id", "seq"), k, unit, "target", False).join(placed, "target")
     ends = met.groupBy("a", "b").agg(F.min("enter").alias("lo"), F.max("enter").alias("hi"))
     return common_ancestor(ends, tree).select("a", "b", F.col("lca").alias("taxid"))
 
@@ -202,7 +204,7 @@ def kmer_lca_classify(reads: DataFrame, reference: DataFrame, taxa: DataFrame, n
     reads and reference are (id, seq), taxa is (id, taxid) of the references, nodes the tree. A k-mer meets one row.
     """
     tree = numbered_tree(nodes)
-    mine = positions(reads.select("id", "seq"), k, unit, "read_id").select("read_id", "a", "b").distinct()
+    mine = positions(reads.select("id", "seq"), k, unit, "read_id", False).distinct()
     votes = mine.join(kmer_taxa(reference, taxa, tree, k, unit), ["a", "b"]).groupBy("read_id", "taxid").agg(F.count(F.lit(1)).alias("w"))
     votes = written(votes, "kmer-votes")
     way = votes.select("read_id", "taxid").join(tree.select("taxid", "path"), "taxid").select("read_id", "taxid", F.explode("path").alias("ancestor"))

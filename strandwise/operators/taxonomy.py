@@ -8,6 +8,8 @@ its ``leave``, and the lowest common ancestor of any set is that of its first an
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -177,7 +179,7 @@ def vote_taxon(read_taxa: DataFrame, nodes: DataFrame, least: float = 2) -> Data
     Votes are added up per read and taxon before they meet the tree.
     """
     votes = read_taxa.filter("taxid <> 0").groupBy("read_id", "taxid").agg(F.sum("weight").alias("w"))
-    support = _expanded(votes.join(ways_of(nodes, read_taxa), "taxid")).groupBy("read_id", "ancestor").agg(F.sum("w").alias("w"), F.max("depth").alias("depth")).filter(F.col("w") >= least)
+    support = _expanded(votes.join(paths(nodes), "taxid")).groupBy("read_id", "ancestor").agg(F.sum("w").alias("w"), F.max("depth").alias("depth")).filter(F.col("w") >= least)
     won = support.groupBy("read_id").agg(F.max_by("ancestor", F.struct("depth", "w", -F.col("ancestor"))).alias("taxid"))
     return read_taxa.select("read_id").distinct().join(won, "read_id", "left").select("read_id", F.coalesce("taxid", F.lit(0)).alias("taxid"))
 
@@ -229,24 +231,31 @@ def rollup(counts: DataFrame, nodes: DataFrame, share: float = 0.01, least: floa
     tree, up = _heavy_paths(taxa, nodes)
     kind = taxa.schema["reads"].dataType.simpleString()
 
-    def merge(path: pa.Table) -> pa.Table:
-        carry, out = 0, []
-        rows = sorted(path.to_pylist(), key=lambda r: -r["place"])
-        for r in rows:
-            total = (r["reads"] or 0) + (r["more"] or 0) + carry
-            kept = r["taxid"] == ROOT or total >= least
-            carry = 0 if kept else total
-            out.append((r["taxid"], kept, None, None))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order of their heads, each path from its end; what a head does not keep goes to the taxon above it."""
+        head, above, carry = None, None, 0
+        for batch in batches:
+            taxid, more_kind = batch.schema.field("taxid").type, batch.schema.field("more").type
+            out = []
+            for t, now, up_to, reads, more in zip(*(batch.column(c).to_pylist() for c in ("taxid", "head", "above", "reads", "more")), strict=True):
+                if now != head:
+                    out += [(None, None, above, carry)] if carry else []
+                    carry = 0
+                total = (reads or 0) + (more or 0) + carry
+                kept = t == ROOT or total >= least
+                head, above, carry = now, up_to, 0 if kept else total
+                out.append((t, kept, None, None))
+            columns = zip(*out, strict=True) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, (taxid, pa.bool_(), taxid, more_kind), strict=True)], ["taxid", "kept", "above", "more"])
         if carry:
-            out.append((None, None, rows[-1]["above"], carry))
-        of = path.schema
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (of.field("taxid").type, pa.bool_(), of.field("taxid").type, of.field("more").type), strict=True)], names=["taxid", "kept", "above", "more"])
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((None, None, above, carry), (taxid, pa.bool_(), taxid, more_kind), strict=True)], ["taxid", "kept", "above", "more"])
 
     done, more = None, None
     for light in range(tree.agg(F.max("light")).first()[0], -1, -1):
         mine = tree.filter(F.col("light") == light)
         mine = mine.withColumn("more", F.lit(None).cast(kind)) if more is None else mine.join(more, "taxid", "left")
-        merged = written(mine.groupBy("head").applyInArrow(merge, f"taxid int, kept boolean, above int, more {kind}"), "merged-paths")
+        dealt = mine.select("taxid", "head", "above", "reads", "more", "place").repartition("head").sortWithinPartitions("head", F.desc("place"))
+        merged = written(dealt.mapInArrow(merge, f"taxid int, kept boolean, above int, more {kind}"), "merged-paths")
         more = merged.filter("above IS NOT NULL").groupBy(F.col("above").alias("taxid")).agg(F.sum("more").cast(kind).alias("more"))
         kept = merged.filter("kept").select(F.col("taxid").alias("ancestor"))
         done = kept if done is None else done.unionByName(kept)
