@@ -184,6 +184,10 @@ FROM t JOIN plan ON plan.k = t.k AND nth = seen // {BLOCK}
 
 
 def mixed_documents(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
-    """The rows of the mixture with the columns of docs: a row of a source that runs out early occurs once per epoch."""
+    """The rows of the mixture with the columns of docs: a row of a source that runs out early occurs once per epoch.
+
+    Null ids, texts and sources, repeated rows and empty tables are as in ``mix``; all columns of docs stay, whatever they
+    are called.
+    """
     rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))
     return mix(rows, weights, columns=("row",)).select("row.*")

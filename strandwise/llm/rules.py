@@ -105,7 +105,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """The rows of docs whose failed bits the policy does not name. Rows carry their ledger: no join, so repeated and null ids are safe."""
+    """The rows of docs whose failed bits the policy does not name. Rows carry their ledger: no join, so repeated and null ids are safe.
+
+    A null text counts as empty (and fails where too few words do); columns of docs stay, whatever they are called; an
+    empty table gives no rows.
+    """
     book = ledger(docs.select(F.struct(*docs.columns).alias("doc_id"), "text"))
     return book.filter(~fails(policy)).select("doc_id.*")
 

@@ -335,7 +335,9 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: exactly one of each group of rows linked by fingerprints (3 bits) or by Jaccard similarity.
 
     It is the first by doc_id (null last), then by the text's digest, then by a hash of the whole row; of rows that are
-    equal in all three any one. A row is known by these three and not by its doc_id, which may be null or repeat.
+    equal in all three any one. A row is known by these three and not by its doc_id, which may be null or repeat. Texts
+    without words (null, empty, white space) have fingerprint 0 and are one group; an empty table gives no rows; columns of
+    any other name and kind stay as they are.
     """
     spare = lambda k: f"__stay_{k}"
     key = {"none": F.col("doc_id").isNull(), "id": F.col("doc_id").cast("long"), "digest": F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("")), "row": F.xxhash64(*docs.columns)}
