@@ -26,7 +26,10 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest doc_id stays."""
+    """Of each group of near copies one document stays: the first by doc_id, null last (``simhash.one_of_each_group``).
+
+    Texts are linked by fingerprints that differ in at most three bits and by a five-word Jaccard similarity of 0.8 and more.
+    """
     return simhash.one_of_each_group(docs)
 
 
