@@ -184,15 +184,69 @@ class Adapters:
             hits = 0
             for e in range(self.errors + 1):
                 hits |= state[e] & end[e]
-            while hits:
-                bit = hits.bit_length() - 1
-                hits ^= 1 << bit
-                name, start = next((n, s) for n, s in reversed(self.place) if s <= bit)
-                at = i - (bit - start)
-                if at >= 0 and (at < best[0] or (at == best[0] and best[1] is not None and name < best[1])):
-                    best = (at, name)
+            best = self.better(hits, i, best)
+            if best[1] is not None and i - best[0] > len(self.names) + self.full.bit_length():
+                break  # no adapter that ends further on begins as early
         return best
 
+    def better(self, hits: int, i: int, best: tuple[int, str | None]) -> tuple[int, str | None]:
+        """The best of ``best`` and the adapters that end at place i by the bits of hits."""
+        while hits:
+            bit = hits.bit_length() - 1
+            hits ^= 1 << bit
+            name, start = next((n, s) for n, s in reversed(self.place) if s <= bit)
+            at = i - (bit - start)
+            if at >= 0 and (at < best[0] or (at == best[0] and best[1] is not None and name < best[1])):
+                best = (at, name)
+        return best
+
+
+class AdapterLanes:
+    """``Adapters`` of at most 64 bases each for many reads at once: words of 64 bits hold whole adapters, and all reads move on together."""
+
+    def __init__(self, adapters: dict[str, str], rate: float, least: int):
+        self.lanes, lane, size = [], {}, 0
+        for name, bases in adapters.items():
+            if bases:
+                if size + len(bases) > 64:
+                    self.lanes.append(Adapters(lane, rate, least))
+                    lane, size = {}, 0
+                lane[name], size = bases, size + len(bases)
+        if lane:
+            self.lanes.append(Adapters(lane, rate, least))
+        self.tables = [np.array([one.masks.get(chr(c), one.wild) for c in range(256)], np.uint64) for one in self.lanes]
+
+    def find(self, texts: list[str]) -> list[tuple[int, str | None]]:
+        """What ``Adapters.find`` gives for each text; texts of similar length are stepped through together."""
+        best: list[tuple[int, str | None]] = [(len(t), None) for t in texts]
+        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        while order and texts[order[0]]:
+            some = order[: max(1, POINTS // len(texts[order[0]]))]
+            order = order[len(some) :]
+            codes = np.ascontiguousarray(_codes([texts[i].upper() for i in some], len(texts[some[0]])).T)
+            sizes = np.array([len(texts[i]) for i in some])
+            for one, table in zip(self.lanes, self.tables, strict=True):
+                self._step(one, table, codes, sizes, some, best)
+        return best
+
+    @staticmethod
+    def _step(one: Adapters, table: np.ndarray, codes: np.ndarray, sizes: np.ndarray, some: list[int], best: list) -> None:
+        first, by = np.uint64(one.first), np.uint64(1)
+        whole, part = (np.array(x, np.uint64)[:, None] for x in (one.whole, one.part))
+        state = np.zeros((one.errors + 1, len(some)), np.uint64)
+        for i, row in enumerate(codes):
+            active = int(np.searchsorted(-sizes, -i, side="left"))  # the reads that reach here come first
+            mask, before = table[row[:active]], None
+            for e in range(one.errors + 1):
+                old = state[e, :active].copy()
+                now = ((old << by) | first) & mask
+                state[e, :active] = now if before is None else now | (before << by) | first
+                before = old
+            last = int(np.searchsorted(-sizes, -(i + 1), side="left"))  # from here on this is a read's last base
+            hits = np.concatenate([np.bitwise_or.reduce(state[:, :last] & whole, axis=0), np.bitwise_or.reduce(state[:, last:active] & part, axis=0)])
+            for k in np.flatnonzero(hits).tolist():
+                best[some[k]] = one.better(int(hits[k]), i, best[some[k]])
+
 
 def trim_adapters(reads: DataFrame, adapters: DataFrame, min_overlap: int = 3, rate: float = 1 / 3, most: int = 10_000) -> DataFrame:
     """read_id, adapter, cut, seq, qual of reads (read_id, seq, qual): cut before the leftmost adapter, or null and the whole read.
@@ -205,13 +259,16 @@ def trim_adapters(reads: DataFrame, adapters: DataFrame, min_overlap: int = 3, r
     table = adapters.select(F.col("adapter").cast("string"), F.col("bases").cast("string")).filter("bases IS NOT NULL").limit(most + 1).collect()
     if len(table) > most:
         raise ValueError(f"more than {most} adapters")
-    found = Adapters({r.adapter: r.bases for r in sorted(table, key=lambda r: (r.adapter or "", r.bases))}, rate, min_overlap)
+    named = {r.adapter: r.bases for r in sorted(table, key=lambda r: (r.adapter or "", r.bases))}
+    short = all(len(s) <= 64 for s in named.values())
+    found = (AdapterLanes if short else Adapters)(named, rate, min_overlap)
     held = reads.sparkSession.sparkContext.broadcast(found)
     kind = reads.schema["read_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts = [held.value.find(s) if s else (0, None) for s in batch.column(1).to_pylist()]
+            texts = [s or "" for s in batch.column(1).to_pylist()]
+            cuts = held.value.find(texts) if short else [held.value.find(s) for s in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n in cuts], pa.string()), pa.array([c for c, _ in cuts], pa.int32()), batch.column(1), batch.column(2)], ["read_id", "adapter", "cut", "seq", "qual"])
 
     cut = reads.select("read_id", F.col("seq").cast("string"), F.col("qual").cast("string")).mapInArrow(run, f"read_id {kind}, adapter string, cut int, seq string, qual string")
