@@ -25,21 +25,24 @@ def _units(seq: Column, unit: str) -> Column:
     return F.filter(F.split(seq, unit), lambda c: c != "")
 
 
-def positions(texts: DataFrame, k: int, unit: str, name: str, places: bool = True) -> DataFrame:
-    """name (the id), units (of the text), pos (from 0), a and b of every k-mer of texts (id, seq); without ``places`` only name, a and b.
-
-    Texts of fewer units have none.
-
-    The parts are hashed once, so that no k-mer splits the text again.
-    """
-    hashed = F.transform(_units(F.col("seq"), unit), lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b")))
+def _runs(seq: Column, k: int, unit: str, places: bool) -> Column:
+    """The k-mers of a text as structs of a and b, with units and pos if ``places``. The units are hashed once, so that no k-mer splits the text again."""
+    hashed = F.transform(_units(seq, unit), lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b")))
 
     def runs(parts: Column) -> Column:
         starts = F.when(F.size(parts) >= k, F.sequence(F.lit(0), F.size(parts) - k)).otherwise(F.array().cast("array<int>"))
         of = lambda i, half: F.xxhash64(*[F.get(parts, i + j)[half] for j in range(k)]).alias(half)
         return F.transform(starts, lambda i: F.struct(*([F.size(parts).alias("units"), i.alias("pos")] if places else []), of(i, "a"), of(i, "b")))
 
-    return texts.select(F.col("id").alias(name), F.inline(F.element_at(F.transform(F.array(hashed), runs), 1)))
+    return F.element_at(F.transform(F.array(hashed), runs), 1)
+
+
+def positions(texts: DataFrame, k: int, unit: str, name: str, places: bool = True) -> DataFrame:
+    """name (the id), units (of the text), pos (from 0), a and b of every k-mer of texts (id, seq); without ``places`` only name, a and b.
+
+    Texts of fewer units have none.
+    """
+    return texts.select(F.col("id").alias(name), F.inline(_runs(F.col("seq"), k, unit, places)))
 
 
 def _segments(bits: int):
@@ -125,22 +128,37 @@ def _occurrences(kmers: DataFrame, name: str, prefix: str) -> DataFrame:
     return kmers.withColumn(f"{prefix}_times", F.count(F.lit(1)).over(own)).withColumn(f"{prefix}_nth", F.row_number().over(own.orderBy("pos"))).withColumnsRenamed({"pos": f"{prefix}_pos", "units": f"{prefix}_units"})
 
 
-def _candidates(mine: DataFrame, theirs: DataFrame, min_frac: float) -> DataFrame:
+def _candidates(mine: DataFrame, theirs: DataFrame, min_frac: float, sizes: DataFrame | None = None) -> DataFrame:
     """(query, target, n): the pairs that may share min_frac of the query's n distinct k-mers.
 
     A query that shares s of its n k-mers with a target shares one of any n - s + 1 of them. Those that fewest targets
-    hold are taken, so that a k-mer which all texts hold pairs up only texts that have hardly any others.
+    hold are taken, so that a k-mer which all texts hold pairs up only texts that have hardly any others. mine may lack
+    k-mers that no target holds if ``sizes`` (query, n) counts them.
     """
+    sizes = mine.groupBy("query").agg(F.count(F.lit(1)).alias("n")) if sizes is None else sizes
     spread = theirs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("df"))
-    counted = mine.join(spread, ["a", "b"], "left")
     size = Window.partitionBy("query")
-    ranked = counted.withColumn("n", F.count(F.lit(1)).over(size)).withColumn("absent", F.count_if(F.col("df").isNull()).over(size))
-    ranked = ranked.filter("df IS NOT NULL").withColumn("rn", F.row_number().over(size.orderBy("df", "a", "b")))
+    ranked = mine.join(spread, ["a", "b"]).withColumn("present", F.count(F.lit(1)).over(size)).withColumn("rn", F.row_number().over(size.orderBy("df", "a", "b")))
     least = F.greatest(F.ceil(F.col("n") * min_frac - 1e-9), F.lit(1))
-    probes = ranked.filter(F.col("rn") <= F.col("n") - least + 1 - F.col("absent")).select("query", "n", "a", "b")
+    # All that no target holds come first in the order, and find nothing.
+    probes = ranked.join(sizes, "query").filter(F.col("rn") <= F.col("present") - least + 1).select("query", "n", "a", "b")
     return probes.join(theirs, ["a", "b"]).select("query", "target", "n").distinct()
 
 
+def _on_both_sides(reads: DataFrame, reference: DataFrame, k: int, unit: str) -> tuple[DataFrame, DataFrame]:
+    """The positions of reads and reference, written, without k-mers that the other side surely lacks.
+
+    A filter of the side with fewer bytes is tested where the other is read, then one of what passed where the first is.
+    """
+    sides = {name: (texts, positions(texts.select("id", "seq"), k, unit, name)) for name, texts in (("query", reads), ("target", reference))}
+    volume = {name: texts.agg(F.coalesce(F.sum(F.octet_length(F.col("seq").cast("string"))), F.lit(0))).first()[0] for name, (texts, _) in sides.items()}
+    few, many = sorted(volume, key=volume.get)
+    one, other = sides[few][1], sides[many][1]
+    near = {many: written(Filter(one, one.select("a").count()).passing(other), f"hits-{many}")}
+    near[few] = written(Filter(near[many], near[many].count()).passing(one), f"hits-{few}")
+    return near["query"], near["target"]
+
+
 def kmer_hits(reads: DataFrame, reference: DataFrame, k: int, unit: str = "", min_frac: float = 0.5, band: int = 16) -> DataFrame:
     """The hits of reads on reference texts (both id, seq): query, target, shared, containment, band and the measures of its chain.
 
@@ -153,9 +171,10 @@ def kmer_hits(reads: DataFrame, reference: DataFrame, k: int, unit: str = "", mi
 
     Ids must not repeat. Texts that are null or shorter than a k-mer have no hits.
     """
-    mine = written(positions(reads.select("id", "seq"), k, unit, "query"), "hits-reads")
-    theirs = written(positions(reference.select("id", "seq"), k, unit, "target"), "hits-reference")
-    pairs = written(_candidates(mine.select("query", "a", "b").distinct(), theirs.select("target", "a", "b").distinct(), min_frac), "hits-candidates")
+    mine, theirs = _on_both_sides(reads, reference, k, unit)
+    # A text's distinct k-mers are told apart by 64 bits where only their number counts.
+    sizes = reads.select(F.col("id").alias("query"), F.size(F.array_distinct(F.transform(_runs(F.col("seq"), k, unit, False), lambda r: r["a"]))).alias("n"))
+    pairs = written(_candidates(mine.select("query", "a", "b").distinct(), theirs.select("target", "a", "b").distinct(), min_frac, sizes), "hits-candidates")
     q = _occurrences(mine.join(pairs.select("query").distinct(), "query", "left_semi"), "query", "q")
     t = written(_occurrences(theirs.join(pairs.select("target").distinct(), "target", "left_semi"), "target", "t"), "hits-targets")
     asked = written(pairs.join(q, "query"), "hits-asked")
