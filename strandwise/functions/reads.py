@@ -6,8 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: The standard genetic code, first base slowest, bases in the order T, C, A, G; * stops.
 BASES = "TCAG"
@@ -29,13 +31,53 @@ def safe_name(name: Column) -> Column:
     return F.regexp_replace(name, r"[?<>\\:*|]", "_")
 
 
-def _codes(qual: Column) -> Column:
-    return F.transform(F.filter(F.split(qual, ""), lambda c: c != ""), lambda c: F.ascii(c))
+#: Characters of qualities that a task works on at once.
+CHUNK = 1 << 20
+
+
+def _blocks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(codes, rows, places) of the characters of texts, CHUNK at a time, whatever the lengths: their codes, the texts they
+    stand in and their 0-based positions there. Read from Arrow's buffers; beyond Latin-1 a character counts as ?."""
+    if not pc.all(pc.string_is_ascii(texts)).as_py() and len(texts) > texts.null_count:
+        texts = pa.array([t and t.encode("latin-1", "replace") for t in texts.to_pylist()], pa.large_binary())
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    _, ends, data = texts.buffers()
+    if not len(texts) or data is None:
+        return
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    codes = np.frombuffer(data, np.uint8)
+    for at in range(int(ends[0]), int(ends[-1]), CHUNK):
+        to = min(at + CHUNK, int(ends[-1]))
+        first, last = np.searchsorted(ends, at, "right") - 1, np.searchsorted(ends, to, "left")
+        rows = np.repeat(np.arange(first, last), np.diff(np.clip(ends[first : last + 1], at, to)))
+        yield codes[at:to], rows, np.arange(at, to) - ends[rows]
+
+
+def _summed(qual: Column, worth: np.ndarray) -> Column:
+    """Sum of what each character's code is worth; 0 for an empty text, null for null."""
+    @F.arrow_udf(DoubleType())
+    def add(texts: pa.Array) -> pa.Array:
+        sums = np.zeros(len(texts))
+        for codes, rows, _ in _blocks(texts):
+            sums[rows[0] : rows[-1] + 1] += np.bincount(rows - rows[0], worth[codes])
+        return pa.array(sums, mask=texts.is_null().to_numpy(zero_copy_only=False))
+
+    return add(qual.cast("string"))
+
+
+def quality_base(qual: Column) -> Column:
+    """Aggregate: 64 if no character of any quality stands below code 64, else 33; 64 needs one character at least."""
+    return F.when(F.bool_or(qual.rlike("[\\x00-\\x3F]")) | ~F.coalesce(F.bool_or(qual != ""), F.lit(False)), 33).otherwise(64)
 
 
 def expected_error(qual: Column, base: int = 33) -> Column:
-    """Sum of 10^(-Q/10) over the positions of a read; 0 for an empty one."""
-    return F.aggregate(_codes(qual), F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), (F.lit(base) - x) / F.lit(10.0)))
+    """Sum of 10^(-Q/10) over the positions of a read; 0 for an empty one, null for null."""
+    return _summed(qual, 10.0 ** ((base - np.arange(256)) / 10))
+
+
+def mean_code(qual: Column) -> Column:
+    """Mean code of the characters; null for an empty or null text."""
+    return F.when(F.length(qual) > 0, _summed(qual, np.arange(256.0)) / F.length(qual))
 
 
 def trimmed(seq: Column, qual: Column, keep: Column, base: int = 33, min_q: int = 2) -> Column:
@@ -73,31 +115,13 @@ def adapter_start_fuzzy(seq: Column, adapter: str, min_overlap: int = 3, rate: f
     return F.coalesce(F.get(F.filter(places, fits), 0), F.length(seq))
 
 
-#: Bytes of qualities that a task counts at once.
-CHUNK = 1 << 20
-
-
-def _code_counts(texts: list[bytes]) -> pa.RecordBatch:
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    codes = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
-    places = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    cells, n = np.unique(places * 256 + codes, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(cells // 256, pa.int32()), pa.array(cells % 256, pa.int32()), pa.array(n, pa.int64())], ["pos", "q", "k"])
-
-
 def per_base_codes(reads: DataFrame, qual: str = "qual") -> DataFrame:
-    """pos, q, k: how many reads have the code q at the 0-based position pos. Counted in chunks of CHUNK bytes, then added up."""
+    """pos, q, k: how many reads have the code q at the 0-based position pos. Counted in blocks of CHUNK characters, then added up."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []
-        size = 0
         for batch in batches:
-            for text in batch.column(0):
-                held.append((text.as_py() or "").encode("latin-1", "replace"))
-                size += len(held[-1])
-                if size >= CHUNK:
-                    yield _code_counts(held)
-                    held, size = [], 0
-        yield _code_counts(held)
+            for codes, _, places in _blocks(batch.column(0)):
+                cells, n = np.unique(places * 256 + codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cells // 256, pa.int32()), pa.array(cells % 256, pa.int32()), pa.array(n, pa.int64())], ["pos", "q", "k"])
 
     return reads.select(F.col(qual).cast("string")).mapInArrow(run, "pos int, q int, k long").groupBy("pos", "q").agg(F.sum("k").alias("k"))
 

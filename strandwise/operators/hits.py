@@ -12,15 +12,17 @@ from strandwise.operators.route import first_by
 def best_hit(hits: DataFrame, passes: Column, score: str, mode: str = "best") -> DataFrame:
     """Per query the passing hit of the highest score; ties: earlier file order, then the smaller target.
 
-    mode strict: a failing row of a lower score cancels what passed before it, so only the hits after it count.
+    mode strict: a failing row cancels what passed before it (a higher score, or an equal one earlier), so only the hits
+    after a query's last failing row count. A null of ``passes`` fails; a null score comes last.
     """
     order = [F.col(score).desc(), F.col("file_order"), F.col("target")]
     if mode == "best":
         return first_by(hits.filter(passes), ["query"], order)
-    w = Window.partitionBy("query")
-    ranked = hits.withColumn("ok", passes).withColumn("place", F.row_number().over(w.orderBy(*order)))
-    after = ranked.withColumn("failed", F.max(F.when(~F.col("ok"), F.col("place"))).over(w)).filter(F.col("place") > F.coalesce("failed", F.lit(0)))
-    return first_by(after, ["query"], [F.col("place")]).drop("ok", "place", "failed")
+    place = F.struct(F.col(score).isNull().alias("none"), (-F.col(score)).alias("down"), F.col("file_order"), F.col("target"))
+    # Both sides of the join are put together by aggregation; no query's hits are sorted among themselves.
+    failed = hits.filter(~F.coalesce(passes, F.lit(False))).groupBy("query").agg(F.max(place).alias("__failed"))
+    after = hits.filter(passes).join(failed, "query", "left").filter(F.col("__failed").isNull() | (place > F.col("__failed")))
+    return after.groupBy("query").agg(F.min_by(F.struct(*hits.columns), place).alias("__best")).select("__best.*")
 
 
 def unmapped_queries(queries: DataFrame, best: DataFrame) -> DataFrame:

@@ -34,8 +34,7 @@ def read_ids(spark, d):
 
 @query("SELECT CASE WHEN min(ord) >= 64 THEN 64 ELSE 33 END AS base FROM (SELECT ascii(unnest(string_split(qual, ''))) AS ord FROM v_reads WHERE qual <> '')")
 def quality_base(spark, d):
-    low = view(spark, d, "v_reads").select(F.array_min(F.transform(F.filter(F.split("qual", ""), lambda c: c != ""), lambda c: F.ascii(c))).alias("low"))
-    return low.agg(F.when(F.min("low") >= 64, 64).otherwise(33).alias("base"))
+    return view(spark, d, "v_reads").agg(R.quality_base(F.col("qual")).alias("base"))
 
 
 @query("SELECT read_id, round(ee, 6) AS ee, ee <= 2.0 AS kept FROM (SELECT read_id, coalesce(list_sum(list_transform(list_filter(string_split(qual, ''), lambda c: c <> ''), lambda c: pow(10.0, (33 - ascii(c)) / 10.0))), 0.0) AS ee FROM v_reads)")
@@ -234,8 +233,7 @@ def per_base_quality(spark, d):
 
 @query("SELECT CAST(floor(mean / 10) * 10 AS INT) AS bin, count(*) AS n, CAST(sum(len) AS BIGINT) AS bases FROM (SELECT length(qual) AS len, list_avg(list_transform(string_split(qual, ''), lambda c: ascii(c))) AS mean FROM v_reads WHERE qual <> '') GROUP BY 1")
 def read_quality(spark, d):
-    codes = F.transform(F.filter(F.split("qual", ""), lambda c: c != ""), lambda c: F.ascii(c))
-    r = view(spark, d, "v_reads").filter("qual <> ''").select(F.length("qual").alias("len"), (F.aggregate(codes, F.lit(0), lambda a, x: a + x) / F.length("qual")).alias("mean"))
+    r = view(spark, d, "v_reads").filter("qual <> ''").select(F.length("qual").alias("len"), R.mean_code(F.col("qual")).alias("mean"))
     return r.groupBy((F.floor(F.col("mean") / 10) * 10).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("bases"))
 
 

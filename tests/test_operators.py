@@ -1,5 +1,9 @@
 """Small hand-made frames: ties, empty inputs, nulls and repeats."""
 
+import random
+
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from strandwise.functions import hits as X
@@ -14,6 +18,23 @@ def test_best_hit_ties_and_strict(spark):
     assert hits.best_hit(df, F.col("ok"), "score", "strict").collect() == []
 
 
+def test_strict_best_hit_against_loops(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("abcdefgh"), f"t{rng.randrange(4)}", rng.choice([None, 1, 2, 3, 4]), rng.choice([True, True, True, False, None]), rng.randrange(3), i) for i in range(90)]
+    rows = list({(r[0], r[1], r[2], r[4]): r for r in rows}.values()) + [("only null", "t", 3, None, 0, -1)]
+    want = {}
+    for q in {r[0] for r in rows}:
+        # In order of score (none last), place in the file and target: what stands after the last row that fails.
+        mine = sorted((r for r in rows if r[0] == q), key=lambda r: (r[2] is None, -(r[2] or 0), r[4], r[1]))
+        after = mine[max((i + 1 for i, r in enumerate(mine) if not r[3]), default=0) :]
+        want |= {q: after[0]} if after else {}
+    df = spark.createDataFrame(rows, "query string, target string, score int, ok boolean, file_order int, more int")
+    got = hits.best_hit(df, F.col("ok"), "score", "strict")
+    assert got.columns == df.columns
+    assert {r[0]: tuple(r) for r in got.collect()} == want and len(want) > 3
+    assert hits.best_hit(df.filter("false"), F.col("ok"), "score", "strict").collect() == []
+
+
 def test_repopulate_restores_everything_when_nothing_is_filtered(spark):
     reads = spark.createDataFrame([("1", "A"), ("2", "A"), ("3", "C")], "read_id string, seq string")
     clusters = route.exact_dedup(reads, ["seq"])
@@ -356,3 +377,28 @@ def test_totals_groups_and_disjoint_reads(spark):
     assert [tuple(r) for r in maps.contig_assign(aln, F.lit(True), reads("r1"), reads("r2")).collect()] == [("r1", "c2")]
     with pytest.raises(ValueError, match="r1 is in both"):
         maps.contig_assign(aln, F.lit(True), reads("r1", "r3"), reads("r1"))
+
+
+def test_quality_measures_of_odd_reads(spark):
+    rows = ["", None, "IIII", "!~", "\u00e9I", "I" * 70_000, "\u20acI"]
+    worth = lambda q: None if q is None else sum(10 ** ((33 - c) / 10) for c in q.encode("latin-1", "replace"))
+    df = spark.createDataFrame([(i, q) for i, q in enumerate(rows)], "i int, qual string")
+    for r in df.select("i", "qual", R.expected_error(F.col("qual")).alias("ee"), R.mean_code(F.col("qual")).alias("mean")).collect():
+        assert r.ee is None if r.qual is None else r.ee == pytest.approx(worth(r.qual))
+        codes = (r.qual or "").encode("latin-1", "replace")
+        assert r.mean is None if not codes else r.mean == pytest.approx(sum(codes) / len(codes))
+    assert df.filter("false").select(R.expected_error(F.col("qual"))).collect() == []
+
+
+def test_quality_blocks_cut_anywhere(monkeypatch):
+    texts = pa.array(["skipped", "abc", None, "", "defghijk", "", "l"]).slice(1)
+    for size in (1, 2, 3, 5, 100):
+        monkeypatch.setattr(R, "CHUNK", size)
+        got = [(chr(c), int(r), int(p)) for block in R._blocks(texts) for c, r, p in zip(*block, strict=True)]
+        assert got == [(c, i, p) for i, t in enumerate(texts.to_pylist()) for p, c in enumerate(t or "")]
+    assert list(R._blocks(pa.array([None, None], pa.string()))) == [] == list(R._blocks(pa.array([], pa.string())))
+
+
+@pytest.mark.parametrize(("quals", "base"), [(["@@@", "h?"], 33), (["@@@", "hh", None, ""], 64), (["", None], 33), ([], 33)])
+def test_quality_base(spark, quals, base):
+    assert spark.createDataFrame([(q,) for q in quals], "qual string").agg(R.quality_base(F.col("qual"))).first()[0] == base
