@@ -15,34 +15,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandwise.operators.taxonomy import common_ancestor, numbered_tree
-from strandwise.scratch import written
+from strandwise.scratch import written, written_counted
 
 #: Bits of the filter of k-mers: BITS for each k-mer, at least LEAST and never more than MOST (128 MB), in segments of SEGMENT bytes.
 BITS, LEAST, MOST, SEGMENT = 12, 1 << 20, 1 << 30, 1 << 16
 
 
-def _units(seq: Column, unit: str) -> Column:
-    return F.filter(F.split(seq, unit), lambda c: c != "")
+def _hashed_units(texts: DataFrame, k: int, unit: str, name: str) -> DataFrame:
+    """name, units, count (of k-mers) and the units' hashes under both seeds as arrays __a and __b; texts of fewer than k units are left out."""
+    parts = F.array_remove(F.split("seq", unit), "")
+    hashed = texts.select(F.col("id").alias(name), F.transform(parts, lambda c: F.xxhash64(c)).alias("__a"), F.transform(parts, lambda c: F.xxhash64(F.lit(1), c)).alias("__b"))
+    return hashed.filter(F.size("__a") >= k).withColumns({"units": F.size("__a"), "count": F.size("__a") - (k - 1)})
 
 
-def _runs(seq: Column, k: int, unit: str, places: bool) -> Column:
-    """The k-mers of a text as structs of a and b, with units and pos if ``places``. The units are hashed once, so that no k-mer splits the text again."""
-    hashed = F.transform(_units(seq, unit), lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b")))
-
-    def runs(parts: Column) -> Column:
-        starts = F.when(F.size(parts) >= k, F.sequence(F.lit(0), F.size(parts) - k)).otherwise(F.array().cast("array<int>"))
-        of = lambda i, half: F.xxhash64(*[F.get(parts, i + j)[half] for j in range(k)]).alias(half)
-        return F.transform(starts, lambda i: F.struct(*([F.size(parts).alias("units"), i.alias("pos")] if places else []), of(i, "a"), of(i, "b")))
-
-    return F.element_at(F.transform(F.array(hashed), runs), 1)
+def _shifted(half: str, k: int) -> dict[str, Column]:
+    """The hashes of a k-mer's units, by their place in it: arrays that begin 0 to k - 1 units later."""
+    return {f"{half}{j}": F.slice(half, j + 1, F.col("count")) for j in range(k)}
 
 
 def positions(texts: DataFrame, k: int, unit: str, name: str, places: bool = True) -> DataFrame:
     """name (the id), units (of the text), pos (from 0), a and b of every k-mer of texts (id, seq); without ``places`` only name, a and b.
 
-    Texts of fewer units have none.
+    Null texts and those of fewer units have none. Each unit is hashed once; shifted by 0 to k - 1 units the hashes are laid
+    side by side, so that a k-mer is a row of them and its own hashes are taken in generated code.
     """
-    return texts.select(F.col("id").alias(name), F.inline(_runs(F.col("seq"), k, unit, places)))
+    side = _shifted("__a", k) | _shifted("__b", k) | ({"pos": F.sequence(F.lit(0), F.col("count") - 1)} if places else {})
+    rows = _hashed_units(texts, k, unit, name).select(name, "units", F.inline(F.arrays_zip(*side.values())).alias(*side))
+    halves = [F.xxhash64(*_shifted(f"__{half}", k)).alias(half) for half in "ab"]
+    return rows.select(name, *(["units", "pos"] if places else []), *halves)
 
 
 def _segments(bits: int):
@@ -110,10 +110,10 @@ def kmer_screen(reads: DataFrame, reference: DataFrame, k: int, min_hits: int =
     is read, so that only k-mers which may be on both sides are shuffled and compared in full. Ids that repeat are one read;
     texts that are null or shorter than a k-mer have none; an empty reference finds nothing.
     """
-    whole = written(positions(reference.select("id", "seq"), k, unit, "target", False).select("a", "b"), "screen-reference")
+    whole, n = written_counted(positions(reference.select("id", "seq"), k, unit, "target", False).select("a", "b"), "screen-reference")
     mine = positions(reads.select("id", "seq"), k, unit, "id", False)
-    near = written(Filter(whole, whole.count()).passing(mine), "screen-passed")
-    both = Filter(near, near.count()).passing(whole)
+    near, n = written_counted(Filter(whole, n).passing(mine), "screen-passed")
+    both = Filter(near, n).passing(whole)
     hits = near.join(both.distinct(), ["a", "b"], "left_semi").groupBy("id").agg(F.count_distinct("a", "b").alias("hits")).filter(F.col("hits") >= min_hits)
     # The reads' own k-mers are counted for those alone that the filter leaves a hit.
     found = written(hits, "screen-hits")
@@ -173,7 +173,8 @@ def kmer_hits(reads: DataFrame, reference: DataFrame, k: int, unit: str = "", mi
     """
     mine, theirs = _on_both_sides(reads, reference, k, unit)
     # A text's distinct k-mers are told apart by 64 bits where only their number counts.
-    sizes = reads.select(F.col("id").alias("query"), F.size(F.array_distinct(F.transform(_runs(F.col("seq"), k, unit, False), lambda r: r["a"]))).alias("n"))
+    hashes = F.transform(F.arrays_zip(*_shifted("__a", k).values()), lambda r: F.xxhash64(*[r[str(j)] for j in range(k)]))
+    sizes = _hashed_units(reads, k, unit, "query").select("query", F.size(F.array_distinct(hashes)).alias("n"))
     pairs = written(_candidates(mine.select("query", "a", "b").distinct(), theirs.select("target", "a", "b").distinct(), min_frac, sizes), "hits-candidates")
     q = _occurrences(mine.join(pairs.select("query").distinct(), "query", "left_semi"), "query", "q")
     t = written(_occurrences(theirs.join(pairs.select("target").distinct(), "target", "left_semi"), "target", "t"), "hits-targets")
