@@ -1,5 +1,7 @@
 """The corpus operators against brute force on small tables, and their edge cases."""
 
+import functools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -497,3 +499,67 @@ def test_pipeline_runs_and_keeps_the_columns(spark):
         docs = stage(spark, docs, SF)
         assert docs.columns == columns, name
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def fitted_of(monkeypatch, module):
+    """What the module's training was given and what it gave, filled in when it runs."""
+    seen, own = [], module.train
+
+    def train(rows):
+        seen.append((rows, own(rows)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(module, "train", train)
+    return seen
+
+
+def odds_of_labels(column):
+    labels = pd.read_parquet(f"{SF}/labels.parquet")
+    own = labels[[zlib.crc32(str(i).encode()) % 5 != 0 for i in labels.doc_id]][column]
+    return math.log(((own == 1).sum() + 1) / ((own == 0).sum() + 1))
+
+
+def log_odds(labels):
+    return math.log((sum(y == 1 for y in labels) + 1) / (sum(y == 0 for y in labels) + 1))
+
+
+def test_quality_scores_against_plain_loops(spark, docs, monkeypatch):
+    seen = fitted_of(monkeypatch, quality)
+    got = {r.doc_id: r for r in quality.op2_quality(spark, SF).collect()}
+    ((rows, (weights, bias)),) = seen
+    bias += odds_of_labels("quality") - log_odds([y for _, y in rows])
+    again = zlib.crc32(quality.AGAIN.encode()) % quality.BUCKETS
+    for doc_id, text in zip(docs.doc_id, docs.text.fillna(""), strict=True):
+        words = text.split()
+        found = []
+        for word in words:
+            marked = f"<{word}>".encode()
+            found += [zlib.crc32(part) % quality.BUCKETS for part in [marked, *(marked[i : i + n] for n in quality.GRAMS for i in range(len(marked)) if i + n <= len(marked))]]
+        same = quality.SAME * sum(words[i] == words[i - 1] for i in range(1, len(words)))
+        margin = bias + (sum(weights[b] for b in found) + same * weights[again]) / (len(found) + same + quality.PAD)
+        assert got[doc_id].score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-9)
+        assert got[doc_id].predicted == (got[doc_id].score >= 0.3) and got[doc_id].held_out == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+    assert len(got) == len(docs)
+
+
+def test_toxicity_scores_against_plain_loops(spark, docs, monkeypatch):
+    seen = fitted_of(monkeypatch, toxicity)
+    got = {r.doc_id: r for r in toxicity.op5_toxicity(spark, SF).collect()}
+    ((rows, (ordinary, toxic, mean, deviation, weights)),) = seen
+    # The bias was moved to the labels' own odds in place, so the weights are those of the scores.
+    distance = toxicity.Distance(ordinary, toxic)
+
+    @functools.cache
+    def saved(word):
+        own = word.encode()
+        parts = [own[:n] for n in range(toxicity.STEM, min(len(own), toxicity.MEASURED))] + [own]
+        return max(len(distance.plain(toxicity.window(p))) - len(distance.toxic(toxicity.window(p))) for p in parts)
+
+    for doc_id, text in zip(docs.doc_id, docs.text.fillna(""), strict=True):
+        each = [max(saved(w), 0) for w in set(re.findall(r"\w+", text.lower()))] or [0]
+        counts = [sum(s >= k for s in each) for k in toxicity.SAVED]
+        x = [math.log(1 + c) for c in counts] + [c / (len(each) + 3) for c in counts]
+        x += [max(each) / 10, sum(max(s - 2, 0) for s in each) / (len(each) + 3), math.log(len(each) + 1)]
+        margin = sum((v - m) / d * w for v, m, d, w in zip(x, mean, deviation, weights[:-1], strict=True)) + weights[-1]
+        assert got[doc_id].score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-9)
+    assert len(got) == len(docs)
