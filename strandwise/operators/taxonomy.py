@@ -30,6 +30,7 @@ LONGEST = 20
 
 def paths(nodes: DataFrame) -> DataFrame:
     """(taxid, path) of every node, written: the node, its parent and so on up to the root. A missing parent means the root; a cycle is an error."""
+    nodes = written(nodes.select("taxid", "parent"), "tree")
     known = nodes.select(F.col("taxid").alias("k"))
     top = F.when(F.col("taxid") != ROOT, F.coalesce("k", F.lit(ROOT)))
     ways = nodes.join(known, F.col("parent") == F.col("k"), "left").select("taxid", F.array("taxid").alias("path"), top.alias("top"), F.lit(True).alias("own"))
