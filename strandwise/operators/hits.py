@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandwise.operators.route import first_by
+from strandwise.scratch import written
 
 
 def best_hit(hits: DataFrame, passes: Column, score: str, mode: str = "best") -> DataFrame:
@@ -95,7 +96,9 @@ def rpkm_by_taxon(gene_reads: DataFrame, genes: DataFrame, read_taxa: DataFrame)
 
 def rpkm_of_groups(by_taxon: DataFrame, members: DataFrame, group: str) -> DataFrame:
     """group, genes, rpkm, taxid, taxon_rpkm: the sums over the genes of each group (members: gene_id, group), total and by taxon."""
-    met = by_taxon.join(members.select("gene_id", group).distinct(), "gene_id")
+    # Both sums read what is written once: the roll-up and the gene maps behind it are not worked out for each.
+    of = written(by_taxon.select("gene_id", "rpkm", "taxid", "taxon_rpkm"), "gene-taxa")
+    met = of.join(members.select("gene_id", group).distinct(), "gene_id")
     total = met.select("gene_id", group, "rpkm").distinct().groupBy(group).agg(F.count(F.lit(1)).alias("genes"), F.sum("rpkm").alias("rpkm"))
     per = met.filter("taxid IS NOT NULL").groupBy(group, "taxid").agg(F.sum("taxon_rpkm").alias("taxon_rpkm"))
     return total.join(per, group, "left")

@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from strandwise.operators import taxonomy
+from strandwise.operators import hits, taxonomy
 
 
 def test_rows_of_a_contig_do_not_multiply_with_its_reads(spark):
@@ -17,3 +17,19 @@ def test_rows_of_a_contig_do_not_multiply_with_its_reads(spark):
         got = {r.read_id: r.taxid for r in taxonomy.spread_contigs(rows.unionByName(own), reads, own_wins).collect()}
         assert len(got) == n and (got["r1"], got["r2"], got["r3"]) == want
     assert time.time() - began < 30
+
+
+def test_group_sums_read_their_rows_once(spark):
+    rows = [(1, 2.0, 5, 1.5), (1, 2.0, 6, 0.5), (2, 3.0, None, 0.0), (3, 4.0, 5, 4.0)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    by_taxon = spark.createDataFrame(rows, "gene_id int, rpkm double, taxid int, taxon_rpkm double")
+    members = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "b")], "gene_id int, g string")
+    got = sorted(map(tuple, hits.rpkm_of_groups(by_taxon.mapInArrow(look, by_taxon.schema), members, "g").collect()), key=str)
+    assert got == [("a", 2, 5.0, 5, 1.5), ("a", 2, 5.0, 6, 0.5), ("b", 1, 4.0, 5, 4.0)]
+    assert seen.value == len(rows)
