@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from strandwise.operators import hits, taxonomy
+from strandwise.operators import hits, kmers, taxonomy
 
 
 def test_rows_of_a_contig_do_not_multiply_with_its_reads(spark):
@@ -19,6 +19,25 @@ def test_rows_of_a_contig_do_not_multiply_with_its_reads(spark):
     assert time.time() - began < 30
 
 
+def test_kmers_of_one_side_only_are_not_shuffled(spark, monkeypatch):
+    counts = {}
+
+    def counted(df, name):
+        out = write(df, name)
+        counts[name] = out.count()
+        return out
+
+    write = kmers.written
+    monkeypatch.setattr(kmers, "written", counted)
+    reads = spark.range(2000).select("id", F.when(F.col("id") == 7, "ACGTACGTCC").otherwise(F.md5(F.col("id").cast("string"))).alias("seq"))
+    reference = spark.createDataFrame([(1, "TTACGTACGT"), (2, "GGGGG")], "id int, seq string")
+    assert [tuple(r) for r in kmers.kmer_counts(reads, reference, 8).collect()] == [(7, 1, 1)]
+    assert counts["hits-query"] < 100
+    nodes = spark.createDataFrame([(1, 1), (2, 1)], "taxid int, parent int")
+    got = kmers.kmer_lca_classify(reads, reference, spark.createDataFrame([(1, 2), (2, 2)], "id int, taxid int"), nodes, 8).collect()
+    assert len(got) == 2000 and [r.read_id for r in got if r.taxid] == [7] and counts["hits-query"] < 100
+
+
 def test_group_sums_read_their_rows_once(spark):
     rows = [(1, 2.0, 5, 1.5), (1, 2.0, 6, 0.5), (2, 3.0, None, 0.0), (3, 4.0, 5, 4.0)]
     seen = spark.sparkContext.accumulator(0)
