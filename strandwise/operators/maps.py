@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.batches import slices
 from strandwise.functions.reads import reverse_complement
 from strandwise.operators.enzyme import ec_report
 from strandwise.operators.hits import best_hit
@@ -60,7 +61,7 @@ def merge_pairs(mate1: DataFrame, mate2: DataFrame, min_overlap: int = 10, max_o
         return 0 if one is None or other is None else longest_overlap(one, other, max(min_overlap, 1), len(one) if max_overlap is None else max_overlap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ones, others = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             sizes = [longest(x, y) for x, y in zip(ones, others, strict=True)]
             merged = [x + y[n:] if n else None for x, y, n in zip(ones, others, sizes, strict=True)]

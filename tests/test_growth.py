@@ -2,8 +2,10 @@
 
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from strandwise.batches import slices
 from strandwise.operators import hits, kmers, taxonomy
 
 
@@ -38,6 +40,14 @@ def test_kmers_of_one_side_only_are_not_shuffled(spark, monkeypatch):
     assert len(got) == 2000 and [r.read_id for r in got if r.taxid] == [7] and counts["hits-query"] < 100
 
 
+def test_batches_are_cut_by_bytes():
+    texts = ["a" * 400, None, "é" * 300, "", "b" * 5000, "c"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    parts = list(slices(iter([batch, batch.slice(0, 0)]), 1000))
+    assert [x for p in parts for x in p.column(1).to_pylist()] == texts and [x for p in parts for x in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows == 1 or sum(len((x or "").encode()) for x in p.column(1).to_pylist()) <= 1000 for p in parts) and len(parts) > 6
+
+
 def test_group_sums_read_their_rows_once(spark):
     rows = [(1, 2.0, 5, 1.5), (1, 2.0, 6, 0.5), (2, 3.0, None, 0.0), (3, 4.0, 5, 4.0)]
     seen = spark.sparkContext.accumulator(0)
