@@ -1,8 +1,9 @@
 """Merging the mates of a pair where their ends overlap, mismatches tolerated, and cutting adapters off.
 
-The mismatches and quality-weighted scores of all overlaps of a pair come from a few correlations (fast Fourier transforms
-over whole numbers, rounded back to them), so that a pair costs n log n whatever it repeats. Pairs of similar length are
-transformed together.
+A correlation of two classes of bases (fast Fourier transforms over whole numbers, rounded back to them) bounds the
+mismatches of all overlaps of a pair from below; the few that may do are compared base by base. Where very many may do,
+as in repeats, mismatches and quality-weighted scores of all overlaps come from correlations too, so that a pair costs
+n log n whatever it repeats. Pairs of similar length are transformed together.
 """
 
 from __future__ import annotations
@@ -15,11 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.batches import slices
 from strandwise.functions.reads import reverse_complement
 
 #: Points that are transformed at once, and the best quality of a merged base.
-POINTS, BEST = 1 << 22, 41
+POINTS, BEST = 1 << 20, 41
+#: Bases of a pair's overlaps that are compared one by one, by the length of its shorter mate, before all overlaps are transformed instead.
+DIRECT = 32
 BASES = b"ACGT"
+#: Classes of bases: A and G, C and T, others.
+_CLASS = np.zeros(256, np.int8)
+_CLASS[list(b"AG")], _CLASS[list(b"CT")] = 1, -1
 
 
 def _codes(texts: list[str], size: int) -> np.ndarray:
@@ -74,22 +81,59 @@ def chosen_overlap(scores: tuple[np.ndarray, np.ndarray, np.ndarray], least: int
     return at, int(mismatches[at])
 
 
+def possible_overlaps(ones: list[str], others: list[str], least: int, differ: int, rate: float) -> list[np.ndarray]:
+    """For each pair the lengths of overlap, rising, that may be long and alike enough: all that are, and few others where nothing repeats.
+
+    Bases of different classes differ, so the mismatches are no fewer than the compared bases of different classes. Only the
+    last bases of one and the first of other, as many as the shorter has, can lie over each other.
+    """
+    most = [min(len(x), len(y)) for x, y in zip(ones, others, strict=True)]
+    size = 1 << int(2 * max(most) - 1).bit_length()
+    a, b = _CLASS[_codes([x[len(x) - m :] for x, m in zip(ones, most, strict=True)], size)], _CLASS[_codes([y[:m] for y, m in zip(others, most, strict=True)], size)]
+    met = lambda x, y: np.rint(np.fft.irfft(np.fft.rfft(x.astype(np.float64), axis=1) * np.conj(np.fft.rfft(y.astype(np.float64), axis=1)), size, axis=1))
+    alike = met(a, b)
+    whole = all(a[i, :m].all() and b[i, :m].all() for i, m in enumerate(most))
+    every = None if whole else met(a != 0, b != 0)
+    out = []
+    for i, m in enumerate(most):
+        n = np.arange(max(least, 1), m + 1)
+        at = m - n
+        compared = n if every is None else every[i, at]
+        apart = (compared - alike[i, at]) / 2
+        out.append(n[(compared >= least) & (apart <= differ) & (apart <= rate * n)])
+    return out
+
+
+def best_overlap(one: str, other: str, q1: str, q2: str, lengths: np.ndarray, least: int, differ: int, rate: float, base: int = 33) -> tuple[int, int]:
+    """What ``chosen_overlap`` gives, by comparing the bases of the overlaps of the given lengths (rising)."""
+    x, y = (np.frombuffer(t.encode("latin-1", "replace"), np.uint8) for t in (one, other))
+    wx, wy = (_values([q], [len(t)], len(t), base)[0] for q, t in ((q1, one), (q2, other)))
+    best, found = None, (0, 0)
+    for n in lengths.tolist():
+        a, b = x[len(x) - n :], y[:n]
+        compared = (_CLASS[a] != 0) & (_CLASS[b] != 0)
+        differing = compared & (a != b)
+        d = int(differing.sum())
+        if int(compared.sum()) < least or d > differ or d > rate * n:
+            continue
+        w = wx[len(x) - n :] + wy[:n]
+        score = int(w[compared].sum()) - 2 * int(w[differing].sum())
+        if best is None or score >= best:
+            best, found = score, (n, d)
+    return found
+
+
 def merged_read(one: str, other: str, q1: str, q2: str, n: int, base: int = 33) -> tuple[str, str]:
     """Sequence and qualities of two mates that overlap by n: where they agree the qualities add up to BEST at most, else the
     better base stands (mate 1 of equal ones, a real base before any other) with what its quality is above the other's, 2 at least."""
     head, tail = len(one) - n, other[n:]
-    seq, qual = [], []
-    for x, y, p, q in zip(one[head:], other[:n], (ord(c) - base for c in q1[head:]), (ord(c) - base for c in q2[:n]), strict=True):
-        if x == y:
-            seq.append(x)
-            qual.append(min(p + q, BEST))
-        elif (x in "ACGT") != (y in "ACGT"):
-            seq.append(x if x in "ACGT" else y)
-            qual.append(p if x in "ACGT" else q)
-        else:
-            seq.append(x if p >= q else y)
-            qual.append(max(abs(p - q), 2))
-    return one[:head] + "".join(seq) + tail, q1[:head] + "".join(chr(base + v) for v in qual) + q2[n:]
+    x, y, p, q = (np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.int64) for t in (one[head:], other[:n], q1[head:], q2[:n]))
+    p, q = p - base, q - base
+    real_x, real_y = (np.isin(t, np.frombuffer(BASES, np.uint8)) for t in (x, y))
+    first = np.where(real_x == real_y, p >= q, real_x)  # mate 1's base stands
+    qual = np.where(x == y, np.minimum(p + q, BEST), np.where(real_x == real_y, np.maximum(np.abs(p - q), 2), np.where(first, p, q)))
+    text = lambda t: t.astype("<u4").tobytes().decode("utf-32-le")
+    return one[:head] + text(np.where(first, x, y)) + tail, q1[:head] + text(base + qual) + q2[n:]
 
 
 def merge_mates(mate1: DataFrame, mate2: DataFrame, min_overlap: int = 10, max_mismatches: int = 10, max_rate: float = 0.2, base: int = 33) -> DataFrame:
@@ -111,19 +155,28 @@ def merge_mates(mate1: DataFrame, mate2: DataFrame, min_overlap: int = 10, max_m
     names = ["part", *fields, "overlap", "mismatches"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, s1, q1, s2, q2, *raw = (c.to_pylist() for c in batch.columns)
             sized, picked = defaultdict(list), [(0, 0)] * len(ids)
             for i, (x, y) in enumerate(zip(s1, s2, strict=True)):
                 if min(len(x), len(y)) >= max(min_overlap, 1):
-                    sized[(len(x) + len(y)).bit_length()].append(i)
+                    sized[(2 * min(len(x), len(y)) - 1).bit_length()].append(i)
             for bits, mine in sized.items():
-                step = max(POINTS >> (bits + 3), 1)
+                step = max(POINTS >> (bits + 1), 1)
                 for lo in range(0, len(mine), step):
-                    some = mine[lo : lo + step]
-                    found = overlap_scores(*([c[i] for i in some] for c in (s1, s2, q1, q2)), base)
-                    for i, f in zip(some, found, strict=True):
-                        picked[i] = chosen_overlap(f, min_overlap, max_mismatches, max_rate)
+                    some, many = mine[lo : lo + step], []
+                    for i, n in zip(some, possible_overlaps([s1[i] for i in some], [s2[i] for i in some], min_overlap, max_mismatches, max_rate), strict=True):
+                        if n.sum() > DIRECT * min(len(s1[i]), len(s2[i])):
+                            many.append(i)
+                        elif len(n):
+                            picked[i] = best_overlap(s1[i], s2[i], q1[i], q2[i], n, min_overlap, max_mismatches, max_rate, base)
+                    few = max(step // 4, 1)
+                    for part in (many[k : k + few] for k in range(0, len(many), few)):
+                        ends = [min(len(s1[i]), len(s2[i])) for i in part]
+                        tails = [[c[i][len(c[i]) - m :] for i, m in zip(part, ends, strict=True)] for c in (s1, q1)]
+                        heads = [[c[i][:m] for i, m in zip(part, ends, strict=True)] for c in (s2, q2)]
+                        for i, f in zip(part, overlap_scores(tails[0], heads[0], tails[1], heads[1], base), strict=True):
+                            picked[i] = chosen_overlap(f, min_overlap, max_mismatches, max_rate)
             rows = []
             for i, (n, d) in enumerate(picked):
                 if n:
@@ -266,7 +319,7 @@ def trim_adapters(reads: DataFrame, adapters: DataFrame, min_overlap: int = 3, r
     kind = reads.schema["read_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [s or "" for s in batch.column(1).to_pylist()]
             cuts = held.value.find(texts) if short else [held.value.find(s) for s in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n in cuts], pa.string()), pa.array([c for c, _ in cuts], pa.int32()), batch.column(1), batch.column(2)], ["read_id", "adapter", "cut", "seq", "qual"])

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from strandwise.batches import slices
-from strandwise.operators import hits, kmers, taxonomy
+from strandwise.operators import hits, kmers, mates, taxonomy
 
 
 def test_rows_of_a_contig_do_not_multiply_with_its_reads(spark):
@@ -48,6 +48,24 @@ def test_batches_are_cut_by_bytes():
     assert all(p.num_rows == 1 or sum(len((x or "").encode()) for x in p.column(1).to_pylist()) <= 1000 for p in parts) and len(parts) > 6
 
 
+def test_few_pairs_are_transformed_in_full(spark, monkeypatch):
+    import random
+
+    rng = random.Random(2)
+    base = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    ones, others = [base(3000) for _ in range(20)], []
+    for one in ones:
+        end = list(one[2000:])
+        for at in (5, 500, 900):
+            end[at] = "ACGT"["TGCA".index(end[at])]
+        others.append("".join(end) + base(100))
+    found = mates.possible_overlaps(ones, others, 10, 10, 0.2)
+    for x, y, n in zip(ones, others, found, strict=True):
+        assert n.sum() < mates.DIRECT * len(y)
+        want = mates.chosen_overlap(mates.overlap_scores([x], [y], ["I" * len(x)], ["I" * len(y)])[0], 10, 10, 0.2)
+        assert mates.best_overlap(x, y, "I" * len(x), "I" * len(y), n, 10, 10, 0.2) == want == (1000, 3)
+
+
 def test_group_sums_read_their_rows_once(spark):
     rows = [(1, 2.0, 5, 1.5), (1, 2.0, 6, 0.5), (2, 3.0, None, 0.0), (3, 4.0, 5, 4.0)]
     seen = spark.sparkContext.accumulator(0)
