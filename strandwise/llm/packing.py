@@ -13,6 +13,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandwise.batches import slices
 from strandwise.llm.common import rank_buckets, salted_rank, table, worker_store, written
 from strandwise.llm.cutting_stock import plan
 
@@ -28,8 +30,8 @@ MODEL = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END = 2048, 1
 #: Lengths are planned in classes of this many tokens.
 WIDTH = 8
-#: Entries of a worker's caches of white-space-delimited runs and of words; a full cache is emptied.
-CACHED = 600_000
+#: Entries of a worker's caches of white-space-delimited runs and of words; of a full cache the KEPT oldest stay, as frequent ones come early.
+CACHED, KEPT = 240_000, 120_000
 #: Runs of these characters split into words as below; all others go to the library as they are.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -58,6 +60,13 @@ class Words(dict):
         return found
 
 
+def _shrink(cache: dict) -> None:
+    if len(cache) > CACHED:
+        oldest = list(islice(cache.items(), KEPT))
+        cache.clear()
+        cache.update(oldest)
+
+
 class RunTokenizer:
     """Ids of whole texts (bytes of little-endian unsigned 32-bit ids). The tokenizer drops white space, so runs between it are independent."""
 
@@ -75,8 +84,7 @@ class RunTokenizer:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.words) > CACHED:
-            self.words.clear()
+        _shrink(self.words)
         odd = []
         for run in new:
             if PLAIN.fullmatch(run) and "<|" not in run:
@@ -91,8 +99,7 @@ class RunTokenizer:
                 yield self._encode([text])[0]
                 continue
             runs = text.split()
-            if len(self.runs) > CACHED:
-                self.runs.clear()
+            _shrink(self.runs)
             if new := set(runs).difference(self.runs):
                 self._learn(new)
             yield b"".join(map(self.runs.__getitem__, runs))
@@ -108,7 +115,7 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, model: str = MODEL, with_ids:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = RunTokenizer(model)
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             for doc_id, body in zip(batch.column(0).to_pylist(), tokenizer.ids(batch.column(1).to_pylist()), strict=True):
                 body += end
