@@ -33,7 +33,7 @@ LEAST, PRIOR, SCALE, TOP = 30, 5, 1_000_000_000, 50
 LEVELS, STRIPS, TREES = 8, 64, 64
 SIDE = 1 << LEVELS
 #: Node pairs that are expanded at once; UTF-8 bytes of text that are counted at once.
-PAIRS, CHUNK = 1 << 20, 24 << 20
+PAIRS, CHUNK = 1 << 20, 6 << 20
 
 #: Bytes of a term stand for themselves (A-Z lower-cased), all others for a space.
 _TERM = np.array([b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)], np.uint8)
